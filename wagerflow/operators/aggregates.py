@@ -126,13 +126,18 @@ def active_users(records: DataFrame, shape: str = "flat", window: str = "2 minut
     ``'invalid'`` are dropped with the bad rows (null-safe comparison keeps
     the NULL user).  ``time_mode='processing'`` windows by ingestion time.
     """
-    df = parse_user(records, shape).filter(~F.col("user_id").eqNullSafe(F.lit(INVALID)))
+    df = parse_user(records, shape)
     if time_mode == "processing":
         df = df.withColumn("event_time", F.current_timestamp())
     df = _watermarked(df, "event_time", watermark)
+    # The 'invalid' group is tagged inside stage 1 and removed after it: a
+    # filter on the parsed key itself would be pushed below the parse and
+    # evaluate it again.
     per_user = df.groupBy(F.window("event_time", window).alias("w"), "user_id") \
-                 .agg(F.sum("n").alias("n"))
-    per_window = per_user.groupBy("w").agg(F.count(F.lit(1)).alias("active_users"))
+                 .agg(F.sum("n").alias("n"),
+                      F.max(F.col("user_id").eqNullSafe(F.lit(INVALID))).alias("_invalid"))
+    per_window = per_user.filter(~F.col("_invalid")) \
+                         .groupBy("w").agg(F.count(F.lit(1)).alias("active_users"))
     return per_window.select(*_window_cols(), "active_users")
 
 

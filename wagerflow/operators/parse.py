@@ -47,10 +47,13 @@ def with_variant(df: DataFrame, col: str = "value") -> DataFrame:
 
 
 def event_time(shape: str = "flat"):
-    """Event time: the event's ISO timestamp, else the record time."""
+    """Event time: the event's ISO timestamp, else the record time, else the
+    ingestion time.  The last fallback makes the column non-nullable, so the
+    ``isnotnull`` guard that ``window()`` adds is folded away instead of being
+    pushed below the parse (which would parse every row twice)."""
     v = F.col("_v")
     return F.coalesce(parse_iso_timestamp(get_string(v, _paths(shape)["timestamp"])),
-                      F.col("timestamp"))
+                      F.col("timestamp"), F.current_timestamp())
 
 
 def parse_key(df: DataFrame, field: str, shape: str = "flat", out: str | None = None) -> DataFrame:

@@ -44,3 +44,229 @@ FROM r GROUP BY 1, 2, 3
 def q_game_window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = agg.game_window_counts(bet_records(spark, sf_dir, "flat"))
     return counts.select(_iso("window_start"), _iso("window_end"), "game", "count")
+
+
+def _iso_window_sql(width: str) -> str:
+    return (f"strftime(time_bucket(INTERVAL '{width}', ts), '%Y-%m-%dT%H:%M:%S') AS window_start, "
+            f"strftime(time_bucket(INTERVAL '{width}', ts) + INTERVAL '{width}', "
+            f"'%Y-%m-%dT%H:%M:%S') AS window_end")
+
+
+@query("game_count_messages", sql=f"""
+WITH r AS ({_FLAT_SQL})
+SELECT {_iso_window_sql('10 seconds')},
+       CAST(json_object('game', key, 'count', CAST(sum(n) AS BIGINT)) AS VARCHAR) AS value
+FROM r GROUP BY time_bucket(INTERVAL '10 seconds', ts), key
+""")
+def q_game_count_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = agg.game_window_counts(bet_records(spark, sf_dir, "flat"))
+    msgs = agg.game_count_messages(counts)
+    return msgs.select(_iso("window_start"), _iso("window_end"), "value")
+
+
+@query("top_games_ranked", sql=f"""
+WITH r AS ({_FLAT_SQL}),
+c AS (SELECT time_bucket(INTERVAL '1 hour', ts) AS w, key AS game, CAST(sum(n) AS BIGINT) AS count
+      FROM r GROUP BY 1, 2),
+k AS (SELECT *, row_number() OVER (PARTITION BY w ORDER BY count DESC, game ASC) AS rank FROM c)
+SELECT strftime(w, '%Y-%m-%dT%H:%M:%S') AS window_start,
+       strftime(w + INTERVAL '1 hour', '%Y-%m-%dT%H:%M:%S') AS window_end,
+       game, count, CAST(rank AS BIGINT) AS rank
+FROM k WHERE rank <= 3
+""")
+def q_top_games_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = agg.game_window_counts(bet_records(spark, sf_dir, "flat"), window="1 hour")
+    top = agg.top_games_ranked(counts, k=3)
+    return top.select(_iso("window_start"), _iso("window_end"), "game", "count",
+                      F.col("rank").cast("long").alias("rank"))
+
+
+@query("status_counts", sql=f"""
+WITH r AS ({_FLAT_SQL})
+SELECT key AS status, CAST(sum(n) AS BIGINT) AS count FROM r GROUP BY 1
+""")
+def q_status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return agg.status_counts(bet_records(spark, sf_dir, "flat"))
+
+
+@query("status_counts_nested", sql="""
+SELECT CASE WHEN event_id % 97 = 0 OR event_id % 89 = 0 THEN 'invalid'
+            ELSE ['win', 'lose', 'pending'][event_id % 3 + 1] END AS status,
+       CAST(sum(CASE WHEN event_id % 97 = 0 OR event_id % 89 = 0 THEN 0 ELSE 1 END) AS BIGINT)
+         AS count
+FROM events GROUP BY 1
+""")
+def q_status_counts_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return agg.status_counts(bet_records(spark, sf_dir, "nested"), shape="nested")
+
+
+@query("status_changelog", sql=f"""
+WITH r AS ({_FLAT_SQL})
+SELECT CAST(event_id % 4 AS INTEGER) AS "partition", event_id AS "offset", key AS status,
+       CAST(sum(n) OVER (PARTITION BY key ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS BIGINT)
+         AS count
+FROM r
+""")
+def q_status_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return agg.status_changelog(bet_records(spark, sf_dir, "flat"))
+
+
+@query("average_bet", sql=f"""
+WITH r AS ({_FLAT_SQL})
+SELECT 'avg_bet' AS metric,
+       CASE WHEN sum(n) > 0 THEN
+         CAST(sum(CASE WHEN NOT bad THEN CAST(value AS DECIMAL(38,6)) END) AS DOUBLE) / sum(n)
+       ELSE 0.0 END AS value,
+       CAST(sum(n) AS BIGINT) AS n
+FROM r
+""")
+def q_average_bet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return agg.average_bet(bet_records(spark, sf_dir, "flat"))
+
+
+@query("average_changelog", sql=f"""
+WITH r AS ({_FLAT_SQL})
+SELECT CAST(event_id % 4 AS INTEGER) AS "partition", event_id AS "offset", 'avg_bet' AS metric,
+       CASE WHEN sum(n) OVER o > 0 THEN
+         CAST(sum(CASE WHEN NOT bad THEN CAST(value AS DECIMAL(38,6)) END) OVER o AS DOUBLE)
+           / sum(n) OVER o
+       ELSE 0.0 END AS value
+FROM r WINDOW o AS (ORDER BY event_id ROWS UNBOUNDED PRECEDING)
+""")
+def q_average_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return agg.average_changelog(bet_records(spark, sf_dir, "flat"))
+
+
+@query("active_users_2min", sql=f"""
+WITH r AS ({_FLAT_SQL})
+SELECT {_iso_window_sql('2 minutes')}, CAST(count(DISTINCT user_id) AS BIGINT) AS active_users
+FROM r WHERE NOT bad GROUP BY 1, 2
+""")
+def q_active_users_2min(spark: SparkSession, sf_dir: str) -> DataFrame:
+    au = agg.active_users(bet_records(spark, sf_dir, "flat"))
+    return au.select(_iso("window_start"), _iso("window_end"), "active_users")
+
+
+@query("active_users_messages", sql=f"""
+WITH r AS ({_FLAT_SQL}),
+a AS (SELECT time_bucket(INTERVAL '2 minutes', ts) AS w, count(DISTINCT user_id) AS u
+      FROM r WHERE NOT bad GROUP BY 1)
+SELECT strftime(w, '%Y-%m-%dT%H:%M:%S') AS window_start,
+       CAST(json_object('window_start', strftime(w, '%Y-%m-%dT%H:%M:%S'),
+                        'window_end', strftime(w + INTERVAL '2 minutes', '%Y-%m-%dT%H:%M:%S'),
+                        'active_users', CAST(u AS BIGINT)) AS VARCHAR) AS value
+FROM a
+""")
+def q_active_users_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    au = agg.active_users(bet_records(spark, sf_dir, "flat"))
+    return agg.active_users_messages(au).select(_iso("window_start"), "value")
+
+
+# --- ingest: typed bets table, quarantine, settlement ---------------------
+
+from wagerflow.functions.timefmt import ISO_MICROS  # noqa: E402
+from wagerflow.operators import flatten as fl  # noqa: E402
+
+_NESTED_BAD = "(event_id % 97 = 0 OR event_id % 89 = 0 OR event_id % 83 = 0)"
+
+# Typed bet rows as the oracle derives them from `events` (same mapping as
+# sources.testdata.nested_value).
+_BETS_SQL = """
+  SELECT event_id, ts,
+    '00000000-0000-0000-0000-' || lpad(CAST(user_id AS VARCHAR), 12, '0') AS bet_id,
+    '00000000-0000-0000-0000-' || lpad(CAST(user_id AS VARCHAR), 12, '0') AS user_id,
+    ['KZ', 'RU', 'US', 'GB', 'DE', 'PL', 'UZ'][user_id % 7 + 1] AS country,
+    CAST(18 + user_id % 48 AS INTEGER) AS age,
+    ['mobile', 'desktop', 'tablet'][user_id % 3 + 1] AS device,
+    '192.168.' || CAST(user_id % 256 AS VARCHAR) || '.' || CAST(event_id % 256 AS VARCHAR)
+      AS ip_address,
+    event_type AS sport, event_type || ' league' AS league,
+    'Team' || CAST(event_id % 20 + 1 AS VARCHAR) || ' vs Team' || CAST(event_id % 20 + 21 AS VARCHAR)
+      AS match,
+    'Team' || CAST(event_id % 40 + 1 AS VARCHAR) || ' wins' AS selection,
+    CAST((110 + event_id % 391) / 100.0 AS DECIMAL(6,2)) AS odds_dec,
+    CAST(value AS DECIMAL(10,2)) AS amount_dec,
+    ['USD', 'EUR', 'KZT', 'RUB'][event_id % 4 + 1] AS currency,
+    ['win', 'lose', 'pending'][event_id % 3 + 1] AS status,
+    ['web', 'app', 'affiliate'][event_id % 3 + 1] AS source,
+    '00000000-0000-0000-0000-' || lpad(CAST(user_id * 100 + dayofmonth(ts) AS VARCHAR), 12, '0')
+      AS session_id
+  FROM events WHERE NOT (event_id % 97 = 0 OR event_id % 89 = 0 OR event_id % 83 = 0)"""
+
+_BETS_TYPED_SQL = f"""
+  SELECT *, CAST(CASE WHEN status = 'win' THEN round(amount_dec * odds_dec, 2) ELSE 0 END
+                 AS DECIMAL(10,2)) AS payout_dec
+  FROM ({_BETS_SQL})"""
+
+
+@query("flatten_bets", sql=f"""
+SELECT bet_id, user_id, country, age, device, ip_address, sport, league, match, selection,
+       CAST(odds_dec AS DOUBLE) AS odds, CAST(amount_dec AS DOUBLE) AS amount, currency, status,
+       CAST(payout_dec AS DOUBLE) AS payout,
+       strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS bet_timestamp, source, session_id,
+       strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS created_at, false AS exported,
+       event_id AS "offset"
+FROM ({_BETS_TYPED_SQL})
+""")
+def q_flatten_bets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    valid, _ = fl.flatten_bets(bet_records(spark, sf_dir, "nested"))
+    out = []
+    for c in valid.columns:
+        if c in ("odds", "amount", "payout"):
+            out.append(F.col(c).cast("double").alias(c))
+        elif c in ("bet_timestamp", "created_at"):
+            out.append(F.date_format(F.col(c), ISO_MICROS).alias(c))
+        elif c == "src_offset":
+            out.append(F.col(c).alias("offset"))
+        elif c in ("raw_event", "src_timestamp", "src_partition"):
+            continue
+        else:
+            out.append(F.col(c))
+    return valid.select(*out)
+
+
+@query("rejected_by_reason", sql="""
+SELECT reason, CAST(count(*) AS BIGINT) AS rows FROM (
+  SELECT unnest(CASE
+    WHEN event_id % 97 = 0 THEN ['malformed_json']
+    WHEN event_id % 89 = 0 THEN ['missing:user', 'missing:event', 'missing:bet', 'missing:metadata',
+                                 'missing:bet_id']
+    WHEN event_id % 83 = 0 THEN ['bad_uuid:user.user_id'] END) AS reason
+  FROM events)
+GROUP BY 1
+""")
+def q_rejected_by_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, bad = fl.flatten_bets(bet_records(spark, sf_dir, "nested"))
+    return fl.rejected_by_reason(bad)
+
+
+@query("expected_payout", sql=f"""
+SELECT status, CAST(count(*) AS BIGINT) AS bets,
+       CAST(sum(CASE WHEN status = 'win' THEN round(amount_dec * odds_dec, 2) ELSE 0 END) AS DOUBLE)
+         AS expected_total,
+       CAST(sum(payout_dec) AS DOUBLE) AS payout_total,
+       CAST(count(*) FILTER (WHERE payout_dec <> CASE WHEN status = 'win'
+            THEN round(amount_dec * odds_dec, 2) ELSE 0 END) AS BIGINT) AS mismatches
+FROM ({_BETS_TYPED_SQL}) GROUP BY 1
+""")
+def q_expected_payout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    valid, _ = fl.flatten_bets(bet_records(spark, sf_dir, "nested"))
+    chk = fl.expected_payout(valid)
+    return chk.groupBy("status").agg(
+        F.count(F.lit(1)).alias("bets"),
+        F.sum("expected_payout").cast("double").alias("expected_total"),
+        F.sum("payout").cast("double").alias("payout_total"),
+        F.count(F.when(~F.col("payout_ok"), 1)).alias("mismatches"))
+
+
+@query("top_games_by_sport", sql="""
+SELECT CASE WHEN event_id % 89 = 0 THEN 'unknown' ELSE event_type END AS sport,
+       CAST(count(*) AS BIGINT) AS rows,
+       CAST(sum(CASE WHEN event_id % 89 = 0 THEN 0 ELSE CAST(value AS DECIMAL(10,2)) END)
+            AS DOUBLE) AS total_amount
+FROM events WHERE event_id % 97 <> 0 GROUP BY 1
+""")
+def q_top_games_by_sport(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _ = fl.flatten_top_games(bet_records(spark, sf_dir, "nested"))
+    return rows.groupBy("sport").agg(F.count(F.lit(1)).alias("rows"),
+                                     F.sum("total_amount").cast("double").alias("total_amount"))
