@@ -264,3 +264,59 @@ def flatten_top_games(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     return (ann.filter(ok).select("sport", "league", "total_amount", "timestamp", "raw_event"),
             ann.filter(~ok).select(F.col("raw_event").alias("value"), "reasons", "timestamp",
                                    "partition", "offset"))
+
+
+# --- legacy flat table (bet_id, user_id, game, amount, status, timestamp) --
+
+LEGACY_LIMITS = {"game": 100, "status": 20}
+
+
+def annotate_legacy_bets(records: DataFrame) -> DataFrame:
+    """Rows of the older flat ``bets`` table plus ``reasons``.
+
+    All of bet_id/user_id (UUID), game, amount, status are NOT NULL; the time
+    defaults to the record (ingestion) time when the event has none.
+    """
+    df = with_variant(records)
+    V = F.col("_v")
+    paths = {"bet_id": "$.bet_id", "user_id": "$.user_id", "game": "$.game",
+             "amount": "$.amount", "status": "$.status", "timestamp": "$.timestamp"}
+    staged = df.select(
+        "value", "timestamp", "partition", "offset", V.isNull().alias("_malformed"),
+        F.try_variant_get(V, "$", "struct<" + ", ".join(f"`{k}` string" for k in paths)
+                          + ">").alias("_e"),
+        *[_kind(p).alias(f"_k_{_slug(p)}") for p in paths.values()])
+    e = F.col("_e")
+    cols = {
+        "bet_id": F.when(_k("$.bet_id") == "STRING", canonical_uuid(e.getField("bet_id"))),
+        "user_id": F.when(_k("$.user_id") == "STRING", canonical_uuid(e.getField("user_id"))),
+        "game": e.getField("game"),
+        "amount": F.when(_k("$.amount") != "BOOLEAN", e.getField("amount").try_cast(MONEY_TYPE)),
+        "status": e.getField("status"),
+    }
+    ts_given = _k("$.timestamp").isNotNull() & (_k("$.timestamp") != "VOID")
+    ts = F.when(ts_given, F.when(_k("$.timestamp") == "STRING",
+                                 parse_iso_timestamp(e.getField("timestamp")))) \
+        .otherwise(F.col("timestamp"))
+    checks = [F.when(cols[c].isNull(), F.lit(f"invalid:{c}")) for c in cols]
+    checks += [F.when(F.length(cols[c]) > n, F.lit(f"too_long:{c}"))
+               for c, n in LEGACY_LIMITS.items()]
+    checks.append(F.when(ts.isNull(), F.lit("bad_timestamp:timestamp")))
+    reasons = (F.when(F.col("_malformed"), F.array(F.lit("malformed_json")))
+                .when(e.isNull(), F.array(F.lit("not_object")))
+                .otherwise(F.filter(F.array(*checks), lambda x: x.isNotNull())))
+    return staged.select(
+        *[c.alias(n) for n, c in cols.items()], ts.alias("ts"),
+        F.col("timestamp").alias("src_timestamp"), F.col("partition").alias("src_partition"),
+        F.col("offset").alias("src_offset"), reasons.alias("reasons"),
+        "value", "timestamp", "partition", "offset")
+
+
+def flatten_legacy_bets(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    ann = observe_ingest(annotate_legacy_bets(records), "wagerflow_legacy_ingest")
+    ok = F.size("reasons") == 0
+    valid = ann.filter(ok).select(
+        "bet_id", "user_id", "game", "amount", "status", F.col("ts").alias("timestamp"),
+        F.lit(False).alias("exported"), "src_timestamp", "src_partition", "src_offset")
+    bad = ann.filter(~ok).select("value", "reasons", "timestamp", "partition", "offset")
+    return valid, bad

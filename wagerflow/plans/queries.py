@@ -270,3 +270,86 @@ def q_top_games_by_sport(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, _ = fl.flatten_top_games(bet_records(spark, sf_dir, "nested"))
     return rows.groupBy("sport").agg(F.count(F.lit(1)).alias("rows"),
                                      F.sum("total_amount").cast("double").alias("total_amount"))
+
+
+# --- upsert and incremental export -----------------------------------------
+
+import datetime as _dt  # noqa: E402
+
+from wagerflow.operators import export as ex  # noqa: E402
+from wagerflow.operators import upsert as up  # noqa: E402
+
+# The first export run of the scenario happens at this (UTC) time; versions
+# that arrived before it were exported then.
+EXPORT_CUTOFF = _dt.datetime(2024, 1, 30, 18)
+_CUTOFF_SQL = "TIMESTAMP '2024-01-30 18:00:00'"
+
+
+def _current_and_ledger(spark: SparkSession, sf_dir: str):
+    valid, _ = fl.flatten_bets(bet_records(spark, sf_dir, "nested"))
+    current = up.with_row_hash(up.latest_versions(valid))
+    first_run = up.with_row_hash(up.latest_versions(
+        valid.filter(F.col("src_timestamp") < F.lit(EXPORT_CUTOFF))))
+    return current, first_run.select(up.KEY, up.ROW_HASH)
+
+
+@query("latest_versions", sql=f"""
+SELECT bet_id, arg_max(status, event_id) AS status,
+       CAST(arg_max(amount_dec, event_id) AS DOUBLE) AS amount,
+       arg_max(sport, event_id) AS sport, max(event_id) AS "offset"
+FROM ({_BETS_TYPED_SQL}) GROUP BY bet_id
+""")
+def q_latest_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    valid, _ = fl.flatten_bets(bet_records(spark, sf_dir, "nested"))
+    cur = up.latest_versions(valid)
+    return cur.select("bet_id", "status", F.col("amount").cast("double").alias("amount"),
+                      "sport", F.col("src_offset").alias("offset"))
+
+
+_EXPORT_STATE_SQL = f"""
+  b AS ({_BETS_TYPED_SQL}),
+  cur AS (SELECT bet_id, max(event_id) AS eid FROM b GROUP BY 1),
+  old AS (SELECT bet_id, max(event_id) AS eid FROM b WHERE ts < {_CUTOFF_SQL} GROUP BY 1)"""
+
+
+@query("export_pending", sql=f"""
+WITH {_EXPORT_STATE_SQL}
+SELECT b.bet_id, user_id, CAST(amount_dec AS DOUBLE) AS amount, currency, status,
+       CAST(payout_dec AS DOUBLE) AS payout,
+       strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS bet_timestamp, country, age, device, ip_address,
+       sport, league, match, selection, CAST(odds_dec AS DOUBLE) AS odds, source, session_id,
+       strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS created_at, false AS exported
+FROM b JOIN cur ON b.bet_id = cur.bet_id AND b.event_id = cur.eid
+LEFT JOIN old ON old.bet_id = b.bet_id
+WHERE old.eid IS NULL OR old.eid <> cur.eid
+""")
+def q_export_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    current, ledger = _current_and_ledger(spark, sf_dir)
+    rows = ex.export_projection(ex.pending_bets(current, ledger))
+    return rows.select(*[F.date_format(c, ISO_MICROS).alias(c)
+                         if c in ("bet_timestamp", "created_at") else F.col(c)
+                         for c in rows.columns])
+
+
+@query("export_counts", sql=f"""
+WITH {_EXPORT_STATE_SQL}
+SELECT coalesce(old.eid = cur.eid, false) AS exported, CAST(count(*) AS BIGINT) AS bets
+FROM cur LEFT JOIN old ON old.bet_id = cur.bet_id GROUP BY 1
+""")
+def q_export_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    current, ledger = _current_and_ledger(spark, sf_dir)
+    return ex.export_counts(ex.with_exported(current, ledger))
+
+
+@query("legacy_export", sql="""
+SELECT '00000000-0000-0000-0000-' || lpad(CAST(event_id AS VARCHAR), 12, '0') AS bet_id,
+       '00000000-0000-0000-0000-' || lpad(CAST(user_id AS VARCHAR), 12, '0') AS user_id,
+       event_type AS game, CAST(CAST(value AS DECIMAL(10,2)) AS DOUBLE) AS amount,
+       event_type AS status, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS timestamp,
+       false AS exported
+FROM events WHERE event_id % 97 <> 0 AND event_id % 89 <> 0
+""")
+def q_legacy_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    valid, _ = fl.flatten_legacy_bets(bet_records(spark, sf_dir, "flat"))
+    rows = ex.legacy_export_projection(up.latest_versions(valid))
+    return rows.withColumn("timestamp", F.date_format("timestamp", ISO_MICROS))
