@@ -5,8 +5,10 @@ window over the arrival order.  Partitioning that window by the key alone
 puts a hot key (or, for a global average, every row) into one task.  Here the
 order is cut into contiguous ranges instead:
 
-1. ``repartitionByRange`` on ``keys + order`` -> balanced buckets that each
-   hold a contiguous run of the order (a hot key spans many buckets);
+1. equal-frequency split points of the order (``approxQuantile`` on its
+   leading column -- n numbers on the driver) and a ``Bucketizer`` turn every
+   row into a bucket id that is a pure function of its order value, so every
+   branch of the plan agrees on it (a hot key spans many buckets);
 2. per bucket and key, the bucket's total (a small table: at most
    buckets x keys-per-bucket rows);
 3. the carry into each bucket = prefix of those totals over earlier buckets
@@ -58,9 +60,7 @@ def prefix_aggregate(df: DataFrame, keys: list[str], order: list[str],
     for kind, _ in aggs.values():
         if kind not in KINDS:
             raise ValueError(f"unsupported prefix kind {kind!r}")
-    n = n_buckets or default_parallelism(df.sparkSession)
-    ranged = (df.repartitionByRange(n, *[F.col(c) for c in keys + order])
-                .withColumn(BUCKET, F.spark_partition_id()))
+    ranged = with_order_buckets(df, order[0], n_buckets)
     # Join keys without NULLs: (filled value, is-null flag) per key.  The
     # in-bucket window is partitioned by exactly these columns, so the join
     # below reuses that partitioning instead of shuffling the big side again.
@@ -110,9 +110,49 @@ def _filler(dt: T.DataType) -> Column:
         return F.lit(False)
     if isinstance(dt, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return F.lit(0).cast("timestamp").cast(dt)
+    if isinstance(dt, T.ArrayType):
+        return F.array().cast(dt)
+    if isinstance(dt, T.StructType):
+        return F.struct(*[_filler(f.dataType).alias(f.name) for f in dt.fields])
     raise TypeError(f"unsupported key type {dt.simpleString()}")
 
 
+ROWS_PER_BUCKET = 2_000_000
+
+
+def with_order_buckets(df: DataFrame, col: str, n_buckets: int | None = None,
+                       rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """Add ``_wf_bucket``: the equal-frequency range of ``col`` the row falls in.
+
+    The bucket count is ``max(shuffle partitions, rows / rows_per_bucket)``
+    unless given.  Split points come from one ``approxQuantile`` pass over the
+    single column (bounded driver data: n values) and are embedded in the plan
+    as literals -- unlike partition ids, they cannot differ between the
+    branches of a plan or between task retries.
+    """
+    spark = df.sparkSession
+    proxy = "_wf_pos"
+    c = F.col(col)
+    dt = df.schema[col].dataType
+    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
+        pos = F.unix_micros(c.cast("timestamp")).cast("double")
+    elif isinstance(dt, T.DateType):
+        pos = F.unix_date(c).cast("double")
+    else:
+        pos = c.cast("double")
+    df = df.withColumn(proxy, pos)
+    if n_buckets is None:
+        rows = df.select(proxy).count()
+        n_buckets = max(default_parallelism(spark), -(-rows // rows_per_bucket))
+    probs = [i / n_buckets for i in range(1, n_buckets)]
+    cuts = sorted(set(df.approxQuantile(proxy, probs, 1.0 / (10 * n_buckets)))) if probs else []
+    splits = [float("-inf")] + [x for x in cuts if x == x] + [float("inf")]
+    from pyspark.ml.feature import Bucketizer
+    out = Bucketizer(splits=splits, inputCol=proxy, outputCol=BUCKET,
+                     handleInvalid="keep").transform(df)
+    return out.withColumn(BUCKET, F.col(BUCKET).cast("int")).drop(proxy)
+
+
 def previous_value(df: DataFrame, keys: list[str], order: list[str],
                    cols: dict[str, str], n_buckets: int | None = None) -> DataFrame:
     """``lag`` by one row per key, across bucket edges: out -> input column.

@@ -289,7 +289,7 @@ def _current_and_ledger(spark: SparkSession, sf_dir: str):
     valid, _ = fl.flatten_bets(bet_records(spark, sf_dir, "nested"))
     current = up.with_row_hash(up.latest_versions(valid))
     first_run = up.with_row_hash(up.latest_versions(
-        valid.filter(F.col("src_timestamp") < F.lit(EXPORT_CUTOFF))))
+        valid.filter(F.col("src_timestamp") < F.lit(str(EXPORT_CUTOFF)).cast("timestamp"))))
     return current, first_run.select(up.KEY, up.ROW_HASH)
 
 
@@ -353,3 +353,226 @@ def q_legacy_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     valid, _ = fl.flatten_legacy_bets(bet_records(spark, sf_dir, "flat"))
     rows = ex.legacy_export_projection(up.latest_versions(valid))
     return rows.withColumn("timestamp", F.date_format("timestamp", ISO_MICROS))
+
+
+# --- metric time series and alerts -----------------------------------------
+
+from wagerflow.operators import alerts as al  # noqa: E402
+from wagerflow.operators import metrics as M  # noqa: E402
+from wagerflow.sources.testdata import (  # noqa: E402
+    BETS_COUNTER, STAKE_GAUGE, STAKE_SUM_COUNTER, metric_samples,
+)
+
+_SAMPLES_SQL = """
+  SELECT event_type AS game, CAST(user_id % 2 AS VARCHAR) AS shard, ts,
+         CAST(event_id % 1000 AS DOUBLE) AS cnt,
+         CAST(event_id % 1000 AS DOUBLE) * CAST(1 + (event_id // 1000) % 5 AS DOUBLE) AS sm,
+         value AS stake
+  FROM events"""
+
+# Reset-aware deltas of both counters per series (lag over the whole series).
+_DELTAS_SQL = f"""
+  s AS ({_SAMPLES_SQL}),
+  l AS (SELECT *, lag(cnt) OVER w AS pc, lag(sm) OVER w AS ps FROM s
+        WINDOW w AS (PARTITION BY game, shard ORDER BY ts)),
+  d AS (SELECT game, shard, ts, stake,
+               CASE WHEN pc IS NULL THEN 0 WHEN cnt < pc THEN cnt ELSE cnt - pc END AS dc,
+               CASE WHEN ps IS NULL THEN 0 WHEN sm < ps THEN sm ELSE sm - ps END AS ds
+        FROM l)"""
+
+_HOUR_WINDOW_SQL = _iso_window_sql("1 hour")
+
+
+def _labelled(df: DataFrame, *names: str) -> DataFrame:
+    """Flatten label values to columns and format the window bounds."""
+    cols = [M.label(n).alias(n) for n in names]
+    return df.select(*cols, _iso("window_start"), _iso("window_end"), "value")
+
+
+def _counter(spark: SparkSession, sf_dir: str, metric: str = BETS_COUNTER) -> DataFrame:
+    return M.select_series(metric_samples(spark, sf_dir), metric)
+
+
+@query("metric_increase", sql=f"""
+WITH {_DELTAS_SQL}
+SELECT game, shard, {_HOUR_WINDOW_SQL}, sum(dc) AS value FROM d GROUP BY ALL
+""")
+def q_metric_increase(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _labelled(M.increase(_counter(spark, sf_dir), "1 hour"), "game", "shard")
+
+
+@query("metric_rate", sql=f"""
+WITH {_DELTAS_SQL}
+SELECT game, shard, {_HOUR_WINDOW_SQL}, sum(dc) / 3600.0 AS value FROM d GROUP BY ALL
+""")
+def q_metric_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _labelled(M.rate(_counter(spark, sf_dir), "1 hour"), "game", "shard")
+
+
+@query("metric_rate_sliding", sql=f"""
+WITH {_DELTAS_SQL},
+b AS (SELECT game, shard, time_bucket(INTERVAL '15 minutes', ts) + INTERVAL '15 minutes' AS bend,
+             sum(dc) AS v FROM d GROUP BY ALL),
+x AS (SELECT game, shard, bend + k * INTERVAL '15 minutes' AS wend, v
+      FROM b CROSS JOIN range(0, 4) AS t(k))
+SELECT game, shard, strftime(wend - INTERVAL '1 hour', '%Y-%m-%dT%H:%M:%S') AS window_start,
+       strftime(wend, '%Y-%m-%dT%H:%M:%S') AS window_end, sum(v) / 3600.0 AS value
+FROM x GROUP BY ALL
+""")
+def q_metric_rate_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = M.rate(_counter(spark, sf_dir), "1 hour", step="15 minutes")
+    return _labelled(r, "game", "shard")
+
+
+@query("metric_avg_over_time", sql=f"""
+WITH s AS ({_SAMPLES_SQL})
+SELECT game, shard, {_HOUR_WINDOW_SQL},
+       CAST(sum(CAST(stake AS DECIMAL(38,6))) AS DOUBLE) / count(*) AS value
+FROM s GROUP BY ALL
+""")
+def q_metric_avg_over_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = M.select_series(metric_samples(spark, sf_dir), STAKE_GAUGE)
+    return _labelled(M.avg_over_time(g, "1 hour", exact_scale=6), "game", "shard")
+
+
+_LAST_SQL = f"""
+  s AS ({_SAMPLES_SQL}),
+  v AS (SELECT game, shard, time_bucket(INTERVAL '1 hour', ts) AS w, arg_max(stake, ts) AS v
+        FROM s GROUP BY ALL)"""
+
+
+@query("metric_instant_sum", sql=f"""
+WITH {_LAST_SQL}
+SELECT strftime(w, '%Y-%m-%dT%H:%M:%S') AS window_start,
+       strftime(w + INTERVAL '1 hour', '%Y-%m-%dT%H:%M:%S') AS window_end,
+       CAST(sum(CAST(v AS DECIMAL(38,6))) AS DOUBLE) AS value
+FROM v GROUP BY ALL
+""")
+def q_metric_instant_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec = M.instant_vector(M.select_series(metric_samples(spark, sf_dir), STAKE_GAUGE), "1 hour")
+    return _labelled(M.aggregate(vec, "sum", exact_scale=6))
+
+
+@query("metric_instant_avg", sql=f"""
+WITH {_LAST_SQL}
+SELECT strftime(w, '%Y-%m-%dT%H:%M:%S') AS window_start,
+       strftime(w + INTERVAL '1 hour', '%Y-%m-%dT%H:%M:%S') AS window_end,
+       CAST(sum(CAST(v AS DECIMAL(38,6))) AS DOUBLE) / count(*) AS value
+FROM v GROUP BY ALL
+""")
+def q_metric_instant_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec = M.instant_vector(M.select_series(metric_samples(spark, sf_dir), STAKE_GAUGE), "1 hour")
+    return _labelled(M.aggregate(vec, "avg", exact_scale=6))
+
+
+@query("metric_sum_by", sql=f"""
+WITH {_DELTAS_SQL}
+SELECT game, {_HOUR_WINDOW_SQL}, sum(dc) / 3600.0 AS value FROM d GROUP BY ALL
+""")
+def q_metric_sum_by(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # sum(rate(c[1h])) by (game): rate is linear, so the sum of increases is
+    # divided once (exact for integer counters, fewer float operations).
+    inc = M.aggregate(M.increase(_counter(spark, sf_dir), "1 hour"), "sum", by=["game"])
+    return _labelled(inc.withColumn("value", F.col("value") / 3600.0), "game")
+
+
+_SHARE_SQL = f"""
+  {_DELTAS_SQL},
+  inc AS (SELECT game, time_bucket(INTERVAL '1 hour', ts) AS w, sum(dc) AS v FROM d GROUP BY ALL),
+  a AS (SELECT w, sum(v) AS a FROM inc WHERE game = 'error' GROUP BY w),
+  b AS (SELECT w, sum(v) AS b FROM inc GROUP BY w),
+  r AS (SELECT w, CASE WHEN b <> 0 THEN a / b WHEN a = 0 THEN 'NaN'::DOUBLE
+                       ELSE sign(a) * 'Infinity'::DOUBLE END AS ratio
+        FROM a JOIN b USING (w))"""
+
+
+def _error_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    samples = metric_samples(spark, sf_dir)
+    err = M.aggregate(M.increase(M.select_series(samples, BETS_COUNTER, {"game": "error"}),
+                                 "1 hour"), "sum")
+    tot = M.aggregate(M.increase(M.select_series(samples, BETS_COUNTER), "1 hour"), "sum")
+    # rate(x)/rate(y) over the same range: the range cancels.
+    return M.binary_op(err, tot, "/", on=[])
+
+
+@query("metric_ratio", sql=f"""
+WITH {_SHARE_SQL}
+SELECT strftime(w, '%Y-%m-%dT%H:%M:%S') AS window_start,
+       strftime(w + INTERVAL '1 hour', '%Y-%m-%dT%H:%M:%S') AS window_end, ratio AS value FROM r
+""")
+def q_metric_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _labelled(_error_share(spark, sf_dir))
+
+
+@query("metric_complement", sql=f"""
+WITH {_SHARE_SQL}
+SELECT strftime(w, '%Y-%m-%dT%H:%M:%S') AS window_start,
+       strftime(w + INTERVAL '1 hour', '%Y-%m-%dT%H:%M:%S') AS window_end, 1.0 - ratio AS value
+FROM r
+""")
+def q_metric_complement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _labelled(M.scalar_op(_error_share(spark, sf_dir), "-", 1.0))
+
+
+@query("metric_histogram_mean", sql=f"""
+WITH {_DELTAS_SQL},
+h AS (SELECT game, shard, time_bucket(INTERVAL '1 hour', ts) AS w, sum(ds) AS a, sum(dc) AS b
+      FROM d GROUP BY ALL)
+SELECT game, shard, strftime(w, '%Y-%m-%dT%H:%M:%S') AS window_start,
+       strftime(w + INTERVAL '1 hour', '%Y-%m-%dT%H:%M:%S') AS window_end,
+       CASE WHEN b <> 0 THEN a / b WHEN a = 0 THEN 'NaN'::DOUBLE
+            ELSE sign(a) * 'Infinity'::DOUBLE END AS value
+FROM h
+""")
+def q_metric_histogram_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hm = M.histogram_mean(metric_samples(spark, sf_dir), "wager_stake", "1 hour")
+    return _labelled(hm, "game", "shard")
+
+
+# Alert rule on the derived stake gauge (same shape as the reference rules).
+STAKE_RULE = al.AlertRule("HighStake", ">", 30.0, "1 hour", "warning",
+                          "Stake on {{ $labels.game }} shard {{ $labels.shard }} is high")
+
+
+@query("sustained_alerts", sql=f"""
+WITH s AS ({_SAMPLES_SQL}),
+g AS (SELECT *, stake > 30 AS hit,
+             max(CASE WHEN NOT stake > 30 THEN ts END)
+               OVER (PARTITION BY game, shard ORDER BY ts ROWS UNBOUNDED PRECEDING) AS lf
+      FROM s),
+i AS (SELECT game, shard, lf, min(ts) AS active_since, max(ts) AS last_true,
+             count(*) AS samples FROM g WHERE hit GROUP BY ALL),
+f AS (SELECT g.game, g.shard, g.lf, min(g.ts) AS firing_since, arg_min(g.stake, g.ts) AS value
+      FROM g JOIN i ON g.game = i.game AND g.shard = i.shard
+                   AND g.lf IS NOT DISTINCT FROM i.lf
+      WHERE g.hit AND g.ts >= i.active_since + INTERVAL '1 hour' GROUP BY ALL)
+SELECT 'HighStake' AS alert, 'warning' AS severity, i.game, i.shard,
+       strftime(active_since, '%Y-%m-%dT%H:%M:%S.%f') AS active_since,
+       strftime(firing_since, '%Y-%m-%dT%H:%M:%S.%f') AS firing_since,
+       strftime(last_true, '%Y-%m-%dT%H:%M:%S.%f') AS last_true,
+       CAST(samples AS BIGINT) AS samples, value,
+       'Stake on ' || i.game || ' shard ' || i.shard || ' is high' AS summary
+FROM i JOIN f ON i.game = f.game AND i.shard = f.shard AND i.lf IS NOT DISTINCT FROM f.lf
+""")
+def q_sustained_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = M.select_series(metric_samples(spark, sf_dir), STAKE_GAUGE)
+    a = al.sustained_alerts(g, STAKE_RULE)
+    return a.select("alert", "severity", M.label("game").alias("game"),
+                    M.label("shard").alias("shard"),
+                    *[F.date_format(c, ISO_MICROS).alias(c)
+                      for c in ("active_since", "firing_since", "last_true")],
+                    "samples", "value", "summary")
+
+
+@query("consumer_lag", sql="""
+WITH r AS (SELECT CAST(event_id % 4 AS INTEGER) AS p, event_id AS o, ts FROM events),
+c AS (SELECT p, max(o) AS co FROM r WHERE ts < TIMESTAMP '2024-01-30 18:00:00' GROUP BY p)
+SELECT r.p AS "partition", CAST(count(*) FILTER (WHERE c.co IS NULL OR r.o > c.co) AS BIGINT) AS lag,
+       max(r.o) AS end_offset
+FROM r LEFT JOIN c ON r.p = c.p GROUP BY 1
+""")
+def q_consumer_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    recs = bet_records(spark, sf_dir, "flat")
+    committed = (recs.filter(F.col("timestamp") < F.lit("2024-01-30 18:00:00").cast("timestamp"))
+                     .groupBy("partition").agg(F.max("offset").alias("committed_offset")))
+    return M.consumer_lag(recs.select("partition", "offset"), committed)
