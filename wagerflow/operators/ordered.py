@@ -147,6 +147,8 @@ def with_order_buckets(df: DataFrame, col: str, n_buckets: int | None = None,
     probs = [i / n_buckets for i in range(1, n_buckets)]
     cuts = sorted(set(df.approxQuantile(proxy, probs, 1.0 / (10 * n_buckets)))) if probs else []
     splits = [float("-inf")] + [x for x in cuts if x == x] + [float("inf")]
+    if len(splits) < 3:  # one bucket (empty input or a single order value)
+        return df.withColumn(BUCKET, F.lit(0)).drop(proxy)
     from pyspark.ml.feature import Bucketizer
     out = Bucketizer(splits=splits, inputCol=proxy, outputCol=BUCKET,
                      handleInvalid="keep").transform(df)
