@@ -46,6 +46,13 @@ TIME_FIELDS = {"bet_timestamp": "$.bet.timestamp", "created_at": "$.metadata.cre
 OBJECTS = ["user", "event", "bet", "metadata"]
 
 
+def _compact(checks: list[Column]) -> Column:
+    """The non-NULL reasons, in order.  ``array_except`` with a NULL array is
+    code-generated, unlike a lambda ``filter`` (which would drop the whole
+    projection out of whole-stage codegen); reasons are distinct anyway."""
+    return F.array_except(F.array(*checks), F.array(F.lit(None).cast("string")))
+
+
 def _parent(path: str) -> str | None:
     parts = path[2:].split(".")
     return parts[0] if len(parts) > 1 else None
@@ -119,48 +126,61 @@ def annotate_bets(records: DataFrame) -> DataFrame:
         *[_kind(p).alias(f"_k_{_slug(p)}") for p in _TYPED_LEAVES])
 
     def obj_ok(o: str) -> Column:
-        return F.col("_e").getField(o).isNotNull()
+        return F.col(f"_o_{o}")
 
     def guarded(path: str, cond: Column) -> Column:
         parent = _parent(path)
         return cond if parent is None else F.when(obj_ok(parent), cond)
 
+    # Stage B1: typed values, each computed once.
     cols: dict[str, Column] = {}
+    for name, path in UUID_FIELDS.items():
+        cols[name] = F.when(_k(path) == F.lit("STRING"), canonical_uuid(_s(path)))
+    for name, path in TIME_FIELDS.items():
+        cols[name] = F.when(_k(path) == F.lit("STRING"), parse_iso_timestamp(_s(path)))
+    for name, path in TEXT_FIELDS.items():
+        cols[name] = _s(path)
+    cols["age"] = _s("$.user.age").try_cast("int")
+    for name, (path, dtype) in DECIMAL_FIELDS.items():
+        cols[name] = _decimal(path, dtype)[0]
+    typed = staged.select(
+        *keep, "_malformed", F.col("_e").isNull().alias("_not_obj"),
+        *[F.col(f"_p_{o}") for o in OBJECTS],
+        *[F.col("_e").getField(o).isNotNull().alias(f"_o_{o}") for o in OBJECTS],
+        *[F.col(f"_k_{_slug(p)}") for p in _TYPED_LEAVES],
+        *[c.alias(n) for n, c in cols.items()])
+
+    # Stage B2: reasons from the typed values (plain column references).
     checks: list[Column] = []
     for o in OBJECTS:
         checks.append(F.when(~F.col(f"_p_{o}"), F.lit(f"missing:{o}"))
                       .when(~obj_ok(o), F.lit(f"not_object:{o}")))
     for name, path in UUID_FIELDS.items():
-        cols[name] = F.when(_k(path) == F.lit("STRING"), canonical_uuid(_s(path)))
-        field = path[2:]
-        checks.append(guarded(path, F.when(_k(path).isNull(), F.lit(f"missing:{field}"))
-                                     .when(cols[name].isNull(), F.lit(f"bad_uuid:{field}"))))
+        checks.append(guarded(path, F.when(_k(path).isNull(), F.lit(f"missing:{path[2:]}"))
+                                     .when(F.col(name).isNull(), F.lit(f"bad_uuid:{path[2:]}"))))
     for name, path in TIME_FIELDS.items():
-        cols[name] = F.when(_k(path) == F.lit("STRING"), parse_iso_timestamp(_s(path)))
-        field = path[2:]
-        checks.append(guarded(path, F.when(_k(path).isNull(), F.lit(f"missing:{field}"))
-                                     .when(cols[name].isNull(), F.lit(f"bad_timestamp:{field}"))))
+        checks.append(guarded(path, F.when(_k(path).isNull(), F.lit(f"missing:{path[2:]}"))
+                                     .when(F.col(name).isNull(),
+                                           F.lit(f"bad_timestamp:{path[2:]}"))))
     for name, path in TEXT_FIELDS.items():
-        cols[name] = _s(path)
-        checks.append(guarded(path, F.when(F.length(_s(path)) > VARCHAR_LIMITS[name],
+        checks.append(guarded(path, F.when(F.length(F.col(name)) > VARCHAR_LIMITS[name],
                                            F.lit(f"too_long:{name}"))))
     age_kind = _k("$.user.age")
-    cols["age"] = _s("$.user.age").try_cast("int")
     checks.append(guarded("$.user.age", F.when(
-        age_kind.isNotNull() & (age_kind != F.lit("VOID")) & cols["age"].isNull(),
+        age_kind.isNotNull() & (age_kind != F.lit("VOID")) & F.col("age").isNull(),
         F.lit("bad_int:age"))))
-    for name, (path, dtype) in DECIMAL_FIELDS.items():
-        val, bad = _decimal(path, dtype)
-        cols[name] = val
-        checks.append(guarded(path, F.when(bad, F.lit(f"bad_decimal:{name}"))))
+    for name, (path, _) in DECIMAL_FIELDS.items():
+        checks.append(guarded(path, F.when(_k(path).isNotNull() & F.col(name).isNull(),
+                                           F.lit(f"bad_decimal:{name}"))))
 
     reasons = (F.when(F.col("_malformed"), F.array(F.lit("malformed_json")))
-                .when(F.col("_e").isNull(), F.array(F.lit("not_object")))
-                .otherwise(F.filter(F.array(*checks), lambda x: x.isNotNull())))
-    cols["exported"] = F.lit(False)
-    cols["raw_event"] = F.col("value")
-    return staged.select(
-        *[cols[c].alias(c) for c in BET_COLUMNS],
+                .when(F.col("_not_obj"), F.array(F.lit("not_object")))
+                .otherwise(_compact(checks)))
+    out = {c: F.col(c) for c in cols}
+    out["exported"] = F.lit(False)
+    out["raw_event"] = F.col("value")
+    return typed.select(
+        *[out[c].alias(c) for c in BET_COLUMNS],
         F.col("timestamp").alias("src_timestamp"),
         F.col("partition").alias("src_partition"),
         F.col("offset").alias("src_offset"),
@@ -242,12 +262,11 @@ def annotate_top_games(records: DataFrame) -> DataFrame:
     amount = F.when(amt_null, F.lit(None).cast(MONEY_TYPE)).otherwise(amt)
     reasons = (F.when(F.col("_malformed"), F.array(F.lit("malformed_json")))
                 .when(e.isNull(), F.array(F.lit("not_object")))
-                .otherwise(F.filter(F.array(
+                .otherwise(_compact([
                     F.when(~ev_ok, F.lit("not_object:event")),
                     F.when(~bet_ok, F.lit("not_object:bet")),
                     F.when(ev_ok & sport.isNull(), F.lit("null:event.sport")),
-                    F.when(bet_ok & ~amt_null & amt_bad, F.lit("bad_decimal:amount"))),
-                    lambda x: x.isNotNull())))
+                    F.when(bet_ok & ~amt_null & amt_bad, F.lit("bad_decimal:amount"))])))
     return staged.select(
         sport.alias("sport"),
         F.when(ev_ok, _s("$.event.league")).alias("league"),
@@ -304,7 +323,7 @@ def annotate_legacy_bets(records: DataFrame) -> DataFrame:
     checks.append(F.when(ts.isNull(), F.lit("bad_timestamp:timestamp")))
     reasons = (F.when(F.col("_malformed"), F.array(F.lit("malformed_json")))
                 .when(e.isNull(), F.array(F.lit("not_object")))
-                .otherwise(F.filter(F.array(*checks), lambda x: x.isNotNull())))
+                .otherwise(_compact(checks)))
     return staged.select(
         *[c.alias(n) for n, c in cols.items()], ts.alias("ts"),
         F.col("timestamp").alias("src_timestamp"), F.col("partition").alias("src_partition"),

@@ -117,7 +117,8 @@ def _filler(dt: T.DataType) -> Column:
     raise TypeError(f"unsupported key type {dt.simpleString()}")
 
 
-ROWS_PER_BUCKET = 2_000_000
+ROWS_PER_BUCKET = 10_000_000
+QUANTILE_GRID = 1024
 
 
 def with_order_buckets(df: DataFrame, col: str, n_buckets: int | None = None,
@@ -125,10 +126,12 @@ def with_order_buckets(df: DataFrame, col: str, n_buckets: int | None = None,
     """Add ``_wf_bucket``: the equal-frequency range of ``col`` the row falls in.
 
     The bucket count is ``max(shuffle partitions, rows / rows_per_bucket)``
-    unless given.  Split points come from one ``approxQuantile`` pass over the
-    single column (bounded driver data: n values) and are embedded in the plan
-    as literals -- unlike partition ids, they cannot differ between the
-    branches of a plan or between task retries.
+    unless given.  One aggregate pass over the single column returns the row
+    count and a grid of approximate quantiles (bounded driver data: at most
+    ``QUANTILE_GRID`` values); only when more buckets than that are needed
+    does a second, finer ``approxQuantile`` pass run.  The split points are
+    embedded in the plan as literals -- unlike partition ids, they cannot
+    differ between the branches of a plan or between task retries.
     """
     spark = df.sparkSession
     proxy = "_wf_pos"
@@ -141,12 +144,21 @@ def with_order_buckets(df: DataFrame, col: str, n_buckets: int | None = None,
     else:
         pos = c.cast("double")
     df = df.withColumn(proxy, pos)
-    if n_buckets is None:
-        rows = df.select(proxy).count()
-        n_buckets = max(default_parallelism(spark), -(-rows // rows_per_bucket))
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    cuts = sorted(set(df.approxQuantile(proxy, probs, 1.0 / (10 * n_buckets)))) if probs else []
-    splits = [float("-inf")] + [x for x in cuts if x == x] + [float("inf")]
+    cuts: list[float] = []
+    if n_buckets is None or 1 < n_buckets <= QUANTILE_GRID:
+        grid = [i / QUANTILE_GRID for i in range(1, QUANTILE_GRID)]
+        row = df.agg(F.count(proxy).alias("n"),
+                     F.percentile_approx(proxy, grid, 20 * QUANTILE_GRID).alias("q")).first()
+        if n_buckets is None:
+            n_buckets = max(default_parallelism(spark), -(-row["n"] // rows_per_bucket))
+        if n_buckets <= QUANTILE_GRID and row["q"]:
+            step = QUANTILE_GRID / n_buckets
+            cuts = [row["q"][int(round(i * step)) - 1] for i in range(1, n_buckets)]
+    if n_buckets > QUANTILE_GRID:
+        probs = [i / n_buckets for i in range(1, n_buckets)]
+        cuts = df.approxQuantile(proxy, probs, 0.25 / n_buckets)
+    cuts = sorted(set(x for x in cuts if x is not None and x == x))
+    splits = [float("-inf")] + cuts + [float("inf")]
     if len(splits) < 3:  # one bucket (empty input or a single order value)
         return df.withColumn(BUCKET, F.lit(0)).drop(proxy)
     from pyspark.ml.feature import Bucketizer
