@@ -72,3 +72,14 @@ def test_export_projection_types(spark):
     legacy = ex.legacy_export_projection(v.withColumnRenamed("sport", "game")
                                           .withColumn("timestamp", F.col("bet_timestamp")))
     assert legacy.columns == ex.LEGACY_EXPORT_COLUMNS
+
+
+def test_table_bootstrap_and_scan(spark, workdir):
+    from wagerflow.schemas import BETS
+    from wagerflow.sources import tables
+    p = os.path.join(workdir, "bets_table")
+    tables.ensure_table(spark, p, BETS)
+    tables.ensure_table(spark, p, BETS)  # idempotent
+    t = tables.read_table(spark, p)
+    assert t.count() == 0 and t.columns == [f.name for f in BETS.fields]
+    assert tables.peek(tables.not_exported(t), 5).count() == 0
