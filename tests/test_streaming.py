@@ -160,3 +160,34 @@ def test_ingest_job_replay_is_idempotent(spark, workdir):
     quarantine = spark.read.parquet(os.path.join(bets, "quarantine"))
     total = recs.count()
     assert versions.count() + quarantine.count() == total
+
+
+def test_remaining_jobs_run_end_to_end(spark, workdir):
+    src = os.path.join(workdir, "src")
+    recs = bet_records(spark, SF001, "flat").filter("offset < 300")
+    _push(recs, src, "b1")
+    _push(_sentinel(spark), src, "b2")
+    ck = lambda n: checkpoint_path(spark, "t", os.path.basename(workdir), n)
+    stream = lambda: read_records(spark, src, streaming=True, max_files_per_trigger=1)
+    top = os.path.join(workdir, "top")
+    hist = os.path.join(workdir, "hist")
+    rows = os.path.join(workdir, "rows")
+    qs = [jobs.top_games_job(stream(), sink="text", path=top, checkpoint=ck("top")),
+          jobs.game_history_job(stream(), hist, checkpoint=ck("hist")),
+          jobs.top_games_rows_job(stream(), rows, checkpoint=ck("rows")),
+          jobs.avg_bet_job(stream(), sink="memory", checkpoint=ck("avg"))]
+    try:
+        for q in qs:
+            q.processAllAvailable()
+    finally:
+        for q in qs:
+            q.stop()
+    want = agg.game_window_counts(recs)
+    msgs = [json.loads(r.value) for r in spark.read.text(top).collect()]
+    assert len(msgs) == want.count() and set(msgs[0]) == {"game", "count"}
+    h = spark.read.parquet(hist)
+    assert h.count() == want.count() and {"game", "count", "event_time"} <= set(h.columns)
+    assert spark.read.parquet(os.path.join(rows, "rows")).count() + \
+        spark.read.parquet(os.path.join(rows, "quarantine")).count() == 301
+    last = spark.sql("select * from avg_bet").collect()[-1]
+    assert last.metric == "avg_bet" and last.n > 0

@@ -46,6 +46,30 @@ def latest_versions(df: DataFrame, key: str | list[str] = KEY,
     return picked.select(*keys, *[F.col("_latest").getField(c).alias(c) for c in rest])
 
 
+def latest_versions_as_of(df: DataFrame, as_of: dict[str, object], key: str = KEY,
+                          order: list[str] | None = None,
+                          time_col: str = "src_timestamp") -> dict[str, DataFrame]:
+    """The table as it was at several times, from one aggregate pass.
+
+    ``as_of`` maps a name to a cutoff (versions arriving before it count) or to
+    ``None`` (all versions).  Each result equals ``latest_versions`` of the
+    versions before its cutoff; one shuffle serves all of them.
+    """
+    order = order or VERSION_COLUMNS
+    rest = [c for c in df.columns if c != key]
+    payload = F.struct(*[F.col(c) for c in rest])
+    ordering = F.struct(*[F.col(c) for c in order])
+    aggs = []
+    for name, cutoff in as_of.items():
+        o = ordering if cutoff is None else F.when(
+            F.col(time_col) < F.lit(str(cutoff)).cast("timestamp"), ordering)
+        aggs.append(F.max_by(payload, o).alias(f"_v_{name}"))
+    both = df.groupBy(key).agg(*aggs)
+    return {name: both.filter(F.col(f"_v_{name}").isNotNull())
+                      .select(key, *[F.col(f"_v_{name}").getField(c).alias(c) for c in rest])
+            for name in as_of}
+
+
 def append_versions(valid: DataFrame, root: str, batch_id: int) -> None:
     """Write one batch of typed bet versions (idempotent per ``batch_id``)."""
     (with_row_hash(valid).withColumn("batch_id", F.lit(int(batch_id)))

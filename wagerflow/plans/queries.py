@@ -286,11 +286,13 @@ _CUTOFF_SQL = "TIMESTAMP '2024-01-30 18:00:00'"
 
 
 def _current_and_ledger(spark: SparkSession, sf_dir: str):
+    """Current bets, and the ledger the first export run (at the cutoff) left:
+    the table as of the cutoff, hashed.  Both come from one aggregate."""
     valid, _ = fl.flatten_bets(bet_records(spark, sf_dir, "nested"))
-    current = up.with_row_hash(up.latest_versions(valid))
-    first_run = up.with_row_hash(up.latest_versions(
-        valid.filter(F.col("src_timestamp") < F.lit(str(EXPORT_CUTOFF)).cast("timestamp"))))
-    return current, first_run.select(up.KEY, up.ROW_HASH)
+    states = up.latest_versions_as_of(valid, {"current": None, "first_run": EXPORT_CUTOFF})
+    current = up.with_row_hash(states["current"])
+    ledger = up.with_row_hash(states["first_run"]).select(up.KEY, up.ROW_HASH)
+    return current, ledger
 
 
 @query("latest_versions", sql=f"""
