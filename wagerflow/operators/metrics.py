@@ -191,11 +191,21 @@ def comparison(v: Column, op: str, threshold: float) -> Column:
 
 def histogram_mean(samples: DataFrame, base: str, range_: str = "5 minutes",
                    step: str | None = None) -> DataFrame:
-    """``rate(base_sum[r]) / rate(base_count[r])``: the range cancels, so the
-    increases are divided directly."""
-    s = increase(select_series(samples, f"{base}_sum"), range_, step)
-    c = increase(select_series(samples, f"{base}_count"), range_, step)
-    return binary_op(s, c, "/")
+    """``rate(base_sum[r]) / rate(base_count[r])`` per label set.
+
+    One increase over both counters, then one conditional aggregate per
+    (labels, window) -- the join of the two vectors is not needed because
+    both sides share the label set.  The range cancels in the ratio.
+    """
+    both = with_series(samples.filter(F.col("metric").isin(f"{base}_sum", f"{base}_count")))
+    inc = increase(both, range_, step)
+    per = inc.groupBy(SERIES, *WINDOW).agg(
+        F.first("labels").alias("labels"),
+        F.sum(F.when(F.col("metric") == f"{base}_sum", F.col("value"))).alias("_a"),
+        F.sum(F.when(F.col("metric") == f"{base}_count", F.col("value"))).alias("_b"))
+    return (per.filter(F.col("_a").isNotNull() & F.col("_b").isNotNull())
+               .withColumn("value", _ieee_div(F.col("_a"), F.col("_b")))
+               .withColumn("metric", F.lit(f"{base}_mean")).drop("_a", "_b"))
 
 
 def delay_histogram(df: DataFrame, delay_seconds: Column, buckets: list[float],

@@ -489,10 +489,9 @@ _SHARE_SQL = f"""
 
 
 def _error_share(spark: SparkSession, sf_dir: str) -> DataFrame:
-    samples = metric_samples(spark, sf_dir)
-    err = M.aggregate(M.increase(M.select_series(samples, BETS_COUNTER, {"game": "error"}),
-                                 "1 hour"), "sum")
-    tot = M.aggregate(M.increase(M.select_series(samples, BETS_COUNTER), "1 hour"), "sum")
+    inc = M.increase(M.select_series(metric_samples(spark, sf_dir), BETS_COUNTER), "1 hour")
+    err = M.aggregate(inc.filter(M.label("game") == "error"), "sum")
+    tot = M.aggregate(inc, "sum")
     # rate(x)/rate(y) over the same range: the range cancels.
     return M.binary_op(err, tot, "/", on=[])
 
@@ -578,3 +577,48 @@ def q_consumer_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
     committed = (recs.filter(F.col("timestamp") < F.lit("2024-01-30 18:00:00").cast("timestamp"))
                      .groupBy("partition").agg(F.max("offset").alias("committed_offset")))
     return M.consumer_lag(recs.select("partition", "offset"), committed)
+
+
+# --- nested (producer-shape) variants of the stream aggregates --------------
+
+_NESTED_KEY_SQL = """
+  SELECT event_id, ts, value,
+         (event_id % 97 = 0 OR event_id % 89 = 0) AS bad,
+         CASE WHEN event_id % 97 = 0 OR event_id % 89 = 0 THEN 'invalid' ELSE event_type END AS sport,
+         CASE WHEN event_id % 83 = 0 THEN 'abc'
+              ELSE '00000000-0000-0000-0000-' || lpad(CAST(user_id AS VARCHAR), 12, '0') END AS uid,
+         CASE WHEN event_id % 97 = 0 OR event_id % 89 = 0 THEN 0 ELSE 1 END AS n
+  FROM events"""
+
+
+@query("game_window_counts_nested", sql=f"""
+WITH r AS ({_NESTED_KEY_SQL})
+SELECT {_iso_window_sql('10 seconds')}, sport AS game, CAST(sum(n) AS BIGINT) AS count
+FROM r GROUP BY 1, 2, 3
+""")
+def q_game_window_counts_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = agg.game_window_counts(bet_records(spark, sf_dir, "nested"), shape="nested")
+    return counts.select(_iso("window_start"), _iso("window_end"), "game", "count")
+
+
+@query("average_bet_nested", sql=f"""
+WITH r AS ({_NESTED_KEY_SQL})
+SELECT 'avg_bet' AS metric,
+       CASE WHEN sum(n) > 0 THEN
+         CAST(sum(CASE WHEN NOT bad THEN CAST(value AS DECIMAL(38,6)) END) AS DOUBLE) / sum(n)
+       ELSE 0.0 END AS value,
+       CAST(sum(n) AS BIGINT) AS n
+FROM r
+""")
+def q_average_bet_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return agg.average_bet(bet_records(spark, sf_dir, "nested"), shape="nested")
+
+
+@query("active_users_nested", sql=f"""
+WITH r AS ({_NESTED_KEY_SQL})
+SELECT {_iso_window_sql('2 minutes')}, CAST(count(DISTINCT uid) AS BIGINT) AS active_users
+FROM r WHERE NOT bad GROUP BY 1, 2
+""")
+def q_active_users_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    au = agg.active_users(bet_records(spark, sf_dir, "nested"), shape="nested")
+    return au.select(_iso("window_start"), _iso("window_end"), "active_users")
