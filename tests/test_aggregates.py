@@ -5,6 +5,7 @@ import math
 import random
 
 from conftest import records
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from wagerflow.operators import aggregates as agg
@@ -121,3 +122,20 @@ def test_changelog_plan_has_no_single_partition_window_on_rows(spark):
     for line in plan.splitlines():
         if "SinglePartition" in line:
             raise AssertionError("keyed changelog must not gather rows in one task")
+
+
+def test_changelog_is_deterministic_across_plans(spark):
+    # Regression: bucket ids must be a function of the row, not of a sampled
+    # partitioning that two branches of a plan could each redo differently.
+    from conftest import SF001
+    from wagerflow.operators import metrics as M
+    from wagerflow.sources.testdata import metric_samples
+    s = M.select_series(metric_samples(spark, SF001), "wager_stake_count")
+    runs = [sorted((r.ts, r.delta) for r in M.counter_deltas(s, n_buckets=6).collect())
+            for _ in range(2)]
+    assert runs[0] == runs[1]
+    w = Window.partitionBy("metric", "series").orderBy("ts")
+    ref = s.withColumn("p", F.lag("value").over(w)).collect()
+    want = sorted((r.ts, 0.0 if r.p is None else (r.value if r.value < r.p else r.value - r.p))
+                  for r in ref)
+    assert runs[0] == want

@@ -83,3 +83,11 @@ def test_table_bootstrap_and_scan(spark, workdir):
     t = tables.read_table(spark, p)
     assert t.count() == 0 and t.columns == [f.name for f in BETS.fields]
     assert tables.peek(tables.not_exported(t), 5).count() == 0
+
+
+def test_latest_versions_as_of(spark):
+    v = _valid(spark, [_bet("pending"), _bet("win"), _bet("lose", bet="00000000-0000-0000-0000-0000000000bb")],
+               start="2024-01-01 00:00:00")
+    st = up.latest_versions_as_of(v, {"now": None, "t1": dt.datetime(2024, 1, 1, 0, 0, 1)})
+    assert {r.bet_id[-2:]: r.status for r in st["now"].collect()} == {"aa": "win", "bb": "lose"}
+    assert {r.bet_id[-2:]: r.status for r in st["t1"].collect()} == {"aa": "pending"}
