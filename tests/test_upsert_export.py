@@ -89,5 +89,10 @@ def test_latest_versions_as_of(spark):
     v = _valid(spark, [_bet("pending"), _bet("win"), _bet("lose", bet="00000000-0000-0000-0000-0000000000bb")],
                start="2024-01-01 00:00:00")
     st = up.latest_versions_as_of(v, {"now": None, "t1": dt.datetime(2024, 1, 1, 0, 0, 1)})
-    assert {r.bet_id[-2:]: r.status for r in st["now"].collect()} == {"aa": "win", "bb": "lose"}
-    assert {r.bet_id[-2:]: r.status for r in st["t1"].collect()} == {"aa": "pending"}
+    assert {r.bet_id[-2:]: r.status for r in up.state(st, "now").collect()} == \
+        {"aa": "win", "bb": "lose"}
+    assert {r.bet_id[-2:]: r.status for r in up.state(st, "t1").collect()} == {"aa": "pending"}
+    flagged = ex.with_exported_since(st, "now", "t1")
+    assert {r.bet_id[-2:]: r.exported for r in flagged.collect()} == {"aa": False, "bb": False}
+    same = ex.with_exported_since(up.latest_versions_as_of(v, {"a": None, "b": None}), "a", "b")
+    assert all(r.exported for r in same.collect())

@@ -1,11 +1,11 @@
 """Sustained-threshold alerts: ``expr <op> threshold for <duration>``.
 
 Gaps and islands per series, ordered by time: a sample is *hit* when the
-condition holds.  The island of a hit is identified by the time of the last
-non-hit sample before it (a running max -- computed skew-safe by
-``operators.ordered``).  An island is active from its first hit; it fires
-at its first hit at least ``for`` after that.  Output: one row per firing
-island with label-templated text.
+condition holds; a hit whose previous sample was not a hit starts an island,
+and every hit carries the start of its island forward (running aggregates
+computed skew-safe by ``operators.ordered``).  An island is active from its
+first hit; it fires at its first hit at least ``for`` after that.  Output:
+one row per firing island with label-templated text.
 """
 
 from __future__ import annotations
@@ -18,10 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wagerflow.operators import metrics as M
-from wagerflow.operators.ordered import prefix_aggregate
-
-_NO_FALSE_YET = "0001-01-01 00:00:00"
-
+from wagerflow.operators.ordered import prefix_aggregate, previous_value
 
 @dataclass(frozen=True)
 class AlertRule:
@@ -55,26 +52,30 @@ def sustained_alerts(points: DataFrame, rule: AlertRule,
                      n_buckets: int | None = None) -> DataFrame:
     """Firing alert instances of ``rule`` over ``points`` (series, labels, ts,
     value): ``alert, severity, labels, active_since, firing_since, last_true,
-    samples, value, summary[, description]``."""
+    samples, value, summary[, description]``.
+
+    Two running passes per series (previous sample's condition, then the
+    start of the current run of hits) share one bucketing; then one
+    aggregate per island -- no self-join, so nothing is recomputed and a
+    long island is just a large partial aggregate, not a skewed join key.
+    """
     p = M.with_series(points)
     keys = ["metric", M.SERIES] if "metric" in p.columns else [M.SERIES]
-    hit = M.comparison(F.col("value"), rule.op, rule.threshold)
-    p = p.select(*keys, "labels", "ts", "value", F.coalesce(hit, F.lit(False)).alias("_hit"))
-    p = p.withColumn("_false_ts", F.when(~F.col("_hit"), F.col("ts")))
-    p = prefix_aggregate(p, keys, ["ts"], {"_last_false": ("max", "_false_ts")},
-                         n_buckets=n_buckets)
-    hits = p.filter("_hit").withColumn(
-        "_island", F.coalesce(F.col("_last_false"), F.lit(_NO_FALSE_YET).cast("timestamp")))
-    ik = keys + ["_island"]
-    islands = hits.groupBy(*ik).agg(
-        F.first("labels").alias("labels"), F.min("ts").alias("active_since"),
-        F.max("ts").alias("last_true"), F.count(F.lit(1)).alias("samples"))
+    hit = F.coalesce(M.comparison(F.col("value"), rule.op, rule.threshold), F.lit(False))
+    p = p.select(*keys, "labels", "ts", "value", hit.cast("int").alias("_hit"))
+    p = previous_value(p, keys, ["ts"], {"_prev_hit": "_hit"}, n_buckets=n_buckets,
+                       keep_bucket=True)
+    starts = (F.col("_hit") == 1) & F.coalesce(F.col("_prev_hit") == 0, F.lit(True))
+    p = p.withColumn("_start_ts", F.when(starts, F.col("ts")))
+    p = prefix_aggregate(p, keys, ["ts"], {"active_since": ("last", "_start_ts")})
     due = F.col("ts") >= F.col("active_since") + F.expr(f"INTERVAL {_interval(rule.for_)}")
-    fired = (hits.join(islands.select(*ik, "active_since"), ik)
-                 .filter(due)
-                 .groupBy(*ik).agg(F.min("ts").alias("firing_since"),
-                                   F.min_by("value", "ts").alias("value")))
-    out = islands.join(fired, ik).drop("_island")
+    out = (p.filter(F.col("_hit") == 1)
+            .groupBy(*keys, "active_since")
+            .agg(F.first("labels").alias("labels"), F.max("ts").alias("last_true"),
+                 F.count(F.lit(1)).alias("samples"),
+                 F.min(F.when(due, F.col("ts"))).alias("firing_since"),
+                 F.min_by("value", F.when(due, F.col("ts"))).alias("value"))
+            .filter(F.col("firing_since").isNotNull()))
     out = out.withColumn("alert", F.lit(rule.name)).withColumn("severity", F.lit(rule.severity)) \
         .withColumn("summary", _template(rule.summary, F.col("labels"), F.col("value")))
     if rule.description:

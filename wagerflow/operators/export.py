@@ -22,7 +22,9 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wagerflow.operators.upsert import KEY, ROW_HASH, current_bets, with_row_hash
+from wagerflow.operators.upsert import (
+    CONTENT_COLUMNS, KEY, ROW_HASH, current_bets, with_row_hash,
+)
 
 # Export file layouts (current 20 columns; legacy 7 columns).
 EXPORT_COLUMNS = [
@@ -55,6 +57,23 @@ def pending_bets(bets: DataFrame, ledger: DataFrame | None) -> DataFrame:
                 .withColumn("exported", F.lit(False)))
 
 
+def with_exported_since(states: DataFrame, current: str, exported: str) -> DataFrame:
+    """Current bets flagged against the state a previous export run wrote.
+
+    ``states`` comes from ``upsert.latest_versions_as_of``; when the ledger is
+    "what the run at time T exported" (one version per bet), the anti-join
+    of ``pending_bets`` reduces to comparing the two versions' content hashes
+    in the same row -- no join, one pass.
+    """
+    fields = states.schema[current].dataType.fieldNames()
+    content = [c for c in CONTENT_COLUMNS if c in fields]
+    h = lambda s: F.xxhash64(*[F.col(s).getField(c) for c in content])
+    same = F.col(exported).isNotNull() & (h(current) == h(exported))
+    return states.filter(F.col(current).isNotNull()).select(
+        KEY, *[F.col(current).getField(c).alias(c) for c in fields if c != "exported"],
+        same.alias("exported"))
+
+
 def export_counts(bets_with_flag: DataFrame) -> DataFrame:
     """``(exported, bets)`` -- the README's count of exported / pending rows."""
     return bets_with_flag.groupBy("exported").agg(F.count(F.lit(1)).alias("bets"))

@@ -171,6 +171,21 @@ def binary_op(left: DataFrame, right: DataFrame, op: str,
     return j.withColumn("value", val).drop("_a", "_b")
 
 
+def fraction(vector: DataFrame, equal: dict[str, str]) -> DataFrame:
+    """``sum(v{selector}) / sum(v)`` per window in one aggregate (the two
+    sums share every input row, so no join of two vectors is needed).
+    Windows without a selected series are absent, as with vector matching."""
+    sel = None
+    for k, v in equal.items():
+        c = label(k) == F.lit(v)
+        sel = c if sel is None else sel & c
+    per = vector.groupBy(*WINDOW).agg(
+        F.sum(F.when(sel, F.col("value"))).alias("_a"), F.sum("value").alias("_b"))
+    return (per.filter(F.col("_a").isNotNull())
+               .select(*WINDOW, _ieee_div(F.col("_a"), F.col("_b")).alias("value"),
+                       F.create_map().cast("map<string,string>").alias("labels")))
+
+
 def scalar_op(vector: DataFrame, op: str, x: float) -> DataFrame:
     """``x <op> vector`` with a scalar on the left (e.g. ``1 - vector``)."""
     v, s = F.col("value"), F.lit(float(x))

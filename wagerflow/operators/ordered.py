@@ -53,14 +53,21 @@ def _combine(kind: str, carry: Column, local: Column) -> Column:
 
 def prefix_aggregate(df: DataFrame, keys: list[str], order: list[str],
                      aggs: dict[str, tuple[str, str]], *, inclusive: bool = True,
-                     n_buckets: int | None = None) -> DataFrame:
+                     n_buckets: int | None = None, keep_bucket: bool = False) -> DataFrame:
     """Add one column per ``aggs`` entry ``out -> (kind, input column)``: the
     aggregate over all earlier rows of the same key in ``order`` (and the row
-    itself when ``inclusive``).  ``order`` must be a total order per key."""
+    itself when ``inclusive``).  ``order`` must be a total order per key.
+
+    Batch only (the split points need a pass over the data).  With
+    ``keep_bucket`` the bucket column stays in the output, and a later call
+    with the same leading order column reuses it instead of re-sampling.
+    """
+    if df.isStreaming:
+        raise ValueError("prefix_aggregate is batch-only; streams use update-mode aggregates")
     for kind, _ in aggs.values():
         if kind not in KINDS:
             raise ValueError(f"unsupported prefix kind {kind!r}")
-    ranged = with_order_buckets(df, order[0], n_buckets)
+    ranged = df if BUCKET in df.columns else with_order_buckets(df, order[0], n_buckets)
     # Join keys without NULLs: (filled value, is-null flag) per key.  The
     # in-bucket window is partitioned by exactly these columns, so the join
     # below reuses that partitioning instead of shuffling the big side again.
@@ -94,8 +101,9 @@ def prefix_aggregate(df: DataFrame, keys: list[str], order: list[str],
     local = ranged.select("*", *[_window_agg(kind, F.col(col)).over(wl).alias("_l_" + out)
                                  for out, (kind, col) in aggs.items()])
     joined = local.join(carry, jk, "left")
+    passthrough = [c for c in df.columns if c != BUCKET] + ([BUCKET] if keep_bucket else [])
     return joined.select(
-        *[F.col(c) for c in df.columns],
+        *[F.col(c) for c in passthrough],
         *[_combine(kind, F.col("_c_" + out), F.col("_l_" + out)).alias(out)
           for out, (kind, _) in aggs.items()])
 
@@ -168,9 +176,10 @@ def with_order_buckets(df: DataFrame, col: str, n_buckets: int | None = None,
 
 
 def previous_value(df: DataFrame, keys: list[str], order: list[str],
-                   cols: dict[str, str], n_buckets: int | None = None) -> DataFrame:
+                   cols: dict[str, str], n_buckets: int | None = None,
+                   keep_bucket: bool = False) -> DataFrame:
     """``lag`` by one row per key, across bucket edges: out -> input column.
 
     Rows whose input is NULL are skipped (the previous *non-null* value)."""
     return prefix_aggregate(df, keys, order, {o: ("last", c) for o, c in cols.items()},
-                            inclusive=False, n_buckets=n_buckets)
+                            inclusive=False, n_buckets=n_buckets, keep_bucket=keep_bucket)

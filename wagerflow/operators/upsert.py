@@ -48,12 +48,13 @@ def latest_versions(df: DataFrame, key: str | list[str] = KEY,
 
 def latest_versions_as_of(df: DataFrame, as_of: dict[str, object], key: str = KEY,
                           order: list[str] | None = None,
-                          time_col: str = "src_timestamp") -> dict[str, DataFrame]:
+                          time_col: str = "src_timestamp") -> DataFrame:
     """The table as it was at several times, from one aggregate pass.
 
     ``as_of`` maps a name to a cutoff (versions arriving before it count) or to
-    ``None`` (all versions).  Each result equals ``latest_versions`` of the
-    versions before its cutoff; one shuffle serves all of them.
+    ``None`` (all versions).  Returns one row per key with one struct column
+    per name (NULL when the key did not exist yet); ``state(df, name)``
+    expands one of them into the table at that time.
     """
     order = order or VERSION_COLUMNS
     rest = [c for c in df.columns if c != key]
@@ -64,10 +65,15 @@ def latest_versions_as_of(df: DataFrame, as_of: dict[str, object], key: str = KE
         o = ordering if cutoff is None else F.when(
             F.col(time_col) < F.lit(str(cutoff)).cast("timestamp"), ordering)
         aggs.append(F.max_by(payload, o).alias(f"_v_{name}"))
-    both = df.groupBy(key).agg(*aggs)
-    return {name: both.filter(F.col(f"_v_{name}").isNotNull())
-                      .select(key, *[F.col(f"_v_{name}").getField(c).alias(c) for c in rest])
-            for name in as_of}
+    return df.groupBy(key).agg(*aggs).select(
+        key, *[F.col(f"_v_{n}").alias(n) for n in as_of])
+
+
+def state(states: DataFrame, name: str, key: str = KEY) -> DataFrame:
+    """The table at one of the times of ``latest_versions_as_of``."""
+    fields = states.schema[name].dataType.fieldNames()
+    return states.filter(F.col(name).isNotNull()).select(
+        key, *[F.col(name).getField(c).alias(c) for c in fields])
 
 
 def append_versions(valid: DataFrame, root: str, batch_id: int) -> None:

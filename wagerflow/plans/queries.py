@@ -285,14 +285,13 @@ EXPORT_CUTOFF = _dt.datetime(2024, 1, 30, 18)
 _CUTOFF_SQL = "TIMESTAMP '2024-01-30 18:00:00'"
 
 
-def _current_and_ledger(spark: SparkSession, sf_dir: str):
-    """Current bets, and the ledger the first export run (at the cutoff) left:
-    the table as of the cutoff, hashed.  Both come from one aggregate."""
+def _flagged_bets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Current bets with ``exported`` derived against the first export run
+    (at the cutoff), which exported the table as it was then.  One parse,
+    one aggregate, no self-join."""
     valid, _ = fl.flatten_bets(bet_records(spark, sf_dir, "nested"))
     states = up.latest_versions_as_of(valid, {"current": None, "first_run": EXPORT_CUTOFF})
-    current = up.with_row_hash(states["current"])
-    ledger = up.with_row_hash(states["first_run"]).select(up.KEY, up.ROW_HASH)
-    return current, ledger
+    return ex.with_exported_since(states, "current", "first_run")
 
 
 @query("latest_versions", sql=f"""
@@ -326,8 +325,7 @@ LEFT JOIN old ON old.bet_id = b.bet_id
 WHERE old.eid IS NULL OR old.eid <> cur.eid
 """)
 def q_export_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
-    current, ledger = _current_and_ledger(spark, sf_dir)
-    rows = ex.export_projection(ex.pending_bets(current, ledger))
+    rows = ex.export_projection(_flagged_bets(spark, sf_dir).filter(~F.col("exported")))
     return rows.select(*[F.date_format(c, ISO_MICROS).alias(c)
                          if c in ("bet_timestamp", "created_at") else F.col(c)
                          for c in rows.columns])
@@ -339,8 +337,7 @@ SELECT coalesce(old.eid = cur.eid, false) AS exported, CAST(count(*) AS BIGINT)
 FROM cur LEFT JOIN old ON old.bet_id = cur.bet_id GROUP BY 1
 """)
 def q_export_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    current, ledger = _current_and_ledger(spark, sf_dir)
-    return ex.export_counts(ex.with_exported(current, ledger))
+    return ex.export_counts(_flagged_bets(spark, sf_dir))
 
 
 @query("legacy_export", sql="""
@@ -489,11 +486,10 @@ _SHARE_SQL = f"""
 
 
 def _error_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # sum(rate(c{game="error"})) / sum(rate(c)): the range cancels, and both
+    # sums come from the same increases in one aggregate.
     inc = M.increase(M.select_series(metric_samples(spark, sf_dir), BETS_COUNTER), "1 hour")
-    err = M.aggregate(inc.filter(M.label("game") == "error"), "sum")
-    tot = M.aggregate(inc, "sum")
-    # rate(x)/rate(y) over the same range: the range cancels.
-    return M.binary_op(err, tot, "/", on=[])
+    return M.fraction(inc, {"game": "error"})
 
 
 @query("metric_ratio", sql=f"""
@@ -622,3 +618,23 @@ FROM r WHERE NOT bad GROUP BY 1, 2
 def q_active_users_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     au = agg.active_users(bet_records(spark, sf_dir, "nested"), shape="nested")
     return au.select(_iso("window_start"), _iso("window_end"), "active_users")
+
+
+@query("metric_binary_op", sql=f"""
+WITH {_DELTAS_SQL},
+a AS (SELECT game, time_bucket(INTERVAL '1 hour', ts) AS w, sum(ds) AS a FROM d GROUP BY ALL),
+b AS (SELECT game, time_bucket(INTERVAL '1 hour', ts) AS w, sum(dc) AS b FROM d GROUP BY ALL)
+SELECT game, strftime(w, '%Y-%m-%dT%H:%M:%S') AS window_start,
+       strftime(w + INTERVAL '1 hour', '%Y-%m-%dT%H:%M:%S') AS window_end,
+       CASE WHEN b <> 0 THEN a / b WHEN a = 0 THEN 'NaN'::DOUBLE
+            ELSE sign(a) * 'Infinity'::DOUBLE END AS value
+FROM a JOIN b USING (game, w)
+""")
+def q_metric_binary_op(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # sum by (game) (increase(stake_sum[1h])) / on(game) sum by (game) (increase(stake_count[1h]))
+    samples = metric_samples(spark, sf_dir)
+    num = M.aggregate(M.increase(M.select_series(samples, STAKE_SUM_COUNTER), "1 hour"), "sum",
+                      by=["game"])
+    den = M.aggregate(M.increase(M.select_series(samples, BETS_COUNTER), "1 hour"), "sum",
+                      by=["game"])
+    return _labelled(M.binary_op(num, den, "/", on=["game"]), "game")

@@ -26,8 +26,12 @@ def read_table(spark: SparkSession, location: str, *, fmt: str = "parquet",
     return r.load(location)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Repartition to the default parallelism if the scan has fewer splits."""
+def spread(df: DataFrame, by: list[str]) -> DataFrame:
+    """Repartition to the default parallelism if the scan has fewer splits.
+
+    ``by`` names well-spread columns to hash (a unique id is ideal); hashing
+    only them keeps column pruning intact below the exchange.
+    """
     try:
         par = df.sparkSession.sparkContext.defaultParallelism
         parts = df.rdd.getNumPartitions()
@@ -35,8 +39,7 @@ def spread(df: DataFrame) -> DataFrame:
         return df
     # Hash of the whole row: balanced and deterministic without the sort a
     # round-robin repartition needs for retry safety.
-    return df.repartition(par, F.xxhash64(*[F.col(c) for c in df.columns])) if parts < par \
-        else df
+    return df.repartition(par, F.xxhash64(*[F.col(c) for c in by])) if parts < par else df
 
 
 def not_exported(bets: DataFrame) -> DataFrame:
