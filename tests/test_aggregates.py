@@ -139,3 +139,10 @@ def test_changelog_is_deterministic_across_plans(spark):
     want = sorted((r.ts, 0.0 if r.p is None else (r.value if r.value < r.p else r.value - r.p))
                   for r in ref)
     assert runs[0] == want
+
+
+def test_window_end_belongs_to_next_window(spark):
+    lines = [json.dumps({"game": "a", "timestamp": t}) for t in
+             ["2024-01-01T00:00:09.999999", "2024-01-01T00:00:10", "2024-01-01T00:00:00"]]
+    out = agg.game_window_counts(records(spark, lines)).collect()
+    assert sorted((r.window_start.strftime("%S"), r["count"]) for r in out) == [("00", 2), ("10", 1)]

@@ -71,6 +71,40 @@ def test_game_counts_stream_equals_batch(spark, workdir):
         q.stop()
 
 
+def test_game_counts_stream_with_restart_equals_batch(spark, workdir):
+    """Three files, one per trigger, restart between them (file sink)."""
+    recs = bet_records(spark, SF001, "flat")
+    src, out = os.path.join(workdir, "src"), os.path.join(workdir, "out")
+    ck = checkpoint_path(spark, "t", os.path.basename(workdir), "r")
+    batches = [recs.filter(f"offset >= {lo} and offset < {hi}")
+               for lo, hi in [(0, 400), (400, 800), (800, 10**6)]] + [_sentinel(spark)]
+
+    def run():
+        stream = read_records(spark, src, streaming=True, max_files_per_trigger=1)
+        q = (agg.game_window_counts(stream).writeStream.outputMode("append").format("parquet")
+             .option("checkpointLocation", ck).start(out))
+        q.processAllAvailable()
+        q.stop()
+
+    for i, b in enumerate(batches):
+        _push(b, src, f"b{i}")
+        run()  # a fresh query per file: state and progress come from the checkpoint
+    got = spark.read.parquet(out).select("window_start", "game", "count").collect()
+    want = agg.game_window_counts(recs).select("window_start", "game", "count").collect()
+    assert sorted(got) == sorted(want)
+
+
+def test_text_lines_source(spark, workdir):
+    src = os.path.join(workdir, "lines")
+    os.makedirs(src)
+    with open(os.path.join(src, "part-0.txt"), "w") as f:
+        f.write('{"status":"win"}\nnot json\n{"status":"lose"}\n')
+    recs = read_records(spark, src, fmt="text")
+    got = {r.status: r["count"] for r in agg.status_counts(recs).collect()}
+    assert got == {"win": 1, "lose": 1, "invalid": 0}
+    assert recs.select("partition").distinct().count() == 1 and recs.count() == 3
+
+
 def test_late_rows_are_dropped_and_counted(spark, workdir):
     src = os.path.join(workdir, "src")
     os.makedirs(src)
