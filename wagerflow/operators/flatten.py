@@ -278,7 +278,12 @@ def annotate_top_games(records: DataFrame) -> DataFrame:
 
 
 def flatten_top_games(records: DataFrame) -> tuple[DataFrame, DataFrame]:
-    ann = observe_ingest(annotate_top_games(records), "wagerflow_top_games")
+    return split_top_games(annotate_top_games(records))
+
+
+def split_top_games(annotated: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(top_games rows, quarantine rows) from ``annotate_top_games``."""
+    ann = observe_ingest(annotated, "wagerflow_top_games")
     ok = F.size("reasons") == 0
     return (ann.filter(ok).select("sport", "league", "total_amount", "timestamp", "raw_event"),
             ann.filter(~ok).select(F.col("raw_event").alias("value"), "reasons", "timestamp",

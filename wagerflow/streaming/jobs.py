@@ -103,12 +103,14 @@ def top_games_rows_job(records: DataFrame, path: str, *, checkpoint: str | None
     rows_w = table_writer(os.path.join(path, "rows"))
     bad_w = table_writer(os.path.join(path, "quarantine"))
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        rows, bad = fl.flatten_top_games(batch)
+    def write(annotated: DataFrame, batch_id: int) -> None:
+        rows, bad = fl.split_top_games(annotated)
         rows_w(rows, batch_id)
         bad_w(bad, batch_id)
 
-    return fan_out(records, "top_games_rows", [write], checkpoint=checkpoint, trigger=trigger)
+    # The annotated batch is persisted by fan_out: one parse for both outputs.
+    return fan_out(fl.annotate_top_games(records), "top_games_rows", [write],
+                   checkpoint=checkpoint, trigger=trigger)
 
 
 def game_history_job(records: DataFrame, path: str, *, shape: str = "flat",
