@@ -225,3 +225,23 @@ def test_remaining_jobs_run_end_to_end(spark, workdir):
         spark.read.parquet(os.path.join(rows, "quarantine")).count() == 301
     last = spark.sql("select * from avg_bet").collect()[-1]
     assert last.metric == "avg_bet" and last.n > 0
+
+
+def test_per_record_changelog_stream_equals_batch(spark, workdir):
+    recs = bet_records(spark, SF001, "flat")
+    src, out_s, out_a = (os.path.join(workdir, d) for d in ("src", "status", "avg"))
+    for i, (lo, hi) in enumerate([(0, 350), (350, 700), (700, 10**6)]):
+        _push(recs.filter(f"offset >= {lo} and offset < {hi}"), src, f"b{i}")
+    ck = lambda n: checkpoint_path(spark, "t", os.path.basename(workdir), n)
+    stream = lambda: read_records(spark, src, streaming=True, max_files_per_trigger=1)
+    for q in (jobs.bet_status_changelog_job(stream(), out_s, checkpoint=ck("cs")),
+              jobs.avg_bet_changelog_job(stream(), out_a, checkpoint=ck("ca"))):
+        q.processAllAvailable()
+        q.stop()
+    got = spark.read.parquet(os.path.join(out_s, "changes")).drop("batch_id")
+    want = agg.status_changelog(recs)
+    assert sorted(got.collect()) == sorted(want.select(*got.columns).collect())
+    got_a = spark.read.parquet(os.path.join(out_a, "changes")).drop("batch_id")
+    want_a = agg.average_changelog(recs)
+    assert sorted(got_a.collect()) == sorted(want_a.select(*got_a.columns).collect())
+    assert spark.read.parquet(os.path.join(out_s, "changes")).select("batch_id").distinct().count() == 3

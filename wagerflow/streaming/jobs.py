@@ -9,7 +9,9 @@ job                  result                  mode / sinks
 ===================  ======================  =======================
 top_games_job        {"game","count"} / 10 s append, event time, Kafka
 bet_status_job       (status, count)         update, console
+bet_status_changelog (status, count)/record  foreachBatch + state
 avg_bet_job          ("avg_bet", value)      update, console
+avg_bet_changelog    ("avg_bet", v)/record   foreachBatch + state
 active_users_job     {window, active_users}  append, console+files+Kafka
 ingest_job           bets version log        foreachBatch upsert
 top_games_rows_job   top_games table rows    append Parquet
@@ -59,6 +61,40 @@ def avg_bet_job(records: DataFrame, sink: str = "console", *, shape: str = "flat
                         checkpoint=checkpoint, trigger=trigger)
 
 
+def bet_status_changelog_job(records: DataFrame, out_root: str, *, shape: str = "flat",
+                             checkpoint: str | None = None,
+                             trigger: dict | None = None) -> StreamingQuery:
+    """``(status, count)`` after every record, exactly as the keyed reduce
+    emits it (see ``streaming.changelog``)."""
+    from wagerflow.operators.parse import parse_status
+    from wagerflow.streaming.changelog import changelog_stream
+    prepared = parse_status(records, shape).select(*agg.ARRIVAL, "status", "n")
+    return changelog_stream(
+        prepared, "bet_status_changelog", out_root, keys=["status"], order=agg.ARRIVAL,
+        aggs={"count": ("sum", "n")},
+        finish=lambda df: df.select("partition", "offset", "status", "count"),
+        checkpoint=checkpoint, trigger=trigger)
+
+
+def avg_bet_changelog_job(records: DataFrame, out_root: str, *, shape: str = "flat",
+                          checkpoint: str | None = None,
+                          trigger: dict | None = None) -> StreamingQuery:
+    """``("avg_bet", value)`` after every record (global running average)."""
+    from wagerflow.operators.parse import parse_amount
+    from wagerflow.streaming.changelog import changelog_stream
+    prepared = parse_amount(records, shape).select(
+        *agg.ARRIVAL, "n", "amount_exact", "amount_inexact",
+        ((F.col("n") == 1) & F.col("amount_exact").isNull()).cast("long").alias("_bad"))
+    finish = lambda df: df.select(
+        "partition", "offset", F.lit(agg.AVG_METRIC).alias("metric"),
+        agg._avg_value(F.col("_cn"), F.col("_cs"), F.col("_cf"), F.col("_cb")).alias("value"))
+    return changelog_stream(
+        prepared, "avg_bet_changelog", out_root, keys=[], order=agg.ARRIVAL,
+        aggs={"_cn": ("sum", "n"), "_cs": ("sum", "amount_exact"),
+              "_cf": ("sum", "amount_inexact"), "_cb": ("sum", "_bad")},
+        finish=finish, checkpoint=checkpoint, trigger=trigger)
+
+
 def active_users_job(records: DataFrame, *, shape: str = "flat", files: str | None = None,
                      topic: str | None = "active_users_results", servers: str | None = None,
                      console: bool = True, extra: list[BatchWriter] | None = None,
