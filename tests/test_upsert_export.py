@@ -96,3 +96,19 @@ def test_latest_versions_as_of(spark):
     assert {r.bet_id[-2:]: r.exported for r in flagged.collect()} == {"aa": False, "bb": False}
     same = ex.with_exported_since(up.latest_versions_as_of(v, {"a": None, "b": None}), "a", "b")
     assert all(r.exported for r in same.collect())
+
+
+def test_export_crash_between_write_and_ledger(spark, workdir):
+    root, out = os.path.join(workdir, "bets"), os.path.join(workdir, "export")
+    up.append_versions(_valid(spark, [_bet("pending"), _bet(
+        "win", bet="00000000-0000-0000-0000-0000000000bb")]), root, 0)
+    t = dt.datetime(2024, 1, 3, 9, 0, 0)
+    # The run writes its files, then dies before recording them in the ledger.
+    pending = ex.pending_bets(up.current_bets(spark, root), None)
+    ex.write_export(ex.export_projection(pending), out, "20240103T090000", t)
+    assert ex.read_ledger(spark, os.path.join(out, "_ledger")) is None
+    # The scheduler retries the same run: same batch id, same directory.
+    assert ex.run_export_once(spark, root, out, t) == 2
+    files = spark.read.parquet(os.path.join(out, "raw"))
+    assert files.count() == 2 and files.select("bet_id").distinct().count() == 2
+    assert ex.run_export_once(spark, root, out, dt.datetime(2024, 1, 3, 9, 5)) == 0

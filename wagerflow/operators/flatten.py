@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wagerflow.functions.jsonv import get_string, present
+from wagerflow.functions.jsonv import present
 from wagerflow.functions.timefmt import parse_iso_timestamp
 from wagerflow.functions.uuids import canonical_uuid
 from wagerflow.operators.parse import with_variant
