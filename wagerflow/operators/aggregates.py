@@ -71,12 +71,15 @@ def status_counts(records: DataFrame, shape: str = "flat") -> DataFrame:
 
 
 def status_changelog(records: DataFrame, shape: str = "flat",
-                     n_buckets: int | None = None) -> DataFrame:
+                     n_buckets: int | None = None, materialize: bool = False) -> DataFrame:
     """One row per record: the ``(status, count)`` the keyed reduce emits
-    after that record.  Skew-safe (see ``operators.ordered``)."""
+    after that record.  Skew-safe (see ``operators.ordered``).  The parse is
+    evaluated by both branches of the bucketed running sum; ``materialize``
+    checkpoints the narrow parsed input instead (worth it only when parsing
+    costs more than writing and re-reading the narrow rows)."""
     df = parse_status(records, shape).select(*ARRIVAL, "status", "n")
     out = prefix_aggregate(df, ["status"], ARRIVAL, {"count": ("sum", "n")},
-                           n_buckets=n_buckets)
+                           n_buckets=n_buckets, materialize=materialize)
     return out.select("partition", "offset", "status", "count")
 
 
@@ -102,7 +105,7 @@ def average_bet(records: DataFrame, shape: str = "flat") -> DataFrame:
 
 
 def average_changelog(records: DataFrame, shape: str = "flat",
-                      n_buckets: int | None = None) -> DataFrame:
+                      n_buckets: int | None = None, materialize: bool = False) -> DataFrame:
     """One row per record: the average emitted after it.  A global running
     aggregate, computed without funnelling all rows through one task."""
     df = parse_amount(records, shape).select(
@@ -110,7 +113,8 @@ def average_changelog(records: DataFrame, shape: str = "flat",
         ((F.col("n") == 1) & F.col("amount_exact").isNull()).cast("long").alias("_bad"))
     out = prefix_aggregate(df, [], ARRIVAL, {
         "_cn": ("sum", "n"), "_cs": ("sum", "amount_exact"),
-        "_cf": ("sum", "amount_inexact"), "_cb": ("sum", "_bad")}, n_buckets=n_buckets)
+        "_cf": ("sum", "amount_inexact"), "_cb": ("sum", "_bad")}, n_buckets=n_buckets,
+        materialize=materialize)
     return out.select("partition", "offset", F.lit(AVG_METRIC).alias("metric"),
                       _avg_value(F.col("_cn"), F.col("_cs"), F.col("_cf"), F.col("_cb"))
                       .alias("value"))

@@ -53,7 +53,8 @@ def _combine(kind: str, carry: Column, local: Column) -> Column:
 
 def prefix_aggregate(df: DataFrame, keys: list[str], order: list[str],
                      aggs: dict[str, tuple[str, str]], *, inclusive: bool = True,
-                     n_buckets: int | None = None, keep_bucket: bool = False) -> DataFrame:
+                     n_buckets: int | None = None, keep_bucket: bool = False,
+                     materialize: bool = False) -> DataFrame:
     """Add one column per ``aggs`` entry ``out -> (kind, input column)``: the
     aggregate over all earlier rows of the same key in ``order`` (and the row
     itself when ``inclusive``).  ``order`` must be a total order per key.
@@ -61,6 +62,12 @@ def prefix_aggregate(df: DataFrame, keys: list[str], order: list[str],
     Batch only (the split points need a pass over the data).  With
     ``keep_bucket`` the bucket column stays in the output, and a later call
     with the same leading order column reuses it instead of re-sampling.
+
+    The input feeds two branches (bucket totals and the in-bucket window)
+    that Catalyst prunes differently, so an expensive input (a JSON parse)
+    would be evaluated twice.  ``materialize=True`` writes the narrow
+    bucketed input once with a reliable ``checkpoint()`` into the session's
+    ``spark.checkpoint.dir`` (skipped when none is configured).
     """
     if df.isStreaming:
         raise ValueError("prefix_aggregate is batch-only; streams use update-mode aggregates")
@@ -68,6 +75,8 @@ def prefix_aggregate(df: DataFrame, keys: list[str], order: list[str],
         if kind not in KINDS:
             raise ValueError(f"unsupported prefix kind {kind!r}")
     ranged = df if BUCKET in df.columns else with_order_buckets(df, order[0], n_buckets)
+    if materialize and _checkpoint_dir(df.sparkSession):
+        ranged = ranged.checkpoint(eager=True)
     # Join keys without NULLs: (filled value, is-null flag) per key.  The
     # in-bucket window is partitioned by exactly these columns, so the join
     # below reuses that partitioning instead of shuffling the big side again.
@@ -108,6 +117,13 @@ def prefix_aggregate(df: DataFrame, keys: list[str], order: list[str],
           for out, (kind, _) in aggs.items()])
 
 
+def _checkpoint_dir(spark) -> str | None:
+    try:
+        return spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    except Exception:  # noqa: BLE001 -- no SparkContext access (e.g. Spark Connect)
+        return None
+
+
 def _filler(dt: T.DataType) -> Column:
     """A non-null stand-in of the key's type (paired with an is-null flag)."""
     if isinstance(dt, T.StringType):
