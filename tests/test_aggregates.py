@@ -146,3 +146,10 @@ def test_window_end_belongs_to_next_window(spark):
              ["2024-01-01T00:00:09.999999", "2024-01-01T00:00:10", "2024-01-01T00:00:00"]]
     out = agg.game_window_counts(records(spark, lines)).collect()
     assert sorted((r.window_start.strftime("%S"), r["count"]) for r in out) == [("00", 2), ("10", 1)]
+
+
+def test_materialized_changelog_matches(spark):
+    recs = records(spark, _lines(200, seed=5))
+    a = agg.status_changelog(recs, n_buckets=3).orderBy("offset").collect()
+    b = agg.status_changelog(recs, n_buckets=3, materialize=True).orderBy("offset").collect()
+    assert a == b
