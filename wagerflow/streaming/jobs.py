@@ -16,6 +16,7 @@ active_users_job     {window, active_users}  append, console+files+Kafka
 ingest_job           bets version log        foreachBatch upsert
 top_games_rows_job   top_games table rows    append Parquet
 game_history_job     (game, count, time)     append Parquet
+export_job           date-partitioned files  batch run, idempotent
 ===================  ======================  =======================
 """
 
@@ -157,3 +158,14 @@ def game_history_job(records: DataFrame, path: str, *, shape: str = "flat",
     return start_stream(hist.withColumn("event_date", F.to_date("event_time")),
                         "top_games_history", "parquet", mode="append", path=path,
                         checkpoint=checkpoint, trigger=trigger, partition_by=["event_date"])
+
+
+def export_job(spark, bets_root: str, out_root: str, scheduled_time, batch_id: str | None = None) -> int:
+    """The scheduled export (every few minutes upstream): one idempotent run.
+
+    ``scheduled_time`` is the scheduler's logical time, so a retry of the same
+    run reuses the batch id and overwrites its own directories.  Returns the
+    number of rows exported (0 -> nothing written).
+    """
+    from wagerflow.operators.export import run_export_once
+    return run_export_once(spark, bets_root, out_root, scheduled_time, batch_id)
