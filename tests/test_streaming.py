@@ -245,3 +245,19 @@ def test_per_record_changelog_stream_equals_batch(spark, workdir):
     want_a = agg.average_changelog(recs)
     assert sorted(got_a.collect()) == sorted(want_a.select(*got_a.columns).collect())
     assert spark.read.parquet(os.path.join(out_s, "changes")).select("batch_id").distinct().count() == 3
+
+
+def test_top_k_stream_equals_batch(spark, workdir):
+    recs = bet_records(spark, SF001, "flat")
+    src, out = os.path.join(workdir, "src"), os.path.join(workdir, "top")
+    for i, (lo, hi) in enumerate([(0, 500), (500, 10**6)]):
+        _push(recs.filter(f"offset >= {lo} and offset < {hi}"), src, f"b{i}")
+    _push(_sentinel(spark), src, "b9")
+    q = jobs.top_games_ranked_job(read_records(spark, src, streaming=True, max_files_per_trigger=1),
+                                  out, checkpoint=checkpoint_path(spark, "t", os.path.basename(workdir), "k"))
+    q.processAllAvailable()
+    q.stop()
+    cols = ["window_start", "game", "count", "rank"]
+    got = spark.read.parquet(out).select(*cols).collect()
+    want = agg.top_games_ranked(agg.game_window_counts(recs, window="1 hour"), 3).select(*cols).collect()
+    assert sorted(got) == sorted(want)

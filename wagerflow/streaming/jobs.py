@@ -8,6 +8,7 @@ operators run in batch through ``wagerflow.plans``.
 job                  result                  mode / sinks
 ===================  ======================  =======================
 top_games_job        {"game","count"} / 10 s append, event time, Kafka
+top_games_ranked_job top-k per closed window foreachBatch, Parquet
 bet_status_job       (status, count)         update, console
 bet_status_changelog (status, count)/record  foreachBatch + state
 avg_bet_job          ("avg_bet", value)      update, console
@@ -48,6 +49,23 @@ def top_games_job(records: DataFrame, sink: str = "kafka", *, shape: str = "flat
                         servers=servers, checkpoint=checkpoint, trigger=trigger)
 
 
+def top_games_ranked_job(records: DataFrame, path: str, *, k: int = 3,
+                         window: str = "1 hour", shape: str = "flat",
+                         checkpoint: str | None = None,
+                         trigger: dict | None = None) -> StreamingQuery:
+    """Top-k games per closed window.  In append mode a window's counts
+    arrive once, when the watermark closes it, so ranking inside each
+    micro-batch is exact; output under ``path/batch_id=N``."""
+    counts = agg.game_window_counts(records, shape, window=window)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        (agg.top_games_ranked(batch, k).write.mode("overwrite")
+            .parquet(os.path.join(path, f"batch_id={batch_id}")))
+
+    return fan_out(counts, "top_games_ranked", [write], mode="append", checkpoint=checkpoint,
+                   trigger=trigger)
+
+
 def bet_status_job(records: DataFrame, sink: str = "console", *, shape: str = "flat",
                    checkpoint: str | None = None, trigger: dict | None = None) -> StreamingQuery:
     """Running count per status; one update per changed status per batch."""
