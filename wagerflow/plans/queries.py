@@ -7,13 +7,22 @@ cast to DOUBLE at the edge, counts are BIGINT.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wagerflow.functions.timefmt import ISO_SECONDS
+from wagerflow.functions.timefmt import ISO_MICROS, ISO_SECONDS
 from wagerflow.operators import aggregates as agg
+from wagerflow.operators import alerts as al
+from wagerflow.operators import export as ex
+from wagerflow.operators import flatten as fl
+from wagerflow.operators import metrics as M
+from wagerflow.operators import upsert as up
 from wagerflow.plans.registry import ORACLE, QUERIES, query
-from wagerflow.sources.testdata import bet_records
+from wagerflow.sources.testdata import (
+    BETS_COUNTER, STAKE_GAUGE, STAKE_SUM_COUNTER, bet_records, metric_samples,
+)
 
 __all__ = ["QUERIES", "ORACLE", "FLAGSHIP"]
 
@@ -164,8 +173,6 @@ def q_active_users_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- ingest: typed bets table, quarantine, settlement ---------------------
 
-from wagerflow.functions.timefmt import ISO_MICROS  # noqa: E402
-from wagerflow.operators import flatten as fl  # noqa: E402
 
 _NESTED_BAD = "(event_id % 97 = 0 OR event_id % 89 = 0 OR event_id % 83 = 0)"
 
@@ -274,10 +281,6 @@ def q_top_games_by_sport(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- upsert and incremental export -----------------------------------------
 
-import datetime as _dt  # noqa: E402
-
-from wagerflow.operators import export as ex  # noqa: E402
-from wagerflow.operators import upsert as up  # noqa: E402
 
 # The first export run of the scenario happens at this (UTC) time; versions
 # that arrived before it were exported then.
@@ -356,11 +359,6 @@ def q_legacy_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- metric time series and alerts -----------------------------------------
 
-from wagerflow.operators import alerts as al  # noqa: E402
-from wagerflow.operators import metrics as M  # noqa: E402
-from wagerflow.sources.testdata import (  # noqa: E402
-    BETS_COUNTER, STAKE_GAUGE, STAKE_SUM_COUNTER, metric_samples,
-)
 
 _SAMPLES_SQL = """
   SELECT event_type AS game, CAST(user_id % 2 AS VARCHAR) AS shard, ts,
