@@ -194,6 +194,10 @@ def test_ingest_job_replay_is_idempotent(spark, workdir):
     quarantine = spark.read.parquet(os.path.join(bets, "quarantine"))
     total = recs.count()
     assert versions.count() + quarantine.count() == total
+    counters = [p["observedMetrics"][jobs.INGEST_COUNTERS] for p in q.recentProgress
+                if jobs.INGEST_COUNTERS in p.get("observedMetrics", {})]
+    assert sum(c["rows"] for c in counters) == total
+    assert sum(c["rejected"] for c in counters) == quarantine.count()
 
 
 def test_remaining_jobs_run_end_to_end(spark, workdir):

@@ -134,12 +134,17 @@ def active_users_job(records: DataFrame, *, shape: str = "flat", files: str | No
                    trigger=trigger)
 
 
+INGEST_COUNTERS = "ingest_counters"
+
+
 def ingest_job(records: DataFrame, bets_root: str, *, checkpoint: str | None = None,
                trigger: dict | None = None) -> StreamingQuery:
     """Typed bets: valid rows to the version log, bad rows to quarantine.
 
     One parse per record per batch; both outputs are keyed by the batch id,
-    so a replayed batch rewrites exactly what it wrote before.
+    so a replayed batch rewrites exactly what it wrote before.  Each batch's
+    ``rows``/``stored``/``rejected`` counts are published as observed metrics
+    named ``ingest_counters`` in the query progress.
     """
     quarantine = table_writer(os.path.join(bets_root, "quarantine"))
 
@@ -148,8 +153,9 @@ def ingest_job(records: DataFrame, bets_root: str, *, checkpoint: str | None = N
         append_versions(valid, bets_root, batch_id)
         quarantine(bad, batch_id)
 
-    return fan_out(fl.annotate_bets(records), "ingest_bets", [write], checkpoint=checkpoint,
-                   trigger=trigger)
+    # Counters per micro-batch in StreamingQueryProgress.observedMetrics.
+    annotated = fl.observe_ingest(fl.annotate_bets(records), INGEST_COUNTERS)
+    return fan_out(annotated, "ingest_bets", [write], checkpoint=checkpoint, trigger=trigger)
 
 
 def top_games_rows_job(records: DataFrame, path: str, *, checkpoint: str | None = None,
