@@ -386,8 +386,12 @@ def _labelled(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*cols, _iso("window_start"), _iso("window_end"), "value")
 
 
+def _series(spark: SparkSession, sf_dir: str, metric: str) -> DataFrame:
+    return M.select_series(metric_samples(spark, sf_dir, [metric]), metric)
+
+
 def _counter(spark: SparkSession, sf_dir: str, metric: str = BETS_COUNTER) -> DataFrame:
-    return M.select_series(metric_samples(spark, sf_dir), metric)
+    return _series(spark, sf_dir, metric)
 
 
 @query("metric_increase", sql=f"""
@@ -428,7 +432,7 @@ SELECT game, shard, {_HOUR_WINDOW_SQL},
 FROM s GROUP BY ALL
 """)
 def q_metric_avg_over_time(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = M.select_series(metric_samples(spark, sf_dir), STAKE_GAUGE)
+    g = _series(spark, sf_dir, STAKE_GAUGE)
     return _labelled(M.avg_over_time(g, "1 hour", exact_scale=6), "game", "shard")
 
 
@@ -446,7 +450,7 @@ SELECT strftime(w, '%Y-%m-%dT%H:%M:%S') AS window_start,
 FROM v GROUP BY ALL
 """)
 def q_metric_instant_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vec = M.instant_vector(M.select_series(metric_samples(spark, sf_dir), STAKE_GAUGE), "1 hour")
+    vec = M.instant_vector(_series(spark, sf_dir, STAKE_GAUGE), "1 hour")
     return _labelled(M.aggregate(vec, "sum", exact_scale=6))
 
 
@@ -458,7 +462,7 @@ SELECT strftime(w, '%Y-%m-%dT%H:%M:%S') AS window_start,
 FROM v GROUP BY ALL
 """)
 def q_metric_instant_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vec = M.instant_vector(M.select_series(metric_samples(spark, sf_dir), STAKE_GAUGE), "1 hour")
+    vec = M.instant_vector(_series(spark, sf_dir, STAKE_GAUGE), "1 hour")
     return _labelled(M.aggregate(vec, "avg", exact_scale=6))
 
 
@@ -486,7 +490,7 @@ _SHARE_SQL = f"""
 def _error_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     # sum(rate(c{game="error"})) / sum(rate(c)): the range cancels, and both
     # sums come from the same increases in one aggregate.
-    inc = M.increase(M.select_series(metric_samples(spark, sf_dir), BETS_COUNTER), "1 hour")
+    inc = M.increase(_counter(spark, sf_dir), "1 hour")
     return M.fraction(inc, {"game": "error"})
 
 
@@ -520,7 +524,8 @@ SELECT game, shard, strftime(w, '%Y-%m-%dT%H:%M:%S') AS window_start,
 FROM h
 """)
 def q_metric_histogram_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hm = M.histogram_mean(metric_samples(spark, sf_dir), "wager_stake", "1 hour")
+    hm = M.histogram_mean(metric_samples(spark, sf_dir, [STAKE_SUM_COUNTER, BETS_COUNTER]),
+                          "wager_stake", "1 hour")
     return _labelled(hm, "game", "shard")
 
 
@@ -550,8 +555,7 @@ SELECT 'HighStake' AS alert, 'warning' AS severity, i.game, i.shard,
 FROM i JOIN f ON i.game = f.game AND i.shard = f.shard AND i.lf IS NOT DISTINCT FROM f.lf
 """)
 def q_sustained_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = M.select_series(metric_samples(spark, sf_dir), STAKE_GAUGE)
-    a = al.sustained_alerts(g, STAKE_RULE)
+    a = al.sustained_alerts(_series(spark, sf_dir, STAKE_GAUGE), STAKE_RULE)
     return a.select("alert", "severity", M.label("game").alias("game"),
                     M.label("shard").alias("shard"),
                     *[F.date_format(c, ISO_MICROS).alias(c)
@@ -630,9 +634,7 @@ FROM a JOIN b USING (game, w)
 """)
 def q_metric_binary_op(spark: SparkSession, sf_dir: str) -> DataFrame:
     # sum by (game) (increase(stake_sum[1h])) / on(game) sum by (game) (increase(stake_count[1h]))
-    samples = metric_samples(spark, sf_dir)
-    num = M.aggregate(M.increase(M.select_series(samples, STAKE_SUM_COUNTER), "1 hour"), "sum",
-                      by=["game"])
-    den = M.aggregate(M.increase(M.select_series(samples, BETS_COUNTER), "1 hour"), "sum",
+    num = M.aggregate(M.increase(_series(spark, sf_dir, STAKE_SUM_COUNTER), "1 hour"), "sum",
                       by=["game"])
+    den = M.aggregate(M.increase(_counter(spark, sf_dir), "1 hour"), "sum", by=["game"])
     return _labelled(M.binary_op(num, den, "/", on=["game"]), "game")
