@@ -156,6 +156,19 @@ def q_active_users_2min(spark: SparkSession, sf_dir: str) -> DataFrame:
     return au.select(_iso("window_start"), _iso("window_end"), "active_users")
 
 
+@query("active_users_null_user", sql=f"""
+WITH r AS ({_FLAT_SQL})
+SELECT {_iso_window_sql('2 minutes')},
+       CAST(count(DISTINCT CASE WHEN event_id % 79 = 0 THEN '<null>'
+                                ELSE CAST(user_id AS VARCHAR) END) AS BIGINT) AS active_users
+FROM r WHERE NOT bad GROUP BY 1, 2
+""")
+def q_active_users_null_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # A JSON-null user is one user (count(DISTINCT) would skip it).
+    au = agg.active_users(bet_records(spark, sf_dir, "flat", null_users=True))
+    return au.select(_iso("window_start"), _iso("window_end"), "active_users")
+
+
 @query("active_users_messages", sql=f"""
 WITH r AS ({_FLAT_SQL}),
 a AS (SELECT time_bucket(INTERVAL '2 minutes', ts) AS w, count(DISTINCT user_id) AS u
