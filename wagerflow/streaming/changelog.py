@@ -11,8 +11,9 @@ micro-batch.  ``changelog_stream`` reproduces the per-record output exactly:
 * batch N reads the state of batch N-1 and overwrites only its own output
   and state directories, so a replayed batch rewrites the same result.
 
-The state holds one row per key (statuses, or one row for a global average),
-so it is small; it is joined as a table, and AQE broadcasts it when it is.
+The state holds one row per key (statuses), joined as a table that AQE
+broadcasts when small; a global aggregate's state is a single row, read on
+the driver and applied as literals.
 """
 
 from __future__ import annotations
@@ -27,9 +28,6 @@ from pyspark.sql.streaming import StreamingQuery
 from wagerflow.operators.ordered import _combine, prefix_aggregate
 from wagerflow.streaming.sinks import _writer
 
-_UNIT = "_wf_unit"
-
-
 def _fs(spark, path):
     jp = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jp, jp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -53,38 +51,42 @@ def changelog_stream(prepared: DataFrame, name: str, out_root: str, *, keys: lis
         if kind not in ("sum", "max", "min"):
             raise ValueError("changelog_stream supports sum, max and min")
     state_root = os.path.join(out_root, "state")
-    jk = keys or [_UNIT]
 
     def each(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if not keys:
-            batch = batch.withColumn(_UNIT, F.lit(0))
         prev_path = os.path.join(state_root, f"batch_id={batch_id - 1}")
         jp, fs = _fs(spark, prev_path)
         prev = spark.read.parquet(prev_path) if fs.exists(jp) else None
         batch = batch.persist()
         try:
-            local = prefix_aggregate(batch, jk, order, aggs, n_buckets=n_buckets)
-            totals = batch.groupBy(*jk).agg(*[_total(k, c).alias(o)
-                                             for o, (k, c) in aggs.items()])
-            if prev is not None:
-                carry = prev.select(*jk, *[F.col(o).alias(f"_c_{o}") for o in aggs])
-                cond = [local[k].eqNullSafe(carry[k]) for k in jk]
+            local = prefix_aggregate(batch, keys, order, aggs, n_buckets=n_buckets)
+            totals = (batch.groupBy(*keys) if keys else batch.groupBy()).agg(
+                *[_total(k, c).alias(o) for o, (k, c) in aggs.items()])
+            if prev is None:
+                out, state = local, totals
+            elif not keys:
+                # A global aggregate's state is one row: apply it as literals.
+                row = prev.first()
+                carry = {o: F.lit(row[o]) for o in aggs}
+                out = local.select(*[c for c in local.columns if c not in aggs],
+                                   *[_combine(k, carry[o], F.col(o)).alias(o)
+                                     for o, (k, _) in aggs.items()])
+                state = totals.select(*[_combine(k, carry[o], F.col(o)).alias(o)
+                                        for o, (k, _) in aggs.items()])
+            else:
+                carry = prev.select(*keys, *[F.col(o).alias(f"_c_{o}") for o in aggs])
+                cond = [local[k].eqNullSafe(carry[k]) for k in keys]
                 out = local.join(carry, cond, "left").select(
                     *[local[c] for c in local.columns if c not in aggs],
                     *[_combine(k, F.col(f"_c_{o}"), local[o]).alias(o)
                       for o, (k, _) in aggs.items()])
                 both = totals.alias("t").join(
-                    prev.alias("p"), [F.col(f"t.{k}").eqNullSafe(F.col(f"p.{k}")) for k in jk],
-                    "full")
+                    prev.alias("p"),
+                    [F.col(f"t.{k}").eqNullSafe(F.col(f"p.{k}")) for k in keys], "full")
                 state = both.select(
-                    *[F.coalesce(F.col(f"t.{k}"), F.col(f"p.{k}")).alias(k) for k in jk],
+                    *[F.coalesce(F.col(f"t.{k}"), F.col(f"p.{k}")).alias(k) for k in keys],
                     *[_combine(k, F.col(f"p.{o}"), F.col(f"t.{o}")).alias(o)
                       for o, (k, _) in aggs.items()])
-            else:
-                out, state = local, totals
-            if not keys:
-                out = out.drop(_UNIT)
             result = finish(out) if finish else out
             (result.write.mode("overwrite")
                    .parquet(os.path.join(out_root, "changes", f"batch_id={batch_id}")))
