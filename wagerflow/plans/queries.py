@@ -651,3 +651,19 @@ def q_metric_binary_op(spark: SparkSession, sf_dir: str) -> DataFrame:
                       by=["game"])
     den = M.aggregate(M.increase(_counter(spark, sf_dir), "1 hour"), "sum", by=["game"])
     return _labelled(M.binary_op(num, den, "/", on=["game"]), "game")
+
+
+@query("status_changelog_nested", sql="""
+WITH r AS (
+  SELECT event_id,
+         CASE WHEN event_id % 97 = 0 OR event_id % 89 = 0 THEN 'invalid'
+              ELSE ['win', 'lose', 'pending'][event_id % 3 + 1] END AS status,
+         CASE WHEN event_id % 97 = 0 OR event_id % 89 = 0 THEN 0 ELSE 1 END AS n
+  FROM events)
+SELECT CAST(event_id % 4 AS INTEGER) AS "partition", event_id AS "offset", status,
+       CAST(sum(n) OVER (PARTITION BY status ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS BIGINT)
+         AS count
+FROM r
+""")
+def q_status_changelog_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return agg.status_changelog(bet_records(spark, sf_dir, "nested"), shape="nested")
