@@ -296,3 +296,11 @@ def test_pipeline_ingest_then_export(spark, workdir):
     assert files.count() == n1 + n2
     assert files.select("batch_id").distinct().count() == 2
     assert ex.run_export_once(spark, bets, out, dt.datetime(2024, 2, 1, 12, 10)) == 0
+    # The ad-hoc SQL of the original setup runs unchanged on the views.
+    from wagerflow.sources.tables import register_views
+    register_views(spark, bets, out)
+    assert len(spark.sql("SELECT * FROM bets LIMIT 10").collect()) == 10
+    assert spark.sql("SELECT COUNT(*) FROM bets WHERE exported = false").first()[0] == 0
+    assert spark.sql("SELECT COUNT(*) FROM bets WHERE exported = true").first()[0] == \
+        up.current_bets(spark, bets).count()
+    assert spark.sql("SELECT COUNT(*) FROM bets_quarantine").first()[0] > 0

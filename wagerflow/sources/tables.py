@@ -64,3 +64,21 @@ def ensure_table(spark: SparkSession, path: str, schema: T.StructType,
 def table_exists(spark: SparkSession, path: str) -> bool:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(os.fspath(path))
     return jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jvm_path)
+
+
+def register_views(spark: SparkSession, bets_root: str, export_root: str | None = None) -> None:
+    """Temp views for ad-hoc SQL: ``bets`` (current version per bet, with
+    ``exported`` derived from the export ledger) and ``bets_quarantine``.
+
+    ``SELECT * FROM bets LIMIT 10`` and ``SELECT COUNT(*) FROM bets WHERE
+    exported = false`` then run as they would against the database table.
+    """
+    from wagerflow.operators.export import read_ledger, with_exported
+    from wagerflow.operators.upsert import ROW_HASH, current_bets
+    from wagerflow.schemas import BET_COLUMNS
+    ledger = read_ledger(spark, os.path.join(export_root, "_ledger")) if export_root else None
+    bets = with_exported(current_bets(spark, bets_root), ledger)
+    bets.select(*BET_COLUMNS, ROW_HASH).createOrReplaceTempView("bets")
+    q = os.path.join(bets_root, "quarantine")
+    if table_exists(spark, q):
+        spark.read.parquet(q).createOrReplaceTempView("bets_quarantine")
