@@ -160,3 +160,11 @@ def test_active_users_processing_time_mode(spark):
     out = agg.active_users(records(spark, lines), time_mode="processing").collect()
     # all rows fall into the window of the ingestion time, not the event time
     assert len(out) == 1 and out[0].active_users == 2 and out[0].window_start.year > 2020
+
+
+def test_fine_bucket_path_is_exact(spark):
+    # More buckets than the quantile grid: the second (approxQuantile) pass.
+    lines = _lines(300, seed=9)
+    got = agg.status_changelog(records(spark, lines), n_buckets=1500).orderBy("offset").collect()
+    want = agg.status_changelog(records(spark, lines), n_buckets=1).orderBy("offset").collect()
+    assert got == want
