@@ -304,3 +304,20 @@ def test_pipeline_ingest_then_export(spark, workdir):
     assert spark.sql("SELECT COUNT(*) FROM bets WHERE exported = true").first()[0] == \
         up.current_bets(spark, bets).count()
     assert spark.sql("SELECT COUNT(*) FROM bets_quarantine").first()[0] > 0
+
+
+def test_legacy_table_ingest_and_export(spark, workdir):
+    import datetime as dt
+    recs = bet_records(spark, SF001, "flat")
+    src, bets, out = (os.path.join(workdir, d) for d in ("src", "legacy", "export"))
+    _push(recs, src, "b0")
+    q = jobs.ingest_job(read_records(spark, src, streaming=True), bets, table="legacy",
+                        checkpoint=checkpoint_path(spark, "t", os.path.basename(workdir), "g"))
+    q.processAllAvailable()
+    q.stop()
+    n = jobs.export_job(spark, bets, out, dt.datetime(2024, 2, 2), layout="legacy")
+    files = spark.read.parquet(os.path.join(out, "raw"))
+    from wagerflow.operators.export import LEGACY_EXPORT_COLUMNS
+    assert n == files.count() == recs.count() - spark.read.parquet(
+        os.path.join(bets, "quarantine")).count()
+    assert [c for c in files.columns if c not in ("export_date", "batch_id")] == LEGACY_EXPORT_COLUMNS

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wagerflow.operators.upsert import (
-    CONTENT_COLUMNS, KEY, ROW_HASH, current_bets, with_row_hash,
+    KEY, NON_CONTENT, ROW_HASH, current_bets, with_row_hash,
 )
 
 # Export file layouts (current 20 columns; legacy 7 columns).
@@ -66,7 +66,7 @@ def with_exported_since(states: DataFrame, current: str, exported: str) -> DataF
     in the same row -- no join, one pass.
     """
     fields = states.schema[current].dataType.fieldNames()
-    content = [c for c in CONTENT_COLUMNS if c in fields]
+    content = [c for c in fields if c not in NON_CONTENT]
     h = lambda s: F.xxhash64(*[F.col(s).getField(c) for c in content])
     same = F.col(exported).isNotNull() & (h(current) == h(exported))
     return states.filter(F.col(current).isNotNull()).select(
@@ -118,11 +118,13 @@ def read_ledger(spark: SparkSession, ledger_root: str) -> DataFrame | None:
 
 
 def run_export_once(spark: SparkSession, bets_root: str, out_root: str,
-                    export_time: dt.datetime, batch_id: str | None = None) -> int:
+                    export_time: dt.datetime, batch_id: str | None = None,
+                    layout: str = "current") -> int:
     """One scheduled export run; returns the number of rows exported.
 
     ``batch_id`` defaults to the scheduled time, so a retry of the same run
     rewrites the same directories.  No pending rows -> no files (returns 0).
+    ``layout="legacy"`` writes the 7-column rows of the older flat table.
     """
     batch_id = batch_id or export_time.strftime("%Y%m%dT%H%M%S")
     ledger_root = os.path.join(out_root, "_ledger")
@@ -137,6 +139,7 @@ def run_export_once(spark: SparkSession, bets_root: str, out_root: str,
     n = staged.count()
     if n == 0:
         return 0
-    write_export(export_projection(staged), out_root, batch_id, export_time)
+    project = legacy_export_projection if layout == "legacy" else export_projection
+    write_export(project(staged), out_root, batch_id, export_time)
     append_ledger(staged, ledger_root, batch_id, export_time)
     return n

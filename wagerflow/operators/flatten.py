@@ -337,7 +337,12 @@ def annotate_legacy_bets(records: DataFrame) -> DataFrame:
 
 
 def flatten_legacy_bets(records: DataFrame) -> tuple[DataFrame, DataFrame]:
-    ann = observe_ingest(annotate_legacy_bets(records), "wagerflow_legacy_ingest")
+    return split_legacy_bets(annotate_legacy_bets(records))
+
+
+def split_legacy_bets(annotated: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(valid legacy rows with version columns, quarantine rows)."""
+    ann = observe_ingest(annotated, "wagerflow_legacy_ingest")
     ok = F.size("reasons") == 0
     valid = ann.filter(ok).select(
         "bet_id", "user_id", "game", "amount", "status", F.col("ts").alias("timestamp"),

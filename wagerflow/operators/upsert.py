@@ -21,17 +21,25 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wagerflow.schemas import BET_COLUMNS, VERSION_COLUMNS
+from wagerflow.schemas import VERSION_COLUMNS
 
 KEY = "bet_id"
 ROW_HASH = "row_hash"
-# Columns that identify a bet's *content*; a replayed identical event keeps
-# its hash and is not exported again.
-CONTENT_COLUMNS = [c for c in BET_COLUMNS if c not in ("exported", "raw_event")]
+# A version's *content* is every column except its arrival coordinates, the
+# derived flag and the raw text; a replayed identical event keeps its hash and
+# is not exported again.
+
+
+NON_CONTENT = set(VERSION_COLUMNS) | {"exported", "raw_event", "batch_id", ROW_HASH}
+
+
+def content_columns(df: DataFrame) -> list[str]:
+    """The columns that define a version's content (any table layout)."""
+    return [c for c in df.columns if c not in NON_CONTENT]
 
 
 def with_row_hash(df: DataFrame) -> DataFrame:
-    return df.withColumn(ROW_HASH, F.xxhash64(*[F.col(c) for c in CONTENT_COLUMNS]))
+    return df.withColumn(ROW_HASH, F.xxhash64(*[F.col(c) for c in content_columns(df)]))
 
 
 def latest_versions(df: DataFrame, key: str | list[str] = KEY,

@@ -137,9 +137,10 @@ def active_users_job(records: DataFrame, *, shape: str = "flat", files: str | No
 INGEST_COUNTERS = "ingest_counters"
 
 
-def ingest_job(records: DataFrame, bets_root: str, *, checkpoint: str | None = None,
-               trigger: dict | None = None) -> StreamingQuery:
+def ingest_job(records: DataFrame, bets_root: str, *, table: str = "bets",
+               checkpoint: str | None = None, trigger: dict | None = None) -> StreamingQuery:
     """Typed bets: valid rows to the version log, bad rows to quarantine.
+    ``table="legacy"`` types flat events into the older 6-column table.
 
     One parse per record per batch; both outputs are keyed by the batch id,
     so a replayed batch rewrites exactly what it wrote before.  Each batch's
@@ -147,14 +148,16 @@ def ingest_job(records: DataFrame, bets_root: str, *, checkpoint: str | None = N
     named ``ingest_counters`` in the query progress.
     """
     quarantine = table_writer(os.path.join(bets_root, "quarantine"))
+    annotate, split = ((fl.annotate_legacy_bets, fl.split_legacy_bets) if table == "legacy"
+                       else (fl.annotate_bets, fl.split_bets))
 
     def write(annotated: DataFrame, batch_id: int) -> None:
-        valid, bad = fl.split_bets(annotated)
+        valid, bad = split(annotated)
         append_versions(valid, bets_root, batch_id)
         quarantine(bad, batch_id)
 
     # Counters per micro-batch in StreamingQueryProgress.observedMetrics.
-    annotated = fl.observe_ingest(fl.annotate_bets(records), INGEST_COUNTERS)
+    annotated = fl.observe_ingest(annotate(records), INGEST_COUNTERS)
     return fan_out(annotated, "ingest_bets", [write], checkpoint=checkpoint, trigger=trigger)
 
 
@@ -184,7 +187,8 @@ def game_history_job(records: DataFrame, path: str, *, shape: str = "flat",
                         checkpoint=checkpoint, trigger=trigger, partition_by=["event_date"])
 
 
-def export_job(spark, bets_root: str, out_root: str, scheduled_time, batch_id: str | None = None) -> int:
+def export_job(spark, bets_root: str, out_root: str, scheduled_time, batch_id: str | None = None,
+               layout: str = "current") -> int:
     """The scheduled export (every few minutes upstream): one idempotent run.
 
     ``scheduled_time`` is the scheduler's logical time, so a retry of the same
@@ -192,4 +196,4 @@ def export_job(spark, bets_root: str, out_root: str, scheduled_time, batch_id: s
     number of rows exported (0 -> nothing written).
     """
     from wagerflow.operators.export import run_export_once
-    return run_export_once(spark, bets_root, out_root, scheduled_time, batch_id)
+    return run_export_once(spark, bets_root, out_root, scheduled_time, batch_id, layout)
