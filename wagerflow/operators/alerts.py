@@ -71,11 +71,12 @@ def sustained_alerts(points: DataFrame, rule: AlertRule,
     due = F.col("ts") >= F.col("active_since") + F.expr(f"INTERVAL {_interval(rule.for_)}")
     out = (p.filter(F.col("_hit") == 1)
             .groupBy(*keys, "active_since")
-            .agg(F.first("labels").alias("labels"), F.max("ts").alias("last_true"),
+            .agg(F.max("ts").alias("last_true"),
                  F.count(F.lit(1)).alias("samples"),
                  F.min(F.when(due, F.col("ts"))).alias("firing_since"),
                  F.min_by("value", F.when(due, F.col("ts"))).alias("value"))
-            .filter(F.col("firing_since").isNotNull()))
+            .filter(F.col("firing_since").isNotNull())
+            .withColumn("labels", F.map_from_entries(M.SERIES)))
     out = out.withColumn("alert", F.lit(rule.name)).withColumn("severity", F.lit(rule.severity)) \
         .withColumn("summary", _template(rule.summary, F.col("labels"), F.col("value")))
     if rule.description:

@@ -72,10 +72,12 @@ def _windowed(df: DataFrame, range_: str, step: str | None, aggs: dict[str, Colu
     """Aggregate per series and window.  ``aggs`` are partial aggregates per
     step bucket; ``merge`` (same names) combines them over the buckets of a
     sliding window."""
-    keys = ["metric", SERIES, "labels"]
+    # Labels are rebuilt from the ``series`` key after aggregating, so every
+    # aggregation buffer stays fixed-width (hash aggregate, no sort).
+    keys = ["metric", SERIES, F.map_from_entries(SERIES).alias("labels")]
     step = step or range_
     per_step = df.groupBy("metric", SERIES, F.window("ts", step).alias("w")).agg(
-        F.first("labels").alias("labels"), *[e.alias(k) for k, e in aggs.items()])
+        *[e.alias(k) for k, e in aggs.items()])
     if step == range_:
         return per_step.select(*keys, F.col("w.start").alias("window_start"),
                                F.col("w.end").alias("window_end"), *aggs.keys())
@@ -86,8 +88,7 @@ def _windowed(df: DataFrame, range_: str, step: str | None, aggs: dict[str, Colu
     shifted = per_step.select("*", k).withColumn(
         "window_end", F.col("w.end") + F.make_dt_interval(secs=F.col("_k") * s))
     return (shifted.groupBy("metric", SERIES, "window_end")
-                   .agg(F.first("labels").alias("labels"),
-                        *[m.alias(k) for k, m in merge.items()])
+                   .agg(*[m.alias(k) for k, m in merge.items()])
                    .withColumn("window_start",
                                F.col("window_end") - F.make_dt_interval(secs=F.lit(r)))
                    .select(*keys, *WINDOW, *merge.keys()))
@@ -215,10 +216,10 @@ def histogram_mean(samples: DataFrame, base: str, range_: str = "5 minutes",
     both = with_series(samples.filter(F.col("metric").isin(f"{base}_sum", f"{base}_count")))
     inc = increase(both, range_, step)
     per = inc.groupBy(SERIES, *WINDOW).agg(
-        F.first("labels").alias("labels"),
         F.sum(F.when(F.col("metric") == f"{base}_sum", F.col("value"))).alias("_a"),
         F.sum(F.when(F.col("metric") == f"{base}_count", F.col("value"))).alias("_b"))
-    return (per.filter(F.col("_a").isNotNull() & F.col("_b").isNotNull())
+    return (per.withColumn("labels", F.map_from_entries(SERIES))
+               .filter(F.col("_a").isNotNull() & F.col("_b").isNotNull())
                .withColumn("value", _ieee_div(F.col("_a"), F.col("_b")))
                .withColumn("metric", F.lit(f"{base}_mean")).drop("_a", "_b"))
 
