@@ -92,7 +92,9 @@ def prefix_aggregate(df: DataFrame, keys: list[str], order: list[str],
     for out, (kind, col) in aggs.items():
         c = F.col(col)
         if kind == "last":
-            tot.append(F.max_by(c, F.when(c.isNotNull(), F.struct(*order))).alias(out))
+            # A single order column keeps the buffer fixed-width (hash aggregate).
+            key = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+            tot.append(F.max_by(c, F.when(c.isNotNull(), key)).alias(out))
         else:
             tot.append(_window_agg(kind, c).alias(out))
     totals = ranged.groupBy(*jk).agg(*tot)
