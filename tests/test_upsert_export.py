@@ -112,3 +112,12 @@ def test_export_crash_between_write_and_ledger(spark, workdir):
     files = spark.read.parquet(os.path.join(out, "raw"))
     assert files.count() == 2 and files.select("bet_id").distinct().count() == 2
     assert ex.run_export_once(spark, root, out, dt.datetime(2024, 1, 3, 9, 5)) == 0
+
+
+def test_views_before_any_export(spark, workdir):
+    from wagerflow.sources.tables import register_views
+    root = os.path.join(workdir, "bets")
+    up.append_versions(_valid(spark, [_bet("pending"), _bet("win")]), root, 0)
+    register_views(spark, root)
+    assert spark.sql("SELECT COUNT(*) FROM bets WHERE exported = false").first()[0] == 1
+    assert spark.sql("SELECT status FROM bets").first()[0] == "win"
