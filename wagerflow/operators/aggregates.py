@@ -2,7 +2,8 @@
 
 * ``game_window_counts``  per-game count in 10 s tumbling event-time windows
 * ``status_counts``        running count per status (final state / stream update)
-* ``status_changelog``     the value emitted after every record (batch)
+* ``status_changelog``     the value emitted after every record (batch; on a
+                           stream see ``streaming.changelog``)
 * ``average_bet``          running average stake (final state / stream update)
 * ``average_changelog``    the average emitted after every record (batch)
 * ``active_users``         distinct users per 2 min window (two keyed stages)
