@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import decontaminate, substrings
+from llm import decontaminate, near_dup, substrings
 from llm.textops import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,11 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.contract(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.contract(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contract(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
