@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import decontaminate, near_dup, substrings
+from llm import decontaminate, mixing, near_dup, substrings
 from llm.textops import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,14 @@ def query(fn):
     return fn
 
 
+@query
+def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.contract(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op1_mix_sources"] = mixing.ORACLE
+
+
 @query
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.contract(table(spark, sf_dir, "documents"))

@@ -208,7 +208,17 @@ def scratch_name(df: DataFrame, stem: str) -> str:
     return stem
 
 
+def _spaced(text: Column) -> Column:
+    out = F.coalesce(text, F.lit(""))
+    for c in "\t\n\x0b\f\r":
+        out = F.replace(out, F.lit(c), F.lit(" "))
+    return out
+
+
+def word_array(text: Column) -> Column:
+    """The ``[^\\x20\\x09-\\x0D]+`` of a text (null: none), by Spark functions."""
+    return F.array_remove(F.split(_spaced(text), " "), "")
+
+
 def n_words(text: Column) -> Column:
-    """Number of ``[^\\x20\\x09-\\x0D]+`` in a text (null: 0), by Spark functions."""
-    spaced = F.trim(F.translate(F.coalesce(text, F.lit("")), "\t\n\x0b\f\r", "     "))
-    return F.when(spaced == "", F.lit(0)).otherwise(F.size(F.split(spaced, " +"))).cast("long")
+    return F.size(word_array(text)).cast("long")
