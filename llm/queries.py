@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import decontaminate, mixing, near_dup, substrings
+from llm import decontaminate, mixing, near_dup, quality_rules, substrings
 from llm.textops import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +39,8 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contract(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.contract(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -143,13 +143,16 @@ def dedupe_substrings(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -
                       F.xxhash64("text").alias("key"), F.col("text"))
     survey = stored(src.mapInArrow(_survey(window, seed), SURVEYED), "survey")
     long = survey.where(F.col("n_words") >= window)
-    first = long.groupBy("digest").agg(F.min("doc_id").alias("rep"))
+    # the small sides of joins on hot keys are written, so that AQE can split the other side
+    first = stored(long.groupBy("digest").agg(F.min("doc_id").alias("rep")), "copies")
     marks = long.join(first, "digest").where("doc_id = rep").select("doc_id", F.explode("anchors").alias("a"))
-    shared = marks.groupBy("a").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("a")
+    shared = stored(marks.groupBy("a").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
+                    .select("a"), "anchors")
     listed = marks.join(shared, "a").groupBy("doc_id").agg(F.collect_set("a").alias("anchors"))
     cand = stored(src.where("text is not null").join(listed, "doc_id").select(*src.columns, "anchors"), "candidates")
     wins = stored(cand.mapInArrow(_candidates(window, seed), "h1 long, h2 long, doc_id long, key long, at int"), "windows")
-    index = wins.groupBy("h1", "h2").agg(F.min("doc_id").alias("source"))
+    index = stored(wins.groupBy("h1", "h2").agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("last"))
+                   .where("source < last").drop("last"), "index")
     found = wins.join(index, ["h1", "h2"]).where("source < doc_id") \
         .groupBy("doc_id", "key").agg(F.collect_set(F.struct("at", "source")).alias("found"))
     parsed = cand.select("doc_id", "key", "text").join(found, ["doc_id", "key"]) \
