@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import decontaminate, mixing, near_dup, quality_rules, substrings
+from llm import classifier, decontaminate, mixing, near_dup, quality_rules, secret_scan, substrings
 from llm.textops import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,3 +44,13 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 @query
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.contract(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.contract(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifier.contract(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
