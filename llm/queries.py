@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import classifier, decontaminate, mixing, near_dup, quality_rules, secret_scan, substrings
+from llm import chat_template, classifier, decontaminate, mixing, near_dup, quality_rules, secret_scan, substrings
 from llm.textops import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +54,8 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.contract(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_template.contract(table(spark, sf_dir, "conversations"))
