@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import chat_template, classifier, decontaminate, mixing, near_dup, quality_rules, secret_scan, substrings
+from llm import (chat_template, classifier, decontaminate, mixing, near_dup, quality_rules, secret_scan, substrings,
+                 token_counts)
 from llm.textops import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,3 +60,8 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_template.contract(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.contract(table(spark, sf_dir, "documents"))
