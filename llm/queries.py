@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import (chat_template, classifier, decontaminate, mixing, near_dup, quality_rules, secret_scan, substrings,
+from llm import (chat_template, classifier, decontaminate, html_extract, mixing, near_dup, quality_rules, secret_scan, substrings,
                  token_counts)
 from llm.textops import table
 
@@ -65,3 +65,8 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.contract(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.contract(table(spark, sf_dir, "pages"))
