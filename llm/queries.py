@@ -70,3 +70,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.contract(table(spark, sf_dir, "pages"))
+
+
+from corpus_pipeline import ORACLE_SQL, run  # noqa: E402  part of this subpackage, kept at the top of the repository
+
+QUERIES["pipeline"] = run
+if ORACLE_SQL is not None:
+    ORACLE["pipeline"] = ORACLE_SQL
