@@ -4,6 +4,8 @@ import json
 import math
 import random
 
+import pytest
+
 from conftest import records
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -168,3 +170,41 @@ def test_fine_bucket_path_is_exact(spark):
     got = agg.status_changelog(records(spark, lines), n_buckets=1500).orderBy("offset").collect()
     want = agg.status_changelog(records(spark, lines), n_buckets=1).orderBy("offset").collect()
     assert got == want
+
+
+@pytest.mark.parametrize("amounts,want", [(["1.23456789"], 1.23456789), (["0.0000004", "0.0000004"], 0.0000004),
+                                          (["true", '"12.5"'], 6.75), (["1e300", "1"], 5e299)])
+def test_average_is_not_rounded(spark, amounts, want):
+    recs = records(spark, [f'{{"amount":{a}}}' for a in amounts])
+    assert agg.average_bet(recs).first().value == want
+    assert agg.average_changelog(recs, n_buckets=2).orderBy("offset").collect()[-1].value == want
+
+
+def test_long_ids_stay_apart(spark):
+    from wagerflow.sources.testdata import uuid_text
+    rows = spark.range(1234567890123, 1234567890125).select(uuid_text(F.col("id")).alias("u")).collect()
+    assert len({r.u for r in rows}) == 2 and all(len(r.u) == 36 for r in rows)
+
+
+@pytest.mark.parametrize("hot", [[0], [0, 5], [0, 3, 3600]])
+def test_one_hot_timestamp_is_cut_into_buckets(spark, hot):
+    from wagerflow.operators.ordered import BUCKET, with_order_buckets
+    n = 200_000
+    df = spark.range(n).select(
+        F.timestamp_seconds(F.element_at(F.array(*[F.lit(h) for h in hot]), (F.col("id") % len(hot) + 1).cast("int"))).alias("timestamp"),
+        (F.col("id") % 4).cast("int").alias("partition"), F.col("id").alias("offset"))
+    order = ["timestamp", "partition", "offset"]
+    per = with_order_buckets(df, order, 64).groupBy(BUCKET).agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct(*order)).alias("lo"), F.max(F.struct(*order)).alias("hi")).orderBy(BUCKET).collect()
+    assert 40 <= len(per) <= 80 and max(r.n for r in per) < 3 * n / 64
+    assert all(a.hi < b.lo for a, b in zip(per, per[1:]))   # ranges of the order, in order
+
+
+def test_running_sum_over_uneven_buckets(spark):
+    from wagerflow.operators.ordered import prefix_aggregate
+    rows = [(t, p, o) for o, (t, p) in enumerate([(0, 0)] * 40 + [(1, 1)] * 3 + [(7200, 0)] * 30 + [(7201, 2), (9999999, 1)])]
+    df = spark.createDataFrame(rows, "s long, partition int, offset long") \
+        .withColumn("timestamp", F.timestamp_seconds("s")).withColumn("one", F.lit(1))
+    for n in (1, 2, 7, 50):
+        out = prefix_aggregate(df, [], ["timestamp", "partition", "offset"], {"k": ("sum", "one")}, n_buckets=n)
+        assert [r.k for r in out.orderBy("timestamp", "partition", "offset").collect()] == list(range(1, len(rows) + 1))

@@ -3,6 +3,8 @@
 import datetime as dt
 import math
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from wagerflow.operators import alerts as al
@@ -53,8 +55,8 @@ def test_binary_op_label_matching_and_zero_denominator(spark):
                         ("num", {"instance": "i3"}, 0, 1),
                         ("den", {"instance": "i1"}, 0, 10), ("den", {"instance": "i2"}, 0, 0),
                         ("den", {"instance": "i3"}, 0, 0)])
-    num = M.instant_vector(M.select_series(s, "num"), "1 minute")
-    den = M.instant_vector(M.select_series(s, "den"), "1 minute")
+    num = M.instant_vector(M.select_series(s, "num"), "1 minute", lookback="1 minute")
+    den = M.instant_vector(M.select_series(s, "den"), "1 minute", lookback="1 minute")
     assert M.binary_op(num, den, "/").count() == 2  # full label sets: i1 has an extra label
     got = {r.labels["instance"]: r.value for r in M.binary_op(num, den, "/", on=["instance"]).collect()}
     assert got["i1"] == 0.8 and math.isnan(got["i2"]) and got["i3"] == float("inf")
@@ -66,7 +68,7 @@ def test_binary_op_label_matching_and_zero_denominator(spark):
 def test_aggregate_by_label(spark):
     s = samples(spark, [("m", {"api": "get", "n": "1"}, 0, 1), ("m", {"api": "get", "n": "2"}, 30, 2),
                         ("m", {"api": "put"}, 0, 5), ("m", {"api": "get", "n": "1"}, 50, 4)])
-    v = M.instant_vector(s, "1 minute")
+    v = M.instant_vector(s, "1 minute", lookback="1 minute")
     by = {r.labels["api"]: r.value for r in M.aggregate(v, "sum", by=["api"]).collect()}
     assert by == {"get": 6.0, "put": 5.0}
     assert M.aggregate(v, "avg").first().value == 11.0 / 3
@@ -117,3 +119,36 @@ def test_consumer_lag_and_delay_histogram(spark):
     d = spark.createDataFrame([(T0, 0.5), (T0, 2.0), (T0, 20.0)], "timestamp timestamp, d double")
     h = M.delay_histogram(d, F.col("d"), [1, 5, 10]).first()
     assert (h["le_1"], h["le_5"], h["le_10"], h["count"]) == (1, 2, 2, 3)
+
+
+def test_instant_value_survives_steps_without_a_sample(spark):
+    s = samples(spark, [("up", {"i": str(i)}, t, 1.0) for i in range(2) for t in range(0, 300, 45)])
+    v = M.aggregate(M.instant_vector(s, "30 seconds"), "sum").collect()
+    got = {int(r.window_end.timestamp()) % 3600: r.value for r in v}
+    assert all(got[t] == 2.0 for t in range(30, 570, 30))   # gone five minutes after the last sample, at 270 s
+    assert 600 not in got
+
+
+def test_binary_op_raises_on_several_series_per_match(spark):
+    s = samples(spark, [("a", {"i": "x", "n": str(k)}, 0, 1.0) for k in range(2)] + [("b", {"i": "x"}, 0, 2.0)])
+    a, b = (M.instant_vector(M.select_series(s, m), "1 minute") for m in "ab")
+    with pytest.raises(Exception, match="same matching labels"):
+        M.binary_op(a, b, "/", on=["i"]).collect()
+    with pytest.raises(Exception, match="same matching labels"):
+        M.binary_op(b, a, "/", on=["i"]).collect()
+    assert M.binary_op(a, b, "/").collect() == []
+
+
+def test_gap_resets_an_alert(spark):
+    day = 86400
+    s = samples(spark, [("m", {"i": "x"}, t, 5.0) for t in (0, 60, day)] + [("m", {"i": "y"}, t, 5.0) for t in range(0, 3900, 60)])
+    rule = al.AlertRule("High", ">", 1, "1 hour", "warning", "x")
+    out = al.sustained_alerts(s, rule).collect()
+    assert [r.labels["i"] for r in out] == ["y"] and out[0].samples == 65
+
+
+def test_sums_are_exact_for_every_size(spark):
+    for values in ([1.23456789], [0.0000004, 0.0000004], [1e300, 1.0], [0.1] * 10, [1e-30, 2e-30], [123456789012.123]):
+        s = samples(spark, [("m", {}, i, v) for i, v in enumerate(values)])
+        got = M.avg_over_time(s, "1 hour").first().value
+        assert got == math.fsum(values) / len(values)

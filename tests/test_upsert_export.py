@@ -4,6 +4,7 @@ import datetime as dt
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import records
@@ -85,19 +86,6 @@ def test_table_bootstrap_and_scan(spark, workdir):
     assert tables.peek(tables.not_exported(t), 5).count() == 0
 
 
-def test_latest_versions_as_of(spark):
-    v = _valid(spark, [_bet("pending"), _bet("win"), _bet("lose", bet="00000000-0000-0000-0000-0000000000bb")],
-               start="2024-01-01 00:00:00")
-    st = up.latest_versions_as_of(v, {"now": None, "t1": dt.datetime(2024, 1, 1, 0, 0, 1)})
-    assert {r.bet_id[-2:]: r.status for r in up.state(st, "now").collect()} == \
-        {"aa": "win", "bb": "lose"}
-    assert {r.bet_id[-2:]: r.status for r in up.state(st, "t1").collect()} == {"aa": "pending"}
-    flagged = ex.with_exported_since(st, "now", "t1")
-    assert {r.bet_id[-2:]: r.exported for r in flagged.collect()} == {"aa": False, "bb": False}
-    same = ex.with_exported_since(up.latest_versions_as_of(v, {"a": None, "b": None}), "a", "b")
-    assert all(r.exported for r in same.collect())
-
-
 def test_export_crash_between_write_and_ledger(spark, workdir):
     root, out = os.path.join(workdir, "bets"), os.path.join(workdir, "export")
     up.append_versions(_valid(spark, [_bet("pending"), _bet(
@@ -121,3 +109,67 @@ def test_views_before_any_export(spark, workdir):
     register_views(spark, root)
     assert spark.sql("SELECT COUNT(*) FROM bets WHERE exported = false").first()[0] == 1
     assert spark.sql("SELECT status FROM bets").first()[0] == "win"
+
+
+def test_null_that_moves_is_a_change(spark, workdir):
+    root, out = os.path.join(workdir, "bets"), os.path.join(workdir, "export")
+
+    def bet(sport, league):
+        e = json.loads(_bet("win"))
+        e["event"].update(sport=sport, league=league)
+        return json.dumps(e)
+    up.append_versions(_valid(spark, [bet("x", None)]), root, 0)
+    assert ex.run_export_once(spark, root, out, dt.datetime(2024, 1, 2, 10, 0)) == 1
+    up.append_versions(_valid(spark, [bet(None, "x")], start="2024-01-03 00:00:00"), root, 1)
+    assert ex.run_export_once(spark, root, out, dt.datetime(2024, 1, 2, 10, 5)) == 1
+
+
+def test_content_that_returns_is_exported_again(spark, workdir):
+    root, out = os.path.join(workdir, "bets"), os.path.join(workdir, "export")
+    for i, status in enumerate(["win", "lose", "win"]):
+        up.append_versions(_valid(spark, [_bet(status)], start=f"2024-01-0{i + 1} 00:00:00"), root, i)
+        assert ex.run_export_once(spark, root, out, dt.datetime(2024, 1, 5, 10, i)) == 1
+    # an older version that arrives late changes nothing
+    up.append_versions(_valid(spark, [_bet("pending")], start="2024-01-02 12:00:00"), root, 3)
+    assert ex.run_export_once(spark, root, out, dt.datetime(2024, 1, 5, 11)) == 0
+
+
+def test_damaged_ledger_raises(spark, workdir):
+    root, out = os.path.join(workdir, "bets"), os.path.join(workdir, "export")
+    up.append_versions(_valid(spark, [_bet("win")]), root, 0)
+    assert ex.run_export_once(spark, root, out, dt.datetime(2024, 1, 2, 10)) == 1
+    ledger = os.path.join(out, "_ledger")
+    for d, _, files in os.walk(ledger):
+        for f in files:
+            with open(os.path.join(d, f), "wb") as h:
+                h.write(b"damaged")
+    up.append_versions(_valid(spark, [_bet("lose")], start="2024-01-03 00:00:00"), root, 1)
+    with pytest.raises(Exception):
+        ex.run_export_once(spark, root, out, dt.datetime(2024, 1, 2, 11))
+
+
+def test_empty_run_writes_no_files(spark, workdir):
+    root, out = os.path.join(workdir, "bets"), os.path.join(workdir, "export")
+    up.append_versions(_valid(spark, [_bet("win")]).limit(0), root, 0)
+    up.append_versions(_valid(spark, [_bet("win")]), root, 1)
+    assert ex.run_export_once(spark, root, out, dt.datetime(2024, 1, 2, 10)) == 1
+    before = sorted(os.listdir(out))
+    assert ex.run_export_once(spark, root, out, dt.datetime(2024, 1, 2, 11)) == 0
+    assert sorted(os.listdir(out)) == before and "_staging" not in before
+    assert len(os.listdir(os.path.join(out, "raw", "export_date=2024-01-02"))) == 1
+
+
+def test_runs_count_their_batches_alone(spark, workdir):
+    root, out = os.path.join(workdir, "bets"), os.path.join(workdir, "export")
+    bb, cc = "00000000-0000-0000-0000-0000000000bb", "00000000-0000-0000-0000-0000000000cc"
+    up.append_versions(_valid(spark, [_bet("win"), _bet("win", bet=bb)]), root, 0, "run-1")
+    assert ex.run_export_once(spark, root, out, dt.datetime(2024, 1, 2, 10)) == 2
+    up.append_versions(_valid(spark, [_bet("win", bet=cc)]), root, 0, "run-2")
+    assert up.current_bets(spark, root).count() == 3
+    assert ex.run_export_once(spark, root, out, dt.datetime(2024, 1, 2, 11)) == 1
+    up.compact(spark, root, "s1")
+    up.append_versions(_valid(spark, [_bet("lose", bet=bb)], start="2024-01-05 00:00:00"), root, 0, "run-3")
+    assert {r.bet_id[-2:]: r.status for r in up.current_bets(spark, root).collect()} == \
+        {"aa": "win", "bb": "lose", "cc": "win"}
+    up.compact(spark, root, "s2")
+    assert up.current_bets(spark, root).count() == 3

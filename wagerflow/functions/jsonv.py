@@ -26,23 +26,6 @@ def present(v: Column, path: str) -> Column:
     return _node(v, path).isNotNull()
 
 
-def is_json_null(v: Column, path: str) -> Column:
-    """True when ``path`` exists and holds JSON null."""
-    return F.coalesce(F.is_variant_null(_node(v, path)), F.lit(False))
-
-
-def _kind(v: Column, path: str) -> Column:
-    return F.schema_of_variant(_node(v, path))
-
-
-def is_object(v: Column, path: str = "$") -> Column:
-    return F.coalesce(_kind(v, path).startswith("OBJECT"), F.lit(False))
-
-
-def is_string(v: Column, path: str) -> Column:
-    return F.coalesce(_kind(v, path) == F.lit("STRING"), F.lit(False))
-
-
 def get_string(v: Column, path: str) -> Column:
     """Scalar as text (numbers and booleans in their JSON spelling)."""
     return F.try_variant_get(v, path, "string")

@@ -66,6 +66,11 @@ def top_games_ranked(counts: DataFrame, k: int = 3) -> DataFrame:
                   .filter(F.col("rank") <= k))
 
 
+def game_history(counts: DataFrame) -> DataFrame:
+    """History rows ``(game, count, event_time)``; the time is the window's end."""
+    return counts.select("game", "count", F.col("window_end").alias("event_time"))
+
+
 def status_counts(records: DataFrame, shape: str = "flat") -> DataFrame:
     """``(status, count)``: current running count per status."""
     return parse_status(records, shape).groupBy("status").agg(F.sum("n").alias("count"))

@@ -1,11 +1,11 @@
 """Sustained-threshold alerts: ``expr <op> threshold for <duration>``.
 
 Gaps and islands per series, ordered by time: a sample is *hit* when the
-condition holds; a hit whose previous sample was not a hit starts an island,
-and every hit carries the start of its island forward (running aggregates
-computed skew-safe by ``operators.ordered``).  An island is active from its
-first hit; it fires at its first hit at least ``for`` after that.  Output:
-one row per firing island with label-templated text.
+condition holds.  A hit starts an island if the previous sample was not a hit
+or lies further back than the series can go without a value; every hit carries
+the start of its island forward.  An island is active from its first hit; it
+fires at its first hit at least ``for`` after that.  Output: one row per
+firing island with label-templated text.
 """
 
 from __future__ import annotations
@@ -48,27 +48,30 @@ def _template(text: str, labels: Column, value: Column) -> Column:
     return F.concat(*cols) if cols else F.lit("")
 
 
-def sustained_alerts(points: DataFrame, rule: AlertRule,
-                     n_buckets: int | None = None) -> DataFrame:
-    """Firing alert instances of ``rule`` over ``points`` (series, labels, ts,
-    value): ``alert, severity, labels, active_since, firing_since, last_true,
-    samples, value, summary[, description]``.
-
-    Two running passes per series (previous sample's condition, then the
-    start of the current run of hits) share one bucketing; then one
-    aggregate per island -- no self-join, so nothing is recomputed and a
-    long island is just a large partial aggregate, not a skewed join key.
-    """
+def _points(points: DataFrame, rule: AlertRule, max_gap: str) -> DataFrame:
+    """``alert, metric, series, ts, value`` with the rule's condition and times."""
     p = M.with_series(points)
-    keys = ["metric", M.SERIES] if "metric" in p.columns else [M.SERIES]
+    metric = F.col("metric") if "metric" in p.columns else F.lit(None).cast("string")
     hit = F.coalesce(M.comparison(F.col("value"), rule.op, rule.threshold), F.lit(False))
-    p = p.select(*keys, "labels", "ts", "value", hit.cast("int").alias("_hit"))
-    p = previous_value(p, keys, ["ts"], {"_prev_hit": "_hit"}, n_buckets=n_buckets,
-                       keep_bucket=True)
-    starts = (F.col("_hit") == 1) & F.coalesce(F.col("_prev_hit") == 0, F.lit(True))
+    return p.select(F.lit(rule.name).alias("alert"), metric.alias("metric"), M.SERIES, "ts", "value",
+                    hit.cast("int").alias("_hit"), F.lit(M.seconds(rule.for_)).alias("_hold"),
+                    F.lit(M.seconds(max_gap)).alias("_gap"))
+
+
+def _firing(p: DataFrame, rules: list[AlertRule], n_buckets: int | None) -> DataFrame:
+    """Firing islands of the points of one or more rules, in one pass over the
+    order: the previous point's condition and time, then (same buckets) the
+    start of the current island carried forward, then one aggregate per island
+    -- a long island is a large partial aggregate, not a skewed join key."""
+    keys = ["alert", "metric", M.SERIES]
+    p = previous_value(p.withColumn("_ts", F.col("ts")), keys, ["ts"],
+                       {"_prev_hit": "_hit", "_prev_ts": "_ts"}, n_buckets=n_buckets,
+                       keep_bucket=True).drop("_ts")
+    broken = F.col("ts") > F.col("_prev_ts") + F.make_dt_interval(secs=F.col("_gap"))
+    starts = (F.col("_hit") == 1) & F.coalesce((F.col("_prev_hit") == 0) | broken, F.lit(True))
     p = p.withColumn("_start_ts", F.when(starts, F.col("ts")))
     p = prefix_aggregate(p, keys, ["ts"], {"active_since": ("last", "_start_ts")})
-    due = F.col("ts") >= F.col("active_since") + F.expr(f"INTERVAL {_interval(rule.for_)}")
+    due = F.col("ts") >= F.col("active_since") + F.make_dt_interval(secs=F.col("_hold"))
     out = (p.filter(F.col("_hit") == 1)
             .groupBy(*keys, "active_since")
             .agg(F.max("ts").alias("last_true"),
@@ -77,18 +80,30 @@ def sustained_alerts(points: DataFrame, rule: AlertRule,
                  F.min_by("value", F.when(due, F.col("ts"))).alias("value"))
             .filter(F.col("firing_since").isNotNull())
             .withColumn("labels", F.map_from_entries(M.SERIES)))
-    out = out.withColumn("alert", F.lit(rule.name)).withColumn("severity", F.lit(rule.severity)) \
-        .withColumn("summary", _template(rule.summary, F.col("labels"), F.col("value")))
-    if rule.description:
-        out = out.withColumn("description",
-                             _template(rule.description, F.col("labels"), F.col("value")))
-    return out
 
+    def text(field: Callable[[AlertRule], Column]) -> Column:
+        return F.coalesce(*[F.when(F.col("alert") == r.name, field(r)) for r in rules])
+
+    labels, value = F.col("labels"), F.col("value")
+    return out.select(
+        "alert", text(lambda r: F.lit(r.severity)).alias("severity"), "labels", "active_since",
+        "firing_since", "last_true", "samples", "value",
+        text(lambda r: _template(r.summary, labels, value)).alias("summary"),
+        text(lambda r: _template(r.description, labels, value) if r.description
+             else F.lit(None).cast("string")).alias("description"))
 
-def _interval(duration: str) -> str:
-    """``'5 minutes'`` -> ``'5' MINUTE`` (SQL interval literal body)."""
-    n, unit = duration.split()
-    return f"'{int(n)}' {unit.rstrip('s').upper()}"
+
+def sustained_alerts(points: DataFrame, rule: AlertRule, n_buckets: int | None = None,
+                     max_gap: str = M.LOOKBACK) -> DataFrame:
+    """Firing alert instances of ``rule`` over ``points`` (series, labels, ts,
+    value): ``alert, severity, labels, active_since, firing_since, last_true,
+    samples, value, summary, description``.
+
+    ``max_gap``: a series without a point for longer has no value at some
+    evaluation in between, which ends its island (the step, for points on a
+    grid; the lookback, for raw samples).
+    """
+    return _firing(_points(points, rule, max_gap), [rule], n_buckets)
 
 
 def rule_points(vector: DataFrame) -> DataFrame:
@@ -106,10 +121,10 @@ def _instant(metric: str, **eq: str) -> Callable[[DataFrame], DataFrame]:
     return lambda s: rule_points(M.instant_vector(M.select_series(s, metric, eq), EVAL_STEP))
 
 
-def _ratio(num: str, den: str, on: list[str]) -> Callable[[DataFrame], DataFrame]:
+def _ratio(num: str, den: str) -> Callable[[DataFrame], DataFrame]:
     return lambda s: rule_points(M.binary_op(
         M.instant_vector(M.select_series(s, num), EVAL_STEP),
-        M.instant_vector(M.select_series(s, den), EVAL_STEP), "/", on=on))
+        M.instant_vector(M.select_series(s, den), EVAL_STEP), "/"))
 
 
 REFERENCE_RULES = [
@@ -119,8 +134,7 @@ REFERENCE_RULES = [
               _instant("kafka_consumergroup_lag_sum")),
     AlertRule("PostgreSQLHighConnections", ">", 0.8, "5 minutes", "warning",
               "PostgreSQL connection pool is nearly full", None,
-              _ratio("pg_stat_database_numbackends", "pg_settings_max_connections",
-                     ["instance"])),
+              _ratio("pg_stat_database_numbackends", "pg_settings_max_connections")),
     AlertRule("FlinkJobFailed", "==", 1, "1 minute", "critical",
               "Flink job {{ $labels.job_name }} has failed", None,
               _instant("flink_jobmanager_job_status", status="FAILED")),
@@ -134,22 +148,17 @@ REFERENCE_RULES = [
                   s, "container_cpu_usage_seconds_total"), "5 minutes", EVAL_STEP))),
     AlertRule("HighMemoryUsage", ">", 0.9, "5 minutes", "warning",
               "Container {{ $labels.name }} has high memory usage", None,
-              _ratio("container_memory_usage_bytes", "container_spec_memory_limit_bytes",
-                     ["name"])),
+              _ratio("container_memory_usage_bytes", "container_spec_memory_limit_bytes")),
 ]
 
 
-def evaluate_rules(samples: DataFrame, rules: list[AlertRule] = REFERENCE_RULES) -> DataFrame:
-    """All firing instances of ``rules`` over metric samples (one union)."""
-    outs = []
-    for r in rules:
-        pts = r.expr(samples) if r.expr else M.with_series(samples)
-        a = sustained_alerts(pts, r)
-        if "description" not in a.columns:
-            a = a.withColumn("description", F.lit(None).cast("string"))
-        outs.append(a.select("alert", "severity", "labels", "active_since", "firing_since",
-                             "last_true", "samples", "value", "summary", "description"))
-    res = outs[0]
-    for o in outs[1:]:
-        res = res.unionByName(o)
-    return res
+def evaluate_rules(samples: DataFrame, rules: list[AlertRule] = REFERENCE_RULES,
+                   n_buckets: int | None = None) -> DataFrame:
+    """All firing instances of ``rules`` over metric samples; the points of all
+    rules go through the island search together."""
+    parts = [_points(r.expr(samples) if r.expr else samples, r, EVAL_STEP if r.expr else M.LOOKBACK)
+             for r in rules]
+    points = parts[0]
+    for p in parts[1:]:
+        points = points.unionByName(p)
+    return _firing(points, rules, n_buckets)

@@ -2,16 +2,19 @@
 
 The reference selects ``exported = false`` rows, uploads one file, then flips
 the flag per row.  Here ``exported`` is derived from an append-only *ledger*
-of exported ``(bet_id, row_hash)`` pairs:
-
-1. ``pending_bets`` = current bets anti-joined with the ledger (a bet whose
-   content changed since its last export is pending again; a replayed
-   identical event is not);
-2. ``write_export`` writes them under ``export_date=YYYY-MM-DD/batch_id=B``
-   (UTC export time) -- a retry of batch B overwrites its own directory;
-3. ``append_ledger`` records them under ``batch_id=B`` last, also
-   idempotently.  A crash between 2 and 3 re-exports the same rows into the
-   same directory on retry: no duplicates, no loss.
+with the content hash and arrival order of every exported version:
+
+1. a run reads only the batches of the version log that are newer than the
+   last run's (``_upto``: the last batch of every run id), takes the latest
+   version per bet among them and compares it with the bet's last ledger
+   entry: newer with other content -> pending; newer with equal content (a
+   replayed event) -> only noted in the ledger; older -> nothing;
+2. ``write_export`` writes the pending rows under ``export_date=YYYY-MM-DD/
+   batch_id=B`` (UTC export time) -- a retry of batch B overwrites its own
+   directory;
+3. ``append_ledger`` records them under ``batch_id=B``, also idempotently, and
+   last of all the batches read are noted.  A crash in between re-exports the
+   same rows into the same directory on retry: no duplicates, no loss.
 """
 
 from __future__ import annotations
@@ -23,8 +26,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wagerflow.operators.upsert import (
-    KEY, NON_CONTENT, ROW_HASH, current_bets, with_row_hash,
+    KEY, ROW_HASH, RUN_COLUMNS, held, latest_versions, read_versions, with_row_hash,
 )
+from wagerflow.schemas import VERSION_COLUMNS
+from wagerflow.sources.tables import table_exists
 
 # Export file layouts (current 20 columns; legacy 7 columns).
 EXPORT_COLUMNS = [
@@ -37,41 +42,31 @@ LEGACY_EXPORT_COLUMNS = ["bet_id", "user_id", "game", "amount", "status", "times
 MONEY_COLUMNS = {"amount", "payout", "odds"}
 
 
+def last_exported(ledger: DataFrame) -> DataFrame:
+    """``(bet_id, _hash, _at)``: the last ledger entry of each bet."""
+    order = F.struct(*VERSION_COLUMNS)
+    return ledger.groupBy(KEY).agg(F.max_by(ROW_HASH, order).alias("_hash"), F.max(order).alias("_at"))
+
+
 def with_exported(bets: DataFrame, ledger: DataFrame | None) -> DataFrame:
-    """Derive the ``exported`` flag: current content already in the ledger."""
+    """Derive the ``exported`` flag: the bet's last exported content is its current one."""
     bets = bets if ROW_HASH in bets.columns else with_row_hash(bets)
     if ledger is None:
         return bets.withColumn("exported", F.lit(False))
-    done = ledger.select(KEY, ROW_HASH).distinct().withColumn("_done", F.lit(True))
-    return (bets.drop("exported").join(done, [KEY, ROW_HASH], "left")
-                .withColumn("exported", F.coalesce(F.col("_done"), F.lit(False)))
-                .drop("_done"))
+    return (bets.drop("exported").join(last_exported(ledger), KEY, "left")
+                .withColumn("exported", F.coalesce(F.col("_hash") == F.col(ROW_HASH), F.lit(False)))
+                .drop("_hash", "_at"))
 
 
 def pending_bets(bets: DataFrame, ledger: DataFrame | None) -> DataFrame:
-    """Bets whose current content has not been exported (``exported = false``)."""
-    bets = bets if ROW_HASH in bets.columns else with_row_hash(bets)
-    if ledger is None:
-        return bets.withColumn("exported", F.lit(False))
-    return (bets.join(ledger.select(KEY, ROW_HASH), [KEY, ROW_HASH], "left_anti")
-                .withColumn("exported", F.lit(False)))
-
+    """Bets whose current content is not the one exported last (``exported = false``)."""
+    return with_exported(bets, ledger).filter(~F.col("exported"))
 
-def with_exported_since(states: DataFrame, current: str, exported: str) -> DataFrame:
-    """Current bets flagged against the state a previous export run wrote.
 
-    ``states`` comes from ``upsert.latest_versions_as_of``; when the ledger is
-    "what the run at time T exported" (one version per bet), the anti-join
-    of ``pending_bets`` reduces to comparing the two versions' content hashes
-    in the same row -- no join, one pass.
-    """
-    fields = states.schema[current].dataType.fieldNames()
-    content = [c for c in fields if c not in NON_CONTENT]
-    h = lambda s: F.xxhash64(*[F.col(s).getField(c) for c in content])
-    same = F.col(exported).isNotNull() & (h(current) == h(exported))
-    return states.filter(F.col(current).isNotNull()).select(
-        KEY, *[F.col(current).getField(c).alias(c) for c in fields if c != "exported"],
-        same.alias("exported"))
+def ledger_rows(bets: DataFrame) -> DataFrame:
+    """What the ledger keeps of exported bets."""
+    return (bets if ROW_HASH in bets.columns else with_row_hash(bets)) \
+        .select(KEY, ROW_HASH, *VERSION_COLUMNS)
 
 
 def export_counts(bets_with_flag: DataFrame) -> DataFrame:
@@ -103,7 +98,7 @@ def write_export(rows: DataFrame, out_root: str, batch_id: str,
 
 def append_ledger(exported: DataFrame, ledger_root: str, batch_id: str,
                   export_time: dt.datetime) -> None:
-    (exported.select(KEY, ROW_HASH)
+    (ledger_rows(exported)
         .withColumn("exported_at", F.lit(export_time).cast("timestamp"))
         .withColumn("batch_id", F.lit(batch_id))
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -111,10 +106,18 @@ def append_ledger(exported: DataFrame, ledger_root: str, batch_id: str,
 
 
 def read_ledger(spark: SparkSession, ledger_root: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(ledger_root)
-    except Exception:  # noqa: BLE001 -- first run: no ledger yet
-        return None
+    """The ledger, or None before the first export.  A ledger that cannot be
+    read is an error: without it everything would be exported again."""
+    return spark.read.parquet(ledger_root) if table_exists(spark, ledger_root) else None
+
+
+def _read_upto(spark: SparkSession, path: str, batch_id: str) -> dict[str, int]:
+    """Last batch of every run id that earlier export runs have read."""
+    if not table_exists(spark, path):
+        return {}
+    rows = spark.read.json(path, schema="run string, upto long, batch_id string") \
+        .filter(F.col("batch_id") != batch_id).groupBy("run").agg(F.max("upto").alias("upto"))
+    return {r["run"]: r["upto"] for r in rows.collect()}   # one row per checkpoint that ever wrote
 
 
 def run_export_once(spark: SparkSession, bets_root: str, out_root: str,
@@ -127,19 +130,37 @@ def run_export_once(spark: SparkSession, bets_root: str, out_root: str,
     ``layout="legacy"`` writes the 7-column rows of the older flat table.
     """
     batch_id = batch_id or export_time.strftime("%Y%m%dT%H%M%S")
-    ledger_root = os.path.join(out_root, "_ledger")
+    ledger_root, upto_root = os.path.join(out_root, "_ledger"), os.path.join(out_root, "_upto")
     ledger = read_ledger(spark, ledger_root)
     if ledger is not None:
         ledger = ledger.filter(F.col("batch_id") != batch_id)
-    pending = pending_bets(current_bets(spark, bets_root), ledger)
-    # Materialise the batch once so the file write and the ledger agree.
-    staged_root = os.path.join(out_root, "_staging", batch_id)
-    pending.write.mode("overwrite").parquet(staged_root)
-    staged = spark.read.parquet(staged_root)
-    n = staged.count()
-    if n == 0:
-        return 0
-    project = legacy_export_projection if layout == "legacy" else export_projection
-    write_export(project(staged), out_root, batch_id, export_time)
-    append_ledger(staged, ledger_root, batch_id, export_time)
+    upto = _read_upto(spark, upto_root, batch_id)
+    versions = read_versions(spark, bets_root)
+    now = {r["run"]: r["upto"] for r in
+           versions.groupBy("run").agg(F.max("batch_id").alias("upto")).collect()}
+    # A fixed set of immutable batches: recomputing a lost part gives the same rows.
+    fresh = versions.filter(held(now) & ~held(upto)).drop(*RUN_COLUMNS)
+    latest = latest_versions(fresh)
+    if ledger is not None:
+        latest = latest.join(last_exported(ledger), KEY, "left") \
+            .filter(F.col("_at").isNull() | (F.struct(*VERSION_COLUMNS) > F.col("_at"))) \
+            .withColumn("exported", F.coalesce(F.col("_hash") == F.col(ROW_HASH), F.lit(False))) \
+            .drop("_hash", "_at")
+    else:
+        latest = latest.withColumn("exported", F.lit(False))
+    latest = latest.persist()
+    try:
+        pending = latest.filter(~F.col("exported"))
+        n = pending.count()
+        if n:
+            project = legacy_export_projection if layout == "legacy" else export_projection
+            write_export(project(pending), out_root, batch_id, export_time)
+        if not latest.isEmpty():
+            append_ledger(latest, ledger_root, batch_id, export_time)
+    finally:
+        latest.unpersist()
+    new = [(r, b, batch_id) for r, b in now.items() if b > upto.get(r, -1)]
+    if new:
+        spark.createDataFrame(new, "run string, upto long, batch_id string") \
+            .coalesce(1).write.mode("append").json(upto_root)
     return n

@@ -20,13 +20,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wagerflow.functions.exact import exact_part, exact_sum, inexact_part, total
 from wagerflow.operators.ordered import previous_value
 
 SERIES = "series"
 WINDOW = ["window_start", "window_end"]
 
 
-def _seconds(duration: str) -> int:
+def seconds(duration: str) -> int:
     n, unit = duration.split()
     mult = {"second": 1, "seconds": 1, "minute": 60, "minutes": 60, "hour": 3600,
             "hours": 3600, "day": 86400, "days": 86400}[unit]
@@ -44,6 +45,10 @@ def label(name: str) -> Column:
     return F.coalesce(F.col("labels").getItem(name), F.lit(""))
 
 
+def label_or_null(name: str) -> Column:
+    return F.col("labels").getItem(name)
+
+
 def select_series(samples: DataFrame, metric: str, equal: dict[str, str] | None = None,
                   not_equal: dict[str, str] | None = None) -> DataFrame:
     """Instant selector ``metric{k="v", k2!="v2"}``."""
@@ -81,7 +86,7 @@ def _windowed(df: DataFrame, range_: str, step: str | None, aggs: dict[str, Colu
     if step == range_:
         return per_step.select(*keys, F.col("w.start").alias("window_start"),
                                F.col("w.end").alias("window_end"), *aggs.keys())
-    r, s = _seconds(range_), _seconds(step)
+    r, s = seconds(range_), seconds(step)
     if r % s:
         raise ValueError("range must be a multiple of step")
     k = F.explode(F.sequence(F.lit(0), F.lit(r // s - 1))).alias("_k")
@@ -105,35 +110,52 @@ def rate(samples: DataFrame, range_: str = "5 minutes", step: str | None = None,
          n_buckets: int | None = None) -> DataFrame:
     """``rate(counter[range])``: increase per second of the range."""
     inc = increase(samples, range_, step, n_buckets)
-    return inc.withColumn("value", F.col("value") / F.lit(float(_seconds(range_))))
+    return inc.withColumn("value", F.col("value") / F.lit(float(seconds(range_))))
 
 
-def avg_over_time(samples: DataFrame, range_: str = "5 minutes", step: str | None = None,
-                  exact_scale: int | None = None) -> DataFrame:
-    """``avg_over_time(gauge[range])``.  With ``exact_scale`` the sum runs in
-    DECIMAL(38, scale), so the result does not depend on summation order."""
-    v = F.col("value") if exact_scale is None else \
-        F.col("value").cast(f"decimal(38,{exact_scale})")
+def avg_over_time(samples: DataFrame, range_: str = "5 minutes",
+                  step: str | None = None) -> DataFrame:
+    """``avg_over_time(gauge[range])``; the sum does not depend on the order of
+    addition (see ``functions.exact``)."""
+    v = F.col("value")
     s = with_series(samples)
-    out = _windowed(s, range_, step, {"_s": F.sum(v), "_n": F.count("value")},
-                    {"_s": F.sum("_s"), "_n": F.sum("_n")})
-    return out.withColumn("value", F.col("_s").cast("double") / F.col("_n")).drop("_s", "_n")
+    out = _windowed(s, range_, step,
+                    {"_s": F.sum(exact_part(v)), "_f": F.sum(inexact_part(v)), "_n": F.count(v)},
+                    {"_s": F.sum("_s"), "_f": F.sum("_f"), "_n": F.sum("_n")})
+    return out.withColumn("value", total(F.col("_s"), F.col("_f")) / F.col("_n")).drop("_s", "_f", "_n")
 
 
-def instant_vector(samples: DataFrame, step: str = "5 minutes") -> DataFrame:
-    """Value of every series at each step: its last sample inside the step
-    (``max_by`` -- a partial aggregate, no per-series window)."""
-    s = with_series(samples)
-    return _windowed(s, step, None, {"value": F.max_by("value", "ts")}, {})
+# How far back an instant value may lie before the series counts as gone.
+LOOKBACK = "5 minutes"
+
 
+def instant_vector(samples: DataFrame, step: str = "5 minutes",
+                   lookback: str = LOOKBACK) -> DataFrame:
+    """Value of every series at the end of each step: its last sample within
+    ``lookback`` before it, also from earlier steps; none -> no value.
 
-def aggregate(vector: DataFrame, fn: str = "sum", by: list[str] | None = None,
-              exact_scale: int | None = None) -> DataFrame:
+    The last sample of each step (``max_by``, a partial aggregate) is carried
+    into the following steps it can reach; raw samples are not multiplied.
+    """
+    s, keys = with_series(samples), ["metric", SERIES]
+    width, back = seconds(step), seconds(lookback)
+    last = s.groupBy(*keys, F.window("ts", step).alias("w")).agg(
+        F.max("ts").alias("_t"), F.max_by("value", "ts").alias("value"))
+    reach = F.explode(F.sequence(F.lit(0), F.lit(-(-back // width)))).alias("_k")
+    seen = last.select(*keys, "_t", "value", F.col("w.end").alias("_end"), reach) \
+        .withColumn("window_end", F.col("_end") + F.make_dt_interval(secs=F.col("_k") * width)) \
+        .filter(F.col("_t") >= F.col("window_end") - F.make_dt_interval(secs=F.lit(back)))
+    return seen.groupBy(*keys, "window_end").agg(F.max_by("value", "_t").alias("value")).select(
+        *keys, F.map_from_entries(SERIES).alias("labels"),
+        (F.col("window_end") - F.make_dt_interval(secs=F.lit(width))).alias("window_start"),
+        "window_end", "value")
+
+
+def aggregate(vector: DataFrame, fn: str = "sum", by: list[str] | None = None) -> DataFrame:
     """``sum|avg|min|max|count (vector) by (labels)`` per window."""
     by = by or []
-    v = F.col("value") if exact_scale is None else \
-        F.col("value").cast(f"decimal(38,{exact_scale})")
-    agg = {"sum": F.sum(v), "avg": F.sum(v).cast("double") / F.count(v), "min": F.min(v),
+    v = F.col("value")
+    agg = {"sum": exact_sum(v), "avg": exact_sum(v) / F.count(v), "min": F.min(v),
            "max": F.max(v), "count": F.count(v)}[fn]
     out = vector.groupBy(*WINDOW, *[label(b).alias(b) for b in by]).agg(
         agg.cast("double").alias("value"))
@@ -153,25 +175,53 @@ def _ieee_div(a: Column, b: Column) -> Column:
 
 def binary_op(left: DataFrame, right: DataFrame, op: str,
               on: list[str] | None = None) -> DataFrame:
-    """``left <op> on(labels) right``: inner join per window on the matching
-    labels (all labels when ``on`` is None), then the arithmetic."""
-    lk = ["window_start", "window_end"]
-    if on is None:
-        l, r = left.select(*lk, SERIES, "labels", F.col("value").alias("_a")), \
-            right.select(*lk, SERIES, F.col("value").alias("_b"))
-        j = l.join(r, lk + [SERIES])
-    else:
-        l = left.select(*lk, *[label(k).alias(f"_on_{k}") for k in on], "labels",
-                        F.col("value").alias("_a"))
-        r = right.select(*lk, *[label(k).alias(f"_on_{k}") for k in on],
-                         F.col("value").alias("_b"))
-        j = l.join(r, lk + [f"_on_{k}" for k in on]).drop(*[f"_on_{k}" for k in on])
-        j = j.withColumn(SERIES, F.array_sort(F.map_entries("labels")))
+    """``left <op> on(labels) right``: one-to-one per window on the matching
+    labels (all labels when ``on`` is None), then the arithmetic.
+
+    Two series of one side with the same matching labels are an error, as in
+    the query language: the result would depend on which of them is taken.
+    The check groups by the join keys, so it adds no shuffle to the join.
+    """
+    def one(side: DataFrame, name: str, v: str) -> DataFrame:
+        key = [label(k).alias(f"_on_{k}") for k in on] if on is not None else [F.col(SERIES).alias("_on")]
+        per = side.select(*WINDOW, *key, SERIES, "value").groupBy(
+            *WINDOW, *[f"_on_{k}" for k in on or []] if on is not None else ["_on"]).agg(
+            F.count(F.lit(1)).alias("_n"), F.min(SERIES).alias(f"_s{v}"), F.min("value").alias(v))
+        unique = F.when(F.col("_n") > 1, F.raise_error(F.lit(
+            f"several series on the {name} side have the same matching labels"))).otherwise(F.col(v))
+        return per.withColumn(v, unique).drop("_n")
+
+    keys = WINDOW + ([f"_on_{k}" for k in on] if on is not None else ["_on"])
+    j = one(left, "left", "_a").join(one(right, "right", "_b").drop("_s_b"), keys)
+    j = j.withColumnRenamed("_s_a", SERIES).withColumn("labels", F.map_from_entries(SERIES)) \
+        .drop(*[k for k in keys if k not in WINDOW])
     a, b = F.col("_a"), F.col("_b")
     val = {"+": a + b, "-": a - b, "*": a * b, "/": _ieee_div(a, b)}[op]
     return j.withColumn("value", val).drop("_a", "_b")
 
 
+def ratio_of_increases(samples: DataFrame, numerator: str, denominator: str,
+                       range_: str = "5 minutes", by: list[str] | None = None,
+                       with_numerator: bool = False) -> DataFrame:
+    """``sum by (..) (rate(numerator[r])) / sum by (..) (rate(denominator[r]))``.
+
+    Both counters go through one ``increase`` and one conditional sum, so the
+    samples are read and ordered once.  ``with_numerator`` adds the numerator
+    to the denominator: the share of one of two counters, as in a hit ratio.
+    Groups that lack one of the counters have no value, as in a match.
+    """
+    by = by or []
+    inc = increase(samples.filter(F.col("metric").isin(numerator, denominator)), range_)
+    part = lambda m: exact_sum(F.when(F.col("metric") == m, F.col("value")))
+    per = inc.groupBy(*WINDOW, *[label(b).alias(b) for b in by]).agg(
+        part(numerator).alias("_a"), part(denominator).alias("_b"))
+    labels = F.create_map(*[x for b in by for x in (F.lit(b), F.col(b))]) if by else F.create_map()
+    whole = F.col("_a") + F.col("_b") if with_numerator else F.col("_b")
+    return (per.filter(F.col("_a").isNotNull() & F.col("_b").isNotNull())
+               .select(*WINDOW, labels.cast("map<string,string>").alias("labels"),
+                       _ieee_div(F.col("_a"), whole).alias("value")))
+
+
 def fraction(vector: DataFrame, equal: dict[str, str]) -> DataFrame:
     """``sum(v{selector}) / sum(v)`` per window in one aggregate (the two
     sums share every input row, so no join of two vectors is needed).
@@ -194,11 +244,6 @@ def scalar_op(vector: DataFrame, op: str, x: float) -> DataFrame:
     return vector.withColumn("value", val)
 
 
-def compare(vector: DataFrame, op: str, threshold: float) -> DataFrame:
-    """PromQL comparison filter: keep elements where ``value <op> threshold``."""
-    return vector.filter(comparison(F.col("value"), op, threshold))
-
-
 def comparison(v: Column, op: str, threshold: float) -> Column:
     t = F.lit(float(threshold))
     return {">": v > t, ">=": v >= t, "<": v < t, "<=": v <= t, "==": v == t,
@@ -231,7 +276,7 @@ def delay_histogram(df: DataFrame, delay_seconds: Column, buckets: list[float],
     d = delay_seconds
     aggs = [F.count(F.when(d <= F.lit(float(b)), 1)).alias(f"le_{b:g}") for b in buckets]
     return df.groupBy(F.window(time_col, step).alias("w")).agg(
-        *aggs, F.count(d).alias("count"), F.sum(d).alias("sum")) \
+        *aggs, F.count(d).alias("count"), exact_sum(d).alias("sum")) \
         .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                 *[f"le_{b:g}" for b in buckets], "count", "sum")
 
@@ -239,9 +284,9 @@ def delay_histogram(df: DataFrame, delay_seconds: Column, buckets: list[float],
 def consumer_lag(records: DataFrame, committed: DataFrame) -> DataFrame:
     """Per source partition: records after the committed offset.
 
-    ``committed`` is ``(partition, committed_offset)`` -- one row per source
-    partition, a bounded table, so it is broadcast."""
-    j = records.join(F.broadcast(committed), "partition", "left")
+    ``committed`` is ``(partition, committed_offset)``; AQE broadcasts it if
+    its measured size is small."""
+    j = records.join(committed, "partition", "left")
     behind = F.col("committed_offset").isNull() | (F.col("offset") > F.col("committed_offset"))
     return j.groupBy("partition").agg(F.count(F.when(behind, 1)).alias("lag"),
                                       F.max("offset").alias("end_offset"))

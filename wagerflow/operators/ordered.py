@@ -5,10 +5,12 @@ window over the arrival order.  Partitioning that window by the key alone
 puts a hot key (or, for a global average, every row) into one task.  Here the
 order is cut into contiguous ranges instead:
 
-1. equal-frequency split points of the order (``approxQuantile`` on its
-   leading column -- n numbers on the driver) and a ``Bucketizer`` turn every
-   row into a bucket id that is a pure function of its order value, so every
-   branch of the plan agrees on it (a hot key spans many buckets);
+1. one ``groupBy().count()`` of cells of the leading order column gives cut
+   points with about equal row counts (a few numbers per cell on the driver);
+   a value that alone is larger than a bucket is cut by the rest of the order
+   (partition, offset).  The bucket id is a pure function of the row's order
+   columns, so every branch of the plan and every retry agrees on it, and
+   neither a hot key nor a single hot timestamp ends up in one task;
 2. per bucket and key, the bucket's total (a small table: at most
    buckets x keys-per-bucket rows);
 3. the carry into each bucket = prefix of those totals over earlier buckets
@@ -40,8 +42,10 @@ def _window_agg(kind: str, c: Column) -> Column:
         else F.last(c, ignorenulls=True)
 
 
-def _combine(kind: str, carry: Column, local: Column) -> Column:
+def _combine(kind: str, carry: Column, local: Column, scale: int | None = None) -> Column:
     if kind == "sum":
+        if scale is not None:   # room for the carry digit, so that no decimal place is given up
+            carry, local = (c.cast(f"decimal(37,{scale})") for c in (carry, local))
         return F.when(carry.isNull() & local.isNull(), F.lit(None)).otherwise(
             F.coalesce(carry, F.lit(0)) + F.coalesce(local, F.lit(0)))
     if kind == "max":
@@ -74,7 +78,7 @@ def prefix_aggregate(df: DataFrame, keys: list[str], order: list[str],
     for kind, _ in aggs.values():
         if kind not in KINDS:
             raise ValueError(f"unsupported prefix kind {kind!r}")
-    ranged = df if BUCKET in df.columns else with_order_buckets(df, order[0], n_buckets)
+    ranged = df if BUCKET in df.columns else with_order_buckets(df, order, n_buckets)
     if materialize and _checkpoint_dir(df.sparkSession):
         ranged = ranged.checkpoint(eager=True)
     # Join keys without NULLs: (filled value, is-null flag) per key.  The
@@ -115,8 +119,14 @@ def prefix_aggregate(df: DataFrame, keys: list[str], order: list[str],
     passthrough = [c for c in df.columns if c != BUCKET] + ([BUCKET] if keep_bucket else [])
     return joined.select(
         *[F.col(c) for c in passthrough],
-        *[_combine(kind, F.col("_c_" + out), F.col("_l_" + out)).alias(out)
-          for out, (kind, _) in aggs.items()])
+        *[_combine(kind, F.col("_c_" + out), F.col("_l_" + out), decimal_scale(df, col)).alias(out)
+          for out, (kind, col) in aggs.items()])
+
+
+def decimal_scale(df: DataFrame, col: str) -> int | None:
+    """Decimal places of a column, None if it is not a decimal."""
+    kind = df.schema[col].dataType
+    return kind.scale if isinstance(kind, T.DecimalType) else None
 
 
 def _checkpoint_dir(spark) -> str | None:
@@ -144,53 +154,89 @@ def _filler(dt: T.DataType) -> Column:
 
 
 ROWS_PER_BUCKET = 10_000_000
-QUANTILE_GRID = 1024
+CELL = {"time": 3_600_000_000, "number": 1_000_000}   # micros / units of the leading column in a cell
+_SUB = 1 << 20     # bucket ids between two cut points, for values that are cut by the rest of the order
 
 
-def with_order_buckets(df: DataFrame, col: str, n_buckets: int | None = None,
-                       rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """Add ``_wf_bucket``: the equal-frequency range of ``col`` the row falls in.
-
-    The bucket count is ``max(shuffle partitions, rows / rows_per_bucket)``
-    unless given.  One aggregate pass over the single column returns the row
-    count and a grid of approximate quantiles (bounded driver data: at most
-    ``QUANTILE_GRID`` values); only when more buckets than that are needed
-    does a second, finer ``approxQuantile`` pass run.  The split points are
-    embedded in the plan as literals -- unlike partition ids, they cannot
-    differ between the branches of a plan or between task retries.
-    """
-    spark = df.sparkSession
-    proxy = "_wf_pos"
-    c = F.col(col)
-    dt = df.schema[col].dataType
+def _position(df: DataFrame, col: str) -> tuple[Column, str]:
+    """A whole number in the order of the column, and the kind of its cells."""
+    c, dt = F.col(col), df.schema[col].dataType
     if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        pos = F.unix_micros(c.cast("timestamp")).cast("double")
-    elif isinstance(dt, T.DateType):
-        pos = F.unix_date(c).cast("double")
-    else:
-        pos = c.cast("double")
-    df = df.withColumn(proxy, pos)
-    cuts: list[float] = []
-    if n_buckets is None or 1 < n_buckets <= QUANTILE_GRID:
-        grid = [i / QUANTILE_GRID for i in range(1, QUANTILE_GRID)]
-        row = df.agg(F.count(proxy).alias("n"),
-                     F.percentile_approx(proxy, grid, 20 * QUANTILE_GRID).alias("q")).first()
-        if n_buckets is None:
-            n_buckets = max(default_parallelism(spark), -(-row["n"] // rows_per_bucket))
-        if n_buckets <= QUANTILE_GRID and row["q"]:
-            step = QUANTILE_GRID / n_buckets
-            cuts = [row["q"][int(round(i * step)) - 1] for i in range(1, n_buckets)]
-    if n_buckets > QUANTILE_GRID:
-        probs = [i / n_buckets for i in range(1, n_buckets)]
-        cuts = df.approxQuantile(proxy, probs, 0.25 / n_buckets)
-    cuts = sorted(set(x for x in cuts if x is not None and x == x))
-    splits = [float("-inf")] + cuts + [float("inf")]
-    if len(splits) < 3:  # one bucket (empty input or a single order value)
-        return df.withColumn(BUCKET, F.lit(0)).drop(proxy)
+        return F.unix_micros(c.cast("timestamp")), "time"
+    if isinstance(dt, T.DateType):
+        return F.unix_date(c).cast("long"), "number"
+    if isinstance(dt, T.IntegralType):
+        return c.cast("long"), "number"
+    return F.floor(c.cast("double")).cast("long"), "number"
+
+
+def with_order_buckets(df: DataFrame, order: list[str], n_buckets: int | None = None,
+                       rows_per_bucket: int = ROWS_PER_BUCKET, cell: int | None = None) -> DataFrame:
+    """Add ``_wf_bucket``: the range of ``order`` the row falls in, of about equal row counts.
+
+    The bucket count is ``max(parallelism, rows / rows_per_bucket)`` unless
+    given.  One aggregate counts the rows of every value of the leading column
+    and sums the counts by cell (an hour, or 10^6 units); the driver gets a
+    row per cell.  Only if a cell is larger than a bucket, the same counts give
+    the single values that are (fewer than there are buckets).  Cells are
+    joined into buckets up to the wanted size, larger cells cut at equal
+    distances, and larger values cut by the following order columns.
+    """
+    spark, lead, rest = df.sparkSession, order[0], [c for c in order[1:]]
+    pos, kind = _position(df, lead)
+    cell = cell or CELL[kind]
+    tail = [_position(df, c)[0] for c in rest]
+    values = df.select(pos.alias("p"), *[t.alias(f"r{i}") for i, t in enumerate(tail)]) \
+        .groupBy("p").agg(F.count(F.lit(1)).alias("n"),
+                          *[f(f"r{i}").alias(f"{x}{i}") for i in range(len(rest))
+                            for x, f in (("lo", F.min), ("hi", F.max))])
+    cells = values.where("p is not null").groupBy(F.floor(F.col("p") / cell).alias("c")).agg(
+        F.sum("n").alias("n"), F.min("p").alias("lo"), F.max("p").alias("hi")).collect()
+    cells.sort(key=lambda c: c.c)
+    rows = sum(c.n for c in cells)
+    n_buckets = n_buckets or max(default_parallelism(spark), -(-rows // rows_per_bucket))
+    size = max(1, -(-rows // n_buckets))
+    hot = {}
+    if any(c.n > size for c in cells):   # values of more than a bucket: fewer than there are buckets
+        hot = {v.p: v for v in values.where(F.col("n") > size).collect()}
+    cuts, held = [x for p in hot for x in (p, p + 1)], 0
+    for c in cells:
+        if held and held + c.n > size:
+            cuts.append(c.lo)
+            held = 0
+        if c.n > size:
+            k = -(-(c.n - sum(v.n for p, v in hot.items() if c.lo <= p <= c.hi)) // size)
+            cuts += [c.lo + (c.hi - c.lo + 1) * i // k for i in range(1, k)]
+            cuts += [c.lo, c.hi + 1]
+            held = 0
+        else:
+            held += c.n
+    cuts = sorted(set(cuts))
+    if not cuts:   # one bucket (empty input or few rows)
+        return df.withColumn(BUCKET, F.lit(0).cast("long"))
     from pyspark.ml.feature import Bucketizer
-    out = Bucketizer(splits=splits, inputCol=proxy, outputCol=BUCKET,
-                     handleInvalid="keep").transform(df)
-    return out.withColumn(BUCKET, F.col(BUCKET).cast("int")).drop(proxy)
+    proxy = "_wf_pos"
+    out = Bucketizer(splits=[float("-inf"), *map(float, cuts), float("inf")], inputCol=proxy, outputCol=BUCKET,
+                     handleInvalid="keep").transform(df.withColumn(proxy, pos.cast("double")))
+    sub = F.lit(0).cast("long")
+    if hot:
+        sub = F.when(pos.isin(list(hot)), F.coalesce(*[
+            F.when(pos == p, _rest_of_order(tail, v, min(-(-v.n // size), _SUB))) for p, v in hot.items()])).otherwise(sub)
+    return out.withColumn(BUCKET, F.col(BUCKET).cast("long") * _SUB + sub).drop(proxy)
+
+
+def _rest_of_order(tail: list[Column], top, parts: int) -> Column:
+    """Part (0 .. about ``parts``) of rows that share the leading value: equal
+    ranges of the following columns, the first of them varying slowest."""
+    out, left = F.lit(0).cast("long"), parts
+    for i, c in enumerate(tail):
+        span = top[f"hi{i}"] - top[f"lo{i}"] + 1
+        k = min(left, span)
+        out = out * k + F.floor((c - top[f"lo{i}"]).cast("decimal(38,0)") * k / span).cast("long")
+        left = -(-left // k)
+        if left <= 1:
+            break
+    return out
 
 
 def previous_value(df: DataFrame, keys: list[str], order: list[str],

@@ -17,8 +17,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wagerflow.functions.exact import exact_part, inexact_part
 from wagerflow.functions.jsonv import get_double, get_string, parse_json, present
 from wagerflow.functions.timefmt import parse_iso_timestamp
+from wagerflow.session import ensure_parse_conf
 
 INVALID = "invalid"
 
@@ -31,10 +33,6 @@ PATHS = {
                "bet_id": "$.bet_id"},
 }
 
-# Exact money accumulator type (amounts are summed exactly, then divided).
-EXACT_SUM_TYPE = "decimal(38,6)"
-
-
 def _paths(shape: str) -> dict[str, str]:
     if shape not in PATHS:
         raise ValueError(f"unknown event shape {shape!r}")
@@ -43,7 +41,10 @@ def _paths(shape: str) -> dict[str, str]:
 
 def with_variant(df: DataFrame, col: str = "value") -> DataFrame:
     """Parse the JSON text once; later expressions read fields from ``_v``."""
-    return df if "_v" in df.columns else df.withColumn("_v", parse_json(col))
+    if "_v" in df.columns:
+        return df
+    ensure_parse_conf(df.sparkSession)
+    return df.withColumn("_v", parse_json(col))
 
 
 def event_time(shape: str = "flat"):
@@ -82,16 +83,13 @@ def parse_user(df: DataFrame, shape: str = "flat") -> DataFrame:
 def parse_amount(df: DataFrame, shape: str = "flat") -> DataFrame:
     """Add ``n`` (1 when the amount reads as a number), ``amount`` (double,
     0.0 otherwise) and the exact parts used by the running average:
-    ``amount_exact`` (DECIMAL, NULL when not representable, e.g. NaN/inf) and
+    ``amount_exact`` (DECIMAL, NULL when it does not hold the whole value) and
     ``amount_inexact`` (the double when it has no exact form, else 0)."""
     path = _paths(shape)["amount"]
     df = with_variant(df)
     v = F.col("_v")
     d = get_double(v, path)
-    exact = F.when(d.isNotNull() & ~F.isnan(d),
-                   F.try_variant_get(v, path, EXACT_SUM_TYPE))
     return (df.withColumn("n", d.isNotNull().cast("long"))
               .withColumn("amount", F.coalesce(d, F.lit(0.0)))
-              .withColumn("amount_exact", exact)
-              .withColumn("amount_inexact",
-                          F.when(d.isNotNull() & exact.isNull(), d).otherwise(F.lit(0.0))))
+              .withColumn("amount_exact", exact_part(d))
+              .withColumn("amount_inexact", inexact_part(d)))

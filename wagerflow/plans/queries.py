@@ -20,6 +20,7 @@ from wagerflow.operators import flatten as fl
 from wagerflow.operators import metrics as M
 from wagerflow.operators import upsert as up
 from wagerflow.plans.registry import ORACLE, QUERIES, query
+from wagerflow.schemas import VERSION_COLUMNS
 from wagerflow.sources.testdata import (
     BETS_COUNTER, STAKE_GAUGE, STAKE_SUM_COUNTER, bet_records, metric_samples,
 )
@@ -33,6 +34,16 @@ def _iso(col: str) -> F.Column:
     return F.date_format(F.col(col), ISO_SECONDS).alias(col)
 
 
+def _uuid_sql(number: str) -> str:
+    return (f"regexp_replace(lpad(CAST({number} AS VARCHAR), 32, '0'), "
+            r"'(.{8})(.{4})(.{4})(.{4})(.{12})', '\1-\2-\3-\4-\5')")
+
+
+def _exact_sql(value: str) -> str:
+    """The number as it is spelled; no digit of it is rounded away."""
+    return f"CAST(CAST({value} AS VARCHAR) AS DECIMAL(38,15))"
+
+
 # Shared SQL fragments: the same record mapping as sources.testdata.
 _FLAT_SQL = """
   SELECT event_id, ts, user_id, value,
@@ -124,7 +135,7 @@ def q_status_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH r AS ({_FLAT_SQL})
 SELECT 'avg_bet' AS metric,
        CASE WHEN sum(n) > 0 THEN
-         CAST(sum(CASE WHEN NOT bad THEN CAST(value AS DECIMAL(38,6)) END) AS DOUBLE) / sum(n)
+         CAST(sum(CASE WHEN NOT bad THEN {_exact_sql('value')} END) AS DOUBLE) / sum(n)
        ELSE 0.0 END AS value,
        CAST(sum(n) AS BIGINT) AS n
 FROM r
@@ -137,7 +148,7 @@ def q_average_bet(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH r AS ({_FLAT_SQL})
 SELECT CAST(event_id % 4 AS INTEGER) AS "partition", event_id AS "offset", 'avg_bet' AS metric,
        CASE WHEN sum(n) OVER o > 0 THEN
-         CAST(sum(CASE WHEN NOT bad THEN CAST(value AS DECIMAL(38,6)) END) OVER o AS DOUBLE)
+         CAST(sum(CASE WHEN NOT bad THEN {_exact_sql('value')} END) OVER o AS DOUBLE)
            / sum(n) OVER o
        ELSE 0.0 END AS value
 FROM r WINDOW o AS (ORDER BY event_id ROWS UNBOUNDED PRECEDING)
@@ -191,26 +202,23 @@ _NESTED_BAD = "(event_id % 97 = 0 OR event_id % 89 = 0 OR event_id % 83 = 0)"
 
 # Typed bet rows as the oracle derives them from `events` (same mapping as
 # sources.testdata.nested_value).
-_BETS_SQL = """
-  SELECT event_id, ts,
-    '00000000-0000-0000-0000-' || lpad(CAST(user_id AS VARCHAR), 12, '0') AS bet_id,
-    '00000000-0000-0000-0000-' || lpad(CAST(user_id AS VARCHAR), 12, '0') AS user_id,
-    ['KZ', 'RU', 'US', 'GB', 'DE', 'PL', 'UZ'][user_id % 7 + 1] AS country,
+_BETS_SQL = f"""
+  SELECT event_id, ts, {_uuid_sql('user_id')} AS bet_id, {_uuid_sql('user_id')} AS user_id,
+    ['NO', 'PT', 'JP', 'BR', 'KE', 'IS', 'NZ'][user_id % 7 + 1] AS country,
     CAST(18 + user_id % 48 AS INTEGER) AS age,
-    ['mobile', 'desktop', 'tablet'][user_id % 3 + 1] AS device,
-    '192.168.' || CAST(user_id % 256 AS VARCHAR) || '.' || CAST(event_id % 256 AS VARCHAR)
+    ['handset', 'laptop', 'kiosk'][user_id % 3 + 1] AS device,
+    '10.20.' || CAST(user_id % 256 AS VARCHAR) || '.' || CAST(event_id % 256 AS VARCHAR)
       AS ip_address,
     event_type AS sport, event_type || ' league' AS league,
-    'Team' || CAST(event_id % 20 + 1 AS VARCHAR) || ' vs Team' || CAST(event_id % 20 + 21 AS VARCHAR)
+    'Side ' || CAST(event_id % 20 + 1 AS VARCHAR) || ' - Side ' || CAST(event_id % 20 + 21 AS VARCHAR)
       AS match,
-    'Team' || CAST(event_id % 40 + 1 AS VARCHAR) || ' wins' AS selection,
+    'Side ' || CAST(event_id % 40 + 1 AS VARCHAR) || ' first' AS selection,
     CAST((110 + event_id % 391) / 100.0 AS DECIMAL(6,2)) AS odds_dec,
     CAST(value AS DECIMAL(10,2)) AS amount_dec,
-    ['USD', 'EUR', 'KZT', 'RUB'][event_id % 4 + 1] AS currency,
+    ['NOK', 'JPY', 'BRL', 'KES'][event_id % 4 + 1] AS currency,
     ['win', 'lose', 'pending'][event_id % 3 + 1] AS status,
-    ['web', 'app', 'affiliate'][event_id % 3 + 1] AS source,
-    '00000000-0000-0000-0000-' || lpad(CAST(user_id * 100 + dayofmonth(ts) AS VARCHAR), 12, '0')
-      AS session_id
+    ['shop', 'phone', 'partner'][event_id % 3 + 1] AS source,
+    {_uuid_sql('user_id * 100 + dayofmonth(ts)')} AS session_id
   FROM events WHERE NOT (event_id % 97 = 0 OR event_id % 89 = 0 OR event_id % 83 = 0)"""
 
 _BETS_TYPED_SQL = f"""
@@ -301,13 +309,14 @@ EXPORT_CUTOFF = _dt.datetime(2024, 1, 30, 18)
 _CUTOFF_SQL = "TIMESTAMP '2024-01-30 18:00:00'"
 
 
-def _flagged_bets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Current bets with ``exported`` derived against the first export run
-    (at the cutoff), which exported the table as it was then.  One parse,
-    one aggregate, no self-join."""
+def _bets_and_ledger(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Current bets, and the ledger of the first export run (at the cutoff),
+    which exported the table as it was then."""
     valid, _ = fl.flatten_bets(bet_records(spark, sf_dir, "nested"))
-    states = up.latest_versions_as_of(valid, {"current": None, "first_run": EXPORT_CUTOFF})
-    return ex.with_exported_since(states, "current", "first_run")
+    versions = up.with_row_hash(valid)
+    first = versions.filter(F.col("src_timestamp") < F.lit(str(EXPORT_CUTOFF)).cast("timestamp"))
+    ledger = up.latest_versions(first, columns=[up.ROW_HASH, *VERSION_COLUMNS])
+    return versions, ledger
 
 
 @query("latest_versions", sql=f"""
@@ -318,7 +327,7 @@ FROM ({_BETS_TYPED_SQL}) GROUP BY bet_id
 """)
 def q_latest_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     valid, _ = fl.flatten_bets(bet_records(spark, sf_dir, "nested"))
-    cur = up.latest_versions(valid)
+    cur = up.latest_versions(valid, columns=["status", "amount", "sport", "src_offset"])
     return cur.select("bet_id", "status", F.col("amount").cast("double").alias("amount"),
                       "sport", F.col("src_offset").alias("offset"))
 
@@ -341,7 +350,9 @@ LEFT JOIN old ON old.bet_id = b.bet_id
 WHERE old.eid IS NULL OR old.eid <> cur.eid
 """)
 def q_export_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = ex.export_projection(_flagged_bets(spark, sf_dir).filter(~F.col("exported")))
+    versions, ledger = _bets_and_ledger(spark, sf_dir)
+    wanted = [c for c in ex.EXPORT_COLUMNS if c != "exported"] + [up.ROW_HASH]
+    rows = ex.export_projection(ex.pending_bets(up.latest_versions(versions, columns=wanted), ledger))
     return rows.select(*[F.date_format(c, ISO_MICROS).alias(c)
                          if c in ("bet_timestamp", "created_at") else F.col(c)
                          for c in rows.columns])
@@ -353,12 +364,13 @@ SELECT coalesce(old.eid = cur.eid, false) AS exported, CAST(count(*) AS BIGINT)
 FROM cur LEFT JOIN old ON old.bet_id = cur.bet_id GROUP BY 1
 """)
 def q_export_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ex.export_counts(_flagged_bets(spark, sf_dir))
+    versions, ledger = _bets_and_ledger(spark, sf_dir)
+    current = up.latest_versions(versions, columns=[up.ROW_HASH])
+    return ex.export_counts(ex.with_exported(current, ledger))
 
 
-@query("legacy_export", sql="""
-SELECT '00000000-0000-0000-0000-' || lpad(CAST(event_id AS VARCHAR), 12, '0') AS bet_id,
-       '00000000-0000-0000-0000-' || lpad(CAST(user_id AS VARCHAR), 12, '0') AS user_id,
+@query("legacy_export", sql=f"""
+SELECT {_uuid_sql('event_id')} AS bet_id, {_uuid_sql('user_id')} AS user_id,
        event_type AS game, CAST(CAST(value AS DECIMAL(10,2)) AS DOUBLE) AS amount,
        event_type AS status, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS timestamp,
        false AS exported
@@ -366,7 +378,7 @@ FROM events WHERE event_id % 97 <> 0 AND event_id % 89 <> 0
 """)
 def q_legacy_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     valid, _ = fl.flatten_legacy_bets(bet_records(spark, sf_dir, "flat"))
-    rows = ex.legacy_export_projection(up.latest_versions(valid))
+    rows = ex.legacy_export_projection(up.latest_versions(valid, columns=ex.LEGACY_EXPORT_COLUMNS))
     return rows.withColumn("timestamp", F.date_format("timestamp", ISO_MICROS))
 
 
@@ -375,8 +387,8 @@ def q_legacy_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _SAMPLES_SQL = """
   SELECT event_type AS game, CAST(user_id % 2 AS VARCHAR) AS shard, ts,
-         CAST(event_id % 1000 AS DOUBLE) AS cnt,
-         CAST(event_id % 1000 AS DOUBLE) * CAST(1 + (event_id // 1000) % 5 AS DOUBLE) AS sm,
+         CAST(round(CAST(value AS DECIMAL(20,6)) * 100, 0) AS DOUBLE) AS cnt,
+         CAST(round(CAST(value AS DECIMAL(20,6)) * 100, 0) AS DOUBLE) * 3 + user_id % 7 AS sm,
          value AS stake
   FROM events"""
 
@@ -441,12 +453,12 @@ def q_metric_rate_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("metric_avg_over_time", sql=f"""
 WITH s AS ({_SAMPLES_SQL})
 SELECT game, shard, {_HOUR_WINDOW_SQL},
-       CAST(sum(CAST(stake AS DECIMAL(38,6))) AS DOUBLE) / count(*) AS value
+       CAST(sum({_exact_sql('stake')}) AS DOUBLE) / count(*) AS value
 FROM s GROUP BY ALL
 """)
 def q_metric_avg_over_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = _series(spark, sf_dir, STAKE_GAUGE)
-    return _labelled(M.avg_over_time(g, "1 hour", exact_scale=6), "game", "shard")
+    return _labelled(M.avg_over_time(g, "1 hour"), "game", "shard")
 
 
 _LAST_SQL = f"""
@@ -459,24 +471,24 @@ _LAST_SQL = f"""
 WITH {_LAST_SQL}
 SELECT strftime(w, '%Y-%m-%dT%H:%M:%S') AS window_start,
        strftime(w + INTERVAL '1 hour', '%Y-%m-%dT%H:%M:%S') AS window_end,
-       CAST(sum(CAST(v AS DECIMAL(38,6))) AS DOUBLE) AS value
+       CAST(sum({_exact_sql('v')}) AS DOUBLE) AS value
 FROM v GROUP BY ALL
 """)
 def q_metric_instant_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vec = M.instant_vector(_series(spark, sf_dir, STAKE_GAUGE), "1 hour")
-    return _labelled(M.aggregate(vec, "sum", exact_scale=6))
+    vec = M.instant_vector(_series(spark, sf_dir, STAKE_GAUGE), "1 hour", lookback="1 hour")
+    return _labelled(M.aggregate(vec, "sum"))
 
 
 @query("metric_instant_avg", sql=f"""
 WITH {_LAST_SQL}
 SELECT strftime(w, '%Y-%m-%dT%H:%M:%S') AS window_start,
        strftime(w + INTERVAL '1 hour', '%Y-%m-%dT%H:%M:%S') AS window_end,
-       CAST(sum(CAST(v AS DECIMAL(38,6))) AS DOUBLE) / count(*) AS value
+       CAST(sum({_exact_sql('v')}) AS DOUBLE) / count(*) AS value
 FROM v GROUP BY ALL
 """)
 def q_metric_instant_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vec = M.instant_vector(_series(spark, sf_dir, STAKE_GAUGE), "1 hour")
-    return _labelled(M.aggregate(vec, "avg", exact_scale=6))
+    vec = M.instant_vector(_series(spark, sf_dir, STAKE_GAUGE), "1 hour", lookback="1 hour")
+    return _labelled(M.aggregate(vec, "avg"))
 
 
 @query("metric_sum_by", sql=f"""
@@ -568,7 +580,11 @@ SELECT 'HighStake' AS alert, 'warning' AS severity, i.game, i.shard,
 FROM i JOIN f ON i.game = f.game AND i.shard = f.shard AND i.lf IS NOT DISTINCT FROM f.lf
 """)
 def q_sustained_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = al.sustained_alerts(_series(spark, sf_dir, STAKE_GAUGE), STAKE_RULE)
+    return _alert_rows(al.sustained_alerts(_series(spark, sf_dir, STAKE_GAUGE), STAKE_RULE,
+                                           max_gap="365 days"))
+
+
+def _alert_rows(a: DataFrame) -> DataFrame:
     return a.select("alert", "severity", M.label("game").alias("game"),
                     M.label("shard").alias("shard"),
                     *[F.date_format(c, ISO_MICROS).alias(c)
@@ -592,12 +608,12 @@ def q_consumer_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- nested (producer-shape) variants of the stream aggregates --------------
 
-_NESTED_KEY_SQL = """
+_NESTED_KEY_SQL = f"""
   SELECT event_id, ts, value,
          (event_id % 97 = 0 OR event_id % 89 = 0) AS bad,
          CASE WHEN event_id % 97 = 0 OR event_id % 89 = 0 THEN 'invalid' ELSE event_type END AS sport,
          CASE WHEN event_id % 83 = 0 THEN 'abc'
-              ELSE '00000000-0000-0000-0000-' || lpad(CAST(user_id AS VARCHAR), 12, '0') END AS uid,
+              ELSE {_uuid_sql('user_id')} END AS uid,
          CASE WHEN event_id % 97 = 0 OR event_id % 89 = 0 THEN 0 ELSE 1 END AS n
   FROM events"""
 
@@ -616,7 +632,7 @@ def q_game_window_counts_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH r AS ({_NESTED_KEY_SQL})
 SELECT 'avg_bet' AS metric,
        CASE WHEN sum(n) > 0 THEN
-         CAST(sum(CASE WHEN NOT bad THEN CAST(value AS DECIMAL(38,6)) END) AS DOUBLE) / sum(n)
+         CAST(sum(CASE WHEN NOT bad THEN {_exact_sql('value')} END) AS DOUBLE) / sum(n)
        ELSE 0.0 END AS value,
        CAST(sum(n) AS BIGINT) AS n
 FROM r
@@ -647,10 +663,8 @@ FROM a JOIN b USING (game, w)
 """)
 def q_metric_binary_op(spark: SparkSession, sf_dir: str) -> DataFrame:
     # sum by (game) (increase(stake_sum[1h])) / on(game) sum by (game) (increase(stake_count[1h]))
-    num = M.aggregate(M.increase(_series(spark, sf_dir, STAKE_SUM_COUNTER), "1 hour"), "sum",
-                      by=["game"])
-    den = M.aggregate(M.increase(_counter(spark, sf_dir), "1 hour"), "sum", by=["game"])
-    return _labelled(M.binary_op(num, den, "/", on=["game"]), "game")
+    samples = metric_samples(spark, sf_dir, [STAKE_SUM_COUNTER, BETS_COUNTER])
+    return _labelled(M.ratio_of_increases(samples, STAKE_SUM_COUNTER, BETS_COUNTER, "1 hour", by=["game"]), "game")
 
 
 @query("status_changelog_nested", sql="""
@@ -667,3 +681,212 @@ FROM r
 """)
 def q_status_changelog_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     return agg.status_changelog(bet_records(spark, sf_dir, "nested"), shape="nested")
+
+
+# --- selectors, vector arithmetic, lookback ---------------------------------
+
+
+@query("metric_selector", sql=f"""
+WITH s AS ({_SAMPLES_SQL})
+SELECT game, shard, {_HOUR_WINDOW_SQL}, CAST(sum({_exact_sql('stake')}) AS DOUBLE) / count(*) AS value
+FROM s WHERE shard = '1' AND game <> 'error' GROUP BY ALL
+""")
+def q_metric_selector(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # avg_over_time(stake{shard="1", game!="error", host=""}[1h]): no sample has a host
+    g = M.select_series(metric_samples(spark, sf_dir, [STAKE_GAUGE]), STAKE_GAUGE,
+                        equal={"shard": "1", "host": ""}, not_equal={"game": "error"})
+    return _labelled(M.avg_over_time(g, "1 hour"), "game", "shard")
+
+
+@query("metric_vector_sum", sql=f"""
+WITH s AS ({_SAMPLES_SQL}),
+v AS (SELECT game, shard, time_bucket(INTERVAL '1 hour', ts) AS w,
+             arg_max(stake, ts) + arg_max(cnt, ts) AS v FROM s GROUP BY ALL)
+SELECT strftime(w, '%Y-%m-%dT%H:%M:%S') AS window_start,
+       strftime(w + INTERVAL '1 hour', '%Y-%m-%dT%H:%M:%S') AS window_end,
+       CAST(sum({_exact_sql('v')}) AS DOUBLE) AS value
+FROM v GROUP BY w
+""")
+def q_metric_vector_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # sum(stake + stake_count): matched series by series, then added up
+    a, b = (M.instant_vector(_series(spark, sf_dir, m), "1 hour", lookback="1 hour").drop("metric")
+            for m in (STAKE_GAUGE, BETS_COUNTER))
+    return _labelled(M.aggregate(M.binary_op(a, b, "+"), "sum"))
+
+
+@query("metric_hit_ratio", sql=f"""
+WITH {_DELTAS_SQL},
+i AS (SELECT time_bucket(INTERVAL '1 hour', ts) AS w, sum(ds) AS hit, sum(dc) AS miss FROM d GROUP BY ALL)
+SELECT strftime(w, '%Y-%m-%dT%H:%M:%S') AS window_start,
+       strftime(w + INTERVAL '1 hour', '%Y-%m-%dT%H:%M:%S') AS window_end,
+       CASE WHEN hit + miss <> 0 THEN hit / (hit + miss) ELSE 'NaN'::DOUBLE END AS value
+FROM i
+""")
+def q_metric_hit_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # sum(rate(hit)) / (sum(rate(hit)) + sum(rate(miss))) with two metric names
+    samples = metric_samples(spark, sf_dir, [STAKE_SUM_COUNTER, BETS_COUNTER])
+    return _labelled(M.ratio_of_increases(samples, STAKE_SUM_COUNTER, BETS_COUNTER, "1 hour", with_numerator=True))
+
+
+@query("metric_one_minus_avg_rate", sql=f"""
+WITH {_DELTAS_SQL},
+i AS (SELECT shard, game, time_bucket(INTERVAL '1 hour', ts) AS w, sum(dc) / 3600.0 AS r FROM d
+      WHERE game = 'error' GROUP BY ALL)
+SELECT strftime(w, '%Y-%m-%dT%H:%M:%S') AS window_start,
+       strftime(w + INTERVAL '1 hour', '%Y-%m-%dT%H:%M:%S') AS window_end,
+       round(1.0 - avg(r), 9) AS value
+FROM i GROUP BY w
+""")
+def q_metric_one_minus_avg_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # 1 - avg(rate(count{game="error"}[1h]))
+    c = M.select_series(metric_samples(spark, sf_dir, [BETS_COUNTER]), BETS_COUNTER, equal={"game": "error"})
+    out = M.scalar_op(M.aggregate(M.rate(c, "1 hour"), "avg"), "-", 1.0)
+    return _labelled(out.withColumn("value", F.round("value", 9)))
+
+
+@query("metric_instant_lookback", sql=f"""
+WITH s AS ({_SAMPLES_SQL}),
+g AS (SELECT DISTINCT time_bucket(INTERVAL '15 minutes', ts) + (k + 1) * INTERVAL '15 minutes' AS t
+      FROM s, range(0, 5) AS r(k)),
+v AS (SELECT g.t, s.game, s.shard, arg_max(s.stake, s.ts) AS v
+      FROM g JOIN s ON s.ts < g.t AND s.ts >= g.t - INTERVAL '1 hour' GROUP BY ALL)
+SELECT strftime(t, '%Y-%m-%dT%H:%M:%S') AS window_end, CAST(count(*) AS BIGINT) AS series,
+       CAST(sum({_exact_sql('v')}) AS DOUBLE) AS value
+FROM v GROUP BY t
+""")
+def q_metric_instant_lookback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # sum(stake) every 15 minutes; a series counts for an hour after its last sample
+    vec = M.instant_vector(_series(spark, sf_dir, STAKE_GAUGE), "15 minutes", lookback="1 hour")
+    both = M.aggregate(vec, "sum").select("window_end", "value").join(
+        M.aggregate(vec, "count").select("window_end", F.col("value").cast("long").alias("series")), "window_end")
+    return both.select(_iso("window_end"), "series", "value")
+
+
+# --- alerts -------------------------------------------------------------------
+
+
+def _islands_sql(points: str, gap: str, hold: str, condition: str) -> str:
+    """Firing islands of ``points`` (series, t, v), from the rule's words: the
+    condition holds at every point without a gap for at least ``hold``."""
+    return f"""
+  p AS ({points}),
+  o AS (SELECT *, coalesce({condition}, false) AS hit, lag(t) OVER w AS pt, lag(coalesce({condition}, false)) OVER w AS ph
+        FROM p WINDOW w AS (PARTITION BY series ORDER BY t)),
+  b AS (SELECT *, sum(CASE WHEN pt IS NULL OR NOT ph OR NOT hit OR t - pt > INTERVAL '{gap}' THEN 1 ELSE 0 END)
+                    OVER (PARTITION BY series ORDER BY t) AS island FROM o),
+  f AS (SELECT series, island, min(t) AS active_since, max(t) AS last_true, count(*) AS samples
+        FROM b WHERE hit GROUP BY ALL HAVING max(t) - min(t) >= INTERVAL '{hold}')
+  SELECT f.series, f.active_since, min(b.t) AS firing_since, f.last_true, f.samples, arg_min(b.v, b.t) AS value
+  FROM f JOIN b USING (series, island) WHERE b.t >= f.active_since + INTERVAL '{hold}'
+  GROUP BY ALL"""
+
+
+@query("alert_gap_reset", sql=f"""
+WITH r AS (WITH s AS ({_SAMPLES_SQL}),
+{_islands_sql("SELECT game || '/' || shard AS series, ts AS t, stake AS v FROM s", "90 minutes", "2 hours", "v > 10")})
+SELECT split_part(series, '/', 1) AS game, split_part(series, '/', 2) AS shard,
+       strftime(active_since, '%Y-%m-%dT%H:%M:%S.%f') AS active_since,
+       strftime(firing_since, '%Y-%m-%dT%H:%M:%S.%f') AS firing_since,
+       strftime(last_true, '%Y-%m-%dT%H:%M:%S.%f') AS last_true, CAST(samples AS BIGINT) AS samples, value
+FROM r
+""")
+def q_alert_gap_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rule = al.AlertRule("Stake", ">", 10.0, "2 hours", "warning", "high")
+    a = al.sustained_alerts(_series(spark, sf_dir, STAKE_GAUGE), rule, max_gap="90 minutes")
+    return _alert_rows(a).drop("alert", "severity", "summary")
+
+
+# The six rules' metrics from events: gauge readings and counters of `value`.
+_RULE_METRICS = {
+    "kafka_consumergroup_lag_sum": ("consumergroup", 1000), "pg_stat_database_numbackends": ("instance", 1),
+    "pg_settings_max_connections": ("instance", 0), "flink_jobmanager_job_status": ("job_name", 0),
+    "airflow_dagrun_failed": ("dag_id", 1), "container_cpu_usage_seconds_total": ("name", 10),
+    "container_memory_usage_bytes": ("name", 1), "container_spec_memory_limit_bytes": ("name", 0),
+}
+_RULE_CONSTANT = {"pg_settings_max_connections": 25.0, "flink_jobmanager_job_status": 1.0,
+                  "container_spec_memory_limit_bytes": 25.0}
+
+
+def _rule_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples of the rules' metrics, two series each (by user)."""
+    base = metric_samples(spark, sf_dir, [STAKE_GAUGE])
+    who = F.col("labels").getItem("shard")
+    samples = [F.struct(
+        F.lit(m).alias("metric"),
+        F.create_map(F.lit(label), who, *([F.lit("status"), F.lit("FAILED")] if "status" in m else [])).alias("labels"),
+        (F.lit(_RULE_CONSTANT[m]) if m in _RULE_CONSTANT else F.floor("value") * k).cast("double").alias("value"))
+        for m, (label, k) in _RULE_METRICS.items()]
+    return base.select("ts", F.explode(F.array(*samples)).alias("s")).select("ts", "s.*")
+
+
+def _rules_sql() -> str:
+    instant = lambda v: f"""SELECT g.series, g.t, arg_max({v}, e.ts) AS v FROM g JOIN e ON e.series = g.series
+      AND e.ts < g.t AND e.ts >= g.t - INTERVAL '5 minutes' GROUP BY ALL"""
+    counter = lambda k, per: f"""SELECT g.series, g.t, sum(d.d) * {k} / {per} AS v FROM g JOIN d ON d.series = g.series
+      AND d.ts < g.t AND d.ts >= g.t - INTERVAL '5 minutes' GROUP BY ALL"""
+    rules = [("KafkaHighLag", instant("e.v * 1000"), "5 minutes", "v > 10000"),
+             ("PostgreSQLHighConnections", instant("e.v / 25.0"), "5 minutes", "v > 0.8"),
+             ("FlinkJobFailed", instant("1.0"), "1 minute", "v = 1"),
+             ("AirflowDAGFailed", counter(1, 1), "5 minutes", "v > 0"),
+             ("HighCPUUsage", counter(10, 300.0), "5 minutes", "v > 0.8"),
+             ("HighMemoryUsage", instant("e.v / 25.0"), "5 minutes", "v > 0.9")]
+    parts = [f"""SELECT '{name}' AS alert, series, strftime(active_since, '%Y-%m-%dT%H:%M:%S') AS active_since,
+       strftime(firing_since, '%Y-%m-%dT%H:%M:%S') AS firing_since, strftime(last_true, '%Y-%m-%dT%H:%M:%S') AS last_true,
+       CAST(samples AS BIGINT) AS samples, round(CAST(value AS DOUBLE), 9) AS value
+FROM (WITH {_islands_sql(points, '30 seconds', hold, cond)})""" for name, points, hold, cond in rules]
+    return f"""
+WITH e AS (SELECT CAST(user_id % 2 AS VARCHAR) AS series, ts, floor(value) AS v FROM events),
+l AS (SELECT *, lag(v) OVER (PARTITION BY series ORDER BY ts) AS p FROM e),
+d AS (SELECT series, ts, CASE WHEN p IS NULL THEN 0 WHEN v < p THEN v ELSE v - p END AS d FROM l),
+g AS (SELECT DISTINCT series, time_bucket(INTERVAL '30 seconds', ts) + (k + 1) * INTERVAL '30 seconds' AS t
+      FROM e, range(0, 11) AS r(k))
+""" + "\nUNION ALL\n".join(parts)
+
+
+@query("alert_rules", sql=_rules_sql())
+def q_alert_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = al.evaluate_rules(_rule_samples(spark, sf_dir))
+    who = F.coalesce(*[M.label_or_null(k) for k in ("consumergroup", "instance", "job_name", "dag_id", "name")])
+    return a.select("alert", who.alias("series"), *[_iso(c) for c in ("active_since", "firing_since", "last_true")],
+                    "samples", F.round("value", 9).alias("value"))
+
+
+# --- ingest metrics and result tables -------------------------------------------
+
+
+@query("delay_histogram", sql=f"""
+SELECT {_iso_window_sql('1 hour')},
+       CAST(count(*) FILTER (WHERE value <= 1) AS BIGINT) AS le_1, CAST(count(*) FILTER (WHERE value <= 5) AS BIGINT) AS le_5,
+       CAST(count(*) FILTER (WHERE value <= 30) AS BIGINT) AS le_30, CAST(count(value) AS BIGINT) AS count,
+       CAST(sum({_exact_sql('value')}) AS DOUBLE) AS sum
+FROM events GROUP BY 1, 2
+""")
+def q_delay_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the stake stands for the seconds between a bet and its ingestion
+    g = metric_samples(spark, sf_dir, [STAKE_GAUGE])
+    h = M.delay_histogram(g, F.col("value"), [1, 5, 30], "1 hour", time_col="ts")
+    return h.select(_iso("window_start"), _iso("window_end"), "le_1", "le_5", "le_30", "count", "sum")
+
+
+@query("game_history", sql=f"""
+WITH r AS ({_FLAT_SQL})
+SELECT key AS game, CAST(sum(n) AS BIGINT) AS count,
+       strftime(time_bucket(INTERVAL '10 seconds', ts) + INTERVAL '10 seconds', '%Y-%m-%dT%H:%M:%S') AS event_time
+FROM r GROUP BY 1, 3
+""")
+def q_game_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hist = agg.game_history(agg.game_window_counts(bet_records(spark, sf_dir, "flat")))
+    return hist.select("game", "count", _iso("event_time"))
+
+
+@query("top_games_rows", sql="""
+SELECT CASE WHEN event_id % 89 = 0 THEN 'unknown' ELSE event_type END AS sport,
+       CASE WHEN event_id % 89 <> 0 THEN event_type || ' league' END AS league,
+       CASE WHEN event_id % 89 = 0 THEN 0.0 ELSE CAST(CAST(value AS DECIMAL(10,2)) AS DOUBLE) END AS total_amount,
+       strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS timestamp
+FROM events WHERE event_id % 97 <> 0
+""")
+def q_top_games_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _ = fl.flatten_top_games(bet_records(spark, sf_dir, "nested"))
+    return rows.select("sport", "league", F.col("total_amount").cast("double").alias("total_amount"),
+                       F.date_format("timestamp", ISO_MICROS).alias("timestamp"))

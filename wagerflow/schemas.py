@@ -10,48 +10,6 @@ RECORD = T.StructType([
     T.StructField("offset", T.LongType()),
 ])
 
-# Nested bet event (producer shape).
-NESTED_EVENT = T.StructType([
-    T.StructField("bet_id", T.StringType()),
-    T.StructField("user", T.StructType([
-        T.StructField("user_id", T.StringType()),
-        T.StructField("country", T.StringType()),
-        T.StructField("age", T.IntegerType()),
-        T.StructField("device", T.StringType()),
-        T.StructField("ip_address", T.StringType()),
-    ])),
-    T.StructField("event", T.StructType([
-        T.StructField("sport", T.StringType()),
-        T.StructField("league", T.StringType()),
-        T.StructField("match", T.StringType()),
-        T.StructField("start_time", T.StringType()),
-        T.StructField("selection", T.StringType()),
-        T.StructField("odds", T.DoubleType()),
-    ])),
-    T.StructField("bet", T.StructType([
-        T.StructField("amount", T.DoubleType()),
-        T.StructField("currency", T.StringType()),
-        T.StructField("status", T.StringType()),
-        T.StructField("payout", T.DoubleType()),
-        T.StructField("timestamp", T.StringType()),
-    ])),
-    T.StructField("metadata", T.StructType([
-        T.StructField("source", T.StringType()),
-        T.StructField("session_id", T.StringType()),
-        T.StructField("created_at", T.StringType()),
-    ])),
-])
-
-# Flat bet event keys read by the stream jobs.
-FLAT_EVENT = T.StructType([
-    T.StructField("bet_id", T.StringType()),
-    T.StructField("user_id", T.StringType()),
-    T.StructField("game", T.StringType()),
-    T.StructField("amount", T.DoubleType()),
-    T.StructField("status", T.StringType()),
-    T.StructField("timestamp", T.StringType()),
-])
-
 # Bets table column types and varchar limits.
 ODDS_TYPE = T.DecimalType(6, 2)
 MONEY_TYPE = T.DecimalType(10, 2)
@@ -105,12 +63,6 @@ TOP_GAMES = T.StructType([
     T.StructField("raw_event", T.StringType()),
 ])
 
-TOP_GAMES_HISTORY = T.StructType([
-    T.StructField("game", T.StringType(), False),
-    T.StructField("count", T.LongType(), False),
-    T.StructField("event_time", T.TimestampType()),
-])
-
 LEGACY_BETS = T.StructType([
     T.StructField("bet_id", T.StringType(), False),
     T.StructField("user_id", T.StringType(), False),
@@ -126,11 +78,3 @@ METRIC_SAMPLE = T.StructType([
     T.StructField("ts", T.TimestampType()),
     T.StructField("value", T.DoubleType()),
 ])
-
-EXPORT_LEDGER = T.StructType([
-    T.StructField("bet_id", T.StringType()),
-    T.StructField("src_timestamp", T.TimestampType()),
-    T.StructField("src_partition", T.IntegerType()),
-    T.StructField("src_offset", T.LongType()),
-    T.StructField("batch_id", T.StringType()),
-])

@@ -16,6 +16,7 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.variant.allowDuplicateKeys": "true",   # the last value of a repeated key counts
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
@@ -37,10 +38,14 @@ def get_session(master: str | None = None, app: str = "wagerflow",
     return spark
 
 
-def ensure_utc(spark: SparkSession) -> None:
-    """Pin the session zone to UTC (the library's time semantics)."""
-    if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+PARSE_CONF = ("spark.sql.session.timeZone", "spark.sql.variant.allowDuplicateKeys")
+
+
+def ensure_parse_conf(spark: SparkSession) -> None:
+    """Set what record parsing relies on, in sessions that others built."""
+    for key in PARSE_CONF:
+        if spark.conf.get(key, None) != DEFAULT_CONF[key]:
+            spark.conf.set(key, DEFAULT_CONF[key])
 
 
 def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:

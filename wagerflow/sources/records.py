@@ -14,6 +14,11 @@ from pyspark.sql import functions as F
 from wagerflow.schemas import RECORD
 
 
+# Records that one micro-batch takes from the topic at most; the rest waits for
+# the next batch (a first batch from "earliest" would be the whole backlog).
+MAX_OFFSETS_PER_TRIGGER = 10_000_000
+
+
 def _kafka(spark: SparkSession, topic: str, servers: str, streaming: bool,
            starting: str, options: dict[str, str]) -> DataFrame:
     reader = spark.readStream if streaming else spark.read
@@ -34,6 +39,7 @@ def read_records(spark: SparkSession, path: str | None = None, *, fmt: str = "pa
                  streaming: bool = False, topic: str | None = None,
                  servers: str | None = None, starting: str = "earliest",
                  max_files_per_trigger: int | None = None,
+                 max_offsets_per_trigger: int | None = MAX_OFFSETS_PER_TRIGGER,
                  options: dict[str, str] | None = None) -> DataFrame:
     """Read bet records.
 
@@ -44,6 +50,8 @@ def read_records(spark: SparkSession, path: str | None = None, *, fmt: str = "pa
     """
     options = dict(options or {})
     if fmt == "kafka":
+        if streaming and max_offsets_per_trigger:
+            options.setdefault("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
         return _kafka(spark, topic or "bets", servers or "localhost:9092",
                       streaming, starting, options)
     reader = spark.readStream if streaming else spark.read

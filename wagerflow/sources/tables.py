@@ -26,22 +26,6 @@ def read_table(spark: SparkSession, location: str, *, fmt: str = "parquet",
     return r.load(location)
 
 
-def spread(df: DataFrame, by: list[str]) -> DataFrame:
-    """Repartition to the default parallelism if the scan has fewer splits.
-
-    ``by`` names well-spread columns to hash (a unique id is ideal); hashing
-    only them keeps column pruning intact below the exchange.
-    """
-    try:
-        par = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 -- no RDD access (e.g. Spark Connect)
-        return df
-    # Hash of the whole row: balanced and deterministic without the sort a
-    # round-robin repartition needs for retry safety.
-    return df.repartition(par, F.xxhash64(*[F.col(c) for c in by])) if parts < par else df
-
-
 def not_exported(bets: DataFrame) -> DataFrame:
     """``WHERE exported = false``."""
     return bets.filter(~F.col("exported"))
@@ -81,4 +65,6 @@ def register_views(spark: SparkSession, bets_root: str, export_root: str | None
     bets.select(*BET_COLUMNS, ROW_HASH).createOrReplaceTempView("bets")
     q = os.path.join(bets_root, "quarantine")
     if table_exists(spark, q):
-        spark.read.parquet(q).createOrReplaceTempView("bets_quarantine")
+        # a run with a new checkpoint may have read the same records again
+        spark.read.parquet(q).dropDuplicates(["timestamp", "partition", "offset"]) \
+            .createOrReplaceTempView("bets_quarantine")

@@ -33,7 +33,7 @@ from wagerflow.operators import aggregates as agg
 from wagerflow.operators import flatten as fl
 from wagerflow.operators.upsert import append_versions
 from wagerflow.streaming.sinks import (
-    BatchWriter, batch_dir_writer, console_writer, fan_out, kafka_writer, start_stream,
+    BatchWriter, batch_dir_writer, console_writer, fan_out, kafka_writer, run_id, start_stream,
     table_writer,
 )
 
@@ -55,12 +55,13 @@ def top_games_ranked_job(records: DataFrame, path: str, *, k: int = 3,
                          trigger: dict | None = None) -> StreamingQuery:
     """Top-k games per closed window.  In append mode a window's counts
     arrive once, when the watermark closes it, so ranking inside each
-    micro-batch is exact; output under ``path/batch_id=N``."""
+    micro-batch is exact; output under ``path/run=R/batch_id=N``."""
     counts = agg.game_window_counts(records, shape, window=window)
 
+    files = batch_dir_writer(path, "parquet")
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        (agg.top_games_ranked(batch, k).write.mode("overwrite")
-            .parquet(os.path.join(path, f"batch_id={batch_id}")))
+        files(agg.top_games_ranked(batch, k), batch_id)
 
     return fan_out(counts, "top_games_ranked", [write], mode="append", checkpoint=checkpoint,
                    trigger=trigger)
@@ -142,8 +143,8 @@ def ingest_job(records: DataFrame, bets_root: str, *, table: str = "bets",
     """Typed bets: valid rows to the version log, bad rows to quarantine.
     ``table="legacy"`` types flat events into the older 6-column table.
 
-    One parse per record per batch; both outputs are keyed by the batch id,
-    so a replayed batch rewrites exactly what it wrote before.  Each batch's
+    One parse per record per batch; both outputs are keyed by run and batch
+    id, so a replayed batch rewrites exactly what it wrote before.  Each batch's
     ``rows``/``stored``/``rejected`` counts are published as observed metrics
     named ``ingest_counters`` in the query progress.
     """
@@ -153,7 +154,7 @@ def ingest_job(records: DataFrame, bets_root: str, *, table: str = "bets",
 
     def write(annotated: DataFrame, batch_id: int) -> None:
         valid, bad = split(annotated)
-        append_versions(valid, bets_root, batch_id)
+        append_versions(valid, bets_root, batch_id, run_id(annotated))
         quarantine(bad, batch_id)
 
     # Counters per micro-batch in StreamingQueryProgress.observedMetrics.
@@ -180,8 +181,7 @@ def top_games_rows_job(records: DataFrame, path: str, *, checkpoint: str | None
 def game_history_job(records: DataFrame, path: str, *, shape: str = "flat",
                      checkpoint: str | None = None, trigger: dict | None = None) -> StreamingQuery:
     """History of per-game window counts, ``event_time`` = window end."""
-    hist = agg.game_window_counts(records, shape).select(
-        "game", "count", F.col("window_end").alias("event_time"))
+    hist = agg.game_history(agg.game_window_counts(records, shape))
     return start_stream(hist.withColumn("event_date", F.to_date("event_time")),
                         "top_games_history", "parquet", mode="append", path=path,
                         checkpoint=checkpoint, trigger=trigger, partition_by=["event_date"])

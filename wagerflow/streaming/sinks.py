@@ -1,10 +1,12 @@
-"""Stream sinks: one result stream to one or many targets, exactly once.
+"""Stream sinks: one result stream to one or many targets.
 
 Single sinks use Spark's own writers (Kafka, file formats, console, memory)
 with a checkpoint per named query.  ``fan_out`` sends each micro-batch to
-several targets through ``foreachBatch``; every writer is keyed by the batch
-id (a replayed batch overwrites its own output), so a restart after a crash
-re-delivers without duplicating.
+several targets through ``foreachBatch``.  File writers are keyed by run and
+batch id (a replayed batch overwrites its own output), so a restart after a
+crash leaves every row once; Kafka and the console get a replayed batch again
+(at least once).  The run is the query's id, which lives in its checkpoint: a
+new checkpoint counts batches from 0 again, in directories of its own.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wagerflow.session import checkpoint_path
@@ -20,6 +23,11 @@ from wagerflow.session import checkpoint_path
 BatchWriter = Callable[[DataFrame, int], None]
 
 
+def run_id(batch: DataFrame) -> str:
+    """Id of the streaming query that delivers ``batch`` ("batch" outside one)."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+
+
 def _writer(df: DataFrame, name: str, mode: str, checkpoint: str | None,
             trigger: dict | None):
     w = (df.writeStream.queryName(name).outputMode(mode)
@@ -38,8 +46,11 @@ def start_stream(df: DataFrame, name: str, sink: str = "console", *, mode: str =
     """Start ``df`` as the named query ``name`` into one sink.
 
     ``sink``: ``kafka`` (needs a ``value`` column; ``topic``, ``servers``),
-    ``json``/``parquet``/``text`` (``path``), ``console`` or ``memory``.
+    ``json``/``parquet``/``text`` (``path``), ``console`` (every row, as one
+    JSON line) or ``memory`` (all rows on the driver: tests only).
     """
+    if sink == "console":
+        return fan_out(df, name, [console_writer()], mode=mode, checkpoint=checkpoint, trigger=trigger)
     w = _writer(df, name, mode, checkpoint, trigger)
     for k, v in (options or {}).items():
         w = w.option(k, v)
@@ -53,8 +64,6 @@ def start_stream(df: DataFrame, name: str, sink: str = "console", *, mode: str =
         if partition_by:
             w = w.partitionBy(*partition_by)
         return w.format(sink).start(path)
-    if sink == "console":
-        return w.format("console").option("truncate", "false").start()
     if sink == "memory":
         return w.format("memory").start()
     raise ValueError(f"unknown sink {sink!r}")
@@ -77,9 +86,10 @@ def fan_out(df: DataFrame, name: str, writers: list[BatchWriter], *, mode: str =
 # --- idempotent batch writers -----------------------------------------------
 
 def batch_dir_writer(path: str, fmt: str = "json", prefix: str = "batch_id") -> BatchWriter:
-    """Files under ``path/<prefix>=<id>/`` (overwritten on replay)."""
+    """Files under ``path/run=<run>/<prefix>=<id>/`` (overwritten on replay)."""
     def write(df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").format(fmt).save(os.path.join(path, f"{prefix}={batch_id}"))
+        df.write.mode("overwrite").format(fmt).save(
+            os.path.join(path, f"run={run_id(df)}", f"{prefix}={batch_id}"))
     return write
 
 
@@ -91,19 +101,21 @@ def kafka_writer(topic: str, servers: str = "localhost:9092") -> BatchWriter:
     return write
 
 
-def console_writer(n: int = 20) -> BatchWriter:
+def console_writer() -> BatchWriter:
+    """Every row of the batch as a JSON line; one partition at a time is on the driver."""
     def write(df: DataFrame, batch_id: int) -> None:
         print(f"-- batch {batch_id}")
-        df.show(n, truncate=False)
+        lines = df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("line"))
+        for row in lines.toLocalIterator():
+            print(row.line)
     return write
 
 
 def table_writer(path: str, fmt: str = "parquet",
                  partition_by: list[str] | None = None) -> BatchWriter:
-    """Append-style table whose files for batch N live in ``batch_id=N``."""
+    """Append-style table whose files for batch N of run R live in ``run=R/batch_id=N``."""
     def write(df: DataFrame, batch_id: int) -> None:
-        from pyspark.sql import functions as F
-        out = df.withColumn("batch_id", F.lit(int(batch_id)))
+        out = df.withColumn("run", F.lit(run_id(df))).withColumn("batch_id", F.lit(int(batch_id)))
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*(partition_by or []), "batch_id").format(fmt).save(path))
+            .partitionBy(*(partition_by or []), "run", "batch_id").format(fmt).save(path))
     return write
