@@ -11,7 +11,6 @@ larger benchmark takes one more pass over the documents per block, so nothing is
 
 from __future__ import annotations
 
-import hashlib
 import math
 
 import numpy as np
@@ -195,5 +194,4 @@ def contract(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return hit.select("doc_id", "contamination.n_words", "contamination.n_hit",
                       F.size("contamination.items").cast("long").alias("n_items"),
                       F.sha2(F.array_join("contamination.items", ","), 256).alias("items_sha256"),
-                      (F.col("contamination.n_hit") > 0).alias("contaminated"),
-                      F.col("contamination.longest").alias("longest_match"))
+                      (F.col("contamination.n_hit") > 0).alias("contaminated"))

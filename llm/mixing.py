@@ -89,33 +89,3 @@ def contract(docs: DataFrame) -> DataFrame:
     sized = docs.select("doc_id", "source", n_words(F.col("text")).alias("n"), F.xxhash64("text").alias("text"))
     return mix(sized, size=F.col("n")).select("doc_id", "size", "source_size", "target", "taken", "source")
 
-
-ORACLE = r"""
-WITH d AS (
-  SELECT doc_id, source, len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'),
-                                         lambda x: x <> ''))::BIGINT AS size,
-         md5('17:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
-s AS (
-  SELECT source, sum(size)::BIGINT AS source_size,
-         [5.0, 2.0, 1.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS weight
-  FROM d GROUP BY source),
-f AS (
-  SELECT *, 3 * source_size AS capacity, sum(source_size) OVER ()::DOUBLE AS total,
-         sum(3 * source_size) OVER w - 3 * source_size AS filled,
-         sum(weight) OVER () - (sum(weight) OVER w - weight) AS rest
-  FROM s WINDOW w AS (ORDER BY 3 * source_size / weight, source NULLS LAST ROWS UNBOUNDED PRECEDING)),
-g AS (SELECT *, (total - filled::DOUBLE) / rest AS level FROM f),
-t AS (
-  SELECT source, source_size,
-         CASE WHEN level * weight >= capacity THEN capacity::DOUBLE
-              ELSE weight * (SELECT arg_min(level, capacity / weight) FROM g WHERE level * weight < capacity) END AS target
-  FROM g),
-p AS (
-  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS whole FROM t),
-r AS (
-  SELECT d.*, sum(size) OVER (PARTITION BY source ORDER BY h, doc_id NULLS FIRST ROWS UNBOUNDED PRECEDING) - size AS before
-  FROM d)
-SELECT r.doc_id, r.size, p.source_size, p.target, r.source,
-       (whole * size + greatest(0, least(size, round(target - whole * source_size)::BIGINT - before)))::BIGINT AS taken
-FROM r JOIN p ON r.source IS NOT DISTINCT FROM p.source
-"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import (chat_template, classifier, decontaminate, html_extract, mixing, near_dup, quality_rules, secret_scan, substrings,
+from llm import (chat_template, classifier, decontaminate, html_extract, mixing, near_dup, oracles, quality_rules, secret_scan, substrings,
                  token_counts)
 from llm.textops import table
 
@@ -24,9 +24,6 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.contract(table(spark, sf_dir, "documents"))
 
 
-ORACLE["op1_mix_sources"] = mixing.ORACLE
-
-
 @query
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.contract(table(spark, sf_dir, "documents"))
@@ -72,6 +69,11 @@ def op3_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.contract(table(spark, sf_dir, "pages"))
 
 
+ORACLE |= {"op1_mix_sources": oracles.MIX, "op2_quality_rules": oracles.QUALITY, "op4_substring_dedup": oracles.SUBSTRINGS,
+           "op5_near_duplicates": oracles.NEAR, "op8_chat_formatting": oracles.CHAT,
+           "op10_benchmark_decontamination": oracles.BENCHMARK}
+
+
 from corpus_pipeline import ORACLE_SQL, run  # noqa: E402  part of this subpackage, kept at the top of the repository
 
 QUERIES["pipeline"] = run

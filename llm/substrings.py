@@ -168,5 +168,4 @@ def dedupe_substrings(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -
 
 
 def contract(docs: DataFrame) -> DataFrame:
-    return dedupe_substrings(docs).select("doc_id", "n_words", "n_removed", "kept_sha256",
-                                          F.coalesce(F.size("factors"), F.lit(0)).cast("long").alias("n_factors"))
+    return dedupe_substrings(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
