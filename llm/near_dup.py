@@ -200,11 +200,10 @@ def components(links: DataFrame) -> DataFrame:
     """(node, label) of every linked node but the smallest of its group, label being that smallest node.
 
     Union-find inside each task first; what the tasks found is then joined by alternating large-star and small-star
-    steps until nothing changes.  Links stay distributed; each step is a written table.
+    steps until every node hangs on its root.  Links stay distributed; each step is a written table.
     """
     tree = stored(links.select("a", "b").mapInArrow(_forest, "node binary, label binary").distinct(), "forest")
-    last = None
-    while True:
+    while not _is_star(tree):
         both = tree.select(F.col("node").alias("u"), F.col("label").alias("v")).union(tree.select("label", "node"))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(low, "u").where("v > u").select("v", "m").distinct()                    # node v, smaller m
@@ -213,10 +212,15 @@ def components(links: DataFrame) -> DataFrame:
                                                                 F.struct(F.col("m").alias("node"), F.col("root").alias("label")))).alias("e")) \
             .select("e.*").where("node != label").distinct()
         tree = stored(small, "forest")
-        state = tree.agg(F.count("*"), F.sum(F.xxhash64("node", "label").cast("decimal(38,0)"))).first()
-        if tuple(state) == last:
-            return tree
-        last = tuple(state)
+    return tree
+
+
+def _is_star(tree: DataFrame) -> bool:
+    """Every node has one label, and no label has another."""
+    ends = tree.select(F.col("node").alias("x"), F.lit(1).alias("node"), F.lit(0).alias("label")) \
+        .union(tree.select("label", F.lit(0), F.lit(1)))
+    return ends.groupBy("x").agg(F.sum("node").alias("n"), F.max("label").alias("l")) \
+        .where("n > 1 or (n > 0 and l > 0)").isEmpty()
 
 
 def _similar(percent: int, n1: str, n2: str, both: Column) -> Column:

@@ -94,3 +94,22 @@ def test_blocks_find_exact_links():
     want = {(i, j) for i in range(25) for j in range(25) if i != j
             and 100 * len(np.intersect1d(sets[i], sets[j])) >= 60 * len(np.union1d(sets[i], sets[j]))}
     assert set(M.links_between(sets, group, group, group, 60)) == want
+
+
+@pytest.mark.parametrize("pairs", [[], [(1, 2)], [(i, i + 1) for i in range(60)], [(i, 60 - i) for i in range(25)] + [(5, 99), (99, 98), (7, 98)],
+                                   [(0, i) for i in range(1, 40)] + [(41, i) for i in range(42, 50)] + [(49, 39)]])
+def test_components(spark, pairs):
+    node = lambda i: bytes([i])
+    links = spark.createDataFrame([(node(a), node(b)) for a, b in pairs], "a binary, b binary").repartition(7)
+    parent = {x: x for p in pairs for x in p}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    for a, b in pairs:
+        a, b = sorted((find(a), find(b)))
+        parent[b] = a
+    want = {(x, find(x)) for x in parent if find(x) != x}
+    got = [(r.node[0], r.label[0]) for r in M.components(links).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
