@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from wagerflow.operators import metrics as M
 from wagerflow.operators.ordered import prefix_aggregate, previous_value
+from wagerflow.session import written
 
 @dataclass(frozen=True)
 class AlertRule:
@@ -161,4 +162,5 @@ def evaluate_rules(samples: DataFrame, rules: list[AlertRule] = REFERENCE_RULES,
     points = parts[0]
     for p in parts[1:]:
         points = points.unionByName(p)
-    return _firing(points, rules, n_buckets)
+    # the island search reads its points four times; the vectors are dearer than a written copy
+    return _firing(written(points, "rule-points"), rules, n_buckets)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import os
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every wagerflow job relies on.  Event times are UTC instants; the
 # session zone decides how zone-less ISO strings are read, so it is pinned.
@@ -48,6 +49,17 @@ def ensure_parse_conf(spark: SparkSession) -> None:
             spark.conf.set(key, DEFAULT_CONF[key])
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once into the shared checkpoint folder and read back: for
+    inputs that a plan reads several times and that are dear to compute.  The
+    folder is the one the session names; set under the warehouse if unset."""
+    spark = df.sparkSession
+    root = checkpoint_root(spark, fallback=spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
     """Shared folder for checkpoints and lineage-cutting tables.
 
