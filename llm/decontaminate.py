@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from llm.textops import LOWER, NOT_ALNUM, Words, annotate, rolling, text_slices
+from llm.textops import LOWER, NOT_ALNUM, Words, annotate, rolling, scratch_name, text_slices
 
 WINDOW = 10                 # words in a window; a shorter item is one window
 SHARD_BYTES = 4 << 20       # text under one suffix array (a longer document is a shard of its own)
@@ -185,8 +185,8 @@ def match_benchmark(docs: DataFrame, benchmark: DataFrame, text_col: str = "text
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The documents that share no window with the benchmark, in their own columns."""
-    return match_benchmark(docs, benchmark, into="__contamination", **options) \
-        .where("__contamination.n_hit = 0").drop("__contamination")
+    into = scratch_name(docs, "contamination_")
+    return match_benchmark(docs, benchmark, into=into, **options).where(f"{into}.n_hit = 0").drop(into)
 
 
 def contract(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

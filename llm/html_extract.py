@@ -67,7 +67,7 @@ class Page:
     def __init__(self, source: str):
         self.name, self.parent, self.end, self.cut = ["html"], [-1], [0], [False]
         self.events: list[tuple[int, str | None]] = []   # (node, text), (node, None) where a block begins or ends
-        self.article = 0
+        self.article, self.paragraphs = 0, 0   # open elements of these kinds
         stack, at, n = [0], 0, len(source)
         add = self.events.append
         while at < n:
@@ -92,7 +92,7 @@ class Page:
                 if whole:
                     rest, at = whole[0][:-1], whole.end()
             if name in BLOCK:
-                if "p" in (self.name[k] for k in stack[-8:]):
+                if self.paragraphs:
                     for k in range(len(stack) - 1, 0, -1):
                         if self.name[stack[k]] == "p":
                             self._close(stack, k)
@@ -127,6 +127,7 @@ class Page:
             if name not in VOID and not rest.endswith("/"):
                 stack.append(node)
                 self.article += name in ("article", "main")
+                self.paragraphs += name == "p"
         self._close(stack, 0)
 
     def _close(self, stack: list[int], k: int) -> None:
@@ -136,6 +137,7 @@ class Page:
                 self.events.append((self.parent[node], None))
             if self.name[node] in ("article", "main"):
                 self.article -= 1
+            self.paragraphs -= self.name[node] == "p"
         del stack[k:]
 
     def measures(self) -> tuple[list[int], list[int], list[int], list[int]]:

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from llm.textops import n_words, same, scratch_name
+from llm.textops import n_words, named, same, scratch_name
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_EPOCHS = 3
@@ -82,7 +82,7 @@ def mix(docs: DataFrame, weights=repeating_weights, max_epochs: int = MAX_EPOCHS
     out = slim.join(plan, same(F.col("source"), F.col("s_")) & (F.col(cell) == F.col("c_")))
     left = F.col("part") - F.col("before") - F.col(run)
     out = out.withColumn("taken", (F.col("whole") * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), left))).cast("long"))
-    return out.select(*[c for c in docs.columns if c not in (order, cell)], *new[1:])
+    return out.select(*named([c for c in docs.columns if c not in (order, cell)]), *new[1:])
 
 
 def contract(docs: DataFrame) -> DataFrame:

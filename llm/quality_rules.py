@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
-from llm.textops import same, scratch_name, stored, word_array
+from llm.textops import named, same, scratch_name, stored, word_array
 
 RISK, DELTA = 0.02, 0.05
 GRID = (1.0, 0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.35, 0.3, 0.25, 0.2, 0.15, 0.1)   # lenient to strict
@@ -145,7 +145,7 @@ def apply_rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk:
     failed = base_failed(F.col(sig))
     verdict = F.struct(F.col(f"{sig}.*"), failed.alias("base_failed"), (~failed & (F.size(rejected) == 0)).alias("kept"),
                        rejected.alias("rejected_by"))
-    return out.withColumn(into, verdict).select(*[c for c in docs.columns if c.lower() != into.lower()], into)
+    return out.withColumn(into, verdict).select(*named([c for c in docs.columns if c.lower() != into.lower()]), into)
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:

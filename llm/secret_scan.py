@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from llm.textops import LOWER, annotate, text_slices
+from llm.textops import LOWER, annotate, named, scratch_name, text_slices
 
 KINDS = ("assign", "access", "hex", "markov")
 # fixed patterns and lengths
@@ -193,12 +193,13 @@ def find_secrets(docs: DataFrame, ratio: np.ndarray, into: str = "secrets", mask
 
 def mask_secrets(docs: DataFrame, mask: str = "[secret]") -> DataFrame:
     """``docs`` with every secret in ``text`` replaced by the mask, and ``n_chars`` to match; no document is dropped."""
-    out = find_secrets(docs, train(docs), into="__secrets", mask=mask)
-    hit = F.col("__secrets.masked").isNotNull()
-    out = out.withColumn("text", F.coalesce("__secrets.masked", "text"))
+    into = scratch_name(docs, "secrets_")
+    out = find_secrets(docs, train(docs), into=into, mask=mask)
+    hit = F.col(f"{into}.masked").isNotNull()
+    out = out.withColumn("text", F.coalesce(f"{into}.masked", "text"))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(hit, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return out.select(docs.columns)
+    return out.select(*named(docs.columns))
 
 
 def contract(docs: DataFrame) -> DataFrame:

@@ -185,14 +185,16 @@ def annotate(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.StructArray], into
     """``df`` plus one struct column ``into`` of type ``kind``, computed per Arrow batch; an input column of that name
     is replaced, all others pass unchanged."""
     rest = df.drop(into)
-    given = df.select(*rest.columns, *[c for c in df.columns if c.lower() == into.lower()])
+    names = [*rest.columns, *[c for c in df.columns if c.lower() == into.lower()]]
+    # by position: mapInArrow cannot take columns whose names have dots
+    given = df.select(*named(names)).toDF(*[f"c{i}" for i in range(len(names))])
     keep = len(rest.columns)
     schema = T.StructType([*rest.schema.fields, T.StructField(into, T.StructType.fromDDL(kind))])
 
     def run(batches):
         for b in batches:
-            out = fn(b)
-            yield pa.RecordBatch.from_arrays([*b.columns[:keep], out], names=[*b.schema.names[:keep], into])
+            out = fn(b.rename_columns(names))
+            yield pa.RecordBatch.from_arrays([*b.columns[:keep], out], names=[*names[:keep], into])
     return given.mapInArrow(run, schema)
 
 
@@ -200,6 +202,11 @@ def struct(**columns) -> pa.StructArray:
     return pa.StructArray.from_arrays(list(columns.values()), names=list(columns))
 
 
+def named(columns: list[str]) -> list[Column]:
+    """Columns by their names, whatever characters these have."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in columns]
+
+
 def scratch_name(df: DataFrame, stem: str) -> str:
     """``stem``, with underscores added until no column of ``df`` has that name (whatever its case)."""
     taken = {c.lower() for c in df.columns}

@@ -41,6 +41,7 @@ PAGES = {
     "plain": ("no tags at all, 1 < 2", "no tags at all, 1 < 2"),
     "cut": (f"<article><p>{LONG}</p><p>last words <a href='", f"{LONG}\nlast words"),
     "title in article": (f"<article><header><h1>T</h1></header><p>{LONG}</p></article>", f"T\n{LONG}"),
+    "open inline tags": (f"<article><p>{'<b><i>' * 9}{LONG}<p>Two</article>", f"{LONG}\nTwo"),
     "deep": ("<div>" * 3000 + LONG, LONG),
     "only links": ("<nav><a>x</a></nav>", ""),
     "long": (f"<article>{f'<p>{LONG}</p>' * 5000}</article>", "\n".join([LONG] * 5000)),

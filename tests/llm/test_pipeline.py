@@ -69,7 +69,7 @@ def test_stages_against_brute_force(spark):
 
 def test_empty_and_null_documents(spark, docs_of):
     for rows in ([], [(1, None), (None, ""), (2, "a"), (2, "a"), (None, "w " * 60)]):
-        docs = docs_of(rows).withColumn("extra", F.lit("x"))
+        docs = docs_of(rows).withColumn("extra", F.lit("x")).withColumn("secrets_", F.lit(1)).withColumn("a.b c", F.lit(2))
         for name, stage in P.STAGES:
             docs = stage(spark, docs, SF)
         assert docs.count() <= len(rows)
