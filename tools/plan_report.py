@@ -36,12 +36,12 @@ PATTERNS = {
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    import __spark_entry__ as E
+    from wagerflow.plans import QUERIES
     from wagerflow.session import get_session
     spark = get_session("local[8]", conf={"spark.sql.shuffle.partitions": "16"})
     rows = []
-    for name in sorted(E.queries()):
-        df = E.queries()[name](spark, sf_dir)
+    for name in sorted(QUERIES):
+        df = QUERIES[name](spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()
         plan = df._jdf.queryExecution().executedPlan().toString()
         final = plan.split("== Initial Plan ==")[0]
