@@ -3,6 +3,7 @@ import re
 
 import pytest
 
+from llm_fixtures import docs_of  # noqa: F401
 from llm import decontaminate as M
 from llm.textops import table
 

@@ -3,6 +3,7 @@ import re
 import numpy as np
 import pytest
 
+from llm_fixtures import docs_of  # noqa: F401
 from llm import near_dup as M
 from llm.textops import table
 

@@ -1,5 +1,6 @@
 import re
 
+from llm_fixtures import docs_of  # noqa: F401
 import corpus_pipeline as P
 from pyspark.sql import functions as F
 

@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 
+from llm_fixtures import docs_of  # noqa: F401
 from llm import secret_scan as M
 from llm.textops import table
 

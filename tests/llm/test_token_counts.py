@@ -3,6 +3,7 @@ import re
 import numpy as np
 from pyspark.sql import functions as F
 
+from llm_fixtures import docs_of  # noqa: F401
 from llm import token_counts as M
 from llm.textops import table
 
