@@ -1,7 +1,8 @@
 """Secret scans: fixed patterns, and random strings told from ordinary identifiers by character Markov models.
 
 Two first-order character models are trained on labelled samples from the texts themselves: what the patterns find
-(``random``) and all other characters of the corpus (``ordinary``).  A token of 16 or more characters becomes a span if
+(``random``, together with random strings over the usual alphabets of keys) and all other characters of the corpus
+(``ordinary``).  Both use shares of the counts only, so a corpus of any size gives the same model.  A token of 16 or more characters becomes a span if
 the log-likelihood ratio of its characters, random against ordinary, is high in sum and per character.  Training counts
 character pairs (one small table per batch, summed by Spark); scoring is a lookup and a running sum over the bytes.
 
@@ -27,12 +28,18 @@ KEYWORDS = (b"passw", b"secret", b"token", b"apikey", b"api_key")   # every assi
 
 TOKEN_LENGTH = 16       # characters of a token that is scored
 LEAST_SUM, LEAST_MEAN = 12.0, 0.75   # log-likelihood ratio (nats) of a token, and per character pair
-BACKOFF = 20.0          # weight of the single-character frequencies in a pair's estimate
+UNSEEN = 0.05           # share of a pair's estimate that does not depend on its first character
+FOLDED = 0.2            # share of an ordinary pair's estimate that comes from the same pair in either case
+UNKNOWN = 0.1           # share of the uniform distribution in the frequency of an ordinary character
 
 _ALPHABET = b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 STATES = len(_ALPHABET)
 _CODE = np.full(256, -1, np.int64)
 _CODE[list(_ALPHABET)] = np.arange(STATES)
+_LETTERS, _CAPITALS, _DIGITS = b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789"
+KEY_ALPHABETS = (_DIGITS + b"abcdef", _LETTERS + _DIGITS, _CAPITALS + _DIGITS, _LETTERS + _CAPITALS + _DIGITS,
+                 _LETTERS + _CAPITALS + _DIGITS + b"+/", _LETTERS + _CAPITALS + _DIGITS + b"-_")
+_JOINER = np.isin(np.arange(STATES), _CODE[list(b"+/_=-")])
 _HEX = np.zeros(256, bool)
 _HEX[list(b"0123456789abcdef")] = True
 
@@ -114,12 +121,44 @@ def train(docs: DataFrame, text_col: str = "text") -> np.ndarray:
         .groupBy("kind", "pair").agg(F.sum("n").alias("n")).toArrow()   # at most 2 * STATES**2 rows
     n = np.zeros((2, STATES * STATES))
     n[rows["kind"].to_numpy(), rows["pair"].to_numpy()] = rows["n"].to_numpy()
+    return ratios(n.reshape(2, STATES, STATES))
+
+
+def _given(n: np.ndarray, unseen: np.ndarray) -> np.ndarray:
+    """Share of each second character among the pairs of its row; ``unseen`` for a row without pairs."""
+    row = n.sum(1, keepdims=True)
+    return np.divide(n, row, out=np.broadcast_to(unseen, n.shape).copy(), where=row > 0)
+
+
+def ratios(n: np.ndarray) -> np.ndarray:
+    """Log-likelihood ratio of each pair from the counts of the ordinary and of the labelled pairs (2 x STATES x STATES).
+
+    The labelled pairs weigh as much as the random strings over each of the ``KEY_ALPHABETS``, whose pairs are all
+    equally frequent.  Multiplying the counts changes nothing.  A joiner (+ / _ = -) never speaks for a random string.
+    """
     if not n[1].any():
         return np.full((STATES, STATES), -1.0)
-    n = n.reshape(2, STATES, STATES)
-    single = n.sum(1, keepdims=True) + 1   # a pair not seen falls back on how frequent its second character is
-    logs = np.log((n + BACKOFF * single / single.sum(2, keepdims=True)) / (n.sum(2, keepdims=True) + BACKOFF))
-    return logs[1] - logs[0]
+    labelled = [n[1] / n[1].sum()]
+    for alphabet in KEY_ALPHABETS:
+        member = np.isin(np.arange(STATES), _CODE[list(alphabet)]) / len(alphabet)
+        labelled.append(np.outer(member, member))
+    even = np.full(STATES, 1 / STATES)
+    random = (1 - UNSEEN) * _given(np.mean(labelled, 0), even) + UNSEEN * even
+
+    single = n[0].sum(0)
+    single = (1 - UNKNOWN) * single / max(1, single.sum()) + UNKNOWN * even
+    case = np.repeat([0, 1, 2], [26, 26, STATES - 52])   # small, capital, neither
+    fold = np.arange(STATES) - 26 * (case == 1)
+    both = np.zeros((STATES, STATES))
+    np.add.at(both, (fold[:, None], fold[None, :]), n[0])
+    both = both[fold][:, fold]   # each letter pair stands for its case; behind another character, half for each
+    both[(case[:, None] != case) & (case[:, None] < 2) & (case < 2)] = 0
+    both[52:, :52] /= 2
+    ordinary = (1 - UNSEEN - FOLDED) * _given(n[0], single) + FOLDED * _given(both, single) + UNSEEN * single
+    out = np.log(random) - np.log(ordinary)
+    joined = _JOINER[:, None] | _JOINER
+    out[joined] = np.minimum(out[joined], 0)
+    return out
 
 
 def markov_spans(raw: np.ndarray, offsets: np.ndarray, ratio: np.ndarray) -> list[tuple[int, int, int, int, int]]:

@@ -1,7 +1,10 @@
 import hashlib
 import re
+import string
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 
 from llm_fixtures import docs_of  # noqa: F401
 from llm import secret_scan as M
@@ -74,3 +77,55 @@ def test_markov_tells_random_from_ordinary(spark, docs_of):
 def test_overlaps_are_masked_once():
     assert M._masked("0123456789", [(1, 0, 6), (3, 2, 6), (8, 1, 9)], "#") == "0#67#9"
     assert M._masked("0123456789", [(1, 0, 4), (3, 2, 6)], "#") == "0#6789"
+
+
+def table_counts(name="sf0.01"):
+    """Ordinary and labelled pair counts of a table's documents, on one core."""
+    seen = {}
+
+    class Session:   # what train() asks of a DataFrame
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, fn, _):
+            batches = pq.read_table(f"/root/testdata/{name}/documents.parquet", columns=["text"]).to_batches()
+            seen["rows"] = pa.Table.from_batches(fn(batches)).group_by(["kind", "pair"]).aggregate([("n", "sum")])
+            raise StopIteration
+    try:
+        M.train(Session())
+    except StopIteration:
+        pass
+    n = np.zeros((2, M.STATES * M.STATES))
+    n[seen["rows"]["kind"].to_numpy(), seen["rows"]["pair"].to_numpy()] = seen["rows"]["n_sum"].to_numpy()
+    return n.reshape(2, M.STATES, M.STATES)
+
+
+ALPHABETS = {"lower and digits": string.ascii_lowercase + string.digits, "upper and digits": string.ascii_uppercase + string.digits,
+             "base62": string.ascii_letters + string.digits, "base64": string.ascii_letters + string.digits + "+/"}
+
+
+def random_strings(alphabet, size, count=500, seed=11):
+    rng = np.random.default_rng(seed)
+    return ["".join(rng.choice(list(ALPHABETS[alphabet]), size)) for _ in range(count)]
+
+
+def spans_of(text, ratio):
+    raw = np.frombuffer(text.encode(), np.uint8)
+    return M.find_spans(raw, np.array([0, len(raw)]), ratio)[0]
+
+
+def test_recall_does_not_depend_on_the_size_of_the_table():
+    n = table_counts()
+    small, large = M.ratios(n), M.ratios(n * 1000)
+    assert np.allclose(small, large)
+    for alphabet, size in (("lower and digits", 32), ("upper and digits", 32), ("base62", 20), ("base64", 40)):
+        texts = random_strings(alphabet, size)
+        for ratio in (small, large):
+            assert sum(any(k == 3 for _, k, _ in spans_of(t, ratio)) for t in texts) >= 490, alphabet
+
+
+def test_names_stay_ordinary():
+    ratio = M.ratios(table_counts())
+    for name in ("com/services/configuration/documentation", "get-user-account-settings", "the_implementation_of_user_configuration",
+                 "userAccountSettingsController", "src/main/resources/application-settings"):
+        assert spans_of(name, ratio) == []
