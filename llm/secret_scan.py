@@ -2,9 +2,10 @@
 
 Two first-order character models are trained on labelled samples from the texts themselves: what the patterns find
 (``random``, together with random strings over the usual alphabets of keys) and all other characters of the corpus
-(``ordinary``).  Both use shares of the counts only, so a corpus of any size gives the same model.  A token of 16 or more characters becomes a span if
-the log-likelihood ratio of its characters, random against ordinary, is high in sum and per character.  Training counts
-character pairs (one small table per batch, summed by Spark); scoring is a lookup and a running sum over the bytes.
+(``ordinary``).  Both use shares of the counts only, so a corpus of any size gives the same model.  A stretch of 16 or more characters becomes a
+span if the log-likelihood ratio of its characters, random against ordinary, is high in sum and per character.  Training counts
+character pairs (one small table per batch, summed by Spark); scoring is a lookup and a
+running sum over the bytes.
 
 Offsets are code points, ends exclusive.
 """
@@ -12,6 +13,7 @@ Offsets are code points, ends exclusive.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -161,17 +163,73 @@ def ratios(n: np.ndarray) -> np.ndarray:
     return out
 
 
+def _stretches(gain: list[float]) -> list[tuple[int, int]]:
+    """[start, end) of the pairs between a low and the next high of the running sum of ``gain`` above ``LEAST_MEAN``.
+
+    A stretch ends at its high where the sum falls to its low again, or by ``LEAST_SUM``: so what joins two secrets
+    does not count against either.
+    """
+    out, at = [], 0
+    while at < len(gain):
+        total = high = 0.0
+        start = end = at
+        for i in range(at, len(gain)):
+            total += gain[i] - LEAST_MEAN
+            if total > high:
+                high, end = total, i + 1
+            elif high > 0 and (total <= 0 or total < high - LEAST_SUM):
+                break
+            elif total <= 0:
+                total, start = 0.0, i + 1
+        if high <= 0:
+            break
+        out.append((start, end))
+        at = end
+    return out
+
+
 def markov_spans(raw: np.ndarray, offsets: np.ndarray, ratio: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+    """Every stretch that scores as random, out to the next joiner (+ / _ = -) or the end of the run on both sides.
+
+    An ordinary word between joiners that a stretch only begins or ends in is not part of the span.
+    """
     code = _CODE[raw]
     s, e = runs(code >= 0, offsets, TOKEN_LENGTH)
     if not len(s):
         return []
     pair = _pairs(code, offsets)
-    gain = np.cumsum(np.where(pair >= 0, ratio.reshape(-1)[np.maximum(pair, 0)], 0.0))
-    total = gain[e - 1] - gain[s]
-    hit = (total >= LEAST_SUM) & (total >= LEAST_MEAN * (e - s - 1))
-    owner = np.searchsorted(offsets, s[hit], "right") - 1
-    return [(int(r), int(a), 3, int(b), int(a)) for r, a, b in zip(owner, s[hit], e[hit])]
+    gain = np.where(pair >= 0, ratio.reshape(-1)[np.maximum(pair, 0)], 0.0)
+    total, upward = np.cumsum(gain), np.cumsum(np.maximum(gain, 0))
+
+    def random(a, b):
+        score = total[b - 1] - total[a]
+        return b - a >= TOKEN_LENGTH and score >= LEAST_SUM and score >= LEAST_MEAN * (b - a - 1)
+
+    def ordinary(a, b):
+        return b - a > 1 and total[b - 1] < total[a]
+
+    found = []
+    open_ = upward[e - 1] - upward[s] >= LEAST_SUM - 1e-6   # no stretch of the others can reach the sum
+    for lo, hi in zip(s[open_].tolist(), e[open_].tolist()):
+        joiner = [lo - 1, *(np.flatnonzero(_JOINER[code[lo:hi]]) + lo).tolist(), hi]
+        done = lo
+        for i, j in _stretches(gain[lo + 1:hi].tolist()):
+            a, b = max(lo + i, done), lo + j + 1
+            if b <= a:
+                continue
+            first, last = bisect_right(joiner, a) - 1, bisect_left(joiner, b)
+            while last - first > 1 and ordinary(joiner[last - 1] + 1, joiner[last]):
+                last -= 1
+            while last - first > 1 and ordinary(joiner[first] + 1, joiner[first + 1]):
+                first += 1
+            left, right = max(done, joiner[first] + 1), joiner[last]
+            if random(max(a, left), min(b, right)) or random(left, right):
+                found.append((left, right))
+                done = right
+        if done == lo and random(lo, hi):
+            found.append((lo, hi))
+    owner = np.searchsorted(offsets, [a for a, _ in found], "right") - 1
+    return [(int(r), a, 3, b, a) for r, (a, b) in zip(owner, found)]
 
 
 def find_spans(raw: np.ndarray, offsets: np.ndarray, ratio: np.ndarray) -> list[list[tuple[int, int, int]]]:

@@ -129,3 +129,22 @@ def test_names_stay_ordinary():
     for name in ("com/services/configuration/documentation", "get-user-account-settings", "the_implementation_of_user_configuration",
                  "userAccountSettingsController", "src/main/resources/application-settings"):
         assert spans_of(name, ratio) == []
+
+
+def test_a_secret_is_found_behind_joined_words():
+    ratio = M.ratios(table_counts())
+    for before, behind in (("", ""), ("session_identifier=", ""), ("com/services/configuration/documentation/", ""),
+                           ("com/services/configuration/documentation/", "/implementation/settings")):
+        whole = 0
+        for t in random_strings("base62", 24):
+            whole += (len(before), 3, len(before) + 24) in spans_of(before + t + behind, ratio)
+        assert whole >= 490, (before, behind)
+    words = "_the_implementation_of_user_configuration_"
+    for one, two in zip(random_strings("base62", 24, 100), random_strings("base62", 20, 100, seed=12)):
+        assert spans_of(one + words + two, ratio) == [(0, 3, 24), (24 + len(words), 3, 44 + len(words))]
+
+
+def test_long_runs_are_scored_in_linear_time():
+    ratio = M.ratios(table_counts())
+    assert spans_of("".join(random_strings("base64", 300_000, 1)), ratio)[0][1] == 3
+    assert spans_of("configuration_documentation/" * 20_000, ratio) == []
