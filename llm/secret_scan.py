@@ -233,14 +233,14 @@ def markov_spans(raw: np.ndarray, offsets: np.ndarray, ratio: np.ndarray) -> lis
 
 
 def find_spans(raw: np.ndarray, offsets: np.ndarray, ratio: np.ndarray) -> list[list[tuple[int, int, int]]]:
-    """Per row, (start, kind, end) in code points, by start and kind.  A scored token under a pattern's span is not told again."""
+    """Per row, (start, kind, end) in code points, by start and kind.  A scored stretch wholly under patterns' spans is not told again."""
     base = base_spans(raw, offsets)
     taken = np.zeros(len(raw) + 1, np.int64)
     for _, s, _, e, _ in base:
         taken[s] += 1
         taken[e] -= 1
     taken = np.concatenate([[0], np.cumsum(np.cumsum(taken[:-1]) > 0)])
-    more = [x for x in markov_spans(raw, offsets, ratio) if taken[x[3]] == taken[x[1]]]
+    more = [x for x in markov_spans(raw, offsets, ratio) if taken[x[3]] - taken[x[1]] < x[3] - x[1]]
     out: list[list] = [[] for _ in range(len(offsets) - 1)]
     if not base and not more:
         return out
