@@ -2,7 +2,9 @@
 
 A page is read into a list of nodes (implied ends of p, li and table parts, raw script and style, unclosed tags).  Parts
 that are never article text (menus, headers, footers, asides, forms, notices, adverts, reader comments, scripts) are cut
-off by element name, role, or a word of their class or id.  For every remaining node:
+off by element name, role, or a word of their class or id (not by a name for the state of a page, as has-sidebar); but a
+box, a form or a header around the largest main or article stays open, and on a page without these also a box or form
+that holds most of the text, unless it is named for readers' comments or consent.  For every remaining node:
 
   density = C/T * log_b(C/LC * T/LT),  b = ln(C/(C - LC) * LC + LCbody/Cbody * C + e)
 
@@ -43,29 +45,48 @@ ROLES = frozenset("navigation banner contentinfo complementary search form dialo
 WORDS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner menu nav navbar navigation breadcrumb "
                   "breadcrumbs sidebar aside footer masthead comment comments disqus respond reply replies cookie cookies consent notice notices "
                   "alert popup modal newsletter subscribe signup login share sharing social related widget pagination pager toolbar".split())
+READERS = frozenset("comment comments disqus respond reply replies cookie cookies consent".split())
+STATE_PREFIX = frozenset("has no with without not".split())   # has-sidebar, no-sidebar: about a part, not the part itself
+STATE_SUFFIX = frozenset("open opened closed active enabled disabled visible hidden collapsed expanded".split())
 LISTS = frozenset("ul ol dl div table section p".split())
 
 
-def _cut_off(name: str, attributes: str, inside_article: bool) -> bool:
-    if name in NEVER or (name == "header" and not inside_article):
-        return True
+ALWAYS, UNLESS_MAIN, UNLESS_MOST = 3, 2, 1   # never open; open around the main article; open also around most of the text
+
+
+def _marks(value: str) -> set[str]:
+    """Listed words of a class or id, without those in the names of a page's state."""
+    out = set()
+    for name in value.split():
+        parts = [w.lower() for w in _HUMP.findall(name)]
+        if len(parts) > 1 and (parts[0] in STATE_PREFIX or (len(parts) == 2 and parts[1] in STATE_SUFFIX)):
+            continue
+        out.update(w for w in (*map(str.lower, _NAME.findall(name)), *parts) if w in WORDS)
+    return out
+
+
+def _cut_off(name: str, attributes: str, inside_article: bool) -> int:
+    """How firmly an element is marked as no part of the article (0: not marked)."""
+    if name in NEVER and name != "form":
+        return ALWAYS
+    mark = UNLESS_MOST if name == "form" else UNLESS_MAIN if name == "header" and not inside_article else 0
     if "=" not in attributes or name in ("body", "html", "main", "article"):
-        return False
+        return mark
     for kind, value in _ATTRIBUTE.findall(attributes):
         value = value.strip("\"'")
         if kind.lower() == "role":
             if value.lower() in ROLES:
-                return True
-        elif any(w.lower() in WORDS for w in (*_NAME.findall(value), *_HUMP.findall(value))):
-            return True
-    return False
+                mark = max(mark, UNLESS_MOST if value.lower() == "form" else UNLESS_MAIN)
+        elif words := _marks(value):
+            mark = max(mark, UNLESS_MAIN if words & READERS else UNLESS_MOST)
+    return mark
 
 
 class Page:
     """Nodes in page order: name, parent, end (first node behind the subtree); texts as (node, text) in page order."""
 
     def __init__(self, source: str):
-        self.name, self.parent, self.end, self.cut = ["html"], [-1], [0], [False]
+        self.name, self.parent, self.end, self.cut = ["html"], [-1], [0], [0]
         self.events: list[tuple[int, str | None]] = []   # (node, text), (node, None) where a block begins or ends
         self.article, self.paragraphs = 0, 0   # open elements of these kinds
         stack, at, n = [0], 0, len(source)
@@ -119,7 +140,7 @@ class Page:
             self.name.append(name)
             self.parent.append(parent)
             self.end.append(node + 1)
-            self.cut.append(self.cut[parent] or _cut_off(name, rest, self.article > 0))
+            self.cut.append(_cut_off(name, rest, self.article > 0))
             if name in BLOCK:
                 add((node, None))
             elif name == "br":
@@ -129,6 +150,7 @@ class Page:
                 self.article += name in ("article", "main")
                 self.paragraphs += name == "p"
         self._close(stack, 0)
+        self._cut()
 
     def _close(self, stack: list[int], k: int) -> None:
         for node in reversed(stack[k:]):
@@ -140,6 +162,46 @@ class Page:
             self.paragraphs -= self.name[node] == "p"
         del stack[k:]
 
+    def _cut(self) -> None:
+        """``cut`` from marks to whole subtrees; a mark does not count where it would take the article or most of the text."""
+        size = len(self.name)
+        chars = [0] * size      # of the subtree
+        left = [0] * size       # without the marked subtrees in it
+        firm = [0] * size       # without those that may not open around most of the text
+        for node, text in self.events:
+            if text:
+                c = sum(map(len, text.split()))
+                chars[node] += c
+                left[node] += c
+                firm[node] += c
+        for i in range(size - 1, 0, -1):
+            chars[self.parent[i]] += chars[i]
+            left[self.parent[i]] += 0 if self.cut[i] else left[i]
+            firm[self.parent[i]] += 0 if self.cut[i] > UNLESS_MOST else firm[i]
+        mains = [max((i for i in range(size) if self.name[i] == "main"), key=lambda i: chars[i], default=None)]
+        within = range(size) if mains[0] is None else range(mains[0], self.end[mains[0]])
+        mains.append(max((i for i in within if self.name[i] == "article"), key=lambda i: chars[i], default=None))
+        for i in mains:
+            while i is not None and i > 0:
+                i = self.parent[i]
+                if self.cut[i] in (UNLESS_MAIN, UNLESS_MOST):
+                    self.cut[i] = 0
+        if "body" in self.name:
+            i = self.name.index("body")
+            while i > 0:
+                i = self.parent[i]
+                self.cut[i] = 0
+        if mains == [None, None]:
+            most = left[0]      # what stands outside all marks
+            for i in range(1, size):
+                if self.cut[i] == UNLESS_MOST and firm[i] > most and 2 * chars[i] > chars[0]:
+                    self.cut[i] = 0
+                    most = max(most, left[i])
+        cut = [False] * size
+        for i in range(1, size):
+            cut[i] = cut[self.parent[i]] or self.cut[i] > 0
+        self.cut = cut
+
     def measures(self) -> tuple[list[int], list[int], list[int], list[int]]:
         """Characters, tags, link characters and links of every subtree, without what is cut off."""
         size = len(self.name)

@@ -71,3 +71,29 @@ def test_density_prefers_text_over_links():
     d = M.densities(page, page.name.index("body"), *page.measures())
     first, second = (i for i, n in enumerate(page.name) if n == "div")
     assert d[first] > 5 * d[second]
+
+
+@pytest.mark.parametrize("name", ["layout has-sidebar", "no-sidebar", "page with-banner", "menu-open", "noSidebar", "sidebar-layout", "widget"])
+def test_a_wrapper_keeps_its_article(name):
+    for kind in ("class", "id"):
+        page = f"<body><div {kind}='{name}'><nav>x</nav><article><p>{LONG}</p></article><div class='sidebar'>{LONG}</div></div></body>"
+        assert M.main_text(page) == LONG
+        assert M.main_text(f"<body><div {kind}='{name}'><div><p>{LONG}</p><p>{LONG}</p></div></div><footer>f</footer></body>") == f"{LONG}\n{LONG}"
+
+
+def test_a_form_around_the_page():
+    for inner in (f"<article><p>{LONG}</p></article>", f"<main><p>{LONG}</p></main>", f"<div><div><p>{LONG}</p></div></div>"):
+        assert M.main_text(f"<body><form action='p.aspx'><nav>x</nav>{inner}<div id='comments'>{LONG * 9}</div></form></body>") == LONG
+
+
+def test_marked_wrappers_in_one_another():
+    page = f"<form id=f><div class='widget'><nav>{LONG}</nav><div><p>{LONG}</p><p>{LONG}</p></div><div class='banner'>{LONG}</div></div></form>"
+    assert M.main_text(f"<body>{page}</body>") == f"{LONG}\n{LONG}"
+
+
+def test_marks_that_stay_cut():
+    teaser = f"<article><p>{LONG}</p></article>"
+    for around in ("aside", "nav", "footer", "div class='related'", "div id='comments'"):
+        page = f"<body><article><p>{LONG}</p><p>{LONG}</p></article><{around}>{teaser}</{around.split()[0]}></body>"
+        assert M.main_text(page) == f"{LONG}\n{LONG}"
+    assert M.main_text(f"<body><div><p>{LONG}</p></div><div id='comments'><p>{LONG * 9}</p></div></body>") == LONG
