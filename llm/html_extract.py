@@ -11,7 +11,8 @@ that holds most of the text, unless it is named for readers' comments or consent
 with C characters, T tags, LC characters in links, LT links of its subtree (zero denominators count as 1; plain C/T
 where the page has no links).  The density sum of a node is the sum over its children.  The node with the largest sum
 lies in the article; the least density on its path up to the body is the threshold, and the parts of the body whose
-density reaches it are the content (all of them, if the body itself has the largest sum).  Inside, lists and boxes that are mostly links go as menus; nothing else does.
+density reaches it are the content (all of them, if the body itself has the largest sum).  Beside
+that node, lists and boxes that are mostly links go as menus; inside it nothing does.
 """
 
 from __future__ import annotations
@@ -48,7 +49,7 @@ WORDS = frozenset("ad ads advert adverts advertisement advertising sponsor spons
 READERS = frozenset("comment comments disqus respond reply replies cookie cookies consent".split())
 STATE_PREFIX = frozenset("has no with without not".split())   # has-sidebar, no-sidebar: about a part, not the part itself
 STATE_SUFFIX = frozenset("open opened closed active enabled disabled visible hidden collapsed expanded".split())
-LISTS = frozenset("ul ol dl div table section p".split())
+LISTS = frozenset("ul ol dl div table section".split())
 
 
 ALWAYS, UNLESS_MAIN, UNLESS_MOST = 3, 2, 1   # never open; open around the main article; open also around most of the text
@@ -270,7 +271,7 @@ def main_text(source: str) -> str:
         if i != body and page.parent[i] != body:
             keep[i] = keep[page.parent[i]]
         if keep[i] and i != body and (page.cut[i] or (page.name[i] in LISTS and links[i] > 1 and 2 * link_chars[i] > chars[i]
-                                                       and not i <= best < page.end[i])):
+                                                       and not i <= best < page.end[i] and not best < i < page.end[best])):
             keep[i] = False
     blocks, parts = [], []
     for node, text in [*page.events, (body, None)]:

@@ -97,3 +97,19 @@ def test_marks_that_stay_cut():
         page = f"<body><article><p>{LONG}</p><p>{LONG}</p></article><{around}>{teaser}</{around.split()[0]}></body>"
         assert M.main_text(page) == f"{LONG}\n{LONG}"
     assert M.main_text(f"<body><div><p>{LONG}</p></div><div id='comments'><p>{LONG * 9}</p></div></body>") == LONG
+
+
+SOURCES = "<a href=x>A long title of a source</a>, <a href=y>and another long title of one</a>"
+
+
+@pytest.mark.parametrize("part", [f"<p>Sources: {SOURCES}</p>", f"<ul><li>{SOURCES}</li></ul>", f"<ol><li>{SOURCES}</li></ol>",
+                                  f"<table><tr><td>{SOURCES}</td></tr></table>", f"<section><div><p>{SOURCES}</p></div></section>"])
+def test_links_inside_the_article_stay(part):
+    want = f"{LONG}\n{' '.join(re.sub('<[^>]*>', '', part).split())}\n{LONG}"
+    for page in (f"<article><p>{LONG}</p>{part}<p>{LONG}</p></article>", f"<div><p>{LONG}</p>{part}<p>{LONG}</p></div>"):
+        assert M.main_text(f"<body><nav>x</nav>{page}<footer>f</footer></body>") == want
+
+
+def test_menus_beside_the_article_go():
+    menu = "<ul><li><a>one</a><li><a>two</a></ul>"
+    assert M.main_text(f"<body>{menu}<div id=page>{menu}<article><p>{LONG}</p><p>{LONG}</p></article>{menu}</div></body>") == f"{LONG}\n{LONG}"
