@@ -34,6 +34,7 @@ _QUOTED = re.compile(r"""(?:[^"'>]|"[^"]*"|'[^']*')*>""")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp template svg math".split())
+FOREIGN = frozenset("svg math".split())   # may close themselves; without an end tag, only the start tag goes
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer "
                   "form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary "
                   "table tbody td tfoot th thead tr ul".split())
@@ -83,6 +84,18 @@ def _cut_off(name: str, attributes: str, inside_article: bool) -> int:
     return mark
 
 
+def _ends(source: str, name: str) -> dict[int, int]:
+    """Where each element of this name ends, by the place of its start tag; only those that have an end tag."""
+    out, stack = {}, []
+    for m in re.finditer(rf"""<(/?){name}(?=[\s/>])(?:[^"'>]|"[^"]*"|'[^']*')*>""", source, re.I):
+        if not m[1]:
+            if not m[0].endswith("/>"):
+                stack.append(m.start())
+        elif stack:
+            out[stack.pop()] = m.end()
+    return out
+
+
 class Page:
     """Nodes in page order: name, parent, end (first node behind the subtree); texts as (node, text) in page order."""
 
@@ -92,6 +105,7 @@ class Page:
         self.article, self.paragraphs = 0, 0   # open elements of these kinds
         stack, at, n = [0], 0, len(source)
         add = self.events.append
+        ends: dict[str, dict[int, int]] = {}
         while at < n:
             m = _TAG.search(source, at)
             if m is None:
@@ -131,6 +145,11 @@ class Page:
                     elif here in FENCE.get(name, ()):
                         break
             if name in RAW:
+                if name in FOREIGN:
+                    if name not in ends:
+                        ends[name] = _ends(source, name)
+                    at = max(at, ends[name].get(m.start(), at))
+                    continue
                 close = re.compile(rf"</{re.escape(name)}[\s/>]", re.I).search(source, at)
                 at = n if close is None else source.find(">", close.start()) + 1 or n
                 continue

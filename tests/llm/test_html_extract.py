@@ -113,3 +113,11 @@ def test_links_inside_the_article_stay(part):
 def test_menus_beside_the_article_go():
     menu = "<ul><li><a>one</a><li><a>two</a></ul>"
     assert M.main_text(f"<body>{menu}<div id=page>{menu}<article><p>{LONG}</p><p>{LONG}</p></article>{menu}</div></body>") == f"{LONG}\n{LONG}"
+
+
+@pytest.mark.parametrize("mark", ["<svg class='icon'/>", "<math/>", "<SVG />", "<svg class='icon'>", "<math>", "<svg><path d='M0'/></svg>",
+                                  "<svg/><svg><text>no</text></svg>"])
+def test_svg_and_math_take_no_text_behind_them(mark):
+    assert M.main_text(f"<article><p>{LONG}</p><p>{mark}{LONG}</p><p>End</p></article>") == f"{LONG}\n{LONG}\nEnd"
+    assert M.main_text(f"<article><p>{LONG}</p><p><svg/>{LONG}</p><p>End {mark}</p></article>") == f"{LONG}\n{LONG}\nEnd"
+    assert M.main_text(f"<article><p>{mark}{LONG}</p><p><svg><g><svg></svg></g><text>no</text></svg>{LONG}</p></article>") == f"{LONG}\n{LONG}"
