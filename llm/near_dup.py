@@ -227,22 +227,18 @@ def _similar(percent: int, n1: str, n2: str, both: Column) -> Column:
     return 100 * both >= percent * (F.col(n1) + F.col(n2) - both)
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, bands: int = BANDS,
-                    band_rows: int = BAND_ROWS, block: int = BLOCK) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept.
-
-    Documents are linked when their shingle sets are similar by at least ``percent``; component_id is the smallest doc_id
-    that links lead to, the document itself included.  A null text, or one without words, has an empty set and is linked
-    with nothing.  Rows are documents of their own, also with equal doc_ids; a null doc_id is never the smallest, and such
-    a row is kept only if its group has no other id.  Empty input gives an empty result; other columns are not used.
-    """
+def _grouped(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, bands: int = BANDS,
+             band_rows: int = BAND_ROWS, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``docs`` (doc_id, key: hash of the text, n_shingles, node: hash of the set), and every node with its group:
+    node, label, doc (least doc_id), best (its least row: no doc_id last, then doc_id, key)."""
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"), F.col("text"))
     survey = stored(src.mapInArrow(_survey(shingle, bands, band_rows),
                                    "doc_id long, key long, n_shingles long, node binary, bands array<long>"), "signatures")
     sets_seen = survey.where("n_shingles > 0")
     classes = stored(sets_seen.groupBy("node").agg(
         F.min("doc_id").alias("doc"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"),
-        F.min(F.struct(F.col("doc_id").alias("d"), F.col("key").alias("k"))).alias("row")), "classes")
+        F.min(F.struct(F.col("doc_id").alias("d"), F.col("key").alias("k"))).alias("row"),
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("d"), F.col("key").alias("k"))).alias("best")), "classes")
     member = classes.select("node", F.explode("bands").alias("bucket"))
     bucket = member.groupBy("bucket").agg(F.min("node").alias("center"), F.max("node").alias("other"), F.count("*").alias("m")) \
         .where("center != other").drop("other")
@@ -290,7 +286,21 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
 
     group = label.join(bridge, "label", "left").select("node", F.coalesce("to", "label").alias("label")) \
         .union(bridge.select(F.col("label").alias("node"), F.col("to").alias("label")))
-    group = classes.select("node", "doc").join(group, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "doc")
+    group = classes.select("node", "doc", "best").join(group, "node", "left") \
+        .select("node", F.coalesce("label", "node").alias("label"), "doc", "best")
+    return survey, group
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, bands: int = BANDS,
+                    band_rows: int = BAND_ROWS, block: int = BLOCK) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept.
+
+    Documents are linked when their shingle sets are similar by at least ``percent``; component_id is the smallest doc_id
+    that links lead to, the document itself included.  A null text, or one without words, has an empty set and is linked
+    with nothing.  Rows are documents of their own, also with equal doc_ids; a null doc_id is never the smallest, and such
+    a row is kept only if its group has no other id.  Empty input gives an empty result; other columns are not used.
+    """
+    survey, group = _grouped(docs, shingle, percent, bands, band_rows, block)
     least = group.groupBy("label").agg(F.min("doc").alias("component_id"))
     ids = group.join(least, "label").select("node", "component_id")
     return survey.select("doc_id", "n_shingles", "node").join(ids, "node", "left").select(
@@ -300,9 +310,15 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
 
 
 def keep_one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """The documents that stand for their group, in their own columns; of rows with equal doc_id and text, one."""
-    kept = near_duplicates(docs, **options).where("kept").select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["__kept"]), "left_semi") \
+    """The documents that stand for their group, in their own columns: those with its least doc_id, or where it has none,
+    one row.  Documents without words stay; of rows with equal doc_id and text, one."""
+    survey, group = _grouped(docs, **options)
+    best = group.groupBy("label").agg(F.min("best").alias("first"))
+    stands = survey.where("n_shingles > 0").join(group.join(best, "label").select("node", "first"), "node") \
+        .where(F.col("doc_id").eqNullSafe(F.col("first.d")) & (~F.col("first.no_id") | (F.col("key") == F.col("first.k"))))
+    kept = stands.select("doc_id", "key").union(survey.where("n_shingles = 0").select("doc_id", "key")).distinct() \
+        .toDF("__id", "__key")
+    return docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["__id"]) & (F.xxhash64(docs["text"]) == kept["__key"]), "left_semi") \
         .dropDuplicates(["doc_id", "text"])
 
 

@@ -114,3 +114,19 @@ def test_components(spark, pairs):
     want = {(x, find(x)) for x in parent if find(x) != x}
     got = [(r.node[0], r.label[0]) for r in M.components(links).collect()]
     assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_one_of_each_with_null_and_repeated_ids(spark, docs_of):
+    text = lambda stem: " ".join(f"{stem}{i}" for i in range(60))
+    near = lambda stem: text(stem) + " end"
+    rows = [(None, text("a")), (None, near("a")),                            # no id in the group: one of them
+            (1, text("b")), (None, near("b")),                               # the numbered one
+            (2, text("c")), (2, text("d")), (3, near("d")), (1, near("c")),  # 1 stands for c, 2 for d
+            (None, text("e")), (4, text("f")), (4, near("f")),                # both rows of 4
+            (None, None), (5, ""), (5, "")]
+    got = [(r.doc_id, r.text) for r in M.keep_one_of_each(docs_of(rows)).collect()]
+    assert len(got) == len(set(got))
+    a = {(None, text("a")), (None, near("a"))}
+    assert len(a & set(got)) == 1
+    assert set(got) - a == {(1, text("b")), (1, near("c")), (2, text("d")), (None, text("e")), (4, text("f")), (4, near("f")),
+                            (None, None), (5, "")}
