@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from llm.textops import n_words, named, same, scratch_name
+from llm.textops import _spaced as spaced, n_words, named, same, scratch_name
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_EPOCHS = 3
@@ -85,6 +85,27 @@ def mix(docs: DataFrame, weights=repeating_weights, max_epochs: int = MAX_EPOCHS
     return out.select(*named([c for c in docs.columns if c not in (order, cell)]), *new[1:])
 
 
+def sample(docs: DataFrame, **options) -> DataFrame:
+    """The mix itself: a row for each repetition that ``mix`` takes of a document, none for a document it does not take.
+
+    ``repeat`` numbers the repetitions from 0; ``taken`` is the words of this one.  Where that is a part of the document,
+    ``text`` (and ``n_chars``, if there) ends behind the last word taken.  A column named repeat is replaced.
+    """
+    out = mix(docs.drop("repeat"), **options).where("taken > 0")
+    copies = F.ceil(F.col("taken") / F.col("size")).cast("int")
+    out = out.withColumn("repeat", F.explode(F.sequence(F.lit(0), copies - 1)))
+    out = out.withColumn("taken", F.least(F.col("size"), F.col("taken") - F.col("repeat") * F.col("size")))
+    start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("at"))
+    step = lambda a, x: F.when(a["n"] >= F.col("taken"), a).otherwise(
+        F.struct((a["n"] + (x != "").cast("long")).alias("n"), (a["at"] + F.length(x) + 1).alias("at")))
+    end = F.aggregate(F.split(spaced(F.col("text")), " "), start, step, lambda a: a["at"] - 1)
+    part = F.col("taken") < F.col("size")
+    out = out.withColumn("text", F.when(part, F.substring("text", F.lit(1), end)).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(part, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return out
+
+
 def contract(docs: DataFrame) -> DataFrame:
     sized = docs.select("doc_id", "source", n_words(F.col("text")).alias("n"), F.xxhash64("text").alias("text"))
     return mix(sized, size=F.col("n")).select("doc_id", "size", "source_size", "target", "taken", "source")

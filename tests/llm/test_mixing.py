@@ -69,3 +69,21 @@ def test_empty(spark):
     assert M.contract(spark.createDataFrame([], "doc_id long, text string, source string")).collect() == []
     zero = spark.createDataFrame([(1, None, "a"), (2, "", "b")], "doc_id long, text string, source string")
     assert {(r.target, r.taken) for r in M.contract(zero).collect()} == {(0.0, 0)}
+
+
+def test_sample(spark):
+    docs = table(spark, SF, "documents")
+    plan = {r.doc_id: r for r in M.mix(docs).collect()}
+    rows = M.sample(docs).collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r.doc_id, []).append(r)
+        words, whole = r.text.split(), plan[r.doc_id].text
+        assert r.taken == len(words) > 0 and whole.startswith(r.text) and words == whole.split()[:r.taken]
+        assert r.n_chars == len(r.text)
+    assert set(by) == {d for d, r in plan.items() if r.taken}
+    for d, some in by.items():
+        assert sum(r.taken for r in some) == plan[d].taken
+        assert sorted(r.repeat for r in some) == list(range(len(some))) and sum(r.taken < r.size for r in some) <= 1
+    assert len(rows) > len(by)
+    assert M.sample(docs.limit(0)).collect() == []
