@@ -146,3 +146,59 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(words.n, 0)::BIGINT AS n_hit,
        sha256(coalesce(items.l, '')) AS items_sha256, coalesce(words.n, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+_CRC32 = """xor(list_reduce(list_transform(range(1, len(k) + 1), lambda i: ord(k[i])::BIGINT),
+    lambda c, b: list_reduce([1, 2, 3, 4, 5, 6, 7, 8]::BIGINT[], lambda d, j: xor(d >> 1, 3988292384 * (d & 1)), xor(c, b)),
+    4294967295), 4294967295)"""
+
+REPAIR = rf"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+hit AS (SELECT *, {_CRC32} % 20 AS kind FROM keyed),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM (SELECT *, unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) FROM hit WHERE kind <> 0)),
+placed AS (
+  SELECT *, row_number() OVER w AS i, left(role, 1) AS c, lag(left(role, 1)) OVER w AS last
+  FROM damaged WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+r AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+                 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                 WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault
+  FROM placed),
+put(before, after, edits, roles, cost) AS (   -- what may be inserted before a row or at the end: (state, state then)
+  VALUES ('b', 'b', '', []::VARCHAR[], 0), ('s', 's', '', [], 0), ('u', 'u', '', [], 0), ('a', 'a', '', [], 0),
+         ('b', 'u', 'I', ['user:'], 3), ('s', 'u', 'I', ['user:'], 3), ('u', 'a', 'I', ['assistant:'], 3), ('a', 'u', 'I', ['user:'], 3),
+         ('b', 'a', 'II', ['user:', 'assistant:'], 6), ('s', 'a', 'II', ['user:', 'assistant:'], 6),
+         ('u', 'u', 'II', ['assistant:', 'user:'], 6), ('a', 'a', 'II', ['user:', 'assistant:'], 6)),
+step(source, target, role) AS (VALUES ('b', 's', ''), ('b', 'u', 'user'), ('s', 'u', 'user'), ('u', 'a', 'assistant'), ('a', 'u', 'user')),
+way AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS i, 'b' AS state, {{'cost': 0, 'audit': '', 'rows': []::VARCHAR[]}} AS v FROM conversations
+  UNION ALL
+  SELECT conv_id, i, state, min(v) FROM (
+    SELECT w.conv_id, r.i, put.after AS state,
+           {{'cost': v.cost + put.cost + 4, 'audit': v.audit || put.edits || 'D', 'rows': v.rows || put.roles}} AS v
+    FROM way w JOIN r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.i = w.i + 1 JOIN put ON put.before = w.state
+    UNION ALL
+    SELECT w.conv_id, r.i, step.target,
+           {{'cost': v.cost + put.cost + CASE WHEN r.c = step.target THEN 0 ELSE 3 END + CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END,
+            'audit': v.audit || put.edits || CASE WHEN r.c = step.target THEN 'K' ELSE 'R' END,
+            'rows': v.rows || put.roles || [CASE WHEN r.c = step.target THEN r.role ELSE step.role END || ':' || r.text]}}
+    FROM way w JOIN r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.i = w.i + 1 JOIN put ON put.before = w.state
+    JOIN step ON step.source = put.after
+    WHERE fault NOT IN ('blank', 'duplicate') AND (step.target <> 's' OR r.c = 's')) GROUP BY ALL),
+best AS (
+  SELECT w.conv_id, min({{'cost': v.cost + put.cost, 'audit': v.audit || put.edits, 'rows': v.rows || put.roles}}) AS v
+  FROM way w JOIN put ON put.before = w.state AND (put.after = 'a' OR w.state = 'b' AND put.after = 'b')
+  WHERE w.i = (SELECT count(*) FROM r WHERE r.conv_id IS NOT DISTINCT FROM w.conv_id) GROUP BY 1),
+n AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 'blank') AS blank,
+         count(*) FILTER (WHERE fault = 'duplicate') AS duplicate, count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+         count(*) FILTER (WHERE i > 1 AND last || c NOT IN ('su', 'ua', 'au')) AS illegal FROM r GROUP BY 1)
+SELECT b.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, v.cost::BIGINT AS cost, v.audit AS audit,
+       sha256(array_to_string(v.rows, chr(10))) AS repaired_sha256
+FROM best b LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM b.conv_id
+"""
