@@ -202,3 +202,40 @@ SELECT b.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT
        sha256(array_to_string(v.rows, chr(10))) AS repaired_sha256
 FROM best b LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM b.conv_id
 """
+
+AUDIT = rf"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, {_words('text')} AS w FROM documents),
+least AS (SELECT t, min(doc_id) AS least FROM d GROUP BY 1),
+l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY 1),
+f AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+         {{'A': len(w) < 200, 'B': 100 * len(list_distinct(w)) < 50 * len(w),
+           'C': 100 * (len(t) - len(regexp_replace(t, '[A-Z]', '', 'g'))) > 2 * len(t),
+           'D': regexp_matches(t, '[#$%&*|]'), 'E': coalesce(least < d.doc_id, false)}} AS fails
+  FROM d JOIN least USING (t) LEFT JOIN l ON l.doc_id = d.doc_id),
+m AS (
+  SELECT part, (CASE WHEN fails.A THEN 'A' ELSE '' END) || (CASE WHEN fails.B THEN 'B' ELSE '' END) || (CASE WHEN fails.C THEN 'C' ELSE '' END)
+               || (CASE WHEN fails.D THEN 'D' ELSE '' END) || (CASE WHEN fails.E THEN 'E' ELSE '' END) AS mask,
+         count(*) AS n, sum(good) AS good, sum(toxic) AS toxic
+  FROM f GROUP BY ALL),
+c(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM c a, c b, c c, c d, c e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps AS (
+  SELECT filter_order, step, substr(filter_order, step, 1) AS letter, substr(filter_order, 1, step - 1) AS done
+  FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+x AS (
+  SELECT *, contains(mask, letter) AS fails, mask <> '' AND regexp_matches(mask, '[' || done || '_]') AS gone FROM m, steps),
+g AS (
+  SELECT part, filter_order, step, letter, sum(CASE WHEN NOT fails AND NOT gone THEN n ELSE 0 END)::BIGINT AS kept,
+         sum(CASE WHEN fails AND NOT gone THEN n ELSE 0 END)::BIGINT AS removed,
+         sum(CASE WHEN fails AND gone THEN n ELSE 0 END)::BIGINT AS redundant,
+         sum(CASE WHEN mask = letter THEN n ELSE 0 END)::BIGINT AS unique_fails,
+         sum(CASE WHEN fails AND NOT gone THEN good ELSE 0 END)::BIGINT AS good_lost,
+         sum(CASE WHEN fails AND NOT gone THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+  FROM x GROUP BY ALL)
+SELECT part, filter_order, step::INT AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       sum(removed) OVER (PARTITION BY part, letter)::BIGINT AS shapley
+FROM g
+"""
