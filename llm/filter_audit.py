@@ -2,27 +2,23 @@
 
 All files are read as available-now micro-batches.  Each row becomes the mask of the filters that its text fails; whether
 it fails E (a copy of a smaller id's text) can change while smaller ids still arrive.  A state per text holds its least
-id so far and the counters of the rows with that id.  A row that comes after a smaller id is counted with E at once; a
-row that comes before one is counted without it, and as soon as the smaller id arrives that count is retracted and
-entered again with E.  The micro-batch's changes are summed per (part, mask, labels) and written to a directory of the
-batch's own, which a replayed batch overwrites.  The sums of all changes are at most 128 counters a part, and every
-figure of all 120 filter orders follows from them.
-
-Copies of one text are combined inside every Arrow batch before they are dealt by text, so that a text that a third of
-the rows share reaches its state as one row per Arrow batch and not as one per row.
+id so far and the rows with that id.  Every row is first counted as a copy; the rows with a text's least id are counted
+without E instead, and as soon as a smaller id arrives that is retracted and entered for the smaller id's rows.  Every
+micro-batch writes its state entries and the sums of its changes per (part, mask, labels) into directories of its own,
+which a replayed batch overwrites; it reads only what earlier batches wrote, and every eighth batch gathers the state
+anew.  The sums of all changes are at most 128 counters a part, and every figure of all 120 filter orders follows.
+
+A text that a third of the rows share costs a partial minimum per map task; its rows are joined by (text, id).
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
 from itertools import permutations
 from math import ceil, factorial
 
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from llm.textops import shared_dir, stored, word_array
 
@@ -30,15 +26,11 @@ LETTERS = "ABCDE"
 BIT = {c: 1 << i for i, c in enumerate(LETTERS)}
 E = BIT["E"]
 ORDERS = ["".join(p) for p in permutations(LETTERS)]
-SALTS = 8     # a repeated id's rows meet their label in so many partitions
 BATCHES = 4   # micro-batches that a table's files are divided into
+GATHER = 8    # batches after which the state is written as one table again
 
 #: Changes of the counters: n rows of a part, with a mask and labels.
 CHANGE = "part string, mask int, good boolean, toxic boolean, n long"
-_KEEP = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-         "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-         "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200"}
 
 
 def failing(text: Column) -> Column:
@@ -65,75 +57,64 @@ def label_flags(labels: DataFrame) -> DataFrame:
         .where("good OR toxic")
 
 
-def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, id, part, mask, good, toxic) of a batch: per text its least id with the counts of its rows, as ``first``
-    rows, and all others counted as copies (without an id: 0 or '' stands there, as pandas has no whole number that is
-    null).  A null id is no copy and makes none."""
-    for b in batches:
-        none = "" if pa.types.is_string(b.schema.field(1).type) else 0
-        key, ids, part, mask, good, toxic = (c.to_pylist() for c in b.columns)
-        least: dict = {}
-        for k, i in zip(key, ids):
-            if i is not None and (k not in least or i < least[k]):
-                least[k] = i
-        counts: dict = {}
-        for k, i, p, m, g, t in zip(key, ids, part, mask, good, toxic):
-            first = i is not None and i == least[k]
-            place = (k, i, True, p, m, g, t) if first else ("", none, False, p, m if i is None else m | E, g, t)
-            counts[place] = counts.get(place, 0) + 1
-        columns = list(zip(*counts)) or [()] * 7
-        kinds = (pa.string(), b.schema.field(1).type, pa.bool_(), pa.string(), pa.int32(), pa.bool_(), pa.bool_())
-        yield pa.RecordBatch.from_arrays([*(pa.array(c, k) for c, k in zip(columns, kinds)), pa.array(list(counts.values()), pa.int64())],
-                                         names=["key", "id", "first", "part", "mask", "good", "toxic", "n"])
-
-
-def _retract(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """The state of one text: (least id, its rows' counts as (part, good, toxic, n)).  Yields the changes of the counters."""
-    least, held = (state.get[0], [tuple(h) for h in state.get[1]]) if state.exists else (None, [])
-    mask, changes = None, []
-    for frame in frames:
-        for i, first, part, m, good, toxic, n in zip(*(frame[c].tolist() for c in ("id", "first", "part", "mask", "good", "toxic", "n"))):
-            if not first:   # settled before it came here
-                changes.append((part, m, good, toxic, n))
-                continue
-            mask = m
-            if least is None or i < least:
-                for p, g, t, c in held:
-                    changes += [(p, m, g, t, -c), (p, m | E, g, t, c)]
-                least, held = i, []
-            elif i > least:
-                changes.append((part, m | E, good, toxic, n))
-                continue
-            held.append((part, bool(good), bool(toxic), int(n)))
-            changes.append((part, m, good, toxic, n))
-    if mask is not None:
-        merged: dict = {}
-        for p, g, t, c in held:
-            merged[p, g, t] = merged.get((p, g, t), 0) + c
-        state.update((least, [(*k, c) for k, c in merged.items()]))
-    yield pd.DataFrame(changes, columns=["part", "mask", "good", "toxic", "n"])
-
-
-def changes(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The stream of counter changes of a stream of documents (doc_id, text, source)."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    salt = F.pmod(F.xxhash64("text"), F.when(F.col("id").isNull(), 1024).otherwise(SALTS))
+def features(docs: DataFrame) -> DataFrame:
+    """(key, id, part, mask) of documents (doc_id, text, source): the text's digest and the filters A to D that it fails."""
     kind = order_kind(docs.schema["doc_id"].dataType)
-    rows = docs.select(F.col("doc_id").cast(kind).alias("id"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("part"), text.alias("text")) \
+    return docs.select(F.col("doc_id").cast(kind).alias("id"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("part"),
+                       F.coalesce(F.col("text"), F.lit("")).alias("text")) \
         .withColumn("_w", word_array(F.col("text"))) \
-        .select("id", "part", failing(F.col("text")).alias("mask"), F.sha2("text", 256).alias("key"), salt.alias("salt"))
-    salts = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
-    flags = labels.select(F.col("doc_id").cast(kind).alias("id"), "good", "toxic", F.explode(salts).alias("salt"))
-    no = lambda c: F.coalesce(F.col(c), F.lit(False)).alias(c)
-    labelled = rows.join(flags, ["id", "salt"], "left").select("key", "id", "part", "mask", no("good"), no("toxic"))
-    combined = labelled.mapInArrow(_combine, T.StructType([
-        T.StructField("key", T.StringType()), T.StructField("id", kind), T.StructField("first", T.BooleanType()),
-        *T.StructType.fromDDL(CHANGE).fields]))
-    dealt = combined.withColumn("key", F.when(F.col("first"), F.col("key")).otherwise(F.concat_ws("|", "part", "mask", "good", "toxic")))
-    held = T.ArrayType(T.StructType.fromDDL("part string, good boolean, toxic boolean, n long"))
-    return dealt.groupBy("key").applyInPandasWithState(
-        _retract, T.StructType.fromDDL(CHANGE), T.StructType([T.StructField("least", kind), T.StructField("held", held)]),
-        "append", GroupStateTimeout.NoTimeout)
+        .select(F.unhex(F.sha2("text", 256)).alias("key"), "id", "part", failing(F.col("text")).alias("mask"))
+
+
+class Audit:
+    """The state and the changes of one stream, in the folder ``at``."""
+
+    def __init__(self, labels: DataFrame, at: str):
+        self.labels, self.at = labels, at
+
+    def read(self, schema: T.StructType, *names: str) -> DataFrame:
+        return self.labels.sparkSession.read.schema(schema).parquet(*[f"{self.at}/{n}" for n in names])
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{self.at}/{name}")
+        return self.read(df.schema, name)
+
+    def state(self, batch: int, schema: T.StructType) -> DataFrame:
+        """What batches before this one have entered: per text the rows of each id that was its least at some time."""
+        base = batch - batch % GATHER
+        names = ([f"gathered/batch={base}"] if base else []) + [f"state/batch={b}" for b in range(base, batch)]
+        return self.read(schema, *names) if names else self.labels.sparkSession.createDataFrame([], schema)
+
+    def gather(self, batch: int, schema: T.StructType) -> None:
+        """Before every GATHER-th batch: the entries of the least ids so far, as one table."""
+        base = batch - GATHER
+        names = ([f"gathered/batch={base}"] if base else []) + [f"state/batch={b}" for b in range(base, batch)]
+        before = self.read(schema, *names)
+        least = before.groupBy("key").agg(F.min("id").alias("id"))
+        self.write(before.join(least, ["key", "id"]), f"gathered/batch={batch}")
+
+    def step(self, given: DataFrame, batch: int) -> None:
+        """One micro-batch of features."""
+        seen = self.write(given, f"rows/batch={batch}")
+        no = lambda c: F.coalesce(F.col(c), F.lit(False)).alias(c)
+        flags = self.labels.select(F.col("doc_id").cast(seen.schema["id"].dataType).alias("id"), "good", "toxic")
+        rows = self.write(seen.join(flags, "id", "left").groupBy("key", "id", "part", "mask", no("good"), no("toxic"))
+                          .agg(F.count("*").alias("n")), f"counted/batch={batch}")
+        if batch and batch % GATHER == 0:
+            self.gather(batch, rows.schema)
+        state = self.state(batch, rows.schema)
+        least = rows.where("id IS NOT NULL").groupBy("key").agg(F.min("id").alias("id")) \
+            .join(state.groupBy("key").agg(F.min("id").alias("held")), "key", "left").where("held IS NULL OR id <= held")
+        entered = self.write(rows.join(least.select("key", "id"), ["key", "id"]), f"state/batch={batch}")
+        retracted = state.join(least.where("id < held").select("key", F.col("held").alias("id")), ["key", "id"])
+        copy = F.when(F.col("id").isNull(), F.col("mask")).otherwise(F.col("mask").bitwiseOR(E))
+        entry = lambda df, mask, n: df.select("part", mask.alias("mask"), "good", "toxic", n.alias("n"))
+        n, mask = F.col("n"), F.col("mask")
+        parts = [entry(rows, copy, n), entry(entered, copy, -n), entry(entered, mask, n), entry(retracted, mask, -n), entry(retracted, copy, n)]
+        changes = parts[0]
+        for p in parts[1:]:
+            changes = changes.unionByName(p)
+        log_changes(changes, f"{self.at}/changes/batch={batch}")
 
 
 def docs_seen(spark: SparkSession, at: str) -> bool:
@@ -142,37 +123,26 @@ def docs_seen(spark: SparkSession, at: str) -> bool:
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
-def log_changes(batch: DataFrame, path: str) -> None:
+def log_changes(changes: DataFrame, path: str) -> None:
     """The sums of one micro-batch's changes, in a directory of its own."""
-    batch.groupBy("part", "mask", "good", "toxic").agg(F.sum("n").alias("n")).where("n <> 0").write.mode("overwrite").parquet(path)
+    changes.groupBy("part", "mask", "good", "toxic").agg(F.sum("n").alias("n")).where("n <> 0").write.mode("overwrite").parquet(path)
 
 
 def counters(docs: DataFrame, labels: DataFrame, at: str | None = None) -> DataFrame:
     """The final counters (part, mask, good, toxic, n) of a stream of documents, run until all its files are processed.
 
-    The stream's checkpoint and its log of changes lie in ``at`` (a new folder in the shared one): a run that is begun
-    again there goes on behind its last whole micro-batch, and a micro-batch that runs twice writes one and the same
-    directory.
+    The stream's checkpoint, its state and its changes lie in ``at`` (a new folder in the shared one): a run that is
+    begun again there goes on behind its last whole micro-batch, and a micro-batch that runs twice writes one and the
+    same directories.
     """
     spark = docs.sparkSession
     at = at or f"{shared_dir(spark)}/llm-audit-{uuid.uuid4().hex[:12]}"
-    log = f"{at}/changes"
-
-    def write(batch: DataFrame, number: int) -> None:
-        log_changes(batch, f"{log}/batch={number}")
-    before = {k: spark.conf.get(k, None) for k in _KEEP}
-    for k, v in _KEEP.items():
-        spark.conf.set(k, v)
-    try:
-        query = changes(docs, labels).writeStream.foreachBatch(write).option("checkpointLocation", f"{at}/checkpoint") \
-            .trigger(availableNow=True).start()
-        query.awaitTermination()
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    audit = Audit(labels, at)
+    features(docs).writeStream.foreachBatch(audit.step).option("checkpointLocation", f"{at}/checkpoint") \
+        .trigger(availableNow=True).start().awaitTermination()
     if not docs_seen(spark, at):
         return spark.createDataFrame([], T.StructType.fromDDL(CHANGE))
-    return spark.read.schema(T.StructType.fromDDL(f"{CHANGE}, batch int")).parquet(log) \
+    return spark.read.schema(T.StructType.fromDDL(f"{CHANGE}, batch int")).parquet(f"{at}/changes") \
         .groupBy("part", "mask", "good", "toxic").agg(F.sum("n").alias("n")).where("n <> 0")
 
 

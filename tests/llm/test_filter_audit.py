@@ -83,13 +83,17 @@ def test_descending_ids_are_retracted_batch_by_batch(spark, workdir, monkeypatch
     assert got == {("p1", a, True, False): 1, ("p1", a | A.E, False, False): 5, ("p0", a | A.E, False, True): 1, ("p0", a | A.E, False, False): 5}
 
 
-def test_copies_are_combined_before_they_are_dealt(spark):
-    import pyarrow as pa
-    rows = [("k", i, "p", 1, False, False) for i in range(1000, 0, -1)] + [("k", None, "p", 1, False, False)]
-    columns = list(zip(*rows))
-    kinds = (pa.string(), pa.int64(), pa.string(), pa.int32(), pa.bool_(), pa.bool_())
-    (out,) = A._combine([pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=list("abcdef"))])
-    assert sorted((r["id"] or 0, r["first"], r["mask"], r["n"]) for r in out.to_pylist()) == [(0, False, 1, 1), (0, False, 1 | A.E, 999), (1, True, 1, 1)]
+def test_state_is_gathered_again(spark, workdir, monkeypatch):
+    monkeypatch.setattr(A, "GATHER", 2)
+    rng = random.Random(2)
+    rows = [(i, f"text {rng.randrange(6)}", "s") for i in range(20, 0, -1)] + [(5, "text 1", "t"), (5, "text 1", "s")]
+    path = f"{workdir}/docs.parquet"
+    for k in range(0, len(rows), 4):
+        spark.createDataFrame(rows[k:k + 4], "doc_id long, text string, source string").coalesce(1).write.mode("append").parquet(path)
+    no_labels = A.label_flags(spark.createDataFrame([], "doc_id long, quality int, toxic int"))
+    got = {(r.part, r["mask"]): r.n for r in A.counters(A.file_stream(spark, path, batches=6), no_labels, f"{workdir}/audit").collect()}
+    want = Counter((s, A.BIT["A"] | (A.E if any(j < i and x == t for j, x, _ in rows) else 0)) for i, t, s in rows)
+    assert got == want
 
 
 def test_empty_table(spark, workdir):
