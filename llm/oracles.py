@@ -239,3 +239,21 @@ SELECT part, filter_order, step::INT AS step, kept, removed, redundant, unique_f
        sum(removed) OVER (PARTITION BY part, letter)::BIGINT AS shapley
 FROM g
 """
+
+BYTES = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+wins AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 100)) AS x
+         FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 49)) AS i FROM d WHERE len(h) >= 100)),
+first AS (SELECT x, min(doc_id) AS least FROM wins GROUP BY 1),
+gone AS (SELECT doc_id, i, i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS step FROM wins JOIN first USING (x) WHERE least < doc_id),
+runs AS (SELECT doc_id, i, sum(CASE WHEN step <= 50 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM gone),
+spans AS (SELECT doc_id, run, min(i) AS a, max(i) + 50 AS z FROM runs GROUP BY ALL),
+pieces AS (
+  SELECT doc_id, coalesce(lag(z) OVER w, 0) AS a, s.a AS z, h FROM spans s JOIN d USING (doc_id) WINDOW w AS (PARTITION BY doc_id ORDER BY s.a)
+  UNION ALL SELECT doc_id, max(z), any_value(len(h) // 2), any_value(h) FROM spans JOIN d USING (doc_id) GROUP BY 1),
+kept AS (SELECT doc_id, string_agg(substr(h, 2 * a + 1, 2 * (z - a)), '' ORDER BY a) AS rest FROM pieces GROUP BY 1),
+n AS (SELECT doc_id, count(*) AS n_spans, sum(z - a) AS n FROM spans GROUP BY 1)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n.n, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(rest, h))) AS kept_sha256
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from llm import (chat_template, classifier, conversation_repair, decontaminate, filter_audit, html_extract, mixing, near_dup, oracles, quality_rules, secret_scan, substrings,
-                 token_counts)
+                 suffix_dedup, token_counts)
 from llm.textops import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,10 +79,15 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.contract(spark, f"{sf_dir}/documents.parquet", table(spark, sf_dir, "labels"))
 
 
+@query
+def op13_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.contract(table(spark, sf_dir, "documents"))
+
+
 ORACLE |= {"op1_mix_sources": oracles.MIX, "op2_quality_rules": oracles.QUALITY, "op4_substring_dedup": oracles.SUBSTRINGS,
            "op5_near_duplicates": oracles.NEAR, "op8_chat_formatting": oracles.CHAT,
            "op10_benchmark_decontamination": oracles.BENCHMARK, "op11_conversation_repair": oracles.REPAIR,
-           "op12_filter_audit": oracles.AUDIT}
+           "op12_filter_audit": oracles.AUDIT, "op13_suffix_array_dedup": oracles.BYTES}
 
 
 from corpus_pipeline import ORACLE_SQL, run  # noqa: E402  part of this subpackage, kept at the top of the repository

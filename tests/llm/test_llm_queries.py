@@ -10,7 +10,7 @@ TABLES = "documents pages benchmark labels conversations".split()
 
 
 def test_every_operator_has_one_query():
-    assert sorted(QUERIES) == sorted({*QUERIES}) and [sum(q.startswith(f"op{n}_") for q in QUERIES) for n in range(1, 13)] == [1] * 12
+    assert sorted(QUERIES) == sorted({*QUERIES}) and [sum(q.startswith(f"op{n}_") for q in QUERIES) for n in range(1, 14)] == [1] * 13
     assert "pipeline" in QUERIES
 
 
