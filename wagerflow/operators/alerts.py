@@ -1,11 +1,17 @@
 """Sustained-threshold alerts: ``expr <op> threshold for <duration>``.
 
-Gaps and islands per series, ordered by time: a sample is *hit* when the
-condition holds.  A hit starts an island if the previous sample was not a hit
-or lies further back than the series can go without a value; every hit carries
-the start of its island forward.  An island is active from its first hit; it
-fires at its first hit at least ``for`` after that.  Output: one row per
-firing island with label-templated text.
+Gaps and islands per series: a sample is *hit* when the condition holds.  A
+run is a longest row of hits in which no sample lies further from the one
+before than the series can go without a value.  A run is active from its
+first hit; it fires at its first hit at least ``for`` after that.  Output: one
+row per firing run with label-templated text.
+
+Runs are found in time cells and then merged.  Inside a cell, runs with
+samples before and after them are whole.  Only the run that a cell begins with
+and the one that it ends with can go on in another cell: they are joined along
+the cells of the series, one or two rows each.  So samples are ordered inside
+``(series, cell)`` only, and what an evaluation leaves open is one row per
+series, which the next one takes in before its new samples.
 """
 
 from __future__ import annotations
@@ -14,13 +20,17 @@ import re
 from dataclasses import dataclass
 from typing import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wagerflow.operators import metrics as M
-from wagerflow.operators.ordered import prefix_aggregate, previous_value
 from wagerflow.session import written
 
+# Cells divide hot series; a cell has two rows at most in the merge of runs.
+CELL = "1 hour"
+KEYS = ["alert", "metric", M.SERIES]
+
+
 @dataclass(frozen=True)
 class AlertRule:
     name: str
@@ -59,28 +69,94 @@ def _points(points: DataFrame, rule: AlertRule, max_gap: str) -> DataFrame:
                     F.lit(M.seconds(max_gap)).alias("_gap"))
 
 
-def _firing(p: DataFrame, rules: list[AlertRule], n_buckets: int | None) -> DataFrame:
-    """Firing islands of the points of one or more rules, in one pass over the
-    order: the previous point's condition and time, then (same buckets) the
-    start of the current island carried forward, then one aggregate per island
-    -- a long island is a large partial aggregate, not a skewed join key."""
-    keys = ["alert", "metric", M.SERIES]
-    p = previous_value(p.withColumn("_ts", F.col("ts")), keys, ["ts"],
-                       {"_prev_hit": "_hit", "_prev_ts": "_ts"}, n_buckets=n_buckets,
-                       keep_bucket=True).drop("_ts")
-    broken = F.col("ts") > F.col("_prev_ts") + F.make_dt_interval(secs=F.col("_gap"))
-    starts = (F.col("_hit") == 1) & F.coalesce((F.col("_prev_hit") == 0) | broken, F.lit(True))
-    p = p.withColumn("_start_ts", F.when(starts, F.col("ts")))
-    p = prefix_aggregate(p, keys, ["ts"], {"active_since": ("last", "_start_ts")})
-    due = F.col("ts") >= F.col("active_since") + F.make_dt_interval(secs=F.col("_hold"))
-    out = (p.filter(F.col("_hit") == 1)
-            .groupBy(*keys, "active_since")
-            .agg(F.max("ts").alias("last_true"),
-                 F.count(F.lit(1)).alias("samples"),
-                 F.min(F.when(due, F.col("ts"))).alias("firing_since"),
-                 F.min_by("value", F.when(due, F.col("ts"))).alias("value"))
-            .filter(F.col("firing_since").isNotNull())
-            .withColumn("labels", F.map_from_entries(M.SERIES)))
+def _runs(points: DataFrame) -> DataFrame:
+    """The runs of each cell, of hits and of other samples: ``cell, start,
+    stop, hit, samples, start_value``, whether the cell begins / ends with it,
+    and the first sample that is due by the run's own start."""
+    p = points.withColumn("cell", F.window("ts", CELL)["start"])
+    part = Window.partitionBy(*KEYS, "cell")
+    w = part.orderBy("ts")
+    cut = ~((F.lag("_hit").over(w) == F.col("_hit"))
+            & (F.col("ts") <= F.lag("ts").over(w) + F.make_dt_interval(secs=F.col("_gap"))))
+    p = p.withColumn("_cut", F.coalesce(cut, F.lit(True)).cast("int"))
+    p = p.withColumn("_run", F.sum("_cut").over(w)) \
+        .withColumn("_from", F.last(F.when(F.col("_cut") == 1, F.col("ts")), ignorenulls=True).over(w)) \
+        .withColumn("_last", F.max("ts").over(part))
+    due = F.when(F.col("ts") >= F.col("_from") + F.make_dt_interval(secs=F.col("_hold")), F.col("ts"))
+    return p.groupBy(*KEYS, "cell", "_run").agg(
+        F.min("ts").alias("start"), F.max("ts").alias("stop"), F.max("_hit").alias("hit"),
+        F.count(F.lit(1)).alias("samples"), F.min_by("value", "ts").alias("start_value"),
+        F.min(due).alias("due"), F.min_by("value", due).alias("due_value"),
+        (F.max("ts") == F.max("_last")).alias("closes"), F.max("_hold").alias("hold"), F.max("_gap").alias("gap")
+    ).withColumn("opens", F.col("_run") == 1).drop("_run")
+
+
+# What an evaluation leaves behind, one row per series: its last sample and,
+# if that is a hit, the run that it belongs to.
+STATE = (
+    "alert string, metric string, series array<struct<key: string, value: string>>, hit int, active_since timestamp,"
+    " last_true timestamp, samples long, firing_since timestamp, value double, hold int, gap int")
+_ISLAND = [*KEYS, "active_since", "last_true", "samples", "firing_since", "value"]
+
+
+def _islands(points: DataFrame, state: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """(runs of hits, those of the state included where they go on; the new
+    state).  Points are ``_points`` of one or more rules."""
+    runs = _runs(points)
+    whole = runs.filter((F.col("hit") == 1) & ~F.col("opens") & ~F.col("closes")).select(
+        *KEYS, F.col("start").alias("active_since"), F.col("stop").alias("last_true"), "samples",
+        F.col("due").alias("firing_since"), F.col("due_value").alias("value"))
+    edge = runs.filter(F.col("opens") | F.col("closes")).select(
+        *KEYS, "cell", "start", "stop", "hit", "samples", "start_value", "due", "due_value", "hold", "gap")
+    if state is not None:
+        edge = edge.unionByName(state.select(
+            *KEYS, F.lit(None).cast("timestamp").alias("cell"), F.col("active_since").alias("start"),
+            F.col("last_true").alias("stop"), "hit", "samples", F.lit(None).cast("double").alias("start_value"),
+            F.col("firing_since").alias("due"), F.col("value").alias("due_value"), "hold", "gap"))
+    w = Window.partitionBy(*KEYS).orderBy("stop", "start")
+    goes_on = ((F.col("hit") == 1) & (F.lag("hit").over(w) == 1)
+               & ~F.lag("cell").over(w).eqNullSafe(F.col("cell"))
+               & (F.col("start") <= F.lag("stop").over(w) + F.make_dt_interval(secs=F.col("gap"))))
+    edge = edge.withColumn("_on", F.coalesce(goes_on, F.lit(False)))
+    edge = edge.withColumn("active_since", F.last(F.when(~F.col("_on"), F.col("start")), ignorenulls=True).over(w)) \
+        .withColumn("_before", F.lag("stop").over(w)).withColumn("_newest", F.lead("stop").over(w).isNull())
+    at = F.col("active_since") + F.make_dt_interval(secs=F.col("hold"))
+    edge = edge.withColumn("_due_at", at)
+    fires = (F.col("hit") == 1) & (F.col("stop") >= F.col("_due_at")) & (~F.col("_on") | (F.col("_before") < F.col("_due_at")))
+    kind = F.when(~fires, "no").when(~F.col("_on"), "own").when(F.col("start") >= F.col("_due_at"), "start").otherwise("inside")
+    edge = edge.withColumn("_kind", kind)
+    # the first sample that is due inside a run that came from another cell: one cell of each such run is looked into
+    inside = edge.filter("_kind = 'inside'").select(*KEYS, "cell", "active_since", "_due_at", F.col("stop").alias("_stop"))
+    p = points.withColumn("cell", F.window("ts", CELL)["start"]).filter("_hit = 1")
+    found = p.select(*KEYS, "cell", "ts", "value").alias("p").join(
+        inside.alias("i"), ["alert", M.SERIES, "cell"]).filter(
+        F.col("p.metric").eqNullSafe(F.col("i.metric")) & (F.col("ts") >= F.col("_due_at")) & (F.col("ts") <= F.col("_stop"))) \
+        .groupBy("alert", F.col("p.metric").alias("metric"), M.SERIES, "active_since").agg(
+        F.min("ts").alias("firing_since"), F.min_by("value", "ts").alias("value"))
+    pieces = edge.filter("hit = 1").select(
+        *KEYS, "active_since", F.col("stop").alias("last_true"), "samples",
+        F.when(F.col("_kind") == "own", F.col("due")).when(F.col("_kind") == "start", F.col("start")).alias("firing_since"),
+        F.when(F.col("_kind") == "own", F.col("due_value")).when(F.col("_kind") == "start", F.col("start_value")).alias("value"))
+    none = lambda kind: F.lit(None).cast(kind)
+    pieces = pieces.unionByName(found.select(*KEYS, "active_since", none("timestamp").alias("last_true"), F.lit(0).cast("long").alias("samples"),
+                                             "firing_since", "value"))
+    joined = pieces.groupBy(*KEYS, "active_since").agg(
+        F.max("last_true").alias("last_true"), F.sum("samples").alias("samples"),
+        F.min("firing_since").alias("firing_since"), F.min_by("value", "firing_since").alias("value"))
+    newest = edge.filter("_newest").select(*KEYS, "hit", "active_since", F.col("stop").alias("last_true"), "hold", "gap")
+    same = [newest[k].eqNullSafe(joined[k]) for k in ("alert", "metric")] + [newest[k] == joined[k] for k in (M.SERIES, "active_since")]
+    cond = same[0]
+    for c in same[1:]:
+        cond = cond & c
+    left = newest.join(joined, cond & (newest["hit"] == 1), "left").select(
+        *[newest[c] for c in (*KEYS, "hit", "active_since", "last_true")],
+        F.coalesce(joined["samples"], F.lit(1).cast("long")).alias("samples"), joined["firing_since"], joined["value"], newest["hold"], newest["gap"])
+    return whole.select(*_ISLAND).unionByName(joined.select(*_ISLAND)), left
+
+
+def _texts(islands: DataFrame, rules: list[AlertRule]) -> DataFrame:
+    """The alerts of the runs that fire."""
+    out = islands.filter(F.col("firing_since").isNotNull()).withColumn("labels", F.map_from_entries(M.SERIES))
 
     def text(field: Callable[[AlertRule], Column]) -> Column:
         return F.coalesce(*[F.when(F.col("alert") == r.name, field(r)) for r in rules])
@@ -101,10 +177,26 @@ def sustained_alerts(points: DataFrame, rule: AlertRule, n_buckets: int | None =
     samples, value, summary, description``.
 
     ``max_gap``: a series without a point for longer has no value at some
-    evaluation in between, which ends its island (the step, for points on a
-    grid; the lookback, for raw samples).
+    evaluation in between, which ends its run (the step, for points on a
+    grid; the lookback, for raw samples).  ``n_buckets`` is accepted for
+    earlier callers and not used: cells divide the order.
+    """
+    return _texts(_islands(_points(points, rule, max_gap), None)[0], [rule])
+
+
+def advance(points: DataFrame, rule: AlertRule, state: DataFrame | None = None,
+            max_gap: str = M.LOOKBACK) -> tuple[DataFrame, DataFrame]:
+    """One evaluation over new points only: ``(alerts, state)``.
+
+    ``points`` are later than all that the state has seen; ``state`` is what
+    the evaluation before returned (``STATE``; None at first), and the one
+    returned is to be stored for the next.  An alert that goes on comes again
+    under its ``active_since`` with its new ``last_true`` and ``samples``:
+    the latest row of ``(alert, labels, active_since)`` counts.  Evaluations
+    that cut the points anywhere give together what one gives over all.
     """
-    return _firing(_points(points, rule, max_gap), [rule], n_buckets)
+    islands, left = _islands(_points(points, rule, max_gap), state)
+    return _texts(islands, [rule]), left
 
 
 def rule_points(vector: DataFrame) -> DataFrame:
@@ -162,5 +254,5 @@ def evaluate_rules(samples: DataFrame, rules: list[AlertRule] = REFERENCE_RULES,
     points = parts[0]
     for p in parts[1:]:
         points = points.unionByName(p)
-    # the island search reads its points four times; the vectors are dearer than a written copy
-    return _firing(written(points, "rule-points"), rules, n_buckets)
+    # runs and their firing samples are two reads of the points; the vectors are dearer than a written copy
+    return _texts(_islands(written(points, "rule-points"), None)[0], rules)

@@ -227,9 +227,11 @@ def rejected_by_reason(quarantine: DataFrame) -> DataFrame:
 
 def expected_payout(bets: DataFrame) -> DataFrame:
     """Settlement rule: ``round(amount * odds, 2)`` for a win, else 0; adds
-    ``expected_payout`` and ``payout_ok`` (stored payout equals the rule)."""
+    ``expected_payout`` and ``payout_ok`` (stored payout equals the rule).
+    The rule has the digits of the product: a win that the money type cannot
+    hold is a payout that differs, not an error."""
     exp = F.when(F.col("status") == "win", F.round(F.col("amount") * F.col("odds"), 2)) \
-        .otherwise(F.lit(0)).cast(MONEY_TYPE)
+        .otherwise(F.lit(0)).cast("decimal(18,2)")
     return (bets.withColumn("expected_payout", exp)
                 .withColumn("payout_ok", F.col("payout").eqNullSafe(exp)))
 

@@ -10,6 +10,9 @@ delta is computed against the previous sample of the same series *before*
 windowing (so no increase is lost at window edges) and attributed to the
 window of the later sample; no extrapolation to the edges.
 
+Counters go through mergeable summaries per series and time cell
+(``operators.counters``); no pass over a global order is needed.
+
 Sliding ranges (``range`` > ``step``) are evaluated by pre-aggregating per
 step first, then expanding the small step table into the ``range/step``
 windows it belongs to -- the raw samples are never multiplied.
@@ -17,10 +20,13 @@ windows it belongs to -- the raw samples are never multiplied.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wagerflow.functions.exact import exact_part, exact_sum, inexact_part, total
+from wagerflow.operators import counters
 from wagerflow.operators.ordered import previous_value
 
 SERIES = "series"
@@ -99,17 +105,32 @@ def _windowed(df: DataFrame, range_: str, step: str | None, aggs: dict[str, Colu
                    .select(*keys, *WINDOW, *merge.keys()))
 
 
+def _cell(step: str) -> str:
+    """The cell that counters are summarised over: the longest common part of
+    the step and an hour, so that cells tile the steps."""
+    return f"{math.gcd(seconds(step), seconds(counters.CELL))} seconds"
+
+
 def increase(samples: DataFrame, range_: str = "5 minutes", step: str | None = None,
              n_buckets: int | None = None) -> DataFrame:
-    """``increase(counter[range])`` per series and window -> ``value``."""
-    d = counter_deltas(samples, n_buckets)
+    """``increase(counter[range])`` per series and window -> ``value``.
+    ``n_buckets`` is accepted for earlier callers and not used: cells divide
+    the order."""
+    cells = counters.summarize(with_series(samples), _cell(step or range_))
+    return increase_of(cells, range_, step)
+
+
+def increase_of(summaries: DataFrame, range_: str = "5 minutes", step: str | None = None) -> DataFrame:
+    """``increase`` from counter summaries, also stored ones; their cells must
+    divide the step."""
+    d = counters.cell_increases(summaries)
     return _windowed(d, range_, step, {"value": F.sum("delta")}, {"value": F.sum("value")})
 
 
 def rate(samples: DataFrame, range_: str = "5 minutes", step: str | None = None,
          n_buckets: int | None = None) -> DataFrame:
     """``rate(counter[range])``: increase per second of the range."""
-    inc = increase(samples, range_, step, n_buckets)
+    inc = increase(samples, range_, step)
     return inc.withColumn("value", F.col("value") / F.lit(float(seconds(range_))))
 
 
