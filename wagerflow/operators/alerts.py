@@ -247,8 +247,9 @@ REFERENCE_RULES = [
 
 def evaluate_rules(samples: DataFrame, rules: list[AlertRule] = REFERENCE_RULES,
                    n_buckets: int | None = None) -> DataFrame:
-    """All firing instances of ``rules`` over metric samples; the points of all
-    rules go through the island search together."""
+    """All firing instances of ``rules`` over metric samples, a DataFrame or a
+    ``SampleStore`` (of which each rule reads its metrics only); the points of
+    all rules go through the search for runs together."""
     parts = [_points(r.expr(samples) if r.expr else samples, r, EVAL_STEP if r.expr else M.LOOKBACK)
              for r in rules]
     points = parts[0]

@@ -57,7 +57,10 @@ def label_or_null(name: str) -> Column:
 
 def select_series(samples: DataFrame, metric: str, equal: dict[str, str] | None = None,
                   not_equal: dict[str, str] | None = None) -> DataFrame:
-    """Instant selector ``metric{k="v", k2!="v2"}``."""
+    """Instant selector ``metric{k="v", k2!="v2"}`` over samples, or over a
+    ``sources.samples.SampleStore``, which resolves it on its dictionary."""
+    if not isinstance(samples, DataFrame):
+        return samples.select_series(metric, equal, not_equal)
     cond = F.col("metric") == F.lit(metric)
     for k, v in (equal or {}).items():
         cond = cond & (label(k) == F.lit(v))

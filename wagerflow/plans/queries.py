@@ -8,6 +8,7 @@ cast to DOUBLE at the edge, counts are BIGINT.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,8 @@ from wagerflow.operators import metrics as M
 from wagerflow.operators import upsert as up
 from wagerflow.plans.registry import ORACLE, QUERIES, query
 from wagerflow.schemas import VERSION_COLUMNS
+from wagerflow.session import scratch_root
+from wagerflow.sources.samples import SampleStore
 from wagerflow.sources.testdata import (
     BETS_COUNTER, STAKE_GAUGE, STAKE_SUM_COUNTER, bet_records, metric_samples,
 )
@@ -351,7 +354,7 @@ WHERE old.eid IS NULL OR old.eid <> cur.eid
 """)
 def q_export_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     versions, ledger = _bets_and_ledger(spark, sf_dir)
-    wanted = [c for c in ex.EXPORT_COLUMNS if c != "exported"] + [up.ROW_HASH]
+    wanted = [c for c in ex.EXPORT_COLUMNS if c != "exported"] + [up.ROW_HASH, *VERSION_COLUMNS]
     rows = ex.export_projection(ex.pending_bets(up.latest_versions(versions, columns=wanted), ledger))
     return rows.select(*[F.date_format(c, ISO_MICROS).alias(c)
                          if c in ("bet_timestamp", "created_at") else F.col(c)
@@ -762,6 +765,39 @@ def q_metric_instant_lookback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select(_iso("window_end"), "series", "value")
 
 
+@query("metric_store_selector", sql=f"""
+WITH s AS ({_SAMPLES_SQL})
+SELECT game, shard, {_HOUR_WINDOW_SQL}, CAST(sum({_exact_sql('stake')}) AS DOUBLE) / count(*) AS value
+FROM s WHERE game <> 'error' AND ts >= TIMESTAMP '2024-01-10 00:00:00' AND ts < TIMESTAMP '2024-01-12 06:00:00' GROUP BY ALL
+""")
+def q_metric_store_selector(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # avg_over_time(stake{game!="error"}[1h]) of some days, from a store that holds all metrics and days
+    store = SampleStore(spark, f"{scratch_root(spark)}/samples-{uuid.uuid4().hex[:12]}")
+    store.append(metric_samples(spark, sf_dir), "events")
+    g = store.select_series(STAKE_GAUGE, not_equal={"game": "error"},
+                            start=_dt.datetime(2024, 1, 10), stop=_dt.datetime(2024, 1, 12, 6))
+    return _labelled(M.avg_over_time(g, "1 hour"), "game", "shard")
+
+
+@query("metric_vector_difference", sql=f"""
+WITH s AS ({_SAMPLES_SQL}),
+v AS (SELECT game, shard, time_bucket(INTERVAL '1 hour', ts) AS w, arg_max(sm, ts) - arg_max(cnt, ts) AS d,
+             arg_max(sm, ts) * arg_max(cnt, ts) AS p FROM s GROUP BY ALL)
+SELECT game, shard, strftime(w, '%Y-%m-%dT%H:%M:%S') AS window_start,
+       strftime(w + INTERVAL '1 hour', '%Y-%m-%dT%H:%M:%S') AS window_end, d AS value, p AS product
+FROM v
+""")
+def q_metric_vector_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # stake_sum - stake_count and stake_sum * stake_count, matched series by series
+    a, b = (M.instant_vector(_series(spark, sf_dir, m), "1 hour", lookback="1 hour").drop("metric")
+            for m in (STAKE_SUM_COUNTER, BETS_COUNTER))
+    keys = ["window_start", "window_end", M.SERIES]
+    product = M.binary_op(a, b, "*").select(*keys, F.col("value").alias("product"))
+    both = M.binary_op(a, b, "-").join(product, keys)
+    return both.select(M.label("game").alias("game"), M.label("shard").alias("shard"), _iso("window_start"), _iso("window_end"),
+                       "value", "product")
+
+
 # --- alerts -------------------------------------------------------------------
 
 
@@ -845,7 +881,9 @@ g AS (SELECT DISTINCT series, time_bucket(INTERVAL '30 seconds', ts) + (k + 1) *
 
 @query("alert_rules", sql=_rules_sql())
 def q_alert_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = al.evaluate_rules(_rule_samples(spark, sf_dir))
+    store = SampleStore(spark, f"{scratch_root(spark)}/samples-{uuid.uuid4().hex[:12]}")
+    store.append(_rule_samples(spark, sf_dir), "events")
+    a = al.evaluate_rules(store)
     who = F.coalesce(*[M.label_or_null(k) for k in ("consumergroup", "instance", "job_name", "dag_id", "name")])
     return a.select("alert", who.alias("series"), *[_iso(c) for c in ("active_since", "firing_since", "last_true")],
                     "samples", F.round("value", 9).alias("value"))

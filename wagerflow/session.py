@@ -49,13 +49,17 @@ def ensure_parse_conf(spark: SparkSession) -> None:
             spark.conf.set(key, DEFAULT_CONF[key])
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """The shared checkpoint folder; under the warehouse where none is named."""
+    return checkpoint_root(spark, fallback=spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints").rstrip("/")
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once into the shared checkpoint folder and read back: for
     inputs that a plan reads several times and that are dear to compute.  The
     folder is the one the session names; set under the warehouse if unset."""
     spark = df.sparkSession
-    root = checkpoint_root(spark, fallback=spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
-    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
