@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from llm.textops import lists, mix, rolling, signed, sliding_min, stored, text_slices
 
 WINDOW = 50          # bytes that a repeat has at least
-SEED = 16            # bytes that anchors are chosen from
+SEED = 24            # bytes that anchors are chosen from: long enough that few are shared by chance
 SHALLOW = 16         # depth of the multikey quicksort in bytes; beyond it the blind tries
 CROWD = 1 << 14      # occurrences of an anchor that are sorted as one bucket
 STRETCH = 64         # windows in one stretch (a longer run of one anchor is cut)
