@@ -32,22 +32,23 @@ def repeating_weights(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS)
 def water_fill(sources: DataFrame, max_epochs: int = MAX_EPOCHS, total: Column | None = None) -> DataFrame:
     """``target`` of each source from ``source_size`` and ``weight``; one row per source, whatever the corpus size.
 
-    ``total`` is the words to share out (default: all sizes).  What exceeds the capacity of all sources is not given.
+    ``total`` is the words to share out (default: all sizes).  What exceeds the capacity of all sources is not given.  A
+    source of weight 0 gets nothing.
     """
     capacity = F.col("source_size") * max_epochs
     everything = W.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    filling = W.orderBy(F.col("capacity") / F.col("weight"), F.col("source").asc_nulls_last()) \
+    filling = W.orderBy(F.try_divide("capacity", "weight").asc_nulls_last(), F.col("source").asc_nulls_last()) \
         .rowsBetween(W.unboundedPreceding, W.currentRow)
     out = sources.withColumn("capacity", capacity) \
         .withColumn("total", (F.sum("source_size").over(everything) if total is None else total).cast("double")) \
         .withColumn("full", F.sum("capacity").over(filling) - F.col("capacity")) \
         .withColumn("rest", F.sum("weight").over(everything) - (F.sum("weight").over(filling) - F.col("weight"))) \
-        .withColumn("level", (F.col("total") - F.col("full")) / F.col("rest")) \
+        .withColumn("level", (F.col("total") - F.col("full")) / F.nullif(F.col("rest"), F.lit(0.0))) \
         .withColumn("clamped", F.col("level") * F.col("weight") >= F.col("capacity"))
     # the level of the first source that is not clamped holds for all that follow
-    level = F.min(F.when(~F.col("clamped"), F.struct(F.col("capacity") / F.col("weight"), F.col("level")))).over(everything)
+    level = F.min(F.when(~F.col("clamped") & (F.col("weight") > 0), F.struct(F.try_divide("capacity", "weight"), F.col("level")))).over(everything)
     return out.withColumn("final", level.getField("level")) \
-        .withColumn("target", F.when(F.col("clamped"), F.col("capacity").cast("double"))
+        .withColumn("target", F.when(F.col("weight") == 0, 0.0).when(F.col("clamped"), F.col("capacity").cast("double"))
                     .otherwise(F.col("final") * F.col("weight"))) \
         .select("source", "source_size", "weight", "target")
 
@@ -59,13 +60,15 @@ def mix(docs: DataFrame, weights=repeating_weights, max_epochs: int = MAX_EPOCHS
     taken is floor(epochs) times the size, plus the document's part of the fractional repetition: the whole size, or for
     one document per source a part of it.  Columns of ``docs`` with these names are replaced.  A null text has size 0 and
     is taken with 0 words; a null source is a source of its own; a null or repeated doc_id has its place in the seeded
-    order like any other (ties by text, equal rows side by side).  Empty input gives an empty result.
+    order like any other (null ids by a hash of the text; ties by text, equal rows side by side).  Texts of any length
+    are taken whole.  Other columns pass, whatever their names.  Empty input gives an empty result.
     """
     new = ["size", "source_size", "target", "taken"]
     docs = docs.withColumn("size", F.coalesce(n_words(F.col("text")) if size is None else size, F.lit(0)).cast("long")) \
         .drop(*new[1:])
     order, cell = scratch_name(docs, "order_"), scratch_name(docs, "cell_")
-    docs = docs.withColumn(order, F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
+    name = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("null "), F.xxhash64("text").cast("string")))
+    docs = docs.withColumn(order, F.md5(F.concat(F.lit(f"{seed}:"), name)))
     docs = docs.withColumn(cell, F.substring(order, 1, 3))
     cells = docs.groupBy("source", cell).agg(F.sum("size").alias("words"))
     upto = W.partitionBy("source").orderBy(cell).rowsBetween(W.unboundedPreceding, W.currentRow)
@@ -73,15 +76,16 @@ def mix(docs: DataFrame, weights=repeating_weights, max_epochs: int = MAX_EPOCHS
     sources = water_fill(weights(cells.groupBy("source").agg(F.sum("words").alias("source_size"))), max_epochs)
     sources = sources.withColumn("whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)) \
         .withColumn("part", F.round(F.col("target") - F.col("whole") * F.col("source_size")).cast("long"))
+    of, at, before, whole, part, run = (scratch_name(docs, x) for x in ("of_", "at_", "before_", "whole_", "part_", "run_"))
     plan = cells.join(sources.withColumnRenamed("source", "s"), same(F.col("source"), F.col("s"))).select(
-        F.col("source").alias("s_"), F.col(cell).alias("c_"), "before", "source_size", "target", "whole", "part", "words")
+        F.col("source").alias(of), F.col(cell).alias(at), F.col("before").alias(before), "source_size", "target",
+        F.col("whole").alias(whole), F.col("part").alias(part))
     inside = W.partitionBy("source", cell).orderBy(order, F.col("doc_id").asc_nulls_first(), F.xxhash64("text")) \
         .rowsBetween(W.unboundedPreceding, W.currentRow)
-    run = scratch_name(docs, "run_")
     slim = docs.withColumn(run, F.sum("size").over(inside) - F.col("size"))
-    out = slim.join(plan, same(F.col("source"), F.col("s_")) & (F.col(cell) == F.col("c_")))
-    left = F.col("part") - F.col("before") - F.col(run)
-    out = out.withColumn("taken", (F.col("whole") * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), left))).cast("long"))
+    out = slim.join(plan, same(F.col("source"), F.col(of)) & (F.col(cell) == F.col(at)))
+    left = F.col(part) - F.col(before) - F.col(run)
+    out = out.withColumn("taken", (F.col(whole) * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), left))).cast("long"))
     return out.select(*named([c for c in docs.columns if c not in (order, cell)]), *new[1:])
 
 

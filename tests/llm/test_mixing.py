@@ -87,3 +87,35 @@ def test_sample(spark):
         assert sorted(r.repeat for r in some) == list(range(len(some))) and sum(r.taken < r.size for r in some) <= 1
     assert len(rows) > len(by)
     assert M.sample(docs.limit(0)).collect() == []
+
+
+def test_any_extra_column_name(spark):
+    names = ("part before whole words s_ c_ of_ at_ before_ whole_ part_ run_ order_ cell_ s capacity total full rest level clamped final "
+             "weight place repeat").split()
+    rows = [(i, "a b c " * i, f"s{i % 3}") for i in range(1, 12)]
+    plain = {r.doc_id: r.taken for r in M.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    docs = spark.createDataFrame([(*r, *range(len(names))) for r in rows], ["doc_id", "text", "source", *names])
+    out = M.mix(docs)
+    assert out.columns == ["doc_id", "text", "source", *names, "size", "source_size", "target", "taken"]
+    got = out.collect()
+    assert {r.doc_id: r.taken for r in got} == plain and {tuple(r[n] for n in names) for r in got} == {tuple(range(len(names)))}
+    taken = {}
+    for r in M.sample(docs).collect():
+        taken[r.doc_id] = taken.get(r.doc_id, 0) + r.taken
+    assert taken == {k: v for k, v in plain.items() if v}
+
+
+def test_a_weight_of_zero_takes_nothing(spark):
+    rows = [("a", 100, 0.0), ("b", 40, 5.0), ("c", 30, 1.0), ("d", 0, 2.0), ("e", 9, 0.0)]
+    got = {r.source: r.target for r in M.water_fill(spark.createDataFrame(rows, "source string, source_size long, weight double")).collect()}
+    # 179 words: b stops at 120, the rest goes to c
+    assert got == {"a": 0.0, "b": 120.0, "c": 59.0, "d": 0.0, "e": 0.0}
+    none = M.water_fill(spark.createDataFrame([("a", 5, 0.0)], "source string, source_size long, weight double")).collect()
+    assert [r.target for r in none] == [0.0]
+
+
+def test_null_ids_are_spread_over_cells(spark):
+    docs = spark.createDataFrame([(None, f"text {i}", "s") for i in range(500)], "doc_id long, text string, source string")
+    plan = M.mix(docs)
+    check(plan.collect())
+    assert "null " in plan._jdf.queryExecution().optimizedPlan().toString()
