@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wagerflow.operators.ordered import prefix_aggregate
 from wagerflow.operators.parse import (
@@ -126,6 +127,15 @@ def average_changelog(records: DataFrame, shape: str = "flat",
                       .alias("value"))
 
 
+def _clock(spark, user_type: T.DataType) -> DataFrame:
+    """A row per second that moves the watermark on: bad rows of no user, which
+    the first stage drops like any other.  Their user is nullable as a parsed
+    one is: a batch of ticks alone reads the same state."""
+    user = F.when(F.col("value") >= 0, F.lit(INVALID).cast(user_type))
+    return spark.readStream.format("rate").option("rowsPerSecond", 1).option("numPartitions", 1).load().select(
+        user.alias("user_id"), F.lit(0).alias("n"), F.current_timestamp().alias("event_time"))
+
+
 def active_users(records: DataFrame, shape: str = "flat", window: str = "2 minutes",
                  watermark: str | None = "5 seconds", time_mode: str = "event") -> DataFrame:
     """``(window_start, window_end, active_users)``.
@@ -134,11 +144,14 @@ def active_users(records: DataFrame, shape: str = "flat", window: str = "2 minut
     reference's two keyed windows.  Unlike ``count(DISTINCT)``, a JSON-null
     user is one user, as in the reference.  Users literally named
     ``'invalid'`` are dropped with the bad rows (null-safe comparison keeps
-    the NULL user).  ``time_mode='processing'`` windows by ingestion time.
+    the NULL user).  ``time_mode='processing'`` windows by ingestion time; on
+    a stream a clock closes them, also when no further record comes.
     """
     df = parse_user(records, shape)
     if time_mode == "processing":
         df = df.withColumn("event_time", F.current_timestamp())
+        if df.isStreaming:
+            df = df.select("user_id", "n", "event_time").unionByName(_clock(df.sparkSession, df.schema["user_id"].dataType))
     df = _watermarked(df, "event_time", watermark)
     # The 'invalid' group is tagged inside stage 1 and removed after it: a
     # filter on the parsed key itself would be pushed below the parse and
