@@ -100,7 +100,8 @@ def _pairs(code: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def train(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     """Log-likelihood ratio (random against ordinary) of each pair of characters.
 
-    Without any labelled secret both models are flat and no token is scored as random.
+    Random strings over the key alphabets speak for secrets also where the table holds no labelled one.  A table without
+    ordinary characters has no ordinary model: nothing is scored as random there.
     """
     def count(batches):
         for b in batches:
@@ -138,9 +139,9 @@ def ratios(n: np.ndarray) -> np.ndarray:
     The labelled pairs weigh as much as the random strings over each of the ``KEY_ALPHABETS``, whose pairs are all
     equally frequent.  Multiplying the counts changes nothing.  A joiner (+ / _ = -) never speaks for a random string.
     """
-    if not n[1].any():
+    if not n[0].any():
         return np.full((STATES, STATES), -1.0)
-    labelled = [n[1] / n[1].sum()]
+    labelled = [n[1] / n[1].sum()] if n[1].any() else []
     for alphabet in KEY_ALPHABETS:
         member = np.isin(np.arange(STATES), _CODE[list(alphabet)]) / len(alphabet)
         labelled.append(np.outer(member, member))

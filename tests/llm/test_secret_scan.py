@@ -158,3 +158,25 @@ def test_a_secret_that_touches_a_pattern_is_covered():
             assert M._masked(text, spans_of(text, ratio), "#") in ("#", "#/#")
     for text in (key, digest * 2, f"token={digest}g", f"user_{digest}_settings"):
         assert all(k != 3 for _, k, _ in spans_of(text, ratio)), text
+
+
+def test_random_strings_are_found_without_a_labelled_secret(spark, docs_of):
+    """Prose without a pattern hit, every tenth text with a random string of 40 characters in it."""
+    rng = np.random.default_rng(8)
+    prose = [t for t in (r.text for r in table(spark, SF, "documents").collect()) if t and not base(t)][:400]
+    alphabet = list(string.ascii_letters + string.digits)
+    secret = {i: "".join(rng.choice(alphabet, 40)) for i in range(0, len(prose), 10)}
+    rows = [(i, f"{t} {secret[i]} end" if i in secret else t) for i, t in enumerate(prose)]
+    assert not any(base(t) for _, t in rows)
+    got = {r.doc_id: r.spans for r in M.contract(docs_of(rows)).collect()}
+    found = [i for i in secret if f"markov:{len(prose[i]) + 1}:{len(prose[i]) + 41}" in got[i]]
+    clean = [i for i in range(len(prose)) if i not in secret and got[i]]
+    assert len(found) >= 0.95 * len(secret) and len(clean) <= 1, (len(found), len(secret), len(clean))
+    # as many with one labelled pair: nothing is switched on by it
+    with_label = {r.doc_id: r.spans for r in M.contract(docs_of([*rows, (999, "password=abcdefghijkl")])).collect()}
+    assert abs(sum(bool(with_label[i]) for i in secret) - sum(bool(got[i]) for i in secret)) <= 2
+
+
+def test_a_table_without_ordinary_characters(spark, docs_of):
+    rows = [(1, "日本語 テキスト"), (2, None), (3, "token=" + "é" * 3)]
+    assert {r.spans for r in M.contract(docs_of(rows)).collect()} == {""}
