@@ -57,3 +57,19 @@ def test_state_of_the_running_count(spark, workdir):
     assert len(rows) == len({r.status for r in rows})   # one row per status, whatever the number of records and batches
     batch = {r.status: r["count"] for r in agg.status_counts(read_records(spark, src)).collect()}
     assert {r.status: r[1] for r in rows} == batch == {"win": 3, "lose": 2, "x": 1, None: 1, "invalid": 0}
+
+
+def test_named_files_and_replay(spark, workdir):
+    from wagerflow.streaming.sinks import named_files_writer
+    out = os.path.join(workdir, "named")
+    write = named_files_writer(out, "active_users", ".json")
+    lines = lambda *v: spark.createDataFrame([(x,) for x in v], "value string").repartition(len(v))
+    write(lines("a", "b", "c"), 0)
+    write(lines("d"), 1)
+    first = sorted(f for f in os.listdir(out) if not f.startswith("."))
+    write(lines("a", "b", "c"), 0)   # the batch is replayed
+    assert sorted(f for f in os.listdir(out) if not f.startswith(".")) == first
+    assert all(f.startswith("active_users-") and f.endswith(".json") for f in first)   # no staging folder either
+    assert sorted(r.value for r in spark.read.text(out).collect()) == ["a", "b", "c", "d"]
+    write(lines("e").filter("false"), 2)
+    assert sorted(f for f in os.listdir(out) if not f.startswith(".")) == first

@@ -33,8 +33,8 @@ from wagerflow.operators import aggregates as agg
 from wagerflow.operators import flatten as fl
 from wagerflow.operators.upsert import append_versions
 from wagerflow.streaming.sinks import (
-    BatchWriter, batch_dir_writer, console_writer, fan_out, kafka_writer, run_id, start_stream,
-    table_writer,
+    BatchWriter, batch_dir_writer, console_writer, fan_out, kafka_writer, named_files_writer, run_id,
+    start_stream, table_writer,
 )
 
 
@@ -127,7 +127,7 @@ def active_users_job(records: DataFrame, *, shape: str = "flat", files: str | No
     if console:
         writers.append(console_writer())
     if files:
-        writers.append(batch_dir_writer(files, "text", prefix="active_users"))
+        writers.append(named_files_writer(files, "active_users", ".json"))
     if topic:
         writers.append(kafka_writer(topic, servers or "localhost:9092"))
     writers += extra or []

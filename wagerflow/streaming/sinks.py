@@ -93,6 +93,30 @@ def batch_dir_writer(path: str, fmt: str = "json", prefix: str = "batch_id") ->
     return write
 
 
+def named_files_writer(path: str, prefix: str, suffix: str, fmt: str = "text") -> BatchWriter:
+    """Files ``path/<prefix>-<run>-<batch>-<n><suffix>``: written aside by the
+    executors, then renamed one by one.  A replayed batch first removes the
+    names that it gave before; nothing is left in the staging folder."""
+    def write(df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
+        name = f"{prefix}-{run_id(df)}-{int(batch_id)}"
+        staging = f"{path}/_staging/{name}"
+        df.write.mode("overwrite").format(fmt).save(staging)
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path
+        fs = hadoop(staging).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for old in fs.globStatus(hadoop(f"{path}/{name}-*{suffix}")) or []:
+            fs.delete(old.getPath(), False)
+        parts = sorted((f.getPath() for f in fs.globStatus(hadoop(f"{staging}/part-*")) or [] if f.getLen()),
+                       key=lambda f: f.getName())   # one per task that wrote rows
+        for n, part in enumerate(parts):
+            if not fs.rename(part, hadoop(f"{path}/{name}-{n:05d}{suffix}")):
+                raise OSError(f"{part} could not be renamed")
+        fs.delete(hadoop(staging), True)
+        if not fs.listStatus(hadoop(f"{path}/_staging")):   # others may be writing
+            fs.delete(hadoop(f"{path}/_staging"), False)
+    return write
+
+
 def kafka_writer(topic: str, servers: str = "localhost:9092") -> BatchWriter:
     """Kafka topic (at-least-once on replay; Kafka has no overwrite)."""
     def write(df: DataFrame, batch_id: int) -> None:
