@@ -1,12 +1,14 @@
 """Benchmark decontamination with suffix arrays over the training text.
 
 Each task builds a suffix array over the words of its shard (a few MB of documents).  Every benchmark suffix is then
-located in it by binary search, word by word, which gives all places where its window occurs and, by extension, the
-longest verbatim match.  Words are runs of ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]`` after lower-casing A-Z, compared by
+located in it by binary search, word by word, which gives all places where its window occurs.  From each such place the
+sorted benchmark suffixes are searched the other way, word by word, for the longest verbatim match that any of the
+items with this window goes on with.  Words are runs of ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]`` after lower-casing A-Z, compared by
 64-bit fingerprints.  Documents never move: the plan has no shuffle.
 
-The benchmark is shipped to the tasks in blocks of at most ``block_bytes`` of text (the size is measured first).  A
-larger benchmark takes one more pass over the documents per block, so nothing is cut off.
+The benchmark is shipped to the tasks in blocks of about ``block_bytes`` of text (the size is measured first).  A
+larger benchmark takes one more pass over the documents per block, so nothing is cut off; each pass is written to the
+shared folder before the next, so a task holds the index of one block only.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from llm.textops import LOWER, NOT_ALNUM, Words, annotate, rolling, scratch_name, text_slices
+from llm.textops import LOWER, NOT_ALNUM, Words, annotate, rolling, scratch_name, stored, text_slices
 
 WINDOW = 10                 # words in a window; a shorter item is one window
 SHARD_BYTES = 4 << 20       # text under one suffix array (a longer document is a shard of its own)
@@ -27,7 +29,8 @@ KIND = "n_words long, n_hit long, items array<string>, longest long, spans array
 
 
 class BenchmarkIndex:
-    """The suffixes of some benchmark items that start a window: distinct windows, and the items of each."""
+    """The suffixes of some benchmark items that start a window: distinct windows, the items of each, and all suffixes of
+    a full window or more in their order (``gapped`` text with a 0 behind each item)."""
 
     def __init__(self, items: list[tuple[str, str]], window: int = WINDOW):
         raw = [t.encode() for _, t in items]
@@ -44,10 +47,16 @@ class BenchmarkIndex:
         for n in np.unique(size):
             key[size == n] = rolling(words.hash, int(n))[at[size == n]] + np.uint64(n)
         _, first, inverse = np.unique(key, return_index=True, return_inverse=True)
-        self.start, self.size, self.room = at[first], size[first], room[at[first]]
+        self.start, self.size, self.window = at[first], size[first], window
         order = np.lexsort((row[at], inverse))
         pairs = np.unique(np.stack([inverse[order], row[at][order]], 1), axis=0) if len(at) else np.zeros((0, 2), int)
         self.item_of, self.item_from = pairs[:, 1], np.searchsorted(pairs[:, 0], np.arange(len(first) + 1))
+        self.gapped = np.zeros(len(self.text) + len(items), np.int64)
+        self.gapped[np.arange(len(self.text)) + row] = self.text
+        full = np.zeros(len(self.gapped) + 1, bool)
+        full[(np.arange(len(self.text)) + row)[room >= window]] = True
+        order = suffix_array(self.gapped, int(counts.max(initial=0)))
+        self.order = order[full[order]]
 
 
 def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
@@ -62,10 +71,25 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
         order, key = at[by], key[by]
         rank = np.zeros_like(rank)
         rank[order] = np.cumsum(np.concatenate([[1], key[1:] != key[:-1]]))
-        known *= 2
+        known = depth if rank[order[-1]] == len(at) else known * 2   # all different: in order
     return order
 
 
+def narrow(text: np.ndarray, order: np.ndarray, lo: np.ndarray, hi: np.ndarray, depth: int, word: np.ndarray):
+    """The parts of the ranges [lo, hi) of a suffix array whose suffixes have ``word`` at ``depth``, by binary search."""
+    edges = []
+    for right in (False, True):
+        a, b = lo.copy(), hi.copy()
+        while (open_ := a < b).any():
+            mid = (a + b) >> 1
+            seen = text[order[np.minimum(mid, len(order) - 1)] + depth]
+            up = open_ & ((seen <= word) if right else (seen < word))
+            a = np.where(up, mid + 1, a)
+            b = np.where(open_ & ~up, mid, b)
+        edges.append(a)
+    return edges
+
+
 def locate(text: np.ndarray, order: np.ndarray, index: BenchmarkIndex) -> tuple[np.ndarray, np.ndarray]:
     """For each benchmark window, the range [lo, hi) of the suffix array whose suffixes start with it."""
     n = len(index.start)
@@ -75,21 +99,26 @@ def locate(text: np.ndarray, order: np.ndarray, index: BenchmarkIndex) -> tuple[
         live = np.flatnonzero((lo < hi) & (index.size > d))
         if not len(live):
             break
-        word = index.text[index.start[live] + d]
-        edges = []
-        for right in (False, True):
-            a, b = lo[live].copy(), hi[live].copy()
-            while (open_ := a < b).any():
-                mid = (a + b) >> 1
-                seen = padded[order[np.minimum(mid, len(order) - 1)] + d]
-                up = open_ & ((seen <= word) if right else (seen < word))
-                a = np.where(up, mid + 1, a)
-                b = np.where(open_ & ~up, mid, b)
-            edges.append(a)
-        lo[live], hi[live] = edges
+        lo[live], hi[live] = narrow(padded, order, lo[live], hi[live], d, index.text[index.start[live] + d])
     return lo, hi
 
 
+def longest_match(text: np.ndarray, places: np.ndarray, index: BenchmarkIndex) -> np.ndarray:
+    """Words from each place that stand in a row in some benchmark item (places of full windows)."""
+    size = np.zeros(len(places), np.int64)
+    lo, hi = np.zeros(len(places), np.int64), np.full(len(places), len(index.order), np.int64)
+    live, depth = np.arange(len(places)), 0
+    while len(live):   # text ends with a gap (0), which no item has inside
+        word = text[places[live] + depth]
+        live = live[word > 0]
+        if len(live):
+            lo[live], hi[live] = narrow(index.gapped, index.order, lo[live], hi[live], depth, word[word > 0])
+            live = live[lo[live] < hi[live]]
+        depth += 1
+        size[live] = depth
+    return size
+
+
 def spread(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(owner, member) for every member of the ranges [lo, hi)."""
     count = np.maximum(hi - lo, 0)
@@ -117,13 +146,8 @@ def _shard(words: Words, index: BenchmarkIndex, earlier: list | None) -> list[tu
         size = index.size[q].copy()
         np.add.at(cover, p, 1)
         np.add.at(cover, p + size, -1)
-        live = np.arange(len(p))
-        while len(live):   # longest verbatim match from each place
-            more = (size[live] < index.room[q[live]])
-            live = live[more]
-            live = live[(p[live] + size[live] < len(text))]
-            live = live[text[p[live] + size[live]] == index.text[index.start[q[live]] + size[live]]]
-            size[live] += 1
+        full, which = np.unique(p[size == index.window], return_inverse=True)
+        size[size == index.window] = longest_match(text, full, index)[which]
         doc = np.searchsorted(begin, p, "right") - 1
         np.maximum.at(longest, doc, size)
         for d, w in np.unique(np.stack([doc, q], 1), axis=0) if len(p) else ():
@@ -146,14 +170,14 @@ def _shard(words: Words, index: BenchmarkIndex, earlier: list | None) -> list[tu
 
 
 def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int):
-    """The benchmark in blocks of about block_bytes, one on the driver at a time."""
+    """The benchmark in blocks of about block_bytes: whether it is the last, and its items."""
     rows = benchmark.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("i"),
                             F.col(text_col).alias("t")).where("t is not null")
     size = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n = max(1, math.ceil(size / block_bytes))
     for b in range(n):
         part = rows if n == 1 else rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == b)
-        yield [(r.i, r.t) for r in part.collect()]
+        yield b == n - 1, [(r.i, r.t) for r in part.collect()]
 
 
 def match_benchmark(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id_col: str = "item_id",
@@ -164,9 +188,12 @@ def match_benchmark(docs: DataFrame, benchmark: DataFrame, text_col: str = "text
 
     Null or empty texts have no words and match nothing; so do items without words.  Repeated documents are matched
     each, repeated items count once by id (a null id is written as the empty string).  Empty tables give no match.
+    A text of any length is searched whole (one suffix array over it); an input column named like ``into`` is replaced,
+    all others pass unchanged whatever their names.  The longest match starts with a window: a whole item of fewer words,
+    or a full window and what follows it in any item that has it (among several of one length, only the length counts).
     """
     out = docs
-    for n, items in enumerate(_blocks(benchmark, item_id_col, item_text_col, block_bytes)):
+    for n, (last, items) in enumerate(_blocks(benchmark, item_id_col, item_text_col, block_bytes)):
         index = BenchmarkIndex(items, window)
 
         def fn(b: pa.RecordBatch, index=index, later=n > 0) -> pa.StructArray:
@@ -180,6 +207,8 @@ def match_benchmark(docs: DataFrame, benchmark: DataFrame, text_col: str = "text
                               ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))])
             return pa.array([dict(zip(("n_words", "n_hit", "items", "longest", "spans"), r)) for r in rows], kind)
         out = annotate(out, fn, into, KIND)
+        if not last:
+            out = stored(out, "benchmark-pass")
     return out
 
 

@@ -69,3 +69,51 @@ def test_empty_tables(spark, docs_of):
     bench = spark.createDataFrame(ITEMS, "item_id long, text string")
     assert got(M.contract(docs_of([]), bench)) == []
     assert got(M.contract(docs_of(CASES), bench.limit(0))) == brute(CASES, [])
+
+
+def plain_longest(text, items):
+    """Longest run of document words, from the start of an occurring window, that stands in an item with that window."""
+    w, best = words(text), 0
+    for _, t in items:
+        x = words(t)
+        n = min(10, len(x))
+        for k in range(len(x) - n + 1 if n else 0):
+            for p in range(len(w) - n + 1):
+                if w[p:p + n] == x[k:k + n]:
+                    m = n
+                    while p + m < len(w) and k + m < len(x) and w[p + m] == x[k + m]:
+                        m += 1
+                    best = max(best, m)
+    return best
+
+
+def test_longest_follows_every_item(spark, docs_of):
+    w = [f"w{i}" for i in range(40)]
+    items = [(1, " ".join(w[:10]) + " x"), (2, " ".join(w[:12])), (3, " ".join(w[3:30])), (4, " ".join(w[2:14] + w[:25])), (5, "w1 w2 w3")]
+    texts = [" ".join(w[:12]), " ".join(w), "y " + " ".join(w[:11]) + " x", " ".join(w[5:20] + w[:9]), " ".join(w[2:14] + w[:40]),
+             " ".join(w[1:4]), " ".join(w[:9]), ""]
+    rows = list(enumerate(texts))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for block in (8 << 20, 60):
+        out = M.match_benchmark(docs_of(rows), bench, block_bytes=block)
+        assert {r.doc_id: r.contamination.longest for r in out.collect()} == {d: plain_longest(t, items) for d, t in rows}
+    assert plain_longest(texts[0], items) == 12
+
+
+def test_longest_on_few_words(spark, docs_of):
+    import random
+    random.seed(3)
+    some = lambda n: " ".join(random.choices("ab", k=n))
+    items = [(i, some(random.randrange(1, 40))) for i in range(25)] + [(99, " ".join("c" * 30))]
+    rows = [(i, some(random.randrange(0, 60))) for i in range(40)] + [(99, " ".join("c" * 25))]
+    out = M.match_benchmark(docs_of(rows), spark.createDataFrame(items, "item_id long, text string"))
+    assert {r.doc_id: r.contamination.longest for r in out.collect()} == {d: plain_longest(t, items) for d, t in rows}
+
+
+def test_three_blocks_are_three_passes(spark, docs_of):
+    """No task holds the index of more than one block: one Python step in the plan, whatever the benchmark's size."""
+    bench = spark.createDataFrame([(i, f"a{i} b{i} c{i} d{i}") for i in range(30)], "item_id long, text string")
+    docs = docs_of([(i, f"x a{i} b{i} c{i} d{i} y") for i in range(30)])
+    out = M.match_benchmark(docs, bench, block_bytes=150)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert {(r.doc_id, r.contamination.n_hit, tuple(r.contamination.items)) for r in out.collect()} == {(i, 4, (str(i),)) for i in range(30)}
