@@ -1,6 +1,9 @@
+import math
 import re
+from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from llm_fixtures import docs_of  # noqa: F401
@@ -22,9 +25,56 @@ def plain(word, v):
     return -best[-1][1]
 
 
+def plain_path(word, v):
+    """Pieces of the best path, None for a byte."""
+    best = [(0.0, 0, ())] + [None] * len(word)
+    for j in range(1, len(word) + 1):
+        size = len(word[j - 1].encode())
+        options = [(best[j - 1][0] + size * v.byte_score, best[j - 1][1] - size, (best[j - 1][2], None, size))]
+        options += [(best[i][0] + v.scores[word[i:j]], best[i][1] - 1, (best[i][2], word[i:j], 1)) for i in range(j) if word[i:j] in v.scores]
+        best[j] = max(options, key=lambda o: o[:2])
+    chain = best[-1][2]
+    while chain:
+        chain, piece, size = chain
+        yield from [piece] * size
+
+
+def plain_vocabulary(texts, v):
+    """Log-probabilities of the pieces, from the best paths of all words under scores by place."""
+    start = M.Vocabulary({p: -math.log(k + 2) for k, p in enumerate(sorted(v.scores, key=lambda p: (-v.scores[p], p)))})
+    uses = Counter()
+    for w, n in Counter(w for t in texts for w in WORD.findall(t or "")).items():
+        for piece in plain_path(M.MARK + w, start):
+            uses[piece] += n
+    whole = sum(uses.values()) + len(start.scores) + 256
+    return M.Vocabulary({p: math.log(uses[p] + 1) - math.log(whole) for p in start.scores}, math.log(uses[None] / 256 + 1) - math.log(whole))
+
+
+def test_unigram_vocabulary(spark, docs_of):
+    docs = table(spark, SF, "documents")
+    pieces = M.Vocabulary.from_model()
+    texts = [r.text for r in docs.collect()]
+    for rows, given in ((docs, texts), (docs_of([(1, "é \x01\x02 " + "漢" * 90), (2, None), (3, "ab" * 80)]), ["é \x01\x02 " + "漢" * 90, "ab" * 80]), (docs.limit(0), [])):
+        got, want = M.unigram_vocabulary(rows, pieces), plain_vocabulary(given, pieces)
+        assert got.byte_score == pytest.approx(want.byte_score)
+        assert got.scores.keys() == want.scores.keys() and all(got.scores[p] == pytest.approx(s, abs=1e-9) for p, s in want.scores.items())
+        assert sum(math.exp(s) for s in got.scores.values()) + 256 * math.exp(got.byte_score) == pytest.approx(1)
+
+
+def test_long_words_as_short_ones(monkeypatch):
+    rng = np.random.default_rng(4)
+    v = M.Vocabulary({"a": -1.0, "ab": -1.5, "ba": -1.7, "bab": -2.0}, -3.0)
+    words = sorted({"".join(rng.choice(list("abé"), rng.integers(0, 20))) for _ in range(300)})
+    times = rng.integers(1, 9, len(words)).tolist()
+    counts, usage = M.trie_counts(words, v), M.piece_usage(words, times, v)
+    assert int(usage.sum()) == sum(n * c for n, c in zip(times, counts))
+    monkeypatch.setattr(M, "LEVELS", 5)
+    assert M.trie_counts(words, v) == counts and (M.piece_usage(words, times, v) == usage).all()
+
+
 def test_documents_match_word_by_word(spark):
-    v = M.Vocabulary.from_model()
     docs = table(spark, SF, "documents")
+    v = plain_vocabulary([r.text for r in docs.collect()], M.Vocabulary.from_model())
     memo = {}
     want = []
     for r in docs.collect():
