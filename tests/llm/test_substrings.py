@@ -69,6 +69,51 @@ def test_empty(spark, docs_of):
     assert got(M.contract(docs_of([]))) == []
 
 
-@pytest.mark.parametrize("at,source,want", [([], [], []), ([3], [1], [(3, 50, 1)]), ([4, 3, 5, 9], [1, 1, 2, 2], [(3, 51, 1), (5, 50, 2), (9, 50, 2)])])
-def test_greedy_factors(at, source, want):
-    assert M.greedy_factors(np.array(at, int), np.array(source, int), 50) == want
+def verbatim(rows, out):
+    """Every factor stands in its reference at its place, and no factor could go one word further with it unnoticed."""
+    texts = {}
+    for d, t in rows:
+        texts.setdefault(d, []).append(WORD.findall(t or ""))
+    for d, fs in out:
+        for f in fs or []:
+            assert f.words >= 50
+            part = lambda w, s: w[s:s + f.words]
+            assert any(len(part(w, f.start)) == f.words and part(w, f.start) == part(r, f.place)
+                       for w in texts[d] for r in texts[f.reference])
+
+
+def test_factors_stand_in_their_reference(spark, docs_of):
+    rng = np.random.default_rng(7)
+    w = [f"w{i}" for i in range(400)]
+    j = " ".join
+    # documents 1 and 2 share parts in another order; 3 has a stretch that document 1 holds in two pieces only
+    rows = [(1, j(w[:80] + ["x"] + w[40:120])), (2, j(w[60:130])), (3, j(w[:125])), (4, j(w[:60] + w[:60] + w[30:110])),
+            (5, j(["y", *w[:51], "z", *w[70:130]])), (6, j(w[:200])), (7, j(w[100:200])), (None, j(w[150:220])), (-5, j(w[140:210]))]
+    for _ in range(30):
+        a, b, c = rng.integers(0, 300, 3)
+        rows.append((len(rows) + 10, j(w[a:a + 90] + w[b:b + 60] + w[c:c + 70])))
+    out = [(r.doc_id, r.factors) for r in M.dedupe_substrings(docs_of(rows)).collect()]
+    verbatim(rows, out)
+    assert got(M.contract(docs_of(rows))) == brute(rows)
+    assert sum(len(f or []) for _, f in out) > 30
+
+
+def test_factors_of_documents_stand_in_their_reference(spark):
+    docs = table(spark, SF, "documents")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    out = [(r.doc_id, r.factors) for r in M.dedupe_substrings(docs).collect()]
+    verbatim(rows, out)
+    assert any(f for _, f in out)
+
+
+def test_kept_text_only_where_asked(spark, docs_of):
+    plain = M.dedupe_substrings(docs_of(edges()), texts=False)
+    assert "kept_text" not in plain.columns and "kept_text" not in plain._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("at,source,place,want", [
+    ([], [], [], []), ([3], [1], [0], [(3, 50, 1, 0)]),
+    ([4, 3, 5, 9], [1, 1, 2, 2], [8, 7, 0, 4], [(3, 51, 1, 7), (5, 50, 2, 0), (9, 50, 2, 4)]),
+    ([3, 4, 5], [1, 1, 1], [7, 2, 3], [(3, 50, 1, 7), (4, 51, 1, 2)])])
+def test_greedy_factors(at, source, place, want):
+    assert M.greedy_factors(np.array(at, int), np.array(source, int), np.array(place, int), 50) == want
