@@ -10,9 +10,12 @@ that holds most of the text, unless it is named for readers' comments or consent
 
 with C characters, T tags, LC characters in links, LT links of its subtree (zero denominators count as 1; plain C/T
 where the page has no links).  The density sum of a node is the sum over its children.  The node with the largest sum
-lies in the article; the least density on its path up to the body is the threshold, and the parts of the body whose
-density reaches it are the content (all of them, if the body itself has the largest sum).  Beside
+lies in the article and is content with all that is in it (with the article or main around it, where there is one).  The
+least density on its path up to the body is the threshold: at every level of that path, whatever wrappers there are, the
+parts beside the path stay where their density reaches it, and headings without links where what follows them stays.  Beside
 that node, lists and boxes that are mostly links go as menus; inside it nothing does.
+
+Reading takes time in proportion to the page: where an element of a name is open is looked up, not searched for.
 """
 
 from __future__ import annotations
@@ -20,6 +23,8 @@ from __future__ import annotations
 import html
 import math
 import re
+from bisect import bisect_right
+from collections import defaultdict
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -51,6 +56,7 @@ READERS = frozenset("comment comments disqus respond reply replies cookie cookie
 STATE_PREFIX = frozenset("has no with without not".split())   # has-sidebar, no-sidebar: about a part, not the part itself
 STATE_SUFFIX = frozenset("open opened closed active enabled disabled visible hidden collapsed expanded".split())
 LISTS = frozenset("ul ol dl div table section".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 
 
 ALWAYS, UNLESS_MAIN, UNLESS_MOST = 3, 2, 1   # never open; open around the main article; open also around most of the text
@@ -102,8 +108,8 @@ class Page:
     def __init__(self, source: str):
         self.name, self.parent, self.end, self.cut = ["html"], [-1], [0], [0]
         self.events: list[tuple[int, str | None]] = []   # (node, text), (node, None) where a block begins or ends
-        self.article, self.paragraphs = 0, 0   # open elements of these kinds
-        stack, at, n = [0], 0, len(source)
+        self.open: dict[str, list[int]] = defaultdict(list)   # of each name, where its open elements are on the stack
+        stack, at, n, body = [0], 0, len(source), False
         add = self.events.append
         ends: dict[str, dict[int, int]] = {}
         while at < n:
@@ -118,32 +124,21 @@ class Page:
                 continue
             name = name.lower()
             if m[1]:
-                for k in range(len(stack) - 1, 0, -1):
-                    if self.name[stack[k]] == name:
-                        self._close(stack, k)
-                        break
+                if self.open[name]:
+                    self._close(stack, self.open[name][-1])
                 continue
             if rest.count('"') % 2 or rest.count("'") % 2:   # a > inside a quoted value
                 whole = _QUOTED.match(source, m.start(3))
                 if whole:
                     rest, at = whole[0][:-1], whole.end()
-            if name in BLOCK:
-                if self.paragraphs:
-                    for k in range(len(stack) - 1, 0, -1):
-                        if self.name[stack[k]] == "p":
-                            self._close(stack, k)
-                            break
-                        if self.name[stack[k]] in BLOCK:
-                            break
+            if name in BLOCK and self.open["p"]:   # no block is open inside a paragraph
+                self._close(stack, self.open["p"][-1])
             if name in CLOSED_BY:
-                for k in range(len(stack) - 1, 0, -1):
-                    here = self.name[stack[k]]
-                    if here in CLOSED_BY[name]:
-                        self._close(stack, k)
-                        if name not in ("tr", "tbody"):
-                            break
-                    elif here in FENCE.get(name, ()):
-                        break
+                fence = max((self.open[f][-1] for f in FENCE.get(name, ()) if self.open[f]), default=0)
+                ended = [self.open[c] for c in CLOSED_BY[name] if self.open[c] and self.open[c][-1] > fence]
+                if ended:   # a row ends all of the row before, another part the innermost one
+                    self._close(stack, min(o[bisect_right(o, fence)] for o in ended) if name in ("tr", "tbody")
+                                else max(o[-1] for o in ended))
             if name in RAW:
                 if name in FOREIGN:
                     if name not in ends:
@@ -153,23 +148,24 @@ class Page:
                 close = re.compile(rf"</{re.escape(name)}[\s/>]", re.I).search(source, at)
                 at = n if close is None else source.find(">", close.start()) + 1 or n
                 continue
-            if name == "html" or (name == "body" and "body" in self.name):
+            if name == "html" or (name == "body" and body):
                 continue
+            body = body or name == "body"
             parent = stack[-1]
             node = len(self.name)
             self.name.append(name)
             self.parent.append(parent)
             self.end.append(node + 1)
-            self.cut.append(_cut_off(name, rest, self.article > 0))
+            self.cut.append(_cut_off(name, rest, bool(self.open["article"] or self.open["main"])))
             if name in BLOCK:
                 add((node, None))
             elif name == "br":
                 add((parent, " "))
             if name not in VOID and not rest.endswith("/"):
+                self.open[name].append(len(stack))
                 stack.append(node)
-                self.article += name in ("article", "main")
-                self.paragraphs += name == "p"
-        self._close(stack, 0)
+        self._close(stack, 1)
+        self.end[0] = len(self.name)
         self._cut()
 
     def _close(self, stack: list[int], k: int) -> None:
@@ -177,9 +173,7 @@ class Page:
             self.end[node] = len(self.name)
             if self.name[node] in BLOCK:
                 self.events.append((self.parent[node], None))
-            if self.name[node] in ("article", "main"):
-                self.article -= 1
-            self.paragraphs -= self.name[node] == "p"
+            self.open[self.name[node]].pop()
         del stack[k:]
 
     def _cut(self) -> None:
@@ -276,18 +270,27 @@ def main_text(source: str) -> str:
             first[p] = False
     inside = range(body, page.end[body])
     best = max(inside, key=lambda i: (not page.cut[i], sums[i], -i))
-    threshold, at = density[best], best
+    threshold, at, path = density[best], best, [best]
     while at != body:
         at = page.parent[at]
         threshold = min(threshold, density[at])
+        path.append(at)
+    whole = next((i for kind in ("article", "main") for i in reversed(path) if page.name[i] == kind), best)
+    on_path = set(path[path.index(whole) + 1:])   # above what is content as a whole
     keep = [False] * size
-    top = [i for i in inside if page.parent[i] == body]
-    chosen = [i for i in top if not page.cut[i] and (best == body or density[i] >= threshold or i <= best < page.end[i])]
-    for i in chosen:
-        keep[i] = True
+    beside = defaultdict(list)
+    for i in inside:
+        if i != body and page.parent[i] in on_path and not page.cut[i] and page.name[i] not in VOID:
+            beside[page.parent[i]].append(i)
+    for parts in beside.values():
+        follows = False
+        for i in reversed(parts):
+            keep[i] = i in on_path or i == whole or density[i] >= threshold \
+                or (follows and page.name[i] in HEADINGS and not links[i])
+            follows = keep[i] if chars[i] else follows
     keep[body] = True   # text that stands in the body itself
     for i in inside:
-        if i != body and page.parent[i] != body:
+        if i != body and page.parent[i] not in on_path:
             keep[i] = keep[page.parent[i]]
         if keep[i] and i != body and (page.cut[i] or (page.name[i] in LISTS and links[i] > 1 and 2 * link_chars[i] > chars[i]
                                                        and not i <= best < page.end[i] and not best < i < page.end[best])):

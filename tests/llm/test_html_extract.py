@@ -121,3 +121,56 @@ def test_svg_and_math_take_no_text_behind_them(mark):
     assert M.main_text(f"<article><p>{LONG}</p><p>{mark}{LONG}</p><p>End</p></article>") == f"{LONG}\n{LONG}\nEnd"
     assert M.main_text(f"<article><p>{LONG}</p><p><svg/>{LONG}</p><p>End {mark}</p></article>") == f"{LONG}\n{LONG}\nEnd"
     assert M.main_text(f"<article><p>{mark}{LONG}</p><p><svg><g><svg></svg></g><text>no</text></svg>{LONG}</p></article>") == f"{LONG}\n{LONG}"
+
+
+TEASER = "<div><h3>More</h3><ul><li><a href=a>A story of last week</a></li><li>by <a href=b>somebody else</a></li></ul><p>Read on.</p></div>"
+IMPRINT = "<div><p>Street 1</p><p>Town</p><p>Tel. 5</p><p>Fax 6</p></div>"
+PART = " ".join([LONG] * 3)
+STORY = f"<h1>Title</h1><p>{PART}</p><p>Ok.</p><h2>Part</h2><p>{PART}</p><p>{PART}</p>"
+STORY_TEXT = f"Title\n{PART}\nOk.\nPart\n{PART}\n{PART}"
+
+
+@pytest.mark.parametrize("wraps", range(4))
+@pytest.mark.parametrize("inner", [f"<div>{STORY}</div>", f"<section><div>{STORY}</div></section>"])
+def test_density_decides_at_every_level(wraps, inner):
+    """No marked name tells the article from what is beside it, and wrappers hide no level."""
+    page = f"{TEASER}{inner}{IMPRINT}"
+    for k in range(wraps):
+        page = f"<div id=w{k}>{page}</div>" + (IMPRINT if k % 2 else "")
+    assert M.main_text(f"<html><body>{page}</body></html>") == STORY_TEXT
+
+
+def test_headings_go_with_what_follows():
+    page = f"<h1>Title</h1><div><p>{PART}</p><p>{PART}</p></div><h4>More</h4>{TEASER}"
+    for p in (page, f"<div>{page}</div>", f"<div><div>{page}</div>{IMPRINT}</div>"):
+        assert M.main_text(f"<body>{p}</body>") == f"Title\n{PART}\n{PART}"
+
+
+def test_without_densities_the_boxes_stay(monkeypatch):
+    page = f"<body><div>{TEASER}<div>{STORY}</div>{IMPRINT}</div></body>"
+    assert M.main_text(page) == STORY_TEXT
+    monkeypatch.setattr(M, "densities", lambda page, body, chars, *rest: [1.0 if c else 0.0 for c in chars])
+    assert "Town" in M.main_text(page)
+
+
+def test_pages_without_marked_names(spark):
+    """The table's pages with plain boxes for all telling elements, in two wrappers: the article's text stays whole, and
+    what density can tell (menus of links, short boxes) goes."""
+    telling = re.compile(r"<(/?)(?:article|main|nav|header|footer|aside|section)\b[^>]*>", re.I)
+    for r in table(spark, SF, "pages").collect():
+        want = article(r.html).split("\n")
+        plain = re.sub(r"\s(class|id|role)=(\"[^\"]*\"|'[^']*')", "", telling.sub(r"<\1div>", r.html))
+        inner = re.sub(r"</?(?:html|body)\b[^>]*>|<!doctype[^>]*>|<head>.*?</head>", "", plain, flags=re.S | re.I)
+        got = M.main_text(f"<body><div><div>{inner}</div></div></body>").split("\n")
+        at = got.index(want[0])
+        assert got[at:at + len(want)] == want
+
+
+@pytest.mark.parametrize("parts", [("<div>", "</span>"), ("<div>", "<li></li>"), ("<dl><dt>", "<dd></dd>"), ("<b>", "</i>"), ("<table>", "<tr>"),
+                                   ("<ul>", "<div><li>"), ("<p><i>", "</div>"), ("<body>", "<body>"), ("<div>", "<td></td>")])
+def test_a_broken_page_takes_time_in_proportion(parts):
+    import time
+    source = parts[0] * (500_000 // len(parts[0])) + parts[1] * (500_000 // len(parts[1])) + LONG
+    began = time.process_time()
+    assert LONG in M.main_text(source)
+    assert time.process_time() - began < 8   # seconds for 1 MB; searched stacks took minutes
