@@ -61,12 +61,16 @@ def ftrl(examples: list[tuple[np.ndarray, np.ndarray, int]], size: int, epochs:
 def train(docs: DataFrame, labels: DataFrame, bits: int = BITS, max_train: int = MAX_TRAIN, shards: int = SHARDS) -> np.ndarray:
     """Averaged weights from labelled rows outside the held-out fold; zeros where there are none.
 
-    Labels other than 0 and 1 and labels without a document are not used; equal labels of one doc_id count once.
+    Labels other than 0 and 1 and labels without a document are not used; equal labels of one doc_id count once, a doc_id
+    labelled both 0 and 1 gives an example of each.  Rows with the same doc_id are examples each, in the order of a hash of
+    the doc_id, then doc_id, label and a hash of the text, so the weights do not depend on how the rows are spread.  Null and
+    empty texts are examples of the bias alone; texts of any length count whole; other columns are not used, whatever their
+    names.  Empty tables give zeros.
     """
     known = labels.where("quality in (0, 1)").where(~held_out(F.col("doc_id"))) \
         .select(F.col("doc_id").alias("labelled"), F.col("quality").cast("int").alias("label")).distinct()
     picked = known.orderBy(F.xxhash64("labelled"), "labelled", "label").limit(max_train)
-    rows = docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("labelled"))   # max_train rows
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("tie")).join(F.broadcast(picked), F.col("doc_id") == F.col("labelled"))   # max_train rows
 
     def extract(batches):
         for b in batches:
@@ -79,17 +83,18 @@ def train(docs: DataFrame, labels: DataFrame, bits: int = BITS, max_train: int =
                 first = np.searchsorted(r, np.arange(n + 1))
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(i, n), b.column(2).slice(i, n), lists(key & ((1 << bits) - 1), first, pa.int32()),
-                     lists(value, first, pa.float64())], names=["doc_id", "label", "index", "value"])
+                     lists(value, first, pa.float64()), b.column(3).slice(i, n)], names=["doc_id", "label", "index", "value", "tie"])
 
     def learn(t: pa.Table) -> pa.Table:
-        t = t.sort_by([("order", "ascending"), ("doc_id", "ascending"), ("label", "ascending")])
+        t = t.sort_by([("order", "ascending"), ("doc_id", "ascending"), ("label", "ascending"), ("tie", "ascending")])
         examples = [(np.array(i, np.int64), np.array(v), int(y)) for i, v, y in
                     zip((x.values for x in t["index"]), (x.values for x in t["value"]), t["label"].to_pylist())]
         w = ftrl(examples, 1 << bits)
         at = np.flatnonzero(w)
         return pa.table({"index": pa.array(at, pa.int32()), "weight": pa.array(w[at])})
 
-    found = rows.select("doc_id", "text", "label").mapInArrow(extract, "doc_id long, label int, index array<int>, value array<double>")
+    found = rows.select("doc_id", "text", "label", "tie") \
+        .mapInArrow(extract, "doc_id long, label int, index array<int>, value array<double>, tie long")
     parts = found.withColumn("order", F.xxhash64("doc_id", F.lit(1))).withColumn("shard", F.pmod("order", F.lit(shards))) \
         .groupBy("shard").applyInArrow(learn, "index int, weight double")
     mean = parts.groupBy("index").agg(F.collect_list("weight").alias("w"))   # as many as shards
@@ -100,7 +105,9 @@ def train(docs: DataFrame, labels: DataFrame, bits: int = BITS, max_train: int =
 
 
 def score(docs: DataFrame, weights: np.ndarray, into: str = "quality_score") -> DataFrame:
-    """``docs`` plus a struct (score from 0 to 1, predicted).  A null or empty text scores the bias alone."""
+    """``docs`` plus a struct (score from 0 to 1, predicted).  A null or empty text scores the bias alone; equal
+    texts score alike; texts of any length are scored whole; a column named like ``into`` is replaced, others pass
+    unchanged; an empty table gives an empty result."""
     bits = (len(weights) - 1).bit_length() - 1
 
     def fn(b: pa.RecordBatch) -> pa.StructArray:

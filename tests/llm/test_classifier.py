@@ -1,4 +1,6 @@
+import math
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -51,3 +53,48 @@ def test_training_sample_is_bounded(spark, limit):
     docs = spark.createDataFrame([(i, f"w{i}") for i in range(20)], "doc_id long, text string")
     labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, quality int")
     assert (M.train(docs, labels, max_train=limit)[:-1] != 0).sum() <= 2 * limit
+
+
+def plain_ftrl(examples, epochs):
+    """Weights by feature, one coordinate at a time; the feature -1 is the bias."""
+    z, n, w = {}, {}, {}
+    for _ in range(epochs):
+        for features, y in examples:
+            x = {**features, -1: 1.0}
+            p = 1 / (1 + math.exp(-sum(w.get(i, 0.0) * v for i, v in x.items())))
+            for i, v in x.items():
+                g = (p - y) * v
+                old = n.get(i, 0.0)
+                z[i] = z.get(i, 0.0) + g - (math.sqrt(old + g * g) - math.sqrt(old)) / M.ALPHA * w.get(i, 0.0)
+                n[i] = old + g * g
+                w[i] = 0.0 if abs(z[i]) <= M.L1 else \
+                    -(z[i] - math.copysign(M.L1, z[i])) / ((M.BETA + math.sqrt(n[i])) / M.ALPHA + M.L2)
+    return w
+
+
+def plain_features(text):
+    row, index, words = M.features(np.frombuffer((text or "").encode(), np.uint8), np.array([0, len((text or "").encode())]))
+    return {i: c * M.SCALE / max(1, int(words[0])) for i, c in Counter(index.tolist()).items()}
+
+
+def test_weights_and_scores_equal_a_plain_program(spark):
+    docs, labels = table(spark, "/root/testdata/sf0.001", "documents"), table(spark, "/root/testdata/sf0.001", "labels")
+    docs = docs.unionByName(docs.limit(40).withColumn("text", F.concat(F.lit("other "), "text")))   # repeated ids, other texts
+    shards = M.SHARDS
+    rows = docs.join(labels, "doc_id").where("quality in (0, 1)").select(
+        "doc_id", "text", "quality", F.xxhash64("doc_id", F.lit(1)).alias("o"), F.xxhash64("text").alias("t")).collect()
+    rows = sorted((r for r in rows if zlib.crc32(str(r.doc_id).encode()) % 5), key=lambda r: (r.o, r.doc_id, r.quality, r.t))
+    mean = Counter()
+    for shard in range(shards):
+        for i, v in plain_ftrl([(plain_features(r.text), r.quality) for r in rows if r.o % shards == shard], M.EPOCHS).items():
+            mean[i] += v / shards
+    w = M.train(docs, labels)
+    want = np.zeros(len(w))
+    for i, v in mean.items():
+        want[i] = v
+    assert len(rows) > 40 and np.count_nonzero(want) > 100
+    assert np.allclose(w, want, rtol=1e-7, atol=1e-10)
+    for r in M.score(docs, w).select("text", "quality_score.score").collect():
+        logit = want[-1] + sum(v * want[i] for i, v in plain_features(r.text).items())
+        assert r.score == pytest.approx(1 / (1 + math.exp(-logit)), abs=1e-8)
+    assert np.array_equal(w, M.train(docs.repartition(7), labels))
