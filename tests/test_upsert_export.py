@@ -173,3 +173,12 @@ def test_runs_count_their_batches_alone(spark, workdir):
         {"aa": "win", "bb": "lose", "cc": "win"}
     up.compact(spark, root, "s2")
     assert up.current_bets(spark, root).count() == 3
+
+
+@pytest.mark.parametrize("name", ["export_counts", "export_pending"])
+def test_events_are_parsed_once(spark, name):
+    """Current bets and ledger read the same written versions."""
+    from conftest import SF001
+    from wagerflow.plans import QUERIES
+    plan = QUERIES[name](spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 2 and "parseJson" not in plan

@@ -22,7 +22,7 @@ from wagerflow.operators import metrics as M
 from wagerflow.operators import upsert as up
 from wagerflow.plans.registry import ORACLE, QUERIES, query
 from wagerflow.schemas import VERSION_COLUMNS
-from wagerflow.session import scratch_root
+from wagerflow.session import scratch_root, written
 from wagerflow.sources.samples import SampleStore
 from wagerflow.sources.testdata import (
     BETS_COUNTER, STAKE_GAUGE, STAKE_SUM_COUNTER, bet_records, metric_samples,
@@ -312,11 +312,12 @@ EXPORT_CUTOFF = _dt.datetime(2024, 1, 30, 18)
 _CUTOFF_SQL = "TIMESTAMP '2024-01-30 18:00:00'"
 
 
-def _bets_and_ledger(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Current bets, and the ledger of the first export run (at the cutoff),
-    which exported the table as it was then."""
+def _bets_and_ledger(spark: SparkSession, sf_dir: str, columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Versions of the bets (key, ``columns``, hash, arrival order), and the
+    ledger of the first export run (at the cutoff), which exported the table
+    as it was then.  Both read the versions: parsed and written once."""
     valid, _ = fl.flatten_bets(bet_records(spark, sf_dir, "nested"))
-    versions = up.with_row_hash(valid)
+    versions = written(up.with_row_hash(valid).select(up.KEY, *columns, up.ROW_HASH, *VERSION_COLUMNS), "versions")
     first = versions.filter(F.col("src_timestamp") < F.lit(str(EXPORT_CUTOFF)).cast("timestamp"))
     ledger = up.latest_versions(first, columns=[up.ROW_HASH, *VERSION_COLUMNS])
     return versions, ledger
@@ -353,8 +354,9 @@ LEFT JOIN old ON old.bet_id = b.bet_id
 WHERE old.eid IS NULL OR old.eid <> cur.eid
 """)
 def q_export_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
-    versions, ledger = _bets_and_ledger(spark, sf_dir)
-    wanted = [c for c in ex.EXPORT_COLUMNS if c != "exported"] + [up.ROW_HASH, *VERSION_COLUMNS]
+    carried = [c for c in ex.EXPORT_COLUMNS if c not in ("exported", up.KEY)]
+    versions, ledger = _bets_and_ledger(spark, sf_dir, carried)
+    wanted = [*carried, up.ROW_HASH, *VERSION_COLUMNS]
     rows = ex.export_projection(ex.pending_bets(up.latest_versions(versions, columns=wanted), ledger))
     return rows.select(*[F.date_format(c, ISO_MICROS).alias(c)
                          if c in ("bet_timestamp", "created_at") else F.col(c)
@@ -367,7 +369,7 @@ SELECT coalesce(old.eid = cur.eid, false) AS exported, CAST(count(*) AS BIGINT)
 FROM cur LEFT JOIN old ON old.bet_id = cur.bet_id GROUP BY 1
 """)
 def q_export_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    versions, ledger = _bets_and_ledger(spark, sf_dir)
+    versions, ledger = _bets_and_ledger(spark, sf_dir, [])
     current = up.latest_versions(versions, columns=[up.ROW_HASH])
     return ex.export_counts(ex.with_exported(current, ledger))
 
