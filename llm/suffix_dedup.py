@@ -8,15 +8,15 @@ of other buckets, and the suffixes of this text are put in order by deep-shallow
 8-byte characters, all parts of one round at a time, goes down to a shallow depth, and blind tries order what still
 shares that prefix.  Neighbours that agree on ``window`` bytes form a class, whose smallest document keeps its bytes.
 
-No bucket is unbounded: an anchor that occurs more than CROWD times sends its windows one by one to buckets of their
-own content, where they are equal and only their smallest document counts.
+No bucket is unbounded: the stretches of an anchor that occurs more than CROWD times go to buckets of their own content.
+There a stretch that a smaller document also holds is covered as a whole; only the stretches of each one's smallest
+document go on, window by window, to buckets of the windows' content, where only the smallest document counts.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +37,7 @@ NO_ID = -(1 << 63)   # stands for a null doc_id
 MARKS = "a long, doc_id long, n int"
 STRETCHES = "bucket long, piece binary, doc_id long, key long, start long, alone boolean"
 REPEATS = "doc_id long, key long, start long, stop long"
+WINDOWS = REPEATS + ", bucket long, piece binary"
 
 _CODES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -132,22 +133,39 @@ class BlindTrie:
 def deep_shallow(text: np.ndarray, starts: np.ndarray, window: int = WINDOW, shallow: int = SHALLOW) -> tuple[np.ndarray, np.ndarray]:
     """(the starts in the order of their next ``window`` bytes, the number of each one's class of equal windows)."""
     shallow = min(shallow, window // 8 * 8)
-    order, rank = multikey_quicksort(characters(text), starts, shallow)
+    chars = characters(text)
+    order, rank = multikey_quicksort(chars, starts, shallow)
     n = len(order)
-    first = np.flatnonzero(np.concatenate([[True], rank[1:] != rank[:-1]])) if n else np.zeros(0, np.int64)
-    sizes = np.diff(np.concatenate([first, [n]]))
-    classes = np.ones(n, bool)
+    if not n:
+        return order, np.zeros(0, np.int64)
+    # equal windows go to the tries as one: those of a part with one fingerprint whose bytes agree
+    code = rolling(_CODES[text], window)[order]
+    by = np.lexsort((code, rank))
+    order, code = order[by], code[by]
+    new = np.concatenate([[True], (rank[1:] != rank[:-1]) | (code[1:] != code[:-1])])
+    lead = np.flatnonzero(new)[np.cumsum(new) - 1]
+    bytewise = shallow + (window - shallow) // 8 * 8
+    for at in range(shallow, bytewise, 8):
+        new |= chars[order + at] != chars[order[lead] + at]
+    for at in range(bytewise, window):
+        new |= text[order + at] != text[order[lead] + at]
+    lead = np.where(new, np.arange(n), lead)
+    leads = np.flatnonzero(new)
+    part = rank[leads]
+    first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+    sizes = np.diff(np.concatenate([first, [len(leads)]]))
+    place = np.zeros(n, np.int64)         # of a window among those of its part
     data, rest = text.tobytes(), window - shallow
     for b, size in zip(first[sizes > 1].tolist(), sizes[sizes > 1].tolist()):
-        trie = BlindTrie(rest)
-        for s in order[b:b + size].tolist():
-            trie.add(int.from_bytes(data[s + shallow:s + window]), s)
-        at = b
-        for same in trie.leaves():
-            order[at:at + len(same)] = same
-            classes[at + 1:at + len(same)] = False
-            at += len(same)
-    return order, np.cumsum(classes) - 1
+        trie, own = BlindTrie(rest), leads[b:b + size]
+        for i, s in zip(own.tolist(), order[own].tolist()):
+            trie.add(int.from_bytes(data[s + shallow:s + window]), i)
+        for i, same in enumerate(trie.leaves()):
+            place[same] = i
+    place = place[lead]
+    by = np.lexsort((place, rank))
+    order, place = order[by], place[by]
+    return order, np.cumsum(np.concatenate([[False], (rank[1:] != rank[:-1]) | (place[1:] != place[:-1])]))
 
 
 # --- candidates ---------------------------------------------------------------------------------------------------
@@ -182,7 +200,7 @@ def _mark(window: int, seed: int):
 
 
 def _cut_out(window: int, seed: int):
-    """The stretches of each document's listed anchors; one window each where the anchor is crowded."""
+    """The stretches of each document's listed anchors, alone where the anchor is crowded."""
     def run(batches):
         for b in batches:
             for i, raw, offsets in text_slices(b.column(2)):
@@ -199,15 +217,18 @@ def _cut_out(window: int, seed: int):
                         hit[own[r]:own[r + 1]] = np.isin(low[own[r]:own[r + 1]], values[edge[r]:edge[r + 1]])
                     listed[name] = hit
                 out = []
-                for name, most in (("some", STRETCH), ("crowded", 1)):
+                for name in ("some", "crowded"):
                     f, l, r, a = (x[listed[name]] for x in (first, length, row, low))
-                    pieces = -(-l // most)
+                    pieces = -(-l // STRETCH)
                     which = np.repeat(np.arange(len(f)), pieces)
                     nth = np.arange(len(which)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-                    start = f[which] + nth * most
-                    stop = np.minimum(start + most, (f + l)[which]) - 1 + window
-                    bucket = a[which] if most > 1 else rolling(_CODES[raw], window)[start]
-                    out.append((bucket, start, stop, r[which], np.full(len(which), most == 1)))
+                    start = f[which] + nth * STRETCH
+                    stop = np.minimum(start + STRETCH, (f + l)[which]) - 1 + window
+                    bucket = a[which]
+                    if name == "crowded" and len(start):
+                        code = rolling(_CODES[raw], window)
+                        bucket = code[start] ^ mix(code[stop - window])
+                    out.append((bucket, start, stop, r[which], np.full(len(which), name == "crowded")))
                 bucket, start, stop, r, alone = (np.concatenate(x) for x in zip(*out))
                 data = raw.tobytes()
                 step = 1 << 16
@@ -229,81 +250,174 @@ class _Shard:
     def __init__(self, window: int):
         self.window = window
         self.pieces: list[bytes] = []
-        self.least: list[int] = []
-        self.places: list[tuple[int, int, int, int]] = []   # (piece, document, text key, start)
-        self.size = 0
-
-    def windows(self) -> Iterator[np.ndarray]:
-        """For every piece the smallest document of each of its windows."""
+        self.least: list[np.ndarray] = []
+        self.places: list[tuple[np.ndarray, ...]] = []   # (piece, document, text key, start)
+        self.size = self.rows = 0
+
+    def add(self, pieces: list[bytes], least: np.ndarray, piece: np.ndarray, *place: np.ndarray) -> None:
+        self.places.append((piece + len(self.pieces), *place))
+        self.pieces += pieces
+        self.least.append(least)
+        self.size += sum(map(len, pieces))
+        self.rows += len(piece)
+
+    def windows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(the smallest document of the window at each byte, each piece's first byte, its number of windows)."""
         sizes = np.array([len(p) for p in self.pieces])
-        begin = np.concatenate([[0], np.cumsum(sizes)])
+        begin = np.cumsum(sizes) - sizes
         count = sizes - self.window + 1
-        piece = np.repeat(np.arange(len(sizes)), count)
-        starts = begin[piece] + np.arange(len(piece)) - np.repeat(np.cumsum(count) - count, count)
+        starts = np.repeat(begin, count) + _counting(count)
         order, classes = deep_shallow(np.frombuffer(b"".join(self.pieces), np.uint8), starts, self.window)
-        least = np.array(self.least)[np.searchsorted(begin, order, "right") - 1]
+        least = np.concatenate(self.least)[np.searchsorted(begin, order, "right") - 1]
         first = np.flatnonzero(np.concatenate([[True], classes[1:] != classes[:-1]]))
-        smallest = np.empty(begin[-1], np.int64)
+        smallest = np.empty(int(sizes.sum()), np.int64)
         smallest[order] = np.minimum.reduceat(least, first)[classes]
-        for b, n in zip(begin, count):
-            yield smallest[b:b + n]
+        return smallest, begin, count
+
+    def repeats(self) -> Iterator[pa.RecordBatch]:
+        """The bytes that a smaller document also holds."""
+        if not self.pieces:
+            return
+        smallest, begin, count = self.windows()
+        places = [np.concatenate(x) for x in zip(*self.places)]
+        step = 1 << 14
+        for lo in range(0, len(places[0]), step):
+            piece, doc, key, start = (x[lo:lo + step] for x in places)
+            who, at = np.repeat(np.arange(len(piece)), count[piece]), _counting(count[piece])
+            gone = np.flatnonzero(smallest[begin[piece][who] + at] < doc[who])
+            if not len(gone):
+                continue
+            who, at = who[gone], at[gone]
+            new = np.flatnonzero(np.concatenate([[True], (who[1:] != who[:-1]) | (np.diff(at) > self.window)]))
+            last = np.concatenate([new[1:], [len(gone)]]) - 1
+            who = who[new]
+            yield _spans(doc[who], key[who], start[who] + at[new], start[who] + at[last] + self.window)
+
+
+def _counting(counts: np.ndarray) -> np.ndarray:
+    """0, 1, ... up to each count, one after the other."""
+    return np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
+def _spans(doc: np.ndarray, key: np.ndarray, start: np.ndarray, stop: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (doc, key, start, stop)], names=["doc_id", "key", "start", "stop"])
+
+
+def _pieces(bucket: np.ndarray, piece: pa.Array) -> np.ndarray:
+    """Which rows begin another piece than the row before."""
+    new = np.ones(len(bucket), bool)
+    new[1:] = (bucket[1:] != bucket[:-1]) | pc.not_equal(piece.slice(1), piece.slice(0, len(piece) - 1)).to_numpy(zero_copy_only=False)
+    return new
+
+
+class _Least:
+    """The smallest document of each piece, batch by batch of rows in the order of bucket, piece and document."""
+
+    def __init__(self):
+        self.last: tuple[int, bytes, int] | None = None
+
+    def __call__(self, bucket: np.ndarray, piece: pa.Array, doc: np.ndarray) -> np.ndarray:
+        new = _pieces(bucket, piece)
+        first = doc[new]
+        if self.last and self.last[:2] == (int(bucket[0]), piece[0].as_py()):
+            first[0] = self.last[2]
+        least = first[np.cumsum(new) - 1]
+        self.last = int(bucket[-1]), piece[-1].as_py(), int(least[-1])
+        return least
 
-    def repeats(self) -> Iterator[tuple[int, int, int, int]]:
-        """(document, text key, start, stop) of the bytes that a smaller document also holds."""
-        smallest = list(self.windows()) if self.pieces else []
-        for piece, doc, key, start in self.places:
-            gone = np.flatnonzero(smallest[piece] < doc)
-            if len(gone):
-                cut = np.flatnonzero(np.diff(gone) > self.window) + 1
-                for run in np.split(gone, cut):
-                    yield doc, key, start + int(run[0]), start + int(run[-1]) + self.window
+
+def _numbers(b: pa.RecordBatch, *names: str) -> list[np.ndarray]:
+    return [b.column(n).to_numpy(zero_copy_only=False) for n in names]
+
+
+def _windows(window: int, piece: pa.Array, doc: np.ndarray, key: np.ndarray, start: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Every window of some pieces, to be compared in a bucket of its own content."""
+    step = 1 << 10
+    for lo in range(0, len(piece), step):
+        held = piece.slice(lo, step).to_pylist()
+        sizes = np.array([len(p) for p in held])
+        data = b"".join(held)
+        count = sizes - window + 1
+        who, at = lo + np.repeat(np.arange(len(held)), count), _counting(count)
+        begin = np.repeat(np.cumsum(sizes) - sizes, count) + at
+        found = _spans(doc[who], key[who], start[who] + at, start[who] + at + window)
+        yield pa.RecordBatch.from_arrays(
+            [*found.columns, pa.array(signed(rolling(_CODES[np.frombuffer(data, np.uint8)], window)[begin])),
+             pa.array([data[x:x + window] for x in begin.tolist()], pa.binary())], names=[*found.schema.names, "bucket", "piece"])
+
+
+def _first_windows(window: int):
+    """The windows of each crowded stretch, of its smallest document only."""
+    def run(batches):
+        least = _Least()
+        for b in batches:
+            if b.num_rows:
+                bucket, doc, key, start = _numbers(b, "bucket", "doc_id", "key", "start")
+                first = least(bucket, b.column("piece"), doc) == doc
+                yield from _windows(window, b.column("piece").filter(pa.array(first)), doc[first], key[first], start[first])
+    return run
 
 
 def _sort_buckets(window: int):
     """Buckets come one after the other, their pieces in order, equal pieces by document."""
-    def flush(out):
-        columns = list(zip(*out)) or [()] * 4
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc_id", "key", "start", "stop"])
+    def stretches(b, least):
+        """Crowded anchors: a piece that a smaller document also holds goes as a whole."""
+        bucket, doc, key, start = _numbers(b, "bucket", "doc_id", "key", "start")
+        gone = least(bucket, b.column("piece"), doc) < doc
+        size = pc.binary_length(b.column("piece")).to_numpy(zero_copy_only=False)
+        return _spans(doc[gone], key[gone], start[gone], (start + size)[gone])
+
+    def buckets(b, shard):
+        """Whole buckets: a single piece goes as a whole, but for its smallest document; several go to the shard."""
+        bucket, doc, key, start = _numbers(b, "bucket", "doc_id", "key", "start")
+        new = _pieces(bucket, b.column("piece"))
+        piece, first = np.cumsum(new) - 1, np.flatnonzero(new)
+        begin = np.flatnonzero(np.concatenate([[True], bucket[first][1:] != bucket[first][:-1]]))
+        sizes = np.diff(np.concatenate([begin, [len(first)]]))
+        several = np.repeat(sizes > 1, sizes)
+        gone = ~several[piece] & (doc[first][piece] < doc)
+        size = pc.binary_length(b.column("piece")).to_numpy(zero_copy_only=False)
+        if several.any():
+            rows = several[piece]
+            shard.add(b.column("piece").take(pa.array(first[several])).to_pylist(), doc[first][several], (np.cumsum(several) - 1)[piece[rows]],
+                      doc[rows], key[rows], start[rows])
+        return _spans(doc[gone], key[gone], start[gone], (start + size)[gone])
 
     def run(batches):
-        rows = (r for b in batches for r in zip(*(c.to_pylist() for c in b.columns)))
-        out, shard = [], _Shard(window)
-        for (_, alone), bucket in groupby(rows, key=lambda r: (r[0], r[5])):
-            held: list[tuple[bytes, int, list]] = []
-            for piece, same in groupby(bucket, key=lambda r: r[1]):
-                least, places = None, []
-                for _, _, doc, key, start, _ in same:
-                    least = doc if least is None else least
-                    if not alone:
-                        places.append((doc, key, start))
-                    elif least < doc:
-                        out.append((doc, key, start, start + window))
-                        if len(out) > 1 << 16:
-                            yield flush(out)
-                            out = []
-                held.append((piece, least, places))
-            if alone:
+        shard, least, held = _Shard(window), _Least(), None
+        for b in batches:
+            alone = b.column("alone")
+            if pc.any(alone).as_py():
+                yield stretches(b.filter(alone), least)
+                b = b.filter(pc.invert(alone))
+            if held is not None and held.num_rows:
+                b = pa.Table.from_batches([held, b]).combine_chunks().to_batches()[0]
+            if not b.num_rows:
                 continue
-            if len(held) == 1:   # one text: its smallest document keeps it
-                piece, least, places = held[0]
-                out += [(doc, key, start, start + len(piece)) for doc, key, start in places if least < doc]
-            else:
-                for piece, least, places in held:
-                    shard.places += [(len(shard.pieces), *p) for p in places]
-                    shard.pieces.append(piece)
-                    shard.least.append(least)
-                    shard.size += len(piece)
-                if shard.size > TEXT:
-                    out += shard.repeats()
-                    shard = _Shard(window)
-            if len(out) > 1 << 16:
-                yield flush(out)
-                out = []
-        out += shard.repeats()
-        yield flush(out)
+            bucket = _numbers(b, "bucket")[0]
+            cut = int(np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))[-1])   # the last bucket may go on
+            held = b.slice(cut)
+            if cut:
+                yield buckets(b.slice(0, cut), shard)
+            if shard.size > TEXT or shard.rows > TEXT:
+                yield from shard.repeats()
+                shard = _Shard(window)
+        if held is not None and held.num_rows:
+            yield buckets(held, shard)
+        yield from shard.repeats()
     return run
 
 
+def _compare_windows(batches):
+    """Of equal windows, all go but those of the smallest document."""
+    least = _Least()
+    for b in batches:
+        if b.num_rows:
+            bucket, doc, key, start, stop = _numbers(b, "bucket", "doc_id", "key", "start", "stop")
+            gone = least(bucket, b.column("piece"), doc) < doc
+            yield _spans(doc[gone], key[gone], start[gone], stop[gone])
+
+
 def _remove(batches):
     """(doc_id, key, text, places) -> spans, removed bytes, digest of the rest, the rest."""
     for b in batches:
@@ -347,7 +461,13 @@ def dedupe_bytes(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> Dat
     texts = src.join(stored(listed.join(reps, "doc_id"), "listed"), ["doc_id", "key"])
     pieces = texts.select("doc_id", "key", "text", "some", "crowded").mapInArrow(_cut_out(window, seed), STRETCHES)
     # found stays a plan: both joins of src by (doc_id, key) then use one shuffle of the texts
-    found = pieces.repartition("bucket").sortWithinPartitions("bucket", "alone", "piece", "doc_id").mapInArrow(_sort_buckets(window), REPEATS) \
+    dealt = pieces.repartition("bucket")
+    repeats = dealt.sortWithinPartitions("bucket", "alone", "piece", "doc_id").mapInArrow(_sort_buckets(window), REPEATS)
+    # spark_partition_id keeps the filter above the shuffle, which both uses share
+    crowded = dealt.where(F.when(F.spark_partition_id() >= 0, F.col("alone"))).sortWithinPartitions("bucket", "piece", "doc_id") \
+        .mapInArrow(_first_windows(window), WINDOWS).repartition("bucket").sortWithinPartitions("bucket", "piece", "doc_id") \
+        .mapInArrow(_compare_windows, REPEATS)
+    found = repeats.union(crowded) \
         .groupBy("doc_id", "key").agg(F.collect_set(F.struct("start", "stop")).alias("places"))
     kind = "doc_id long, key long, spans array<struct<start: long, stop: long>>, n_removed long, kept_sha256 string, kept binary"
     cleaned = src.join(found, ["doc_id", "key"]).dropDuplicates(["doc_id", "key"]).select("doc_id", "key", "text", "places").mapInArrow(_remove, kind)

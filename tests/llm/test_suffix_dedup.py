@@ -113,3 +113,18 @@ def test_kept_bytes_and_spans(spark, docs_of):
     common = "this sentence stands in both documents, word by word, letter by letter"
     (r,) = S.dedupe_bytes(docs_of([(1, common), (2, "Before. " + common + " After.")])).where("doc_id = 2").collect()
     assert r.kept == b"Before.  After." and r.spans == [(8, 8 + len(common))]
+
+
+def test_crowded_stretches_stay_whole(monkeypatch):
+    """A passage of many documents gives a row per stretch and document, not one per window."""
+    monkeypatch.setattr(S, "CROWD", 0)
+    pa = S.pa
+    passage, window, n = ("a passage that every document repeats, word by word, and then once more, " * 3).encode(), 50, 300
+    pieces = [passage[i:i + 80] for i in range(0, 120, 20)]
+    rows = sorted((b, p, d, d, 20 * b, True) for b, p in enumerate(pieces) for d in range(n))
+    names = ["bucket", "piece", "doc_id", "key", "start", "alone"]
+    batches = [pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows[i:i + 77]]) for i in range(0, len(rows), 77)]
+    found = [r for b in S._sort_buckets(window)(batches) for r in b.to_pylist()]
+    assert sorted((r["doc_id"], r["start"], r["stop"]) for r in found) == sorted((d, 20 * b, 20 * b + 80) for b in range(6) for d in range(1, n))
+    left = [r for b in S._first_windows(window)(batches) for r in b.to_pylist()]
+    assert len(left) == 6 * 31 and all(r["doc_id"] == 0 and r["piece"] == passage[r["start"]:r["stop"]] for r in left)
