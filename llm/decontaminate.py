@@ -1,6 +1,6 @@
 """Benchmark decontamination with suffix arrays over the training text.
 
-Each task builds a suffix array over the words of its shard (a few MB of documents).  Every benchmark suffix is then
+Each task builds a suffix array over the words of one shard after another (half a MB of documents each).  Every benchmark suffix is then
 located in it by binary search, word by word, which gives all places where its window occurs.  From each such place the
 sorted benchmark suffixes are searched the other way, word by word, for the longest verbatim match that any of the
 items with this window goes on with.  Words are runs of ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]`` after lower-casing A-Z, compared by
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 from llm.textops import LOWER, NOT_ALNUM, Words, annotate, rolling, scratch_name, stored, text_slices
 
 WINDOW = 10                 # words in a window; a shorter item is one window
-SHARD_BYTES = 4 << 20       # text under one suffix array (a longer document is a shard of its own)
+SHARD_BYTES = 1 << 19       # text under one suffix array (a longer document is a shard of its own); its arrays take about 30 times that
 BLOCK_BYTES = 8 << 20       # benchmark text shipped to the tasks at once
 
 KIND = "n_words long, n_hit long, items array<string>, longest long, spans array<struct<start: long, end: long>>"

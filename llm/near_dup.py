@@ -282,7 +282,8 @@ def _grouped(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, ba
         .select("bucket", F.least("block", "o.block").alias("one"), F.greatest("block", "o.block").alias("two"),
                 "block", "node", "label")
     late = meet.join(sets, "node").groupBy("bucket", "one", "two").applyInArrow(_compare_blocks(percent), "a binary, b binary")
-    bridge = components(late).select(F.col("node").alias("label"), F.col("label").alias("to"))
+    # written first: a task that compares blocks and groups links would hold two Python workers, which outlive it
+    bridge = components(stored(late, "bridges")).select(F.col("node").alias("label"), F.col("label").alias("to"))
 
     group = label.join(bridge, "label", "left").select("node", F.coalesce("to", "label").alias("label")) \
         .union(bridge.select(F.col("label").alias("node"), F.col("to").alias("label")))

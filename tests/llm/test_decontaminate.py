@@ -117,3 +117,26 @@ def test_three_blocks_are_three_passes(spark, docs_of):
     out = M.match_benchmark(docs, bench, block_bytes=150)
     assert out._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
     assert {(r.doc_id, r.contamination.n_hit, tuple(r.contamination.items)) for r in out.collect()} == {(i, 4, (str(i),)) for i in range(30)}
+
+
+def test_worker_memory(spark, docs_of, monkeypatch):
+    """A batch of 6 MB of text is searched in a few dozen MB beside it, with the same hits."""
+    import tracemalloc
+
+    import pyarrow as pa
+    w = [f"v{i}" for i in range(900)]
+    text = " ".join(w[i * 37 % 900] for i in range(400))
+    texts = [f"{text} {i}" if i % 50 else "a b c d e f g h i j k" for i in range(3600)]
+    bench = spark.createDataFrame([(1, "a b c d e f g h i j"), (2, " ".join(w))], "item_id long, text string")
+    step = []
+    monkeypatch.setattr(M, "annotate", lambda df, fn, into, kind: step.append(fn) or df)
+    M.match_benchmark(docs_of([]), bench)
+    batch = pa.RecordBatch.from_pydict({"text": texts})
+    assert batch.nbytes > 6e6
+    step[0](batch.slice(0, 2))
+    tracemalloc.start()
+    out = step[0](batch).to_pylist()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [x["n_hit"] for x in out] == [0 if i % 50 else 10 for i in range(3600)]
+    assert peak < 50e6, peak

@@ -130,3 +130,14 @@ def test_one_of_each_with_null_and_repeated_ids(spark, docs_of):
     assert len(a & set(got)) == 1
     assert set(got) - a == {(1, text("b")), (1, near("c")), (2, text("d")), (None, text("e")), (4, text("f")), (4, near("f")),
                             (None, None), (5, "")}
+
+
+def test_one_python_step_per_task(spark, docs_of, monkeypatch):
+    """Links that Python found are written before Python groups them: a task never holds two workers."""
+    plans, plain = [], M.components
+    monkeypatch.setattr(M, "components", lambda links: plans.append(links._jdf.queryExecution().optimizedPlan().toString()) or plain(links))
+    w = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(w[:50] + [f"x{i}"])) for i in range(5)] + [(9, " ".join(w[:20]))]
+    out = {r.doc_id: r.component_id for r in M.near_duplicates(docs_of(rows)).collect()}
+    assert out == {0: 0, 1: 0, 2: 0, 3: 0, 4: 0, 9: 9}
+    assert len(plans) == 2 and not any("InArrow" in p for p in plans)
